@@ -5,14 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import mixing, secrets, simhash
+from refinery.llm import mixing, packing, secrets, simhash, toxicity
 from refinery.llm.common import table
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _of_kind(kind: str):
+    return lambda x: F.when(x["kind"] == kind, True)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = F.filter("secrets", lambda x: x["kind"].isin(*[r.kind for r in secrets.BASE]))
-    count = {f"n_{r.kind}": F.size(F.filter("secrets", lambda x, k=r.kind: x["kind"] == k)).cast("long") for r in secrets.BASE}
+    kinds = [r.kind for r in secrets.BASE]
+    base = F.filter("secrets", lambda x: x["kind"].isin(kinds))
+    count = {f"n_{k}": F.size(F.array_compact(F.transform("secrets", _of_kind(k)))).cast("long") for k in kinds}
     found = found.withColumns(count | {"base_sha256": F.sha2(secrets.listed(base), 256), "spans": secrets.listed(F.col("secrets"))})
     return found.select("doc_id", *count, "base_sha256", "spans")
 
@@ -27,8 +38,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(table(spark, sf_dir, "documents"), tokenizer(), with_ids=False)
+    packed = packing.pack(parts)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.assess(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_mixing, op6_simhash)}
+    return {f.__name__: f for f in (op2_secret_scan, op4_mixing, op6_simhash, op7_best_fit_packing, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

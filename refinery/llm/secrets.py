@@ -128,8 +128,9 @@ def build_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
 def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
     """(doc_id, kinds): for each document the rules whose query its postings fulfil."""
     terms = [(r.kind, n, t, len(a)) for r in rules for n, a in enumerate(sorted(trigram_query(r.pattern), key=sorted)) for t in sorted(a)]
+    structs = [F.struct(*[F.lit(x).alias(c) for c, x in zip(("kind", "alternative", "trigram", "needed"), term)]) for term in terms]
     # The terms come from the rules, never from the data.
-    asked = index.sparkSession.createDataFrame(terms, "kind string, alternative int, trigram string, needed int")
+    asked = index.sparkSession.range(1).select(F.inline(F.array(*structs)))
     met = index.join(F.broadcast(asked), "trigram").groupBy("doc_id", "kind", "alternative", "needed").agg(F.countDistinct("trigram").alias("n")).where("n = needed")
     return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
@@ -165,7 +166,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     indexed = [r for r in rules if frozenset() not in queries[r.kind]]
     trigrams = sorted({t for r in indexed for a in queries[r.kind] for t in a})
     text = F.coalesce(F.col("text"), F.lit(""))
-    hits = docs.sparkSession.createDataFrame([], "_id long, _kinds array<string>")
+    hits = docs.sparkSession.range(0).select(F.col("id").alias("_id"), F.array(F.lit("")).alias("_kinds"))
     if indexed:
         index = build_index(docs.select("doc_id", text.alias("text")), trigrams)
         hits = candidates(index, indexed).select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
