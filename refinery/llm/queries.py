@@ -5,10 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import mixing, packing, secrets, simhash, toxicity
+from refinery.llm import chat, mixing, packing, secrets, simhash, topk, toxicity, vectors
 from refinery.llm.common import table
 
 
+OP1 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 64)) as v from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20
+"""
+
+OP5 = """
+with speakers as (select distinct conv_id, coalesce(role, '') as speaker from conversations),
+turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as n
+  from conversations),
+rendered as (
+  select t.conv_id, s.speaker as perspective, t.n, t.turn, t.role as author,
+    case when t.role = s.speaker then 'assistant' else 'user' end as as_role, t.role = s.speaker as trained,
+    case when t.role = s.speaker then '<|assistant|>' || chr(10) else '<|user name="' || t.role || '"|>' || chr(10) end as head,
+    t.text || '<|end|>' || chr(10) as body
+  from turns t join speakers s on s.conv_id is not distinct from t.conv_id),
+placed as (
+  select *, coalesce(sum(length(head) + length(body)) over (partition by conv_id, perspective order by n rows between unbounded preceding and 1 preceding), 0) as place
+  from rendered)
+select conv_id, perspective, n::bigint as n, turn, author, as_role, head || body as segment, trained, place::bigint as start,
+  (place + length(head))::bigint as mask_start,
+  case when trained then (place + length(head) + length(body) - 1)::bigint else (place + length(head))::bigint end as mask_end
+from placed
+"""
+
+
 def tokenizer() -> str:
     import public_tokenizers
 
@@ -19,6 +53,11 @@ def _of_kind(kind: str):
     return lambda x: F.when(x["kind"] == kind, True)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.integers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.search(rows.where("id % 20 = 0"), rows, 20)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = [r.kind for r in secrets.BASE]
@@ -33,6 +72,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,14 +87,19 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.assess(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_mixing, op6_simhash, op7_best_fit_packing, op9_toxicity)}
+    found = (op1_topk, op2_secret_scan, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_topk": OP1, "op5_chat_formatting": OP5}
