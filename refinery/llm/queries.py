@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import chat, mixing, packing, secrets, simhash, topk, toxicity, vectors
+from refinery.llm import chat, mixing, packing, secrets, simhash, substrings, topk, toxicity, vectors
 from refinery.llm.common import table
 
 
@@ -67,6 +67,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, "base_sha256", "spans")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 50)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -97,7 +103,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_topk, op2_secret_scan, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity)
+    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity)
     return {f.__name__: f for f in found}
 
 
