@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import chat, mixing, packing, secrets, simhash, substrings, topk, toxicity, vectors
+from refinery.llm import chat, html, mixing, packing, secrets, simhash, substrings, topk, toxicity, vectors
 from refinery.llm.common import table
 
 
@@ -102,8 +102,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict:
-    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity)
+    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction)
     return {f.__name__: f for f in found}
 
 
