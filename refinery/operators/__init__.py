@@ -1 +1 @@
-
+"""Operators from frames to frames."""
