@@ -69,7 +69,7 @@ def apportion(parties: DataFrame, votes: str, seats: Column, within: list[str],
     return contested.groupBy(*names, "_low").agg(won.alias("_won")).select(*names, (F.col("_low") + F.col("_won")).alias("quota"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, block: int = 32, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, block: int = 32, seed: int = 7, also: tuple[str, ...] = ()) -> DataFrame:
     """What a mix of ``docs`` (doc_id, text, source) takes of each row.
 
     Sources get blocks of ``block`` words by highest quotients, and each source's blocks go to its
@@ -79,10 +79,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
 
     Returns doc_id, source, size (words), source_size, target (of the source), taken (words, repeats
     counted, at most ``cap`` times size). Null text has size 0, null source is a source of its own,
-    repeated rows are rows like others, an empty table gives an empty one. Other columns are ignored.
+    repeated rows are rows like others, an empty table gives an empty one. Other columns are ignored, but for those named in ``also``.
     """
     key = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    sizes = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key")))
+    sizes = stage(docs.select("doc_id", "source", *also, word_count(F.col("text")).alias("size"), key.alias("_key")))
     n = sizes.count()
     shards = min(max(-(-n // DOCS_IN_SHARD), 1), MOST_SHARDS)
     sizes = sizes.withColumn("_shard", F.pmod(F.xxhash64("_key"), F.lit(shards)).cast("int"))
@@ -97,10 +97,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
     cells = apportion(cells, "words", F.col("source_blocks"), ["source"], [F.col("_shard").asc()])
     cells = cells.withColumn("take", F.least(F.col("quota") * block, F.floor(F.col("words") * cap)).cast("long"))
     cells = cells.select(F.col("source").alias("_source"), F.col("_shard").alias("_cell"), "words", "source_size", "target", "take")
-    front = Window.partitionBy("source", "_shard").orderBy("_key", "doc_id", "size")
+    front = Window.partitionBy("source", "_shard").orderBy("_key", "doc_id", "size", *also)
     placed = sizes.withColumn("start", F.sum("size").over(front.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     placed = placed.join(cells, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_cell")))
     passes = F.when(F.col("words") > 0, F.floor(F.col("take") / F.col("words"))).otherwise(0)
     rest = F.col("take") - passes * F.col("words")
     taken = passes * F.col("size") + F.greatest(F.least(rest - F.col("start"), F.col("size")), F.lit(0))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "source", *also, "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    """docs as the mix takes them: each row as often as its taken words hold it, rounded; those never taken go.
+
+    Columns of docs are kept. Rows are told apart by doc_id, text and, among equal ones, by number.
+    """
+    own = Window.partitionBy("doc_id", "_text").orderBy("source")
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
+    taken = mix(marked, also=("_text",), **options).withColumn("_times", times)
+    taken = taken.withColumn("_n", F.row_number().over(own)).where("_times > 0")
+    taken = taken.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.col("_n").alias("_k"), "_times")
+    rows = marked.withColumn("_n", F.row_number().over(own))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")) & (F.col("_n") == F.col("_k"))
+    joined = rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return joined.select(*docs.columns)

@@ -155,8 +155,8 @@ def _spans(text: Column, rule: Rule, turn: int) -> Column:
     return F.when(F.regexp_like(text, pattern), all_of).otherwise(empty)
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
-    """Adds ``secrets`` to docs: array<struct<kind, start, end>> by start, then rule order.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, into: str = "secrets") -> DataFrame:
+    """Adds the column ``into`` to docs: array<struct<kind, start, end>> by start, then rule order.
 
     Matches are leftmost and do not overlap within a rule. Null text is empty, and so is its array.
     A row's doc_id may be null or repeated: postings of equal ids are united, which can only add
@@ -175,7 +175,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     found = [F.when(F.array_contains("_kinds", r.kind), _spans(text, r, n)).otherwise(none) if r in indexed else _spans(text, r, n) for n, r in enumerate(rules)]
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     spans = F.transform(F.array_sort(F.concat(*found)), lambda x: F.struct(F.element_at(kinds, x["turn"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return joined.withColumn("secrets", spans).drop("_id", "_kinds")
+    return joined.withColumn(into, spans).drop("_id", "_kinds")
 
 
 def listed(spans: Column) -> Column:

@@ -13,7 +13,7 @@ import itertools
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.llm.common import Staged, components, stage
@@ -282,3 +282,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame
     lowest = classed.groupBy("class").agg(F.min("rep").alias("component_id"))
     named = classed.join(lowest, "class").select("fp", "component_id")
     return of.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame:
+    """One row of each group of near-duplicates: that of the smallest doc_id, and of its rows the first by text. Columns of docs are kept."""
+    found = near_duplicates(docs.select("doc_id", "text"), words, most)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)

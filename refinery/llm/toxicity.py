@@ -216,7 +216,8 @@ class Model:
     def __init__(self, terms: list[tuple[str, float, bool]], weights: np.ndarray) -> None:
         self.terms, self.weights = terms, weights
 
-    def score(self, docs: DataFrame) -> DataFrame:
+    def score(self, docs: DataFrame, into: str = "score") -> DataFrame:
+        """Adds the score of column text."""
         terms, weights = self.terms, self.weights
 
         @F.pandas_udf("double")
@@ -227,7 +228,7 @@ class Model:
                 z = x @ weights[:-1] + weights[-1]
                 yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-        return docs.withColumn("score", of("text"))
+        return docs.withColumn(into, of("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
