@@ -50,13 +50,14 @@ def hits(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) ->
     the first characters there begin some key.
     """
     keys = dictionary.where("key <> '' and instr(key, ' ') = 0").select("key", "standard", F.length("key").alias("_n"), wide(F.col("key")).alias("_key"))
-    starts = keys.groupBy(F.substring("_key", 1, 8).alias("_begin")).agg(F.collect_set("_n").alias("_lengths"))
-    longest = keys.agg(F.max("_n")).first()[0] or 0
+    shortest, longest = keys.agg(F.min("_n"), F.max("_n")).first()
+    begin, longest = min(shortest or 1, 2) * 4, longest or 0
+    starts = keys.groupBy(F.substring("_key", 1, begin).alias("_begin")).agg(F.collect_set("_n").alias("_lengths"))
     t = docs.select(F.col(id_col).alias("id"), wide(F.col(text_col)).alias("_t")).where(F.octet_length("_t") > 0)
     # One row for each place, with the piece that the longest key may take; all in bytes until a key is found.
     places = t.select("id", "_t", F.explode(F.sequence(F.lit(1), (F.octet_length("_t") / 4).cast("int"))).alias("at"))
     first = (F.col("at") - 1) * 4 + 1
-    places = places.select("id", "at", F.substring(F.col("_t"), first, F.lit(longest * 4)).alias("_piece"), F.substring(F.col("_t"), first, F.lit(8)).alias("_begin"))
+    places = places.select("id", "at", F.substring(F.col("_t"), first, F.lit(longest * 4)).alias("_piece"), F.substring(F.col("_t"), first, F.lit(begin)).alias("_begin"))
     some = places.join(starts, "_begin").select("id", "at", "_piece", F.explode("_lengths").alias("_n"))
     tried = some.where(F.octet_length("_piece") >= F.col("_n") * 4).select("id", "at", "_n", F.substring(F.col("_piece"), F.lit(1), F.col("_n") * 4).alias("_key"))
     found = tried.join(keys.select("key", "standard", "_key"), "_key")
@@ -65,8 +66,8 @@ def hits(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) ->
 
 def match(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """M4 to M6: adds matches (standard names in order) and residual (the text without what matched; all of it if nothing did) to docs."""
-    per = hits(docs, dictionary, id_col, text_col).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "key", "standard"))).alias("_hits"))
-    joined = docs.join(per, docs[id_col] == per["id"], "left").drop("id")
+    per = hits(docs, dictionary, id_col, text_col).groupBy(F.col("id").alias("_hit_id")).agg(F.array_sort(F.collect_list(F.struct("at", "key", "standard"))).alias("_hits"))
+    joined = docs.join(per, F.col(id_col) == F.col("_hit_id"), "left")
     joined = joined.withColumn("_w", wide(F.coalesce(F.col(text_col), F.lit(""))))
     t, size = F.col("_w"), (F.octet_length("_w") / 4).cast("int")
     start = F.struct(F.lit(1).alias("at"), F.expr("cast(array() as array<string>)").alias("found"), F.lit("").alias("left"))

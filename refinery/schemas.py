@@ -54,8 +54,7 @@ def enforce_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
     """K5: the job fails on a null in a required column, when the row is read."""
     for f in schema.fields:
         if not f.nullable:
-            bad = F.assert_true(F.col(f.name).isNotNull(), F.lit(f"null in required column {f.name}"))
-            df = df.withColumn(f.name, F.when(bad.isNull(), F.col(f.name)))
+            df = df.withColumn(f.name, F.coalesce(F.col(f.name), F.raise_error(F.lit(f"null in required column {f.name}")).cast(f.dataType)))
     return df
 
 
