@@ -18,6 +18,7 @@ from refinery.llm.common import Staged, components, partitions, stage
 MOST_IN_BLOCK = 4096
 LEAST_IN_BLOCK = 128
 MOST_PIVOTS = 256
+DEPTH = 4
 #: Room for rounding when distances of unit vectors stand for cosines.
 SLACK = 1e-7
 #: Pairs whose distance is this close to the threshold are decided by the cosine itself.
@@ -49,35 +50,88 @@ def net(x: np.ndarray, radius: float) -> np.ndarray:
         part = np.arange(lo, min(lo + 256, len(x)))
         if centres:
             part = part[_distances(x[part], x[centres]).min(1) > radius]
-        while len(part):
-            centres.append(int(part[0]))
-            part = part[_distances(x[part], x[part[:1]])[:, 0] > radius]
+        far = _distances(x[part], x[part]) > radius
+        left = np.ones(len(part), bool)
+        while left.any():
+            k = int(left.argmax())
+            left[k] = False
+            left &= far[k]
+            centres.append(int(part[k]))
     return np.array(centres, dtype=np.int64)
 
 
+def levels(x: np.ndarray, top: float = 1.0, depth: int = DEPTH) -> np.ndarray:
+    """[row, level]: the row that is the centre of the row's node. Nets of halving radii, each inside the nodes of the one before, so a node's rows lie within its radius."""
+    out = np.zeros((len(x), depth), np.int32)
+    whole, radius = [np.arange(len(x))], top
+    for level in range(depth):
+        nodes = []
+        for members in whole:
+            if len(members) == 1:
+                out[members, level] = members
+                continue
+            centres = members[net(x[members], radius)]
+            nearest = _nearest(x[members], x[centres])
+            out[members, level] = centres[nearest]
+            by = np.argsort(nearest, kind="stable")
+            nodes += np.split(members[by], np.searchsorted(nearest[by], np.arange(1, len(centres))))
+        alone = [m for m in nodes if len(m) == 1]
+        for later in range(level + 1, depth) if alone else ():
+            out[np.concatenate(alone), later] = np.concatenate(alone)
+        whole, radius = [m for m in nodes if len(m) > 1], radius / 2
+    return out
+
+
 class CoverTree:
-    """Nested nets of halving radii over the unit vectors x: node k of a level has a centre, members and a covering radius; the last level has small radii."""
-
-    def __init__(self, x: np.ndarray, top: float = 1.0, levels: int = 4) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
-        radius, whole = top, [np.arange(len(x))]
-        for _ in range(levels):
-            nodes, parents = [], []
-            for p, members in enumerate(whole):
-                if len(members) == 1:
-                    nodes.append((members[0], members))
-                    parents.append(p)
-                    continue
-                centres = members[net(x[members], radius)]
-                nearest = _nearest(x[members], x[centres])
-                by = np.argsort(nearest, kind="stable")
-                cuts = np.searchsorted(nearest[by], np.arange(1, len(centres)))
-                for c, part in zip(centres, np.split(members[by], cuts)):
-                    nodes.append((c, part))
-                    parents.append(p)
-            cover = np.array([_distances(x[part], x[c : c + 1]).max() if len(part) > 1 else 0.0 for c, part in nodes])
-            self.levels.append((np.array([c for c, _ in nodes]), cover, [m for _, m in nodes], np.array(parents)))
-            whole, radius = [m for _, m in nodes], radius / 2
+    """The nodes of each level of ``levels``: centre, covering radius and parent, in order of parents; and the rows of the last level's nodes."""
+
+    def __init__(self, x: np.ndarray, centre: np.ndarray) -> None:
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        above = np.zeros(len(x), np.int64)
+        for level in range(centre.shape[1]):
+            c = centre[:, level].astype(np.int64)
+            nodes, of = np.unique(above * len(x) + c, return_inverse=True)
+            nodes = nodes % len(x)
+            far = np.sqrt(np.maximum(2.0 - 2.0 * np.einsum("ij,ij->i", x, x[c]), 0.0))
+            far[c == np.arange(len(x))] = 0.0
+            cover = np.zeros(len(nodes))
+            np.maximum.at(cover, of, far)
+            parent = np.zeros(len(nodes), np.int64)
+            parent[of] = above
+            self.levels.append((nodes, cover, parent))
+            above = of
+        self.order = np.argsort(above, kind="stable")
+        self.cuts = np.searchsorted(above[self.order], np.arange(len(nodes) + 1))
+
+    def members(self, node: int) -> np.ndarray:
+        return self.order[self.cuts[node] : self.cuts[node + 1]]
+
+
+def _top_pairs(x: np.ndarray, rx: np.ndarray, y: np.ndarray, ry: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes whose distance is at most reach and both radii: single precision with room for its rounding first, by nodes with and without extent."""
+    rows, cols = [np.array([], np.int64)], [np.array([], np.int64)]
+    for i in (np.flatnonzero(rx == 0), np.flatnonzero(rx > 0)):
+        for j in (np.flatnonzero(ry == 0), np.flatnonzero(ry > 0)):
+            if not len(i) or not len(j):
+                continue
+            least = (1.0 - (reach + rx[i] + ry[j].max() + SLACK) ** 2 / 2 - 1e-5).astype(np.float32)
+            right = np.ascontiguousarray(y[j].T, dtype=np.float32)
+            for lo in range(0, len(i), 1024):
+                part = i[lo : lo + 1024]
+                p, q = np.nonzero(x[part].astype(np.float32) @ right >= least[lo : lo + 1024, None])
+                rows.append(part[p])
+                cols.append(j[q])
+    p, q = np.concatenate(rows), np.concatenate(cols)
+    return _still_near(x, rx, y, ry, p, q, reach)
+
+
+def _still_near(x, rx, y, ry, p, q, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    keep = np.zeros(len(p), bool)
+    for lo in range(0, len(p), 1 << 16):
+        s = slice(lo, lo + (1 << 16))
+        d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x[p[s]], y[q[s]]), 0))
+        keep[s] = d <= reach + rx[p[s]] + ry[q[s]] + SLACK
+    return p[keep], q[keep]
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -87,32 +141,21 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
-def _node_pairs(a: CoverTree, b: CoverTree, x: np.ndarray, y: np.ndarray, reach: float):
-    """Pairs of last-level nodes that the bounds leave: (node of a, node of b, all linked)."""
+def _node_pairs(a: CoverTree, b: CoverTree, x: np.ndarray, y: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of last-level nodes that the bounds leave, by going down both trees at once."""
     live = None
-    for depth, ((ca, ra, _, pa), (cb, rb, _, pb)) in enumerate(zip(a.levels, b.levels)):
+    for (ca, ra, pa), (cb, rb, pb) in zip(a.levels, b.levels):
         if live is None:
-            rows, cols = [], []
-            for lo in range(0, len(ca), 512):
-                d = _distances(x[ca[lo : lo + 512]], y[cb])
-                i, j = np.nonzero(d <= reach + ra[lo : lo + 512, None] + rb[None, :] + SLACK)
-                rows.append(i + lo)
-                cols.append(j)
-            live = (np.concatenate(rows), np.concatenate(cols)) if rows else (np.array([], int), np.array([], int))
-        else:
-            first_a, first_b = np.searchsorted(pa, np.arange(pa.max() + 2)), np.searchsorted(pb, np.arange(pb.max() + 2))
-            na, nb = np.diff(first_a)[live[0]], np.diff(first_b)[live[1]]
-            each = na * nb
-            at = np.repeat(np.arange(len(each)), each)
-            inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            i = first_a[live[0][at]] + inner // np.maximum(nb[at], 1)
-            j = first_b[live[1][at]] + inner % np.maximum(nb[at], 1)
-            keep = np.zeros(len(i), bool)
-            for lo in range(0, len(i), 1 << 16):
-                s = slice(lo, lo + (1 << 16))
-                d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x[ca[i[s]]], y[cb[j[s]]]), 0))
-                keep[s] = d <= reach + ra[i[s]] + rb[j[s]] + SLACK
-            live = (i[keep], j[keep])
+            live = _top_pairs(x[ca], ra, y[cb], rb, reach)
+            continue
+        first_a, first_b = np.searchsorted(pa, np.arange(pa.max() + 2)), np.searchsorted(pb, np.arange(pb.max() + 2))
+        na, nb = np.diff(first_a)[live[0]], np.diff(first_b)[live[1]]
+        each = na * nb
+        at = np.repeat(np.arange(len(each)), each)
+        inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        i = first_a[live[0][at]] + inner // nb[at]
+        j = first_b[live[1][at]] + inner % nb[at]
+        live = _still_near(x[ca], ra, y[cb], rb, i, j, reach)
     return live
 
 
@@ -126,18 +169,18 @@ def link_blocks(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> pd.Dat
     b = a if same else b
     out_a, out_b, count = [], [], {}
     for width in set(a["w"]) & set(b["w"]):
-        pa, pb = a[a["w"] == width], b[b["w"] == width]
+        pa, pb = (z[z["w"] == width].sort_values("k") for z in (a, b))
         x, y = _unit(pa["v"]), _unit(pb["v"])
         ia, ib = pa["id"].to_numpy(np.int64), pb["id"].to_numpy(np.int64)
         wa, wb = pa["n"].to_numpy(np.int64), pb["n"].to_numpy(np.int64)
-        ta = CoverTree(x)
-        tb = ta if same else CoverTree(y)
+        ta = CoverTree(x, np.stack(pa["centre"].to_numpy()))
+        tb = ta if same else CoverTree(y, np.stack(pb["centre"].to_numpy()))
         na, nb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
-        (ca, ra, ma, _), (cb, rb, mb, _) = ta.levels[-1], tb.levels[-1]
+        (ca, ra, _), (cb, rb, _) = ta.levels[-1], tb.levels[-1]
         for i, j in zip(*_node_pairs(ta, tb, x, y, reach)):
             if same and j < i:
                 continue
-            p, q = ma[i], mb[j]
+            p, q = ta.members(i), tb.members(j)
             itself = same and i == j
             d = float(np.sqrt(max(2 - 2 * float(x[ca[i]] @ y[cb[j]]), 0)))
             if d + ra[i] + rb[j] <= reach - NEAR:
@@ -236,7 +279,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     cells = placed.groupBy("cell").agg(F.count("*").alias("_rows"))
     sized = cells.select("cell", F.ceil(F.col("_rows") / in_block).cast("int").alias("_blocks"))
     dealt = placed.join(sized, "cell").withColumn("block", F.concat_ws(":", F.col("cell"), F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")))
-    dealt = stage(dealt.select("id", "v", "n", "w", "cell", "block", "far"))
+
+    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
+        # The levels of each block are made once; every meeting of the block uses them.
+        out = []
+        for _, part in pdf.groupby("w"):
+            part = part.sort_values("id").reset_index(drop=True)
+            part["k"] = np.arange(len(part), dtype=np.int32)
+            part["centre"] = list(levels(_unit(part["v"])))
+            out.append(part)
+        return pd.concat(out)[["id", "v", "n", "w", "cell", "block", "far", "k", "centre"]]
+
+    shape = "id long, v array<double>, n long, w int, cell int, block string, far double, k int, centre array<int>"
+    dealt = stage(dealt.select("id", "v", "n", "w", "cell", "block", "far").groupBy("block").applyInPandas(cover, shape))
     blocks = dealt.groupBy("block", "cell").agg(F.max("far").alias("radius"))
     reach = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
     table = np.full((len(unit) + 1, len(unit) + 1), 0.0)
@@ -248,8 +303,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     a, b = (blocks.select(*[F.col(c).alias(c + x) for c in blocks.columns]) for x in ("_a", "_b"))
     close = a.join(flat, "cell_a").join(b, "cell_b").where((F.col("block_a") <= F.col("block_b")) & (F.col("gap") <= F.lit(reach + SLACK) + F.col("radius_a") + F.col("radius_b")))
     met = stage(close.select("block_a", "block_b"))
-    left = dealt.join(met, dealt["block"] == met["block_a"]).select("block_a", "block_b", "id", "v", "n", "w", F.lit(0).alias("side"))
-    right = dealt.join(met.where("block_a <> block_b"), dealt["block"] == F.col("block_b")).select("block_a", "block_b", "id", "v", "n", "w", F.lit(1).alias("side"))
+    left = dealt.join(met, dealt["block"] == met["block_a"]).select("block_a", "block_b", "id", "v", "n", "w", "k", "centre", F.lit(0).alias("side"))
+    right = dealt.join(met.where("block_a <> block_b"), dealt["block"] == F.col("block_b")).select("block_a", "block_b", "id", "v", "n", "w", "k", "centre", F.lit(1).alias("side"))
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         b = pdf[pdf["side"] == 1]
