@@ -191,7 +191,8 @@ def _plan(n: int, both: np.ndarray, bytes_: np.ndarray, most: int) -> list[list[
 def _forest(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
     """Of one block of probes and one of indexed fingerprints: links that connect whatever is linked, one for each fingerprint reached."""
     side = pdf["side"].to_numpy()
-    values = [np.unique(pdf["fp"].to_numpy(np.int64)[side == s]) for s in (0, 1)]
+    # Unsigned: the bits of a negative number are counted as they are.
+    values = [np.unique(pdf["fp"].to_numpy(np.int64)[side == s]).view(np.uint64) for s in (0, 1)]
     left = [v.copy() for v in values]
     out_a, out_b = [], []
     while len(left[0]) and len(left[1]):
@@ -211,7 +212,7 @@ def _forest(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
                 todo += [(1 - s, y) for y in found]
     if not out_a:
         return pd.DataFrame({"a": np.array([], np.int64), "b": np.array([], np.int64)})
-    return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+    return pd.DataFrame({"a": np.concatenate(out_a).astype(np.uint64).view(np.int64), "b": np.concatenate(out_b).astype(np.uint64).view(np.int64)})
 
 
 def links(fps: DataFrame, most: int = 4) -> DataFrame:

@@ -1,0 +1,91 @@
+import numpy as np
+import pandas as pd
+import pytest
+from helpers import groups
+
+from refinery.llm import topk, vectors
+
+NAN, INF = float("nan"), float("inf")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def odd_rows(n, seed=0, d=24):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d)).astype(np.float32)
+    x[n // 3 : n // 2] = x[0] + rng.normal(size=(n // 2 - n // 3, d)).astype(np.float32) * 0.05
+    x[n // 2 : n // 2 + 20] = x[1]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    odd = [None, [NAN] * d, [INF] + [0.0] * (d - 1), [None] + [1.0] * (d - 1), [0.0] * d, [], [1.0, 2.0]]
+    return rows + [(n + k, v, 1) for k, v in enumerate(odd)] + [(None, [1.0] * d, 0)]
+
+
+def brute_topk(rows, k):
+    good = {}
+    for i, v, _ in rows:
+        if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v):
+            good[i] = [int(np.floor(64 * float(c))) for c in v]
+    out = set()
+    for q, v in good.items():
+        if q % 20 == 0:
+            s = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good.items() if i != q)[:k]
+            out |= {(q, n, i, -x) for n, (x, i) in enumerate(s, 1)}
+    return out
+
+
+@pytest.mark.parametrize("n", [45, 700])
+def test_topk(spark, n):
+    rows = odd_rows(n)
+    v = topk.integers(frame(spark, rows), "vec_id", "embedding")
+    got = {tuple(r) for r in topk.search(v.where("id % 20 = 0"), v, 20).collect()}
+    assert got == brute_topk(rows, 20)
+
+
+def test_topk_few_and_none(spark):
+    v = topk.integers(frame(spark, [(0, [1.0, 0.5], 0), (20, [1.0, 0.5], 0), (21, [-0.01, 2.0], 0)]), "vec_id", "embedding")
+    got = sorted(tuple(r) for r in topk.search(v.where("id % 20 = 0"), v, 20).collect())
+    assert got == [(0, 1, 20, 64 * 64 + 32 * 32), (0, 2, 21, -64 + 32 * 128), (20, 1, 0, 64 * 64 + 32 * 32), (20, 2, 21, -64 + 32 * 128)]
+    assert topk.search(v.limit(0), v, 20).count() == 0
+    assert topk.search(v, v.limit(0), 20).count() == 0
+
+
+def test_topk_large_components_are_exact():
+    q = pd.DataFrame({"id": [0], "v": [[2.0**40, 3.0]]})
+    c = pd.DataFrame({"id": [1, 2], "v": [[2.0**20, 1.0], [2.0**20, 2.0]]})
+    assert topk.search_block(q, c, 5)["score"].tolist() == [2**60 + 6, 2**60 + 3]
+
+
+@pytest.mark.parametrize("n", [60, 600])
+def test_near_duplicates(spark, n):
+    rows = odd_rows(n)
+    got = {r["vec_id"]: r for r in vectors.near_duplicates(frame(spark, rows)).collect() if r["vec_id"] is not None}
+    ok = [(i, np.array(v, float)) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
+    links = [(a, b) for a in range(len(ok)) for b in range(a + 1, len(ok)) if len(ok[a][1]) == len(ok[b][1]) and ok[a][1] @ ok[b][1] / np.linalg.norm(ok[a][1]) / np.linalg.norm(ok[b][1]) >= 0.95]
+    root = groups(len(ok), links)
+    count = np.bincount(np.array(links).ravel(), minlength=len(ok))
+    want = {i: (int(count[k]), ok[root[k]][0]) for k, (i, _) in enumerate(ok)}
+    for i, _, _ in rows:
+        if i is not None:
+            n_links, component = want.get(i, (0, i))
+            assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (n_links, component, component == i)
+
+
+def test_near_duplicates_empty(spark):
+    assert vectors.near_duplicates(frame(spark, [])).count() == 0
+    alone = vectors.near_duplicates(frame(spark, [(5, None, 0)])).first()
+    assert (alone["n_links"], alone["component_id"], alone["kept"]) == (0, 5, True)
+
+
+def test_whole_linked_nodes_and_blocks():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(80, 8)) * 1e-3, rng.normal(size=(40, 8))])
+    df = pd.DataFrame({"id": np.arange(120), "v": list(x), "n": 1, "w": 8, "k": np.arange(120), "centre": list(vectors.levels(vectors._unit(pd.Series(list(x)))))})
+    out = vectors.link_blocks(df, None, 0.95)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = (u @ u.T >= 0.95) & ~np.eye(120, dtype=bool)
+    counts = out[out["other"].isna()].set_index("id")["n"].to_dict()
+    assert [counts.get(i, 0) for i in range(120)] == hit.sum(1).tolist()
+    pairs = out[out["other"].notna()]
+    assert groups(120, list(zip(pairs["id"], pairs["other"]))) == groups(120, list(zip(*np.nonzero(hit))))
