@@ -92,11 +92,11 @@ def item_usage_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     """with u as (select p_name as ingredient_name, count(distinct l_orderkey) as usage_count from lineitem join part on l_partkey = p_partkey group by 1),
-m as (select distinct p_name as kor_name, p_brand as brand, p_type as status from part where p_size > 25)
+m as (select distinct p_name as kor_name, p_brand as brand, p_type as status from part)
 select ingredient_name, usage_count, brand, status from u left join m on ingredient_name = kor_name"""
 )
 def enriched_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").where("p_size > 25")
+    part = table(spark, sf_dir, "part")
     metadata = part.select(F.col("p_name").alias("kor_name"), F.col("p_brand").alias("brand"), F.col("p_type").alias("status")).distinct()
     return marts.enrich(item_usage_distinct(spark, sf_dir), metadata, "kor_name").drop("kor_name")
 
@@ -151,11 +151,10 @@ def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- changes between batches
 
 SNAPSHOT_SQL = """
-per as (select user_id, ts::date as day, event_type, count(*) as n, sum(value) as total from events group by 1, 2, 3),
-history as (select user_id as product_id, day, sum(n)::bigint as review_count, round(sum(total), 3) as rating,
+per as (select user_id::varchar || ':' || coalesce(json_extract_string(props, '$.k'), '') as product_id, ts::date as day, event_type, count(*) as n, sum(value) as total from events group by 1, 2, 3),
+history as (select product_id, day, sum(n)::bigint as review_count, round(sum(total), 3) as rating,
   list_sort(list(event_type || '=' || n)) as types from per group by 1, 2),
-days as (select day from (select distinct day from history) order by day limit 3),
-pair as (select max(day) as now, max(day) filter (day < (select max(day) from days)) as before from days),
+pair as (select max(day) as now, max(day) filter (day < (select max(day) from history)) as before from history),
 now as (select h.* from history h, pair where h.day = pair.now), old as (select h.* from history h, pair where h.day = pair.before),
 earlier as (select distinct product_id from history h, pair where h.day < pair.now),
 new as (select product_id, review_count, rating, 'NEW' as change_type from now where product_id not in (select product_id from earlier)),
@@ -166,24 +165,21 @@ log as (select * from new union all select * from removed union all select * fro
 """
 
 
-def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(product_id, day, rating, review_count, review_stats) of each user and day; review_stats is a map by type."""
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(product_id, day, rating, review_count, review_stats) of each user and kind of event, by day; review_stats is a map by type."""
     events = table(spark, sf_dir, "events")
-    per = events.groupBy(F.col("user_id").alias("product_id"), F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    entity = F.concat_ws(":", F.col("user_id"), F.coalesce(F.get_json_object("props", "$.k"), F.lit("")))
+    per = events.groupBy(entity.alias("product_id"), F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     entries = F.map_from_entries(F.collect_list(F.struct("event_type", F.col("n").cast("string"))))
     return per.groupBy("product_id", "day").agg(F.sum("n").alias("review_count"), F.round(F.sum("total"), 3).alias("rating"), entries.alias("review_stats"))
 
 
-def first_days(history: DataFrame, n: int = 3) -> list:
-    """The batches that the queries compare: of a small list of days the first few."""
-    return [r[0] for r in history.select("day").distinct().orderBy("day").limit(n).collect()]
+def newest_days(spark: SparkSession, sf_dir: str) -> tuple:
+    return cdc.latest_two(table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")), "day")
 
 
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = user_history(spark, sf_dir)
-    days = first_days(table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")))
-    history = history.where(F.col("day") <= F.lit(days[-1]))
-    return cdc.change_log(history, "day", "product_id", ("rating", "review_count", "review_stats"), pair=(days[-2], days[-1]))
+    return cdc.change_log(history(spark, sf_dir), "day", "product_id", ("rating", "review_count", "review_stats"), pair=newest_days(spark, sf_dir))
 
 
 @register(f"with {SNAPSHOT_SQL} select * from log")
@@ -203,9 +199,8 @@ def cdc_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"with {SNAPSHOT_SQL} select n.product_id from now n join old o using (product_id) where n.types is distinct from o.types")
 def cdc_map_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = user_history(spark, sf_dir)
-    days = first_days(table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")))
-    before, now = (history.where(F.col("day") == F.lit(d)) for d in days[-2:])
+    rows = history(spark, sf_dir)
+    before, now = (rows.where(F.col("day") == F.lit(d)) for d in newest_days(spark, sf_dir))
     return cdc.changed_rows(before, now, "product_id", ("review_stats",)).select("product_id")
 
 
@@ -229,6 +224,18 @@ def clean_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", X.collapse(X.unify_separators(F.regexp_replace("text", X.NAME_BRACKET, " "))).alias("clean"))
 
 
+@register()
+def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 to T6 with look-around, which the SQL engine's regexes lack."""
+    return table(spark, sf_dir, "part").select("p_partkey", X.clean_name(F.concat_ws(" ", "p_name", F.lit("[set] 150ml"))).alias("clean"))
+
+
+@register()
+def drop_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10, T12, T13 with look-around."""
+    return table(spark, sf_dir, "documents").select("doc_id", X.drop_concentrations(X.strip_header(X.drop_notices(F.col("text")))).alias("clean"))
+
+
 @register("select doc_id, regexp_replace(regexp_replace(text, '([A-Za-z0-9]),([A-Za-z0-9])', '\\1_C_\\2', 'g'), '([A-Za-z0-9]),([A-Za-z0-9])', '\\1_C_\\2', 'g') as masked from documents")
 def mask_commas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.mask_commas(F.col("text")).alias("masked"))
@@ -435,20 +442,24 @@ def pending_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 GRAPH_SQL = """
 sales as (select o_custkey as product_id, year(o_orderdate) as y, p_brand as target from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey),
-old as (select distinct product_id, target from sales where y = 1995), now as (select distinct product_id, target from sales where y = 1996)
+years as (select max(y) as now from sales),
+now as (select distinct product_id, target from sales, years where y = now)
 """
 
 
-def yearly(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.year("o_orderdate") == year).select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("product_id"))
-    return line_items(spark, sf_dir).join(orders, "l_orderkey").groupBy("product_id").agg(F.sort_array(F.collect_set("p_brand")).alias("items"))
+def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(product_id, batch, items): the brands that each customer bought in each year."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("product_id"), F.year("o_orderdate").alias("batch"))
+    return line_items(spark, sf_dir).join(orders, "l_orderkey").groupBy("product_id", "batch").agg(F.sort_array(F.collect_set("p_brand")).alias("items"))
 
 
 def graph_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    before, now = yearly(spark, sf_dir, 1995), yearly(spark, sf_dir, 1996)
-    history = before.withColumn("batch", F.lit(1)).unionByName(now.withColumn("batch", F.lit(2)))
-    changes = cdc.change_log(history, "batch", "product_id", ("items",), pair=(1, 2))
+    """The graph of the year before, after the newest year's changes. Customers that come back after a gap are new."""
+    sales = yearly(spark, sf_dir)
+    pair = cdc.latest_two(table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("batch")), "batch")
+    changes = cdc.change_log(sales, "batch", "product_id", ("items",), pair=pair, reappear_as_new=True)
     lookup = table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_brand").alias("target")).distinct()
+    before = sales.where(F.col("batch") == F.lit(pair[0]))
     old_edges = before.select("product_id", F.explode("items").alias("target"))
     return graph.apply(before.select("product_id"), old_edges, changes, lookup, "product_id", "batch", [], "items")
 
