@@ -51,7 +51,8 @@ def hits(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) ->
     """
     keys = dictionary.where("key <> '' and instr(key, ' ') = 0").select("key", "standard", F.length("key").alias("_n"), wide(F.col("key")).alias("_key"))
     shortest, longest = keys.agg(F.min("_n"), F.max("_n")).first()
-    begin, longest = min(shortest or 1, 2) * 4, longest or 0
+    # The more characters all keys have, the fewer places pass the first join.
+    begin, longest = min(shortest or 1, 8) * 4, longest or 0
     starts = keys.groupBy(F.substring("_key", 1, begin).alias("_begin")).agg(F.collect_set("_n").alias("_lengths"))
     t = docs.select(F.col(id_col).alias("id"), wide(F.col(text_col)).alias("_t")).where(F.octet_length("_t") > 0)
     # One row for each place, with the piece that the longest key may take; all in bytes until a key is found.
@@ -70,15 +71,18 @@ def match(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) ->
     joined = docs.join(per, F.col(id_col) == F.col("_hit_id"), "left")
     joined = joined.withColumn("_w", wide(F.coalesce(F.col(text_col), F.lit(""))))
     t, size = F.col("_w"), (F.octet_length("_w") / 4).cast("int")
-    start = F.struct(F.lit(1).alias("at"), F.expr("cast(array() as array<string>)").alias("found"), F.lit("").alias("left"))
+    start = F.struct(F.lit(1).alias("at"), F.expr("cast(array() as array<struct<gap: int, until: int, standard: string>>)").alias("taken"))
 
     def step(acc: Column, h: Column) -> Column:
-        taken = F.struct((h["at"] + F.length(h["key"])).alias("at"), F.array_append(acc["found"], h["standard"]).alias("found"), F.concat(acc["left"], part(t, acc["at"], h["at"] - acc["at"])).alias("left"))
+        one = F.struct(acc["at"].alias("gap"), h["at"].alias("until"), h["standard"].alias("standard"))
+        taken = F.struct((h["at"] + F.length(h["key"])).alias("at"), F.array_append(acc["taken"], one).alias("taken"))
         return F.when(h["at"] >= acc["at"], taken).otherwise(acc)
 
     done = F.aggregate(F.coalesce("_hits", F.expr("cast(array() as array<struct<at: int, key: string, standard: string>>)")), start, step)
     joined = joined.withColumn("_done", done)
-    return joined.select(*docs.columns, F.col("_done.found").alias("matches"), F.concat(F.col("_done.left"), part(t, F.col("_done.at"), size)).alias("residual"))
+    gaps = F.transform(F.col("_done.taken"), lambda x: part(t, x["gap"], x["until"] - x["gap"]))
+    residual = F.concat(F.array_join(gaps, ""), part(t, F.col("_done.at"), size))
+    return joined.select(*docs.columns, F.transform(F.col("_done.taken"), lambda x: x["standard"]).alias("matches"), residual.alias("residual"))
 
 
 def match_small(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
