@@ -24,8 +24,8 @@ from refinery.llm.suffix import common_prefixes, suffix_array
 
 GRAM = 16
 #: Bytes handled at once; positions within fit 24 bits.
-CHUNK = 1 << 22
-TEXT_IN_BUCKET, TEXT_IN_SHARD = 8 << 20, 4 << 20
+CHUNK = 1 << 20
+TEXT_IN_BUCKET, TEXT_IN_SHARD = 4 << 20, 4 << 20
 #: A minimizer in more documents than this has its windows dealt one by one, by their own hashes.
 HOT = 50_000
 #: Stands for a null doc_id, whose rows take no part.
@@ -136,9 +136,17 @@ def _texts(rows: pd.DataFrame):
     buf = np.frombuffer(b"".join(unzip.decompress(x) for x in rows["body"]), np.uint8)
     start = np.cumsum(size) - size
     view = buf.tobytes()
-    row = np.array([xxhash.xxh3_64_intdigest(view[s : s + n], d & 0xFFFFFFFF) for d, s, n in zip(doc.tolist(), start.tolist(), size.tolist())], np.uint64)
-    row ^= _mixed(doc)
-    return doc, row, size, start, buf
+    row = np.array([xxhash.xxh64_intdigest(view[s : s + n], 42) for s, n in zip(start.tolist(), size.tolist())], np.uint64)
+    return doc, row ^ _mixed(doc), size, start, buf
+
+
+def _copies(rows: pd.DataFrame) -> np.ndarray:
+    """Row keys of a bucket's copies, in order."""
+    return np.sort(_many(rows["row"], "<u8")) if len(rows) else np.array([], np.uint64)
+
+
+def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys if len(some) else np.zeros(len(keys), bool)
 
 
 def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -155,14 +163,18 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     buckets, shards = max(least, -(-total // TEXT_IN_BUCKET)), max(least, -(-total // TEXT_IN_SHARD))
     body = body.select(F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "body")
 
-    def anchors(batches):
+    def marks(batches):
         for b in batches:
-            ids, texts, sizes = _bodies(b)
-            use = ids != NOBODY
-            texts, sizes, ids = [t for t, u in zip(texts, use) if u], sizes[use], ids[use]
-            buf = np.frombuffer(b"".join(texts), np.uint8)
-            text, _, _, h = minimizers(buf, np.cumsum(sizes) - sizes, sizes, length)
-            yield _rows((h % np.uint64(shards)).astype(np.int32), shards, doc=ids[text].astype("<i8"), h=h)
+            doc = b["doc_id"].to_numpy(np.int64)
+            yield _rows(_bucket(doc, buckets), buckets, row=b["k"].to_numpy(np.int64).view(np.uint64) ^ _mixed(doc))
+
+    def anchors(texts: pd.DataFrame, copies: pd.DataFrame) -> pd.DataFrame:
+        if texts.empty:
+            return pd.DataFrame({"bucket": [], "doc": [], "h": []})
+        doc, row, size, start, buf = _texts(texts)
+        skip = (doc == NOBODY) | _among(row, _copies(copies))
+        text, _, _, h = minimizers(buf, start, np.where(skip, 0, size), length)
+        return _rows((h % np.uint64(shards)).astype(np.int32), shards, doc=doc[text].astype("<i8"), h=h)
 
     def packed(batches):
         for b in batches:
@@ -188,7 +200,9 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         return _rows(_bucket(doc, buckets), buckets, doc=doc.astype("<i8"), h=h, hot=(n > HOT).astype(np.uint8))
 
     def stretches(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        names = ["bucket", "doc", "row", "start", "size", "body"]
+        names = ["bucket", "doc", "row", "start", "size", "h", "body"]
+        copies = _copies(known[known["row"].notna()])
+        known = known[known["row"].isna()]
         if texts.empty or known.empty:
             return pd.DataFrame({c: [] for c in names})
         doc, row, size, start, buf = _texts(texts)
@@ -196,7 +210,7 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         hot = _many(known["hot"], np.uint8)
         order = np.argsort(asked)
         asked, hot = asked[order], hot[order]
-        text, at, n, h = minimizers(buf, start, np.where(doc == NOBODY, 0, size), length)
+        text, at, n, h = minimizers(buf, start, np.where((doc == NOBODY) | _among(row, copies), 0, size), length)
         mine = _mixed(doc)[text] * np.uint64(0x9E3779B97F4A7C15) ^ h
         place = np.minimum(np.searchsorted(asked, mine), len(asked) - 1)
         hit = asked[place] == mine
@@ -208,15 +222,16 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             own = np.array([xxhash.xxh3_64_intdigest(buf[w : w + length].tobytes()) for w in windows], np.uint64)
             text, at = np.concatenate([text[~is_hot], np.repeat(text[is_hot], each)]), np.concatenate([at[~is_hot], windows])
             n = np.concatenate([n[~is_hot], np.ones(len(windows), np.int64)])
+            h = np.concatenate([h[~is_hot], own >> np.uint64(16)])
             shard = np.concatenate([shard[~is_hot], (own % np.uint64(shards)).astype(np.int64)])
         order = np.argsort(shard, kind="stable")
-        text, at, n, shard = text[order], at[order], n[order], shard[order]
+        text, at, n, h, shard = text[order], at[order], n[order], h[order], shard[order]
         cuts = np.searchsorted(shard, np.arange(shards + 1))
         out = []
         for k in np.flatnonzero(np.diff(cuts)):
             s = slice(cuts[k], cuts[k + 1])
             whole = n[s] + length - 1
-            out.append((int(k), doc[text[s]].astype("<i8").tobytes(), row[text[s]].tobytes(), (at[s] - start[text[s]]).astype("<i8").tobytes(), whole.astype("<i4").tobytes(), buf[_ranges(at[s], whole)].tobytes()))
+            out.append((int(k), doc[text[s]].astype("<i8").tobytes(), row[text[s]].tobytes(), (at[s] - start[text[s]]).astype("<i8").tobytes(), whole.astype("<i4").tobytes(), _pack48(h[s]), buf[_ranges(at[s], whole)].tobytes()))
         return pd.DataFrame(out, columns=names)
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
@@ -229,19 +244,25 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         lowest = np.full(len(strings), np.iinfo(np.int64).max)
         np.minimum.at(lowest, which, doc)
         lengths = np.array([len(s) for s in strings], np.int64)
-        # Symbol 0 parts the strings; bytes are one higher.
-        t = np.zeros(int(lengths.sum()) + len(strings), np.uint16)
         begin = np.cumsum(lengths + 1) - lengths - 1
-        t[_ranges(begin, lengths)] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-        sa = suffix_array(t)
-        group = np.cumsum(common_prefixes(t, sa) < length)
-        owner = np.repeat(np.arange(len(strings)), lengths + 1)
-        whole = sa + length <= (begin + lengths)[owner[sa]]
-        sa, group = sa[whole], group[whole]
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        least_doc = np.repeat(np.minimum.reduceat(lowest[owner[sa]], first), np.diff(np.append(first, len(sa))))
-        earliest = np.zeros(len(t), np.int64)
-        earliest[sa] = least_doc
+        earliest = np.repeat(lowest, lengths + 1)
+        first_use = np.unique(which, return_index=True)[1]
+        _, same, times = np.unique(np.concatenate([_unpack48(x) for x in rows["h"]])[first_use], return_inverse=True, return_counts=True)
+        some = np.flatnonzero(times[same] > 1)
+        if len(some):
+            # Symbol 0 parts the strings; bytes are one higher.
+            sub = lengths[some]
+            t = np.zeros(int(sub.sum()) + len(some), np.uint16)
+            at = np.cumsum(sub + 1) - sub - 1
+            t[_ranges(at, sub)] = np.frombuffer(b"".join([strings[k] for k in some]), np.uint8).astype(np.uint16) + 1
+            sa = suffix_array(t)
+            group = np.cumsum(common_prefixes(t, sa) < length)
+            owner = np.repeat(np.arange(len(some)), sub + 1)
+            whole = sa + length <= (at + sub)[owner[sa]]
+            sa, group = sa[whole], group[whole]
+            first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            least_doc = np.repeat(np.minimum.reduceat(lowest[some][owner[sa]], first), np.diff(np.append(first, len(sa))))
+            earliest[sa - at[owner[sa]] + begin[some][owner[sa]]] = least_doc
         windows = size - length + 1
         flag = earliest[_ranges(begin[which], windows)] < np.repeat(doc, windows)
         of = np.repeat(np.arange(len(doc)), windows)
@@ -254,6 +275,8 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     def cut(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         doc, row, size, start, buf = _texts(texts)
+        copied = _among(row, _copies(found[found["start"].isna()])) & (size >= length)
+        found = found[found["start"].notna()]
         edge = np.zeros(len(buf) + 1, np.int64)
         if len(found):
             by = np.argsort(row, kind="stable")
@@ -263,6 +286,8 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             a, n = np.repeat(a, hi - lo), np.repeat(n, hi - lo)
             np.add.at(edge, start[at] + a, 1)
             np.add.at(edge, start[at] + a + n, -1)
+        np.add.at(edge, start[copied], 1)
+        np.add.at(edge, start[copied] + size[copied], -1)
         gone = np.cumsum(edge[:-1]) > 0
         out = []
         for d, s, n in zip(doc.tolist(), start.tolist(), size.tolist()):
@@ -274,8 +299,14 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
 
-    texts = body.mapInPandas(packed, "bucket int, doc binary, size binary, body binary")
-    marked = body.mapInPandas(anchors, "bucket int, doc binary, h binary").groupBy("bucket").applyInPandas(shared, "bucket int, doc binary, h binary, hot binary")
-    parts = texts.groupBy("bucket").cogroup(marked.groupBy("bucket")).applyInPandas(stretches, "bucket int, doc binary, row binary, start binary, size binary, body binary")
+    texts = body.mapInPandas(packed, "bucket int, doc binary, size binary, body binary").groupBy("bucket")
+    named = body.where("known").select("doc_id", F.xxhash64("body").alias("k"), F.sha2("body", 256).alias("sha"))
+    least_of = named.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sha", "least")
+    copies = named.join(least_of, "sha").where("doc_id > least").select("doc_id", "k").mapInPandas(marks, "bucket int, row binary")
+    marked = texts.cogroup(copies.groupBy("bucket")).applyInPandas(anchors, "bucket int, doc binary, h binary")
+    marked = marked.groupBy("bucket").applyInPandas(shared, "bucket int, doc binary, h binary, hot binary")
+    marked = marked.unionByName(copies, allowMissingColumns=True)
+    parts = texts.cogroup(marked.groupBy("bucket")).applyInPandas(stretches, "bucket int, doc binary, row binary, start binary, size binary, h binary, body binary")
     found = parts.groupBy("bucket").applyInPandas(judge, "bucket int, row binary, start binary, size binary")
-    return texts.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInPandas(cut, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    found = found.unionByName(copies, allowMissingColumns=True)
+    return texts.cogroup(found.groupBy("bucket")).applyInPandas(cut, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
