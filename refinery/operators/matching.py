@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions import text as X
+from refinery.operators.partitioning import spread
 
 
 def build_dictionary(names: DataFrame, standard: str, others: list[str], order: str) -> DataFrame:
@@ -54,7 +55,7 @@ def hits(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) ->
     # The more characters all keys have, the fewer places pass the first join.
     begin, longest = min(shortest or 1, 8) * 4, longest or 0
     starts = keys.groupBy(F.substring("_key", 1, begin).alias("_begin")).agg(F.collect_set("_n").alias("_lengths"))
-    t = docs.select(F.col(id_col).alias("id"), wide(F.col(text_col)).alias("_t")).where(F.octet_length("_t") > 0)
+    t = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"))).select("id", wide(F.col("_t")).alias("_t")).where(F.octet_length("_t") > 0)
     # One row for each place, with the piece that the longest key may take; all in bytes until a key is found.
     places = t.select("id", "_t", F.explode(F.sequence(F.lit(1), (F.octet_length("_t") / 4).cast("int"))).alias("at"))
     first = (F.col("at") - 1) * 4 + 1
