@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.llm.common import stage
+from refinery.operators.partitioning import spread
 
 #: Texts with other characters than these, or with a special token's string, take the slower library.
 COMMON = re.compile(r"[^\x00-ɏ‐-‧]")
@@ -88,7 +89,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
             yield out
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInPandas(cut, schema)
+    return spread(docs.select("doc_id", "text")).mapInPandas(cut, schema)
 
 
 def best_value(values: np.ndarray, capacity: int) -> dict[int, int]:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.llm.common import Staged, components, stage
+from refinery.operators.partitioning import spread
 
 BITS = 64
 #: An index value with more fingerprints than this is searched block by block, without candidate rows.
@@ -48,7 +49,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", of("text").alias("fp"))
+    return spread(docs.select("doc_id", "text")).select("doc_id", of("text").alias("fp"))
 
 
 def _bits(values: np.ndarray) -> np.ndarray:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from refinery.llm.common import partitions
 from refinery.llm.suffix import common_prefixes, suffix_array
+from refinery.operators.partitioning import spread
 
 GRAM = 16
 #: Bytes handled at once; positions within fit 24 bits.
@@ -162,6 +163,7 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     least = partitions(docs.sparkSession)
     buckets, shards = max(least, -(-total // TEXT_IN_BUCKET)), max(least, -(-total // TEXT_IN_SHARD))
     body = body.select(F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "body")
+    body = spread(body)
 
     def marks(batches):
         for b in batches:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import stage
+from refinery.operators.partitioning import spread
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Bounds of the labelled sample, of the lexicon and of the memo of looked-up words.
@@ -228,7 +229,7 @@ class Model:
                 z = x @ weights[:-1] + weights[-1]
                 yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-        return docs.withColumn(into, of("text"))
+        return spread(docs).withColumn(into, of("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
