@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from helpers import TEXTS, documents, groups
 
+import corpus_pipeline
 from refinery.llm import common, simhash
 
 
@@ -139,3 +140,43 @@ def test_components(spark):
     root = groups(3000, links)
     assert got == {x: root[x] for a, b in links if a != b for x in (a, b)}
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def similar_groups(texts):
+    """Component (smallest index) of each text by exact Jaccard similarity of five-word shingles, and the pairs below 1."""
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
+    by = {}
+    for i, s in enumerate(sets):
+        for x in s or {None}:
+            by.setdefault(x, []).append(i)
+    pairs = {(i, j) for ids in by.values() for i in ids for j in ids if i < j}
+    links = [(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    return groups(len(texts), links), [(i, j) for i, j in links if sets[i] != sets[j]]
+
+
+def test_similar_documents_are_one(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    rng = random.Random(3)
+    for t in rng.sample([t for t in texts if len(t.split()) > 100], 40):
+        w = t.split()
+        for at in rng.sample(range(len(w)), max(len(w) // 60, 1)):
+            w[at] = "changed"
+        texts.append(" ".join(w))
+    texts += [None, "", "one two", "one two", "One two three four five six"]
+    root, links = similar_groups(texts)
+    assert len(links) > 30
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "doc_id long, text string, class string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+
+
+@pytest.mark.parametrize("keep", [simhash.keep_one, simhash.keep_one_similar])
+def test_each_group_keeps_one_row_whatever_the_ids(spark, keep):
+    text = lambda k: " ".join(f"t{k}x{i}" for i in range(60))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (4, text(2)), (None, text(2)), (5, text(3)), (5, text(4)), (3, text(4)), (6, text(5)), (6, text(5))]
+    got = keep(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, text(0)), (0, text(1)), (4, text(2)), (5, text(3)), (3, text(4)), (6, text(5))])
