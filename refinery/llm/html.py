@@ -39,7 +39,8 @@ MARGIN_WORDS = frozenset(
 MARGIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 WRAPPERS = frozenset("wrap wrapper container layout page with has no".split())
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW.replace(" ", "|") + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
+    r"|<(?P<raw>" + RAW.replace(" ", "|") + r")(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</(?P=raw)\s*>|<(?:script|style)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*\Z"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attr>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*(?:>|\Z)",
     re.S | re.I,
 )

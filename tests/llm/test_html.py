@@ -21,6 +21,16 @@ def test_broken_pages(page):
     html.blocks(page)
 
 
+@pytest.mark.parametrize("tag", ["<video-player src='a'></video-player>", "<svg-icon>", "<select-menu>", "<svg/>", "<math a='b' />", "<svg>", "<object data='x'>", "<svg><path/></svg>", "<select:x>"])
+def test_raw_names_do_not_swallow_the_page(tag):
+    found = html.blocks(f"<article><p>one</p>{tag}<p>two</p></article>")
+    assert [t for k, t in found if k == html.ARTICLE] == ["one", "two"]
+
+
+def test_open_script_hides_the_rest():
+    assert html.blocks("<article><p>one</p><script>var x = '<p>two</p>'") == [(html.ARTICLE, "one")]
+
+
 def test_main_and_hidden():
     assert html.blocks("<main><div hidden>h</div><div style='display: none'>d</div><p>x</p></main>tail") == [(html.EDGE, "h"), (html.EDGE, "d"), (html.MAIN, "x"), (html.OPEN, "tail")]
     assert html.blocks('<div class="content-sidebar-wrap"><p>x</p></div>') == [(html.OPEN, "x")]
