@@ -65,7 +65,8 @@ def minimizers(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: i
     found = []
     lo = 0
     while lo < len(starts):
-        hi = int(max(np.searchsorted(starts, starts[lo] + CHUNK - 1), lo + 1))
+        # Texts that end within a chunk go together; any longer one is alone.
+        hi = int(max(np.searchsorted(starts + sizes, starts[lo] + CHUNK, side="right"), lo + 1))
         s, size = starts[lo:hi], sizes[lo:hi]
         base, end = int(s[0]), int(s[-1] + size[-1])
         # A text longer than a chunk is read in overlapping chunks.

@@ -86,3 +86,12 @@ def test_suffix_array():
         for j in range(1, n):
             a, b = t[sa[j - 1] :].tolist(), t[sa[j] :].tolist()
             assert lcp[j] == next((x for x, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+
+
+def test_long_text_behind_a_short_one():
+    buf = np.random.default_rng(1).integers(97, 123, (1 << 24) + 300_000).astype(np.uint8)
+    hash_of = lambda x, by: np.repeat(x[3], x[2])[np.argsort(np.repeat(x[1] - by, x[2]) + np.concatenate([np.arange(n) for n in x[2]]), kind="stable")]
+    alone = substrings.minimizers(buf[100:], np.array([0]), np.array([len(buf) - 100]), 50)
+    behind = substrings.minimizers(buf, np.array([0, 100]), np.array([100, len(buf) - 100]), 50)
+    mine = behind[0] == 1
+    assert (hash_of(alone, 0) == hash_of(tuple(x[mine] for x in behind), 100)).all()
