@@ -24,6 +24,11 @@ from refinery.operators.partitioning import spread
 
 #: Texts with other characters than these, or with a special token's string, take the slower library.
 COMMON = re.compile(r"[^\x00-ɏ‐-‧]")
+#: White space of COMMON letters. Longer runs than this go to the faster library as one piece, past its regex, which keeps a stack of them.
+SPACE, MOST_SPACE = "[\\t-\\r \x85\xa0]", 1 << 16
+RUN = re.compile(f"(?<!{SPACE}){SPACE}{{{MOST_SPACE},}}")
+# Fixed value: the splitting pattern of byte-level pre-tokenizers.
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ROUNDS = 4
 PRICINGS = 250
 STEP = 0.15
@@ -31,11 +36,25 @@ PIECES_IN_BUCKET = 1024
 MOST_BUCKETS = 65536
 
 
+def is_plain(spec: dict) -> bool:
+    """Whether a tokenizer file is what the faster library does: byte-level BPE with the usual split, no normalizer, and merges in order of their ids."""
+    split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    if spec.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) or model.get("type", "BPE") != "BPE":
+        return False
+    if any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return False
+    vocab = model["vocab"]
+    made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    single = [vocab.get(c, -1) for c in _byte_letters().values()]
+    return min(single) >= 0 and [max(single), *made] == sorted({max(single), *made}) and len(vocab) - len(made) - 256 <= len(spec.get("added_tokens", ()))
+
+
 class Encoder:
     """Ids of a byte-level BPE tokenizer file, special tokens' strings read as the file says.
 
     The same vocabulary runs in the faster of two libraries for texts in common letters, where the
-    two agree (tests compare them), and in the file's own library for all others.
+    two agree (tests compare them), and in the file's own library for all others, for files that are
+    not plain byte-level BPE, and wherever the faster one gives up.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,15 +66,38 @@ class Encoder:
             spec = json.load(f)
         special = {t["content"] for t in spec.get("added_tokens", ())}
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        byte_of = {c: b for b, c in _byte_letters().items()}
-        ranks = {bytes(byte_of[c] for c in token): n for token, n in spec["model"]["vocab"].items() if token not in special}
-        pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.fast = None
+        if is_plain(spec):
+            byte_of = {c: b for b, c in _byte_letters().items()}
+            ranks = {bytes(byte_of[c] for c in token): n for token, n in spec["model"]["vocab"].items() if token not in special}
+            self.fast = tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if COMMON.search(text) or (self.special and self.special.search(text)):
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return np.array(self.fast.encode_ordinary(text), dtype="<u4")
+        if self.fast is None or COMMON.search(text) or (self.special and self.special.search(text)):
+            return self._by_file(text)
+        try:
+            return self._by_pieces(text)
+        except BaseException as e:
+            # The library's own failures are no Exception.
+            if isinstance(e, Exception) or type(e).__name__ == "PanicException":
+                return self._by_file(text)
+            raise
+
+    def _by_file(self, text: str) -> np.ndarray:
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _by_pieces(self, text: str) -> np.ndarray:
+        if len(text) < MOST_SPACE:
+            return np.array(self.fast.encode_ordinary(text), dtype="<u4")
+        out, at = [], 0
+        for m in RUN.finditer(text):
+            # All of the run but its last character is one piece, unless the text ends with it.
+            end = m.end() - (m.end() < len(text))
+            out.append(np.array(self.fast.encode_ordinary(text[at : m.start()]), dtype="<u4"))
+            out.append(np.array(self.fast._encode_single_piece(text[m.start() : end].encode()), dtype="<u4"))
+            at = end
+        out.append(np.array(self.fast.encode_ordinary(text[at:]), dtype="<u4"))
+        return np.concatenate(out)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -84,12 +126,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
                     lo, hi = (0, first) if k == 0 else (first + capacity * (k - 1), first + capacity * k)
                     part = ids[lo:hi]
                     rows.append((doc, k, lo, hi - lo, zlib.crc32(part.tobytes())) + ((part.astype(np.int32),) if with_ids else ()))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return spread(docs.select("doc_id", "text")).mapInPandas(cut, schema)
+    # Ids travel as text: in a batch with a null, numbers would pass through doubles.
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    out = spread(docs.select(F.col("doc_id").cast("string"), "text")).mapInPandas(cut, schema)
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def best_value(values: np.ndarray, capacity: int) -> dict[int, int]:
@@ -210,11 +252,13 @@ def pack(parts: DataFrame, capacity: int = 1024) -> DataFrame:
         at += n
     # Bounded by the number of configurations, which does not depend on the rows.
     places = rows.sparkSession.createDataFrame(segments, "_length long, _from long, _to long, _first long, offset long")
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    # Dealt by the whole row, so that a repeated or null doc_id is no group of its own.
+    names = [c for c in parts.columns if c != "ids"]
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     tally = rows.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     tally = tally.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")) - 1)
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy(*names)) - 1)
     ranked = ranked.join(tally, ["length", "_bucket"]).withColumn("_rank", F.col("_base") + F.col("_rank"))
     here = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
     placed = ranked.join(F.broadcast(places), here).withColumn("sequence_id", F.col("_first") + F.col("_rank") - F.col("_from"))

@@ -28,6 +28,35 @@ def test_ids_agree_on_odd_texts(text):
     assert ENCODER(text).tolist() == slow(text)
 
 
+@pytest.mark.parametrize("text", [" " * 3_000_000, "y" + " \t" * 600_000 + "x", "\n" * 1_200_000 + "end.", "\xa0" * 100_000 + " " * 100_000, "a" * 3_000_000, "日" + " " * 200_000, "x " + " " * (packing.MOST_SPACE - 1) + "é"])
+def test_ids_agree_on_long_runs(text):
+    assert ENCODER(text).tolist() == slow(text)
+
+
+def test_other_files_are_read_by_their_library(tmp_path):
+    import json
+
+    spec = json.load(open(tokenizer(), encoding="utf-8"))
+    assert packing.is_plain(spec)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}, {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}}):
+        assert not packing.is_plain(spec | change)
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(spec | change), encoding="utf-8")
+        other = packing.Encoder(str(path))
+        assert other.fast is None and other("It's A  test").tolist() == other.slow.encode("It's A  test", add_special_tokens=False).ids
+
+
+def test_failures_of_the_faster_library(monkeypatch):
+    monkeypatch.setattr(packing, "MOST_SPACE", 1 << 40)
+    assert ENCODER("a" + " " * 1_500_000).tolist() == slow("a" + " " * 1_500_000)
+
+
+def test_large_ids_with_nulls(spark):
+    ids = [2**60 + i for i in range(50)] + [None]
+    df = spark.createDataFrame([(i, "some text") for i in ids], "doc_id long, text string")
+    assert {r["doc_id"] for r in packing.pieces(df, tokenizer()).collect()} == set(ids)
+
+
 def check(rows, capacity=1024):
     by = {}
     for r in rows:
