@@ -6,6 +6,6 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """For heavy work on each row: a table that would be read in fewer tasks than there are cores is dealt to all of them; any other stays as it is."""
+    """For heavy work on each row: a table of fewer files than there are cores is dealt to all of them; any other stays as it is. Nothing runs to find out."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
