@@ -27,6 +27,10 @@ def brute(rows, length=50):
     return out
 
 
+def _hashes(found):
+    return {int(w): int(h) for _, at, n, h in zip(*found) for w in range(at, at + n)}
+
+
 def texts():
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(2, 8)))
@@ -35,11 +39,12 @@ def texts():
     for _ in range(60):
         parts = [rng.choice(passages) if rng.random() < 0.4 else " ".join(word() for _ in range(rng.randrange(1, 25))) for _ in range(rng.randrange(0, 6))]
         rows.append(" ".join(parts))
+    rows += ["q" + "=" * 400 + "z", "=" * 300 + "r", "ab=" * 200, "zab=" + "ab=" * 150 + "=ab", passages[2][:20] * 40, "!" + passages[2][:20] * 30 + "?", "k" + passages[3][:37] * 20, passages[3][:37] * 25]
     rows += [None, "", "x" * 49, "x" * 50, "x" * 120, "x" * 120, rows[3], rows[3] + "!", "ab" * 5000, "y" + "ab" * 5000, "日本語" * 30, "日本語" * 31]
     return rows
 
 
-@pytest.mark.parametrize("hot", [50_000, 2])
+@pytest.mark.parametrize("hot", [50_000, 2, 0])
 def test_repeats(spark, monkeypatch, tmp_path, hot):
     monkeypatch.setattr(substrings, "HOT", hot)
     rows = list(enumerate(texts()))
@@ -66,9 +71,40 @@ def test_long_text_is_read_in_chunks(monkeypatch):
     whole = substrings.minimizers(buf, np.array([0, 3000]), np.array([3000, 2000]), 50)
     monkeypatch.setattr(substrings, "CHUNK", 512)
     parts = substrings.minimizers(buf, np.array([0, 3000]), np.array([3000, 2000]), 50)
-    for a, b in ((whole, parts),):
-        hash_of = lambda x: {int(w): int(h) for at, n, h in zip(x[1], x[2], x[3]) for w in range(at, at + n)}
-        assert hash_of(a) == hash_of(b)
+    assert _hashes(whole) == _hashes(parts)
+
+
+def test_spans_of_periods():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        p, n = int(rng.integers(1, 36)), int(rng.integers(257, 400))
+        flag = rng.random(p) < 0.2
+        want = np.zeros(n + 49, bool)
+        for j in range(n):
+            if flag[j % p]:
+                want[j : j + 50] = True
+        got = np.zeros(n + 49, bool)
+        for _, a, size in zip(*substrings._spans(flag, np.array([p]), np.array([n]), 50)):
+            got[a : a + size] = True
+        assert (got == want).all()
+
+
+@pytest.mark.parametrize("unit", ["x", "ab", "abc", "the quick brown fox jumps over a dog."])
+def test_long_periodic_texts(spark, unit):
+    size = 3_000_000
+    text = (unit * (size // len(unit) + 1))[:size]
+    rows = [(1, text), (2, "+" + text), (3, "no repeat here"), (4, text + "-")]
+    got = {r["doc_id"]: r for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(r["start"], r["end"]) for r in got[2]["spans"]] == [(1, size + 1)] and bytes(got[2]["kept"]) == b"+"
+    assert bytes(got[1]["kept"]) == text.encode() and bytes(got[3]["kept"]) == b"no repeat here" and bytes(got[4]["kept"]) == b"-"
+
+
+def test_little_is_sent_of_periodic_texts():
+    for unit in ("x", "ab", "abcdefghijklmnopqrstuvwxyz012345678"):
+        buf = np.frombuffer((unit * 100_000).encode(), np.uint8)
+        _, at, n, _ = substrings.minimizers(buf, np.array([0]), np.array([len(buf)]), 50)
+        sent = substrings.one_period(buf, at, n, 50) + 49
+        assert n.sum() == len(buf) - 49 and sent.sum() < 100 * (len(at) + 1) and len(at) < 10
 
 
 def test_suffix_array():
@@ -80,6 +116,8 @@ def test_suffix_array():
             t[n // 2 :] = t[: n - n // 2]
         if trial % 5 == 0:
             t = t * 5000
+        if trial % 7 == 0:
+            t, n = np.repeat(t, 3), 3 * n
         sa = suffix.suffix_array(t)
         assert sa.tolist() == sorted(range(n), key=lambda i: tuple(t[i:]))
         lcp = suffix.common_prefixes(t, sa)
@@ -88,6 +126,26 @@ def test_suffix_array():
             assert lcp[j] == next((x for x, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
 
 
+def test_substrings_are_sorted_recursively(monkeypatch):
+    """A text of real size is named and sorted again, level by level, whatever the number of names."""
+    rng, depth = np.random.default_rng(2), []
+    words = ["".join(map(chr, rng.integers(97, 123, int(rng.integers(2, 9))))) for _ in range(3000)]
+    t = np.frombuffer(" ".join(words[k] for k in rng.zipf(1.3, 120_000) % 3000).encode(), np.uint8)
+    inner = suffix.suffix_array
+
+    def counted(x):
+        depth.append((len(x), int(x.max()) + 1))
+        return inner(x)
+
+    monkeypatch.setattr(suffix, "suffix_array", counted)
+    sa = counted(t)
+    assert len(depth) > 3 and depth[1][1] > 2048
+    lcp = suffix.common_prefixes(t, sa)
+    a, b = sa[:-1] + lcp[1:], sa[1:] + lcp[1:]
+    inside = a < len(t)
+    assert sorted(sa.tolist()) == list(range(len(t))) and (b < len(t)).all() and (t[a[inside]] < t[b[inside]]).all()
+
+
 def test_long_text_behind_a_short_one():
     buf = np.random.default_rng(1).integers(97, 123, (1 << 24) + 300_000).astype(np.uint8)
     hash_of = lambda x, by: np.repeat(x[3], x[2])[np.argsort(np.repeat(x[1] - by, x[2]) + np.concatenate([np.arange(n) for n in x[2]]), kind="stable")]
