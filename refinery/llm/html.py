@@ -1,13 +1,16 @@
-"""Main text of web pages: structure first, then a suffix array over each host's token streams.
+"""Main text of web pages: a suffix array over each host's token streams, with structure as the second signal.
 
-A page's blocks are read in one pass: those in an article (else in main) are its text; menus,
-adverts and the like go by element, role and class. On pages without either element, the rest of the
-blocks is left open: the token streams of a host's unmarked and marginal blocks are concatenated, a
-suffix array finds long substrings repeated across distinct pages, what they cover is removed, and
-the unique runs stay.
+A page's blocks are read in one pass. What stands in a menu, footer, advert and the like is out; the
+article (else main) is the body; where neither is, all that is not marked is. The token streams of a
+host's pages are concatenated and a suffix array finds the strings of LENGTH tokens that repeat across
+distinct pages. Unmarked text loses what they cover and keeps its unique runs. Text in weakly marked
+wrappers (a class name that may mean anything) stays only where it is long and unique. Blocks of an
+article go as a whole where half of the host's pages have them in their articles, as only a template
+does; a page that would lose most of its article so is a copy of another page, and keeps it.
 
-Repeats inside an article are kept: articles quote each other and share passages with footers and
-adverts, so that removing them there loses text.
+A host of more than TOKENS_IN_CELL tokens is dealt to cells, whose suffix arrays count their own
+pages; the counts of equal strings are added up over the cells, so that a host of any size gives the
+same result as in one piece.
 """
 
 from __future__ import annotations
@@ -17,14 +20,19 @@ import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.suffix import common_prefixes, suffix_array
+from refinery.llm.common import partitions, stage
+from refinery.llm.suffix import common_prefixes, ranges, suffix_array
 from refinery.operators.partitioning import spread
 
-PAGES_IN_SHARD = 512
-LENGTH, PAGES = 6, 3
+#: A string repeats on so many pages of a host; a template's inside articles on so many at least.
+LENGTH, PAGES, TEMPLATE = 6, 3, 8
+TOKENS_IN_CELL = 1 << 20
+#: Rows of one host are joined to its size under so many keys.
+SALTS = 64
 
 # Elements that break blocks, that never hold text, and words that mark what is not the article.
 BLOCK = frozenset(
@@ -32,11 +40,12 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script style noscript template svg math iframe object canvas textarea select audio video"
-MARGIN = frozenset("nav footer aside form button dialog menu head title".split())
-MARGIN_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsbygoogle banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar rail footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond widget toolbar pagination pager legal copyright login search".split()
+HARD = frozenset("nav footer aside dialog menu head title button".split())
+HARD_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored menu nav navbar navigation breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice notices notification popup modal newsletter comment comments commentlist disqus replies respond pagination pager".split()
 )
-MARGIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+SOFT_WORDS = frozenset("banner promo promotion rail masthead alert overlay subscribe subscription signup share sharing social related recommended recommendations reply widget toolbar legal copyright login search".split())
+HARD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 WRAPPERS = frozenset("wrap wrapper container layout page with has no".split())
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
@@ -45,32 +54,41 @@ TAG = re.compile(
     re.S | re.I,
 )
 ATTR = re.compile(r"([\w-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-ARTICLE, MAIN, OPEN, EDGE = range(4)
+#: Where a block stands, added to its mark.
+ARTICLE, MAIN, OPEN = range(3)
+SOFT, EDGE = 3, 6
 
 
-def _marginal(name: str, attr: str, inside: bool) -> bool:
-    if name in MARGIN:
-        return True
-    if name == "header":
-        return not inside
+def _mark(name: str, attr: str, inside: bool) -> int:
+    """EDGE, SOFT or 0 of an element."""
+    if name in HARD or (name == "header" and not inside):
+        return EDGE
+    if name == "form":
+        return EDGE if inside else SOFT
     if not attr or name in ("html", "body", "main"):
-        return False
+        return 0
     found = {k.lower(): (a or b or c) for k, a, b, c in ATTR.findall(attr)}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").lower().replace(" ", ""):
-        return True
-    if found.get("role", "").lower() in MARGIN_ROLES:
-        return True
+        return EDGE
+    if found.get("role", "").lower() in HARD_ROLES:
+        return EDGE
     words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
-    return bool(words & MARGIN_WORDS) and not words & WRAPPERS
+    if words & WRAPPERS:
+        return 0
+    return EDGE if words & HARD_WORDS else SOFT if words & SOFT_WORDS else 0
 
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
-    """(kind, text) of each block with text in page order: white space is one space, character references are decoded."""
+    """(place + mark) and text of each block with text in page order: white space is one space, character references are decoded.
+
+    A weak mark around an article or main says nothing of what is inside. Linear in the page.
+    """
     page = page or ""
     out: list[tuple[int, str]] = []
     buffer: list[str] = []
-    stack: list[tuple[str, bool, str]] = []
-    margins = articles = mains = 0
+    stack: list[tuple[str, int, int]] = []
+    open_names: dict[str, int] = {}
+    hard = soft = articles = mains = 0
     at = 0
 
     def flush() -> None:
@@ -78,7 +96,18 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             text = " ".join(entities.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                out.append((EDGE if margins else ARTICLE if articles else MAIN if mains else OPEN, text))
+                place = ARTICLE if articles else MAIN if mains else OPEN
+                out.append((EDGE if hard else place + (SOFT if soft else 0), text))
+
+    def close() -> str:
+        nonlocal hard, soft, articles, mains
+        name, mark, soft_before = stack.pop()
+        open_names[name] -= 1
+        hard -= mark == EDGE
+        soft = soft_before
+        articles -= name == "article"
+        mains -= name == "main"
+        return name
 
     for m in TAG.finditer(page):
         if m.start() > at:
@@ -92,25 +121,21 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         elif name == "br":
             buffer.append(" ")
         if m["end"]:
-            if any(n == name for n, _, _ in reversed(stack)):
-                while True:
-                    n, margin, _ = stack.pop()
-                    if n in BLOCK:
-                        flush()
-                    margins -= margin
-                    articles -= n == "article"
-                    mains -= n == "main"
-                    if n == name:
-                        break
+            while open_names.get(name):
+                if stack[-1][0] in BLOCK:
+                    flush()
+                if close() == name:
+                    break
         elif name not in VOID and not m["attr"].endswith("/"):
             if name == "p" or name == "li":
                 # An open paragraph or item ends where the next one starts.
                 while stack and (stack[-1][0] not in BLOCK or stack[-1][0] == name):
-                    n, margin, _ = stack.pop()
-                    margins -= margin
-            margin = _marginal(name, m["attr"], bool(articles or mains))
-            stack.append((name, margin, ""))
-            margins += margin
+                    close()
+            mark = _mark(name, m["attr"], bool(articles or mains))
+            stack.append((name, mark, soft))
+            open_names[name] = open_names.get(name, 0) + 1
+            hard += mark == EDGE
+            soft = 0 if name == "article" or (name == "main" and not articles) else soft + (mark == SOFT)
             articles += name == "article"
             mains += name == "main"
     buffer.append(page[at:])
@@ -122,32 +147,100 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
-def repeated(streams: list[list[str]], pages: np.ndarray) -> list[np.ndarray]:
-    """For each block (list of tokens) which tokens a substring covers that is repeated across PAGES distinct pages: LENGTH tokens or more, or a whole shorter block."""
-    ids: dict[str, int] = {}
-    sizes = np.array([len(s) for s in streams], np.int64)
-    begin = np.cumsum(sizes + 1) - sizes - 1
-    t = np.zeros(int((sizes + 1).sum()), np.int64)
-    for b, s in zip(begin.tolist(), streams):
-        t[b : b + len(s)] = [ids.setdefault(w, len(ids) + 1) for w in s]
-    covered = np.zeros(len(t) + 1, np.int64)
-    owner = np.repeat(np.arange(len(streams)), sizes + 1)
-    if len(t):
-        sa = suffix_array(t)
-        group = np.cumsum(common_prefixes(t, sa) < LENGTH)
-        inside = sa + LENGTH <= (begin + sizes)[owner[sa]]
-        sa, group = sa[inside], group[inside]
-        if len(sa):
-            pairs = np.unique(np.stack([group, pages[owner[sa]]]), axis=1)[0]
-            many = np.bincount(pairs, minlength=int(group.max()) + 1)[group] >= PAGES
-            np.add.at(covered, sa[many], 1)
-            np.add.at(covered, sa[many] + LENGTH, -1)
-    short: dict[tuple, set] = {}
-    for s, p in zip(streams, pages.tolist()):
-        if len(s) < LENGTH:
-            short.setdefault(tuple(s), set()).add(p)
-    mask = np.cumsum(covered)[:-1] > 0
-    return [np.full(len(s), len(short[tuple(s)]) >= PAGES) if len(s) < LENGTH else mask[b : b + len(s)] for b, s in zip(begin.tolist(), streams)]
+def body_kind(kinds) -> int:
+    """The place that the page's text is in: its article, else its main part, else anywhere."""
+    return ARTICLE if ARTICLE in kinds else MAIN if MAIN in kinds else OPEN
+
+
+class Streams:
+    """The token streams of some pages, and for each string of LENGTH tokens on how many different pages it is.
+
+    A block of fewer tokens is filled up, so that it is a string of its own. Hosts do not mix.
+    """
+
+    def __init__(self, hosts: list[str], keys: list[int], kinds: list, texts: list) -> None:
+        ids: dict[str, int] = {}
+        host_ids: dict[str, int] = {}
+        page_ids: dict[tuple, int] = {}
+        host_of_page, page, within, flat = [], [], [], []
+        for h, k, ks, ts in zip(hosts, keys, kinds, texts):
+            if (h, k) not in page_ids:
+                page_ids[h, k] = len(page_ids)
+                host_of_page.append(host_ids.setdefault(h, len(host_ids)))
+            body = body_kind(ks)
+            for kind, text in zip(ks, ts):
+                page.append(page_ids[h, k])
+                within.append(kind == body and body != OPEN)
+                flat.append(np.array([ids.setdefault(w, len(ids) + 2) for w in text.split(" ")], np.int64))
+        self.size = np.array([len(x) for x in flat], np.int64)
+        self.room = np.maximum(self.size, LENGTH)
+        self.begin = np.cumsum(self.room + 1) - self.room - 1
+        # Symbol 0 parts the blocks, 1 fills them up.
+        t = np.zeros(int((self.room + 1).sum()), np.int64)
+        t[ranges(self.begin, self.room)] = 1
+        if flat:
+            t[ranges(self.begin, self.size)] = np.concatenate(flat)
+        block = np.repeat(np.arange(len(flat)), self.room - LENGTH + 1)
+        self.at = ranges(self.begin, self.room - LENGTH + 1)
+        page, within = np.array(page, np.int64), np.array(within, bool)
+        host = np.array(host_of_page, np.int64)[page] if len(page) else page
+        many = len(host_ids) or 1
+        apart = t * many + np.repeat(host, self.room + 1)
+        apart[t == 0] = 0
+        values, apart = np.unique(apart, return_inverse=True)
+        self.group = np.zeros(len(self.at), np.int64)
+        if len(t):
+            sa = suffix_array(apart)
+            group = np.cumsum(common_prefixes(apart, sa) < LENGTH)
+            of = np.full(len(t), -1)
+            of[sa] = group
+            self.group = np.unique(of[self.at], return_inverse=True)[1]
+        groups = int(self.group.max()) + 1 if len(self.group) else 0
+        pairs = len(page_ids) or 1
+        each = np.unique(self.group * pairs + page[block]) // pairs
+        inside = np.unique((self.group * pairs + page[block])[within[block]]) // pairs
+        self.pages, self.inside = np.bincount(each, minlength=groups), np.bincount(inside, minlength=groups)
+        first = np.unique(self.group, return_index=True)[1]
+        letters = np.array([0, 1, *[xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in ids]], np.uint64)
+        host_names = np.array([xxhash.xxh64_intdigest(h.encode("utf-8", "surrogatepass")) for h in host_ids], np.uint64)
+        self.host = host[block[first]] if groups else host
+        h = host_names[self.host] if groups else np.array([], np.uint64)
+        for j in range(LENGTH):
+            h = (h ^ letters[t[self.at[first] + j]]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        self.hash = h
+
+    def covered(self, chosen: np.ndarray) -> list[np.ndarray]:
+        """For each block which of its tokens strings of the chosen groups cover."""
+        edge = np.zeros(int((self.room + 1).sum()) + 1, np.int64)
+        at = self.at[chosen[self.group]]
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + LENGTH, -1)
+        mask = np.cumsum(edge) > 0
+        return [mask[b : b + n] for b, n in zip(self.begin.tolist(), self.size.tolist())]
+
+
+def _text(kinds, texts: list[str], repeated: list[np.ndarray], template: list[np.ndarray]) -> str:
+    """A page's text, from its blocks and which of their tokens repeat."""
+    body = body_kind(kinds)
+    if body == OPEN:
+        out = []
+        for kind, text, gone in zip(kinds, texts, repeated):
+            if kind == OPEN or (kind == OPEN + SOFT and len(gone) >= LENGTH):
+                left = text if not gone.any() else " ".join(w for w, g in zip(text.split(" "), gone.tolist()) if not g)
+                if left:
+                    out.append(left)
+        return "\n".join(out)
+    own = [(n, text) for n, (kind, text) in enumerate(zip(kinds, texts)) if kind == body or (kind == body + SOFT and len(repeated[n]) >= LENGTH and not repeated[n].any())]
+    gone = {n for n, _ in own if template[n].all()}
+    words = sum(len(template[n]) for n, _ in own)
+    if 2 * sum(len(template[n]) for n in gone) > words:
+        gone = set()
+    return "\n".join(text for n, text in own if n not in gone)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8")).tobytes()
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -155,8 +248,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     text: the main blocks in page order, joined by newlines, empty if there are none; n_chars: its
     code points. Null html is empty; a null or odd url is host ''. Repeated rows repeat; equal pages
-    count once among a host's pages. A host's pages are dealt to shards of about PAGES_IN_SHARD by a
-    hash of the row, so no host meets in one task; repeats are those of a shard.
+    of a host count once. Strings of a host count over all of its pages, however many cells they are
+    dealt to; cells are told apart by a hash of the page, so that no host meets in one task.
     """
 
     def parse(batches):
@@ -164,38 +257,88 @@ def extract(pages: DataFrame) -> DataFrame:
             rows = []
             for page_id, url, where, page in zip(b["page_id"].tolist(), b["url"].tolist(), b["host"].tolist(), b["html"].tolist()):
                 found = blocks(page)
-                kinds = {k for k, _ in found}
-                kind = ARTICLE if ARTICLE in kinds else MAIN if MAIN in kinds else None
-                if kind is None:
-                    body, kept = None, found
-                else:
-                    body, kept = "\n".join(t for k, t in found if k == kind), [(k, t) for k, t in found if k in (OPEN, EDGE)]
-                rows.append((page_id, url, where, body, [k for k, _ in kept], [t for _, t in kept]))
-            out = pd.DataFrame(rows, columns=["page_id", "url", "host", "text", "kinds", "blocks"])
-            out["page_id"] = out["page_id"].astype("Int64")
-            yield out
-
-    def clean(rows: pd.DataFrame) -> pd.DataFrame:
-        keys: dict[tuple, int] = {}
-        page = [keys.setdefault(tuple(b), len(keys)) for b in rows["blocks"]]
-        flat = [(n, k, t.split(" ")) for n, (ks, ts) in enumerate(zip(rows["kinds"], rows["blocks"])) for k, t in zip(ks, ts)]
-        gone = repeated([s for _, _, s in flat], np.array([page[n] for n, _, _ in flat], np.int64))
-        texts: list[list[str]] = [[] for _ in range(len(rows))]
-        for (n, k, s), g in zip(flat, gone):
-            left = " ".join(w for w, x in zip(s, g.tolist()) if not x)
-            if k == OPEN and left:
-                texts[n].append(left)
-        unmarked = rows["text"].isna().to_numpy()
-        out = pd.DataFrame({"page_id": rows["page_id"].astype("Int64"), "url": rows["url"], "text": ["\n".join(t) for t in texts]})
-        return out[unmarked]
-
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host(F.col("url")).alias("host"), "html")
-    parsed = spread(rows).mapInPandas(parse, "page_id long, url string, host string, text string, kinds array<int>, blocks array<string>")
-    marked = parsed.where("text is not null").select("page_id", "url", "text")
-    shards = rows.groupBy("host").agg(F.ceil(F.count("*") / PAGES_IN_SHARD).cast("int").alias("_shards"))
-    margins = parsed.select("page_id", "url", "host", F.when(F.col("text").isNotNull(), F.lit("")).alias("text"), "kinds", "blocks")
-    # One column names host and shard: grouped by two, the rows would stay where the join by host has put them.
-    cell = F.concat_ws("#", F.pmod(F.xxhash64("page_id", "url"), F.col("_shards")), "host")
-    dealt = margins.join(shards, "host").withColumn("cell", cell).drop("_shards", "host")
-    unmarked = dealt.groupBy("cell").applyInPandas(clean, "page_id long, url string, text string")
-    return marked.unionByName(unmarked).withColumn("n_chars", F.length("text").cast("long"))
+                kinds, texts = [k for k, _ in found], [t for _, t in found]
+                key = xxhash.xxh64_intdigest("\n".join(f"{k} {t}" for k, t in found).encode("utf-8", "surrogatepass"))
+                rows.append((page_id, url, where, key - (1 << 63), sum(t.count(" ") + 2 for t in texts), kinds, texts))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "key", "tokens", "kinds", "blocks"])
+
+    def streams(rows: pd.DataFrame) -> Streams:
+        return Streams(rows["host"].tolist(), rows["key"].tolist(), rows["kinds"].tolist(), rows["blocks"].tolist())
+
+    def tally(rows: pd.DataFrame) -> pd.DataFrame:
+        """A cell's strings by shard: their hashes and on how many pages each is; those on one page only without the numbers."""
+        s = streams(rows)
+        shard = (s.hash % np.uint64(shards)).astype(np.int64)
+        code = np.where(s.pages == 1, s.inside, 2)
+        out = []
+        order = np.lexsort((code, shard))
+        both = (shard * 3 + code)[order]
+        for part in np.split(order, np.flatnonzero(both[1:] != both[:-1]) + 1) if len(order) else ():
+            c = int(code[part[0]])
+            counts = _pack(s.pages[part].astype(np.uint64) << np.uint64(32) | s.inside[part].astype(np.uint64)) if c == 2 else None
+            out.append((int(shard[part[0]]), rows["cell"].iloc[0], c, _pack(s.hash[part]), counts))
+        return pd.DataFrame(out, columns=["shard", "cell", "code", "h", "n"])
+
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        """To each cell: its strings that are on PAGES pages or more of all cells, with the numbers."""
+        h = [np.frombuffer(x, "<u8") for x in rows["h"]]
+        one = np.uint64(1 << 32)
+        n = np.concatenate([np.frombuffer(x, "<u8") if c == 2 else np.full(len(k), one + np.uint64(c), np.uint64) for x, c, k in zip(rows["n"], rows["code"], h)])
+        origin = np.repeat(np.arange(len(rows)), [len(x) for x in h])
+        h = np.concatenate(h)
+        order = np.argsort(h, kind="stable")
+        h, n, origin = h[order], n[order], origin[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        sums = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(h))))
+        often = sums >> np.uint64(32) >= PAGES
+        h, sums, origin = h[often], sums[often], origin[often]
+        order = np.argsort(origin, kind="stable")
+        cuts = np.searchsorted(origin[order], np.arange(len(rows) + 1))
+        out = [(rows["cell"].iloc[k], _pack(h[order[cuts[k] : cuts[k + 1]]]), _pack(sums[order[cuts[k] : cuts[k + 1]]])) for k in np.flatnonzero(np.diff(cuts))]
+        return pd.DataFrame(out, columns=["cell", "h", "n"])
+
+    def clean(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        names = ["page_id", "url", "text"]
+        if rows.empty:
+            return pd.DataFrame({c: [] for c in names})
+        s = streams(rows)
+        n, inside = s.pages.copy(), s.inside.copy()
+        if len(known):
+            h, sums = (np.concatenate([np.frombuffer(x, "<u8") for x in known[c]]) for c in ("h", "n"))
+            order = np.argsort(h)
+            h, sums = h[order], sums[order]
+            place = np.minimum(np.searchsorted(h, s.hash), len(h) - 1)
+            hit = h[place] == s.hash
+            n[hit], inside[hit] = (sums[place] >> np.uint64(32))[hit], (sums[place] & np.uint64(0xFFFFFFFF))[hit]
+        often = n >= PAGES
+        in_host = dict(zip(rows["host"], rows["in_host"]))
+        sizes = np.array(list(in_host.values()), np.int64)[s.host] if len(n) else n
+        repeated = s.covered(often)
+        template = s.covered((inside >= TEMPLATE) & (2 * inside >= sizes))
+        texts, at = [], 0
+        for kinds, blocks_ in zip(rows["kinds"], rows["blocks"]):
+            to = at + len(blocks_)
+            texts.append(_text(list(kinds), list(blocks_), repeated[at:to], template[at:to]))
+            at = to
+        return pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": texts})
+
+    spark = pages.sparkSession
+    # Ids travel as text: in a batch with a null, numbers would pass through doubles.
+    rows = pages.select(F.col("page_id").cast("string"), "url", host(F.col("url")).alias("host"), "html")
+    parsed = stage(spread(rows).mapInPandas(parse, "page_id string, url string, host string, key long, tokens long, kinds array<int>, blocks array<string>"))
+    # One row for each different page of a host, then one for each host.
+    sized = parsed.groupBy("host", "key").agg(F.sum("tokens").alias("tokens")).groupBy("host").agg(F.count("*").alias("in_host"), F.sum("tokens").alias("tokens"))
+    sized = stage(sized.withColumn("cells", F.ceil(F.col("tokens") / TOKENS_IN_CELL).cast("int")))
+    tokens = sized.agg(F.sum("tokens")).first()[0] or 0
+    shards = max(partitions(spark), -(-tokens // (4 * TOKENS_IN_CELL)))
+    groups = max(partitions(spark), -(-tokens // TOKENS_IN_CELL))
+    # Small hosts share a cell; the pages of a large one are dealt to its own, equal ones to the same.
+    alone = F.concat(F.lit("#"), F.pmod(F.xxhash64("host"), F.lit(groups)))
+    cell = F.when(F.col("cells") > 1, F.concat_ws("#", F.pmod(F.col("key"), F.col("cells")), "host")).otherwise(alone)
+    salted = sized.select("host", "in_host", "cells", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    dealt = parsed.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["host", "_salt"])
+    dealt = dealt.select("page_id", "url", "host", "key", "kinds", "blocks", "in_host", "cells", cell.alias("cell"))
+    counts = dealt.where("cells > 1").groupBy("cell").applyInPandas(tally, "shard long, cell string, code int, h binary, n binary")
+    replies = counts.groupBy("shard").applyInPandas(total, "cell string, h binary, n binary")
+    found = dealt.groupBy("cell").cogroup(replies.groupBy("cell")).applyInPandas(clean, "page_id string, url string, text string")
+    return found.select(F.col("page_id").cast(pages.schema["page_id"].dataType), "url", "text", F.length("text").cast("long").alias("n_chars"))

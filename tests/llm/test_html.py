@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -13,7 +15,8 @@ text</p><aside>aside</aside><div class="share-buttons">Share</div><form>q</form>
 def test_article():
     found = html.blocks(PAGE)
     assert [t for k, t in found if k == html.ARTICLE] == ["Head & line", "First text goes on. more", "Second <x> é text", "one", "two"]
-    assert [t for k, t in found if k == html.EDGE] == ["Title", "Home", "Buy", "aside", "Share", "q", "Nice!", "© me"]
+    assert [t for k, t in found if k == html.EDGE] == ["Title", "Home", "Buy", "aside", "q", "Nice!", "© me"]
+    assert [t for k, t in found if k == html.ARTICLE + html.SOFT] == ["Share"]
 
 
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "</", "&am", "<article>", "</p></p>", "a < b > c", "<p>x</p", "<!-- open", "<script>open", "<p " + "a" * 5000])
@@ -36,26 +39,101 @@ def test_main_and_hidden():
     assert html.blocks('<div class="content-sidebar-wrap"><p>x</p></div>') == [(html.OPEN, "x")]
 
 
-def test_repeated_equals_brute():
-    rng = np.random.default_rng(0)
-    streams = [[f"w{rng.integers(0, 4)}" for _ in range(rng.integers(0, 30))] for _ in range(60)]
-    pages = rng.integers(0, 12, 60)
-    seen = {}
-    for s, p in zip(streams, pages.tolist()):
-        for i in range(len(s) - html.LENGTH + 1):
-            seen.setdefault(tuple(s[i : i + html.LENGTH]), set()).add(p)
-    short = {}
-    for s, p in zip(streams, pages.tolist()):
-        if len(s) < html.LENGTH:
-            short.setdefault(tuple(s), set()).add(p)
-    for s, got in zip(streams, html.repeated(streams, pages)):
-        want = [False] * len(s)
-        if len(s) < html.LENGTH:
-            want = [len(short[tuple(s)]) >= html.PAGES] * len(s)
-        for i in range(len(s) - html.LENGTH + 1):
-            if len(seen[tuple(s[i : i + html.LENGTH])]) >= html.PAGES:
-                want[i : i + html.LENGTH] = [True] * html.LENGTH
-        assert got.tolist() == want
+@pytest.mark.parametrize("before, after", [("<form action='/'>", "</form>"), ("<div class='search-results'>", "</div>"), ("<div class='legal social'><form>", "</form></div>")])
+def test_wrappers_of_an_article_do_not_matter(before, after):
+    for tag in ("article", "main"):
+        found = html.blocks(f"<body>{before}<{tag}><p>body text</p><form>ask</form></{tag}>{after}</body>")
+        assert [t for k, t in found if k < html.SOFT] == ["body text"]
+
+
+def test_comments_are_no_article():
+    found = html.blocks("<article><p>a</p></article><ol class='commentlist'><li><article><p>me too</p></article></li></ol>")
+    assert found == [(html.ARTICLE, "a"), (html.EDGE, "me too")]
+
+
+def test_deep_pages_in_linear_time():
+    page = "<div>" * 16_000 + "</p>" * 16_000 + "<article><p>x</p></article>" + "<b><i>" * 20_000 + "</u>" * 20_000
+    began = time.time()
+    assert html.blocks(page) == [(html.ARTICLE, "x")]
+    assert time.time() - began < 5
+    assert html.blocks("<article>" + "<p>word " * 50_000 + "</article>") == [(html.ARTICLE, "word")] * 50_000
+
+
+def odd_pages(n, seed=0):
+    rng = np.random.default_rng(seed)
+    pages = []
+    for k in range(n):
+        kinds = rng.choice([0, 2, 5, 6], rng.integers(0, 6)).tolist()
+        pages.append((f"h{rng.integers(0, 2)}", k // 2 if k % 5 == 0 else k, kinds, [" ".join(f"w{rng.integers(0, 3)}" for _ in range(rng.integers(1, 20))) for _ in kinds]))
+    return [pages[2 * p[1]] if p[1] != n and k % 5 == 0 and 2 * p[1] < k else p for k, p in enumerate(pages)]
+
+
+def brute_counts(pages):
+    """(host, string) -> its pages, and those that have it in an article; shorter blocks are strings of their own."""
+    every, inside = {}, {}
+    for host, key, kinds, texts in pages:
+        for kind, text in zip(kinds, texts):
+            w = text.split(" ")
+            for i in range(max(len(w) - html.LENGTH, 0) + 1):
+                s = (host, tuple(w[i : i + html.LENGTH]))
+                every.setdefault(s, set()).add(key)
+                if kind == html.ARTICLE:
+                    inside.setdefault(s, set()).add(key)
+    return {s: len(x) for s, x in every.items()}, {s: len(x) for s, x in inside.items()}
+
+
+def test_streams_equal_brute():
+    pages = odd_pages(60)
+    s = html.Streams(*map(list, zip(*pages)))
+    every, inside = brute_counts(pages)
+    masks, n = s.covered(s.pages >= html.PAGES), 0
+    at = iter(s.group.tolist())
+    for host, _, kinds, texts in pages:
+        for text in texts:
+            w = text.split(" ")
+            want = [False] * len(w)
+            for i in range(max(len(w) - html.LENGTH, 0) + 1):
+                g, key = next(at), (host, tuple(w[i : i + html.LENGTH]))
+                assert (s.pages[g], s.inside[g]) == (every[key], inside.get(key, 0))
+                if every[key] >= html.PAGES:
+                    want[i : i + html.LENGTH] = [True] * len(w[i : i + html.LENGTH])
+            assert masks[n].tolist() == want
+            n += 1
+    assert len(set(s.hash.tolist())) == len(s.pages) == len(every)
+    assert len(html.Streams([], [], [], []).pages) == 0
+
+
+def site(n):
+    """Pages of one host: a notice in a plain wrapper inside each article, a passage on two pages, one on three of them, and copies of one article."""
+    rng = np.random.default_rng(1)
+    words = lambda k: " ".join(f"v{x}" for x in rng.integers(0, 10**9, k))
+    notice, rare, few, copied, strip = words(12), words(20), words(20), [words(30) for _ in range(4)], words(9)
+    pages, want = [], []
+    for k in range(n):
+        own = copied if k < 4 else [words(25), *([rare] if k in (7, n - 1) else []), *([few] if k in (8, n // 2, n - 2) else []), words(5)]
+        legal = words(14)
+        if k % 3:
+            pages.append(f"<body><nav>Home</nav><article>{''.join(f'<p>{x}</p>' for x in own)}<div>{notice}</div><div class='legal'>{legal}</div><div class='social'>{strip}</div><div class='share'>Share {k}</div><p>end {k}</p></article></body>")
+            want.append("\n".join([*own, legal, f"end {k}"]))
+        else:
+            pages.append(f"<body><div>{strip}</div>{''.join(f'<p>{x}</p>' for x in own)}<div>{notice} {legal}</div></body>")
+            want.append(None)
+    return pages, want
+
+
+@pytest.mark.parametrize("room", [1 << 20, 700])
+def test_a_host_gives_the_same_in_any_number_of_cells(spark, monkeypatch, room):
+    monkeypatch.setattr(html, "TOKENS_IN_CELL", room)
+    pages, want = site(120)
+    df = spark.createDataFrame([(2**60 + k, f"http://one.example/{k}", p) for k, p in enumerate(pages)] + [(None, "http://one.example/", None)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
+    assert got[None] == ""
+    for k, text in enumerate(want):
+        if text is not None:
+            assert got[2**60 + k] == text, k
+    # Without an article: the strip, the notice and the copies go, what is on one or two pages stays.
+    assert got[2**60 + 0].count("\n") == 0 and len(got[2**60 + 0].split(" ")) == 14
+    assert len(got[2**60 + 9].split("\n")) == 3
 
 
 def test_extract(spark):
