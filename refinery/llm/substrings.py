@@ -34,6 +34,8 @@ CHUNK = 1 << 20
 TEXT_IN_BUCKET, TEXT_IN_SHARD = 4 << 20, 4 << 20
 #: A minimizer that occurs more often than this is settled by the windows' hashes of 128 bits.
 HOT = 50_000
+#: Keys that the copies of one text are dealt under.
+SALTS = 32
 #: Runs of more windows than this are looked at for a period.
 LONG_RUN = 256
 LOW24 = np.uint64((1 << 24) - 1)
@@ -59,6 +61,52 @@ def _many(column, dtype) -> np.ndarray:
     return np.concatenate([np.frombuffer(b, dtype) for b in column]) if len(column) else np.array([], dtype)
 
 
+def _words(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number."""
+    return np.ndarray((max(len(buf) - 7, 0),), "<u8", np.ascontiguousarray(buf), strides=(1,))
+
+
+def _grams(w: np.ndarray) -> np.ndarray:
+    """Hashes of the GRAM bytes from each place on."""
+    h = w[:-8] * np.uint64(0x9E3779B97F4A7C15)
+    h ^= (w[8:] + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def may_repeat(buf: np.ndarray, begin: np.ndarray, size: np.ndarray, h: np.ndarray, length: int) -> np.ndarray:
+    """Which of different strings, each of windows with minimizer h, may share a window with another one.
+
+    Equal windows have the minimizer at one place. Besides it a window has length - GRAM bytes, so half of
+    these agree on its left or on its right. Strings that hold their minimizer more than once are all kept.
+    """
+    half = (length - GRAM) // 2
+    keep = np.zeros(len(begin), bool)
+    if len(buf) < GRAM or half < 8:
+        return ~keep
+    w = _words(buf)
+    of = np.repeat(np.arange(len(begin)), np.maximum(size - GRAM + 1, 0))
+    at = ranges(begin, np.maximum(size - GRAM + 1, 0))
+    hit = _grams(w)[at] >> np.uint64(16) == h[of]
+    of, at = of[hit], at[hit]
+    times = np.bincount(of, minlength=len(begin))
+    keep |= times != 1
+    once = times[of] == 1
+    of, at = of[once], at[once]
+    for left in (True, False):
+        room = at - begin[of] >= half if left else begin[of] + size[of] - at - GRAM >= half
+        o, first = of[room], at[room] - half if left else at[room] + GRAM
+        key = h[o]
+        for k in [*range(0, half - 8, 8), half - 8]:
+            key = (key ^ w[first + k]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(31)
+        _, same, n = np.unique(key, return_inverse=True, return_counts=True)
+        keep[o[n[same] > 1]] = True
+    return keep
+
+
 def minimizers(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int):
     """Runs of windows whose minimizers have one hash: (text number, first window's place in buf, windows, hash of 48 bits)."""
     found = []
@@ -73,13 +121,9 @@ def minimizers(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: i
             part = buf[at : min(at + CHUNK + length - 1, end) if hi == lo + 1 else end]
             if len(part) < length:
                 continue
-            w = np.ndarray((len(part) - 7,), "<u8", np.ascontiguousarray(part), strides=(1,))
+            w = _words(part)
             g = len(part) - GRAM + 1
-            h = w[:g] * np.uint64(0x9E3779B97F4A7C15)
-            h ^= (w[8 : 8 + g] + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xC2B2AE3D27D4EB4F)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
+            h = _grams(w)
             key = (h & ~LOW24) | np.arange(g, dtype=np.uint64)
             span, have = length - GRAM + 1, 1
             while have * 2 <= span:
@@ -320,10 +364,13 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         lengths = np.array([len(s) for s in strings], np.int64)
         begin = np.cumsum(lengths + 1) - lengths - 1
         earliest = np.repeat(lowest, lengths + 1)
-        first_use = np.unique(which, return_index=True)[1]
-        _, same, times = np.unique(np.concatenate([_unpack48(x) for x in rows["h"]])[first_use], return_inverse=True, return_counts=True)
+        h = np.concatenate([_unpack48(x) for x in rows["h"]])[np.unique(which, return_index=True)[1]]
+        _, same, times = np.unique(h, return_inverse=True, return_counts=True)
         # Windows of a stretch that is alone under its minimizer have no equal elsewhere.
         some = np.flatnonzero(times[same] > 1)
+        if len(some):
+            at = np.cumsum(lengths[some]) - lengths[some]
+            some = some[may_repeat(np.frombuffer(b"".join([strings[k] for k in some]), np.uint8), at, lengths[some], h[some], length)]
         if len(some):
             # Symbol 0 parts the strings; bytes are one higher.
             sub = lengths[some]
@@ -387,7 +434,10 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     texts = body.mapInPandas(packed, "bucket int, doc binary, row binary, size binary, body binary").groupBy("bucket")
     named = body.select("doc_id", F.xxhash64("body").alias("k"), F.sha2("body", 256).alias("sha"))
     least_of = named.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sha", "least")
-    copies = named.join(least_of, "sha").where("doc_id > least").select("doc_id", "k").mapInPandas(marks, "bucket int, row binary")
+    # The copies of one text are dealt under several keys.
+    salted = least_of.select("sha", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    named = named.withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SALTS)).cast("int"))
+    copies = named.join(salted, ["sha", "_salt"]).where("doc_id > least").select("doc_id", "k").mapInPandas(marks, "bucket int, row binary")
     marked = texts.cogroup(copies.groupBy("bucket")).applyInPandas(anchors, "bucket int, doc binary, h binary, n binary, origin int")
     marked = marked.groupBy("bucket").applyInPandas(shared, "bucket int, h binary, hot binary")
     marked = marked.unionByName(copies, allowMissingColumns=True)

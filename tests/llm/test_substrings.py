@@ -99,6 +99,26 @@ def test_long_periodic_texts(spark, unit):
     assert bytes(got[1]["kept"]) == text.encode() and bytes(got[3]["kept"]) == b"no repeat here" and bytes(got[4]["kept"]) == b"-"
 
 
+def test_strings_that_may_repeat():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        core = bytes(rng.integers(97, 123, 16).astype(np.uint8))
+        gram = int(substrings._grams(substrings._words(np.frombuffer(core, np.uint8)))[0] >> np.uint64(16))
+        side = lambda n: bytes(rng.choice([97, 98], n).astype(np.uint8))
+        strings = list({side(int(rng.integers(0, 35))) + core + side(int(rng.integers(0, 35))) for _ in range(300)} | {b"a" * 34 + core, b"b" + b"a" * 30 + core + b"a" * 5})
+        strings = [s for s in strings if len(s) >= 50]
+        size = np.array([len(s) for s in strings])
+        begin = np.cumsum(size) - size
+        kept = substrings.may_repeat(np.frombuffer(b"".join(strings), np.uint8), begin, size, np.full(len(size), gram, np.uint64), 50)
+        owners = {}
+        for n, s in enumerate(strings):
+            for i in range(len(s) - 49):
+                owners.setdefault(s[i : i + 50], set()).add(n)
+        needed = {n for x in owners.values() if len(x) > 1 for n in x}
+        assert needed <= set(np.flatnonzero(kept).tolist())
+    assert len(needed) < len(strings)
+
+
 def test_little_is_sent_of_periodic_texts():
     for unit in ("x", "ab", "abcdefghijklmnopqrstuvwxyz012345678"):
         buf = np.frombuffer((unit * 100_000).encode(), np.uint8)
