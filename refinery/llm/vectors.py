@@ -1,23 +1,27 @@
 """Embedding near-duplicates by a cover tree and dual traversal of its nodes.
 
-The upper level is a set of pivots; every vector goes to its nearest pivot, and a cell with many
-vectors is cut into blocks. Two blocks meet only if their covering radii allow a pair within the
-threshold. In a meeting, each block is covered by nested nets of halving radii; pairs of nodes are
-pruned, or linked as a whole, by their covering radii, and only the rest are compared vector by vector.
+The upper levels are sets of pivots: every vector goes to the nearest of about a square root of all,
+a cell with many vectors gets pivots of its own, and what still is large is cut into blocks. Each
+block is covered by nested nets of halving radii. Two blocks are compared only if their covering radii
+allow a pair within the threshold; blocks are dealt to a few bundles, and a block is sent to those
+bundles only that hold one of its likes. In a meeting of two bundles, pairs of nodes are pruned, or
+linked as a whole, by their covering radii, and only the rest are compared vector by vector.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import Staged, components, partitions, stage
 
 MOST_IN_BLOCK = 4096
-LEAST_IN_BLOCK = 128
-MOST_PIVOTS = 256
+#: Vectors of a bundle, unless there would be fewer bundles than make a meeting for each partition.
+IN_BUNDLE = 16384
+#: Pivots above, and in each cell of more than MOST_IN_BLOCK vectors.
+MOST_PIVOTS, MOST_INNER = 2048, 64
 DEPTH = 4
 #: Room for rounding when distances of unit vectors stand for cosines.
 SLACK = 1e-7
@@ -25,12 +29,16 @@ SLACK = 1e-7
 NEAR = 1e-6
 
 
+def _usable(id_col: str, vector_col: str) -> Column:
+    finite = F.forall(F.col(vector_col), lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+    some = F.exists(F.col(vector_col), lambda c: c != 0)
+    return F.coalesce(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull() & finite & some, F.lit(False))
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v) of the vectors that can link: not null, not zero, all components finite."""
     v = F.transform(F.col(vector_col), lambda c: c.cast("double"))
-    finite = F.forall(F.col(vector_col), lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
-    some = F.exists(F.col(vector_col), lambda c: c != 0)
-    return vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull() & finite & some).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    return vectors.where(_usable(id_col, vector_col)).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
 
 
 def _unit(v) -> np.ndarray:
@@ -159,22 +167,30 @@ def _node_pairs(a: CoverTree, b: CoverTree, x: np.ndarray, y: np.ndarray, reach:
     return live
 
 
+def _side(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, CoverTree]:
+    """Rows of some blocks in order, their unit vectors, and the tree over all of them."""
+    rows = rows.sort_values(["block", "k"], ignore_index=True)
+    start = rows.groupby("block", sort=False)["k"].transform("size").to_numpy()
+    first = np.flatnonzero(rows["k"].to_numpy() == 0)
+    begin = np.repeat(first, start[first])
+    x = _unit(rows["v"])
+    return rows, x, CoverTree(x, np.stack(rows["centre"].to_numpy()) + begin[:, None])
+
+
 def link_blocks(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> pd.DataFrame:
-    """Rows (id, other, n): other null: id has n links here, members of classes counted; else a link, enough to join components.
+    """Rows (node, other, n): other null: node has n links here, members of classes counted; else a link, enough to join components.
 
-    Without b, the pairs within a. Whole linked pairs of nodes give a count and a few links each.
+    Without b, the pairs within a. Blocks come whole. Whole linked pairs of nodes give a count and a few links each.
     """
     reach = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
     same = b is None
     b = a if same else b
     out_a, out_b, count = [], [], {}
     for width in set(a["w"]) & set(b["w"]):
-        pa, pb = (z[z["w"] == width].sort_values("k") for z in (a, b))
-        x, y = _unit(pa["v"]), _unit(pb["v"])
-        ia, ib = pa["id"].to_numpy(np.int64), pb["id"].to_numpy(np.int64)
+        pa, x, ta = _side(a[a["w"] == width])
+        pb, y, tb = (pa, x, ta) if same else _side(b[b["w"] == width])
+        ia, ib = pa["node"].to_numpy(np.int64), pb["node"].to_numpy(np.int64)
         wa, wb = pa["n"].to_numpy(np.int64), pb["n"].to_numpy(np.int64)
-        ta = CoverTree(x, np.stack(pa["centre"].to_numpy()))
-        tb = ta if same else CoverTree(y, np.stack(pb["centre"].to_numpy()))
         na, nb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
         (ca, ra, _), (cb, rb, _) = ta.levels[-1], tb.levels[-1]
         for i, j in zip(*_node_pairs(ta, tb, x, y, reach)):
@@ -206,10 +222,31 @@ def link_blocks(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> pd.Dat
         for ids, n in ((ia, na), (ib, nb)):
             for k in np.flatnonzero(n):
                 count[ids[k]] = count.get(ids[k], 0) + int(n[k])
-    links = pd.DataFrame({"id": np.concatenate(out_a) if out_a else np.array([], np.int64), "other": np.concatenate(out_b) if out_b else np.array([], np.int64)})
-    links = links[links["id"] != links["other"]].drop_duplicates()
-    tally = pd.DataFrame({"id": np.array(list(count), dtype=np.int64), "n": np.array(list(count.values()), dtype=np.int64)})
-    return pd.concat([links, tally]).astype({"id": "int64", "other": "Int64", "n": "Int64"})
+    none = np.array([], np.int64)
+    rows, cols = spanning(np.concatenate(out_a) if out_a else none, np.concatenate(out_b) if out_b else none)
+    links = pd.DataFrame({"node": rows, "other": cols})
+    tally = pd.DataFrame({"node": np.array(list(count), dtype=np.int64), "n": np.array(list(count.values()), dtype=np.int64)})
+    return pd.concat([links, tally]).astype({"node": "int64", "other": "Int64", "n": "Int64"})
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least of its component) of the graph of links a - b, for all nodes but the least: labels spread along links and jump to their own labels."""
+    names, both = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = both[: len(a)], both[len(a) :]
+    label = np.arange(len(names))
+    while True:
+        new = label.copy()
+        low = np.minimum(label[u], label[v])
+        np.minimum.at(new, label[u], low)
+        np.minimum.at(new, label[v], low)
+        new = new[new]
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    other = label != np.arange(len(names))
+    return names[other], names[label[other]]
 
 
 def forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,85 +275,143 @@ def forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (empty, empty)
 
 
+def _nearest_pivots(v: pd.Series, pivots: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector the nearest of the pivots of its length, and how far it is (-1 and 2 where there is none)."""
+    cell, far = np.full(len(v), -1, np.int32), np.full(len(v), 2.0)
+    widths = v.map(len).to_numpy()
+    by_width: dict[int, list[int]] = {}
+    for n, p in enumerate(pivots):
+        by_width.setdefault(len(p), []).append(n)
+    for w in set(widths.tolist()) & set(by_width):
+        at, same = np.flatnonzero(widths == w), np.array(by_width[w], np.int32)
+        x, p = _unit(v.iloc[at]), np.stack([pivots[n] for n in same])
+        for lo in range(0, len(at), 1024):
+            d = _distances(x[lo : lo + 1024], p)
+            cell[at[lo : lo + 1024]], far[at[lo : lo + 1024]] = same[d.argmin(1)], d.min(1)
+    return cell, far
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95) -> DataFrame:
     """(id_col, n_links, component_id, kept) for each row.
 
     n_links: other rows with cosine >= ``least``; component_id: smallest id reachable by links, its
     own included; kept: the row names its component. Equal vectors are one class with a count. Rows
     that cannot link (see ``usable``), or whose id is null, have no links and are their own component.
-    Vectors of unequal length never link. Repeated ids count as rows of their own with one result.
-    Pivots come from a sample of at most MOST_PIVOTS vectors; every vector is placed and compared.
+    Vectors of unequal length never link. Rows that share an id are rows like others: each has its
+    own links and component. Pivots are a bounded sample; every vector is placed and compared.
     """
     spark = vectors.sparkSession
+    me = F.col(id_col).cast("long")
+    text = F.concat_ws(",", F.transform("v", lambda c: c.cast("string")))
     good = usable(vectors, id_col, vector_col)
-    rows = stage(good.select("id", "v", F.xxhash64(F.concat_ws(",", F.transform("v", lambda c: c.cast("string")))).alias("h")))
-    classes = stage(rows.groupBy("h", "v").agg(F.min("id").alias("id"), F.count("*").alias("n")))
+    rows = stage(good.select("id", "v", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(7), text).alias("g")))
+    # Staged, so that the numbers of the classes stay the same whatever is computed again.
+    classes = stage(rows.groupBy("h", "g").agg(F.any_value("v").alias("v"), F.min("id").alias("id"), F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id()))
     total = classes.count()
     parts = partitions(spark)
-    in_block = min(MOST_IN_BLOCK, max(LEAST_IN_BLOCK, int(total / max((2 * parts) ** 0.5, 1))))
-    pivots = min(max(-(-total // in_block), 1), MOST_PIVOTS)
-    chosen = [np.asarray(r["v"]) for r in classes.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(pivots).select("v").collect()]
-    unit = [_unit([c])[0] for c in chosen]
+    pivots = min(max(int(total**0.5), 1), MOST_PIVOTS)
+    chosen = classes.orderBy(F.xxhash64("id", "h"), "node").limit(pivots).select("v").collect()
+    unit = [_unit([np.asarray(r["v"])])[0] for r in chosen]
 
     def place(batches):
         for b in batches:
-            cell, far = np.zeros(len(b), np.int32), np.zeros(len(b))
-            widths = b["v"].map(len).to_numpy()
-            for w in set(widths.tolist()):
-                at = np.flatnonzero(widths == w)
-                x = _unit(b["v"].iloc[at])
-                same = [n for n, u in enumerate(unit) if len(u) == w]
-                if same:
-                    d = _distances(x, np.stack([unit[n] for n in same]))
-                    cell[at] = np.array(same, np.int32)[d.argmin(1)]
-                    far[at] = d.min(1)
-                else:
-                    cell[at], far[at] = -1, 2.0
-            b["cell"], b["far"], b["w"] = cell, far, widths.astype(np.int32)
-            yield b[["id", "v", "n", "w", "cell", "far"]]
-
-    placed = stage(classes.select("id", "v", "n").mapInPandas(place, "id long, v array<double>, n long, w int, cell int, far double"))
-    cells = placed.groupBy("cell").agg(F.count("*").alias("_rows"))
-    sized = cells.select("cell", F.ceil(F.col("_rows") / in_block).cast("int").alias("_blocks"))
-    dealt = placed.join(sized, "cell").withColumn("block", F.concat_ws(":", F.col("cell"), F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")))
+            b["cell"], b["far"] = _nearest_pivots(b["v"], unit)
+            b["w"] = b["v"].map(len).astype(np.int32)
+            yield b[["node", "v", "n", "w", "cell", "far"]]
+
+    placed = stage(classes.select("node", "v", "n").mapInPandas(place, "node long, v array<double>, n long, w int, cell int, far double"))
+    cells = stage(placed.groupBy("cell").agg(F.count("*").alias("in_cell")))
+    # Large cells: pivots of their own, brought to each part of the cell.
+    large = cells.where(F.col("in_cell") > MOST_IN_BLOCK).withColumn("turns", F.ceil(F.col("in_cell") / MOST_IN_BLOCK).cast("int"))
+    turn = F.pmod(F.xxhash64("node"), F.col("turns")).cast("int")
+    inner = placed.join(large, "cell").withColumn("turn", turn)
+    # About MOST_INNER rows of the cell by hash, then exactly so many at most.
+    sampled = inner.where(F.pmod(F.xxhash64("node", F.lit(9)), F.col("in_cell")) < 2 * MOST_INNER).groupBy("cell", "turns").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("node", F.lit(9)).alias("o"), "v"))), 1, MOST_INNER).alias("p"))
+    sampled = stage(sampled.select("cell", F.transform("p", lambda x: x["v"]).alias("p"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn")))
+
+    def place_again(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        rows["sub"] = np.int32(-1)
+        if len(rows) and len(pivots):
+            own = [_unit([np.asarray(p)])[0] for p in pivots["p"].iloc[0]]
+            rows["sub"] = _nearest_pivots(rows["v"], own)[0]
+        return rows[["node", "v", "n", "w", "cell", "far", "sub"]]
+
+    shape = "node long, v array<double>, n long, w int, cell int, far double"
+    again = inner.groupBy("cell", "turn").cogroup(sampled.groupBy("cell", "turn")).applyInPandas(place_again, shape + ", sub int")
+    small = placed.join(cells.where(F.col("in_cell") <= MOST_IN_BLOCK).select("cell"), "cell").withColumn("sub", F.lit(-1))
+    filed = stage(again.unionByName(small))
+    sized = filed.groupBy("cell", "sub").agg(F.ceil(F.count("*") / MOST_IN_BLOCK).cast("int").alias("_blocks"))
+    dealt = filed.join(sized, ["cell", "sub"]).withColumn("block", F.concat_ws(":", "cell", "sub", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")))
 
     def cover(pdf: pd.DataFrame) -> pd.DataFrame:
         # The levels of each block are made once; every meeting of the block uses them.
         out = []
-        for _, part in pdf.groupby("w"):
-            part = part.sort_values("id").reset_index(drop=True)
+        for w, part in pdf.groupby("w"):
+            part = part.sort_values("node").reset_index(drop=True)
+            x = _unit(part["v"])
+            # The block's own centre, besides its cell's: the vector nearest to the mean.
+            middle = x[int((x @ x.mean(0)).argmax())]
+            part["far"], part["around"] = part["far"].max(), _distances(x, middle[None])[:, 0].max()
+            part["middle"] = [middle.tolist()] * len(part)
+            part["block"] = part["block"] + f":{w}"
             part["k"] = np.arange(len(part), dtype=np.int32)
-            part["centre"] = list(levels(_unit(part["v"])))
+            part["centre"] = list(levels(x))
             out.append(part)
-        return pd.concat(out)[["id", "v", "n", "w", "cell", "block", "far", "k", "centre"]]
+        return pd.concat(out)[["node", "v", "n", "w", "cell", "block", "far", "k", "centre", "middle", "around"]]
 
-    shape = "id long, v array<double>, n long, w int, cell int, block string, far double, k int, centre array<int>"
-    dealt = stage(dealt.select("id", "v", "n", "w", "cell", "block", "far").groupBy("block").applyInPandas(cover, shape))
-    blocks = dealt.groupBy("block", "cell").agg(F.max("far").alias("radius"))
+    # Blocks of few rows are covered together.
+    deal = F.pmod(F.xxhash64("block"), F.lit(max(parts, -(-total // MOST_IN_BLOCK))))
+    covered = dealt.select("node", "v", "n", "w", "cell", "block", "far", deal.alias("deal"))
+
+    def cover_each(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([cover(part) for _, part in pdf.groupby("block")])
+
+    dealt = stage(covered.groupBy("deal").applyInPandas(cover_each, "node long, v array<double>, n long, w int, cell int, block string, far double, k int, centre array<int>, middle array<double>, around double"))
+    bundles = max(min(int((2 * parts) ** 0.5) + 1, total // 512), -(-total // IN_BUNDLE), 1)
+    bundle = F.pmod(F.xxhash64("block", F.lit(1)), F.lit(bundles)).cast("int")
+    blocks = stage(dealt.where("k = 0").select("block", "w", "cell", "far", "middle", "around", bundle.alias("bundle")))
     reach = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
-    table = np.full((len(unit) + 1, len(unit) + 1), 0.0)
-    for i, u in enumerate(unit):
-        for j, v in enumerate(unit):
-            table[i + 1, j + 1] = 9.0 if len(u) != len(v) else _distances(u[None], v[None])[0, 0]
-    # At most (MOST_PIVOTS + 1) ** 2 rows.
-    flat = spark.createDataFrame([(i - 1, j - 1, float(table[i, j])) for i in range(len(table)) for j in range(len(table))], "cell_a int, cell_b int, gap double")
+    # At most MOST_PIVOTS + 1 rows.
+    radius = {r["cell"]: r["far"] for r in blocks.groupBy("cell").agg(F.max("far").alias("far")).collect()}
+
+    def likely(batches):
+        """Of each block the cells that may hold likenesses, and how far their pivots are."""
+        for b in batches:
+            out = []
+            for cell, part in b.groupby("cell"):
+                same = [c for c in radius if (c < 0) == (cell < 0) and (c < 0 or len(unit[c]) == len(unit[cell]))]
+                gap = np.zeros(len(same)) if cell < 0 else _distances(unit[cell][None], np.stack([unit[c] for c in same]))[0]
+                gap[[c == cell for c in same]] = 0.0
+                for block, far in zip(part["block"], part["far"]):
+                    out += [(block, c, g) for c, g in zip(same, gap.tolist()) if g <= reach + SLACK + far + radius[c]]
+            yield pd.DataFrame(out, columns=["block_a", "cell", "gap"]).astype({"cell": "int32", "gap": "float64"})
+
+    asked = blocks.select("block", "cell", "far").mapInPandas(likely, "block_a string, cell int, gap double")
     a, b = (blocks.select(*[F.col(c).alias(c + x) for c in blocks.columns]) for x in ("_a", "_b"))
-    close = a.join(flat, "cell_a").join(b, "cell_b").where((F.col("block_a") <= F.col("block_b")) & (F.col("gap") <= F.lit(reach + SLACK) + F.col("radius_a") + F.col("radius_b")))
-    met = stage(close.select("block_a", "block_b"))
-    left = dealt.join(met, dealt["block"] == met["block_a"]).select("block_a", "block_b", "id", "v", "n", "w", "k", "centre", F.lit(0).alias("side"))
-    right = dealt.join(met.where("block_a <> block_b"), dealt["block"] == F.col("block_b")).select("block_a", "block_b", "id", "v", "n", "w", "k", "centre", F.lit(1).alias("side"))
+    close = asked.join(b, asked["cell"] == b["cell_b"]).where(F.col("block_a") < F.col("block_b")).join(a, "block_a")
+    close = close.where((F.col("w_a") == F.col("w_b")) & (F.col("gap") <= F.lit(reach + SLACK) + F.col("far_a") + F.col("far_b")))
+    inner_product = F.aggregate(F.zip_with("middle_a", "middle_b", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    close = close.where(F.sqrt(F.greatest(2 - 2 * inner_product, F.lit(0.0))) <= F.lit(reach + SLACK) + F.col("around_a") + F.col("around_b"))
+    turned = F.col("bundle_a") > F.col("bundle_b")
+    pairs = close.select(F.least("bundle_a", "bundle_b").alias("p"), F.greatest("bundle_a", "bundle_b").alias("q"), *[F.when(turned, F.col(x)).otherwise(F.col(y)).alias(n) for x, y, n in (("block_b", "block_a", "left"), ("block_a", "block_b", "right"))]).where("p < q")
+    sides = [pairs.select(F.col(c).alias("block"), F.lit(n).alias("side"), F.col("p").alias("bundle_a"), F.col("q").alias("bundle_b")) for n, c in enumerate(("left", "right"))]
+    met = sides[0].unionByName(sides[1]).distinct()
+    within = blocks.select("block", F.lit(0).alias("side"), F.col("bundle").alias("bundle_a"), F.col("bundle").alias("bundle_b"))
+    met = stage(met.unionByName(within))
+    sent = dealt.select("node", "v", "n", "w", "block", "k", "centre").join(met, "block")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         b = pdf[pdf["side"] == 1]
-        return link_blocks(pdf[pdf["side"] == 0], None if pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0] else b, least)
-
-    found = Staged(left.unionByName(right).groupBy("block_a", "block_b").applyInPandas(meet, "id long, other long, n long")).df
-    counts = found.where("other is null").groupBy("id").agg(F.sum("n").alias("_links"))
-    joined = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    named = classes.join(counts, "id", "left").join(joined, classes["id"] == joined["node"], "left")
-    named = named.select("h", "v", (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("_n"), F.coalesce("component", "id").alias("_component"))
-    of_row = rows.join(named, ["h", "v"]).groupBy("id").agg(F.max("_n").alias("_n"), F.min("_component").alias("_component"))
-    me = F.col(id_col)
-    out = vectors.select(id_col).join(of_row, me.cast("long") == F.col("id"), "left")
-    component = F.coalesce("_component", me.cast("long"))
-    return out.select(id_col, F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == me, F.lit(True)).alias("kept"))
+        return link_blocks(pdf[pdf["side"] == 0], None if pdf["bundle_a"].iloc[0] == pdf["bundle_b"].iloc[0] else b, least)
+
+    found = Staged(sent.groupBy("bundle_a", "bundle_b").applyInPandas(meet, "node long, other long, n long")).df
+    counts = found.where("other is null").groupBy("node").agg(F.sum("n").alias("_links"))
+    joined = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    named = classes.drop("v").join(counts, "node", "left").join(joined, "node", "left").withColumn("_class", F.coalesce("component", "node"))
+    lowest = named.groupBy("_class").agg(F.min("id").alias("_component"))
+    named = named.join(lowest, "_class").select("h", "g", (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("_n"), "_component")
+    linked = rows.select("id", "h", "g").join(named, ["h", "g"]).select("id", "_n", "_component")
+    alone = vectors.where(~_usable(id_col, vector_col)).select(me.alias("id"), F.lit(0).alias("_n"), me.alias("_component"))
+    out = linked.unionByName(alone)
+    kind = vectors.schema[id_col].dataType
+    return out.select(F.col("id").cast(kind).alias(id_col), F.col("_n").cast("long").alias("n_links"), F.col("_component").alias("component_id"), F.coalesce(F.col("_component") == F.col("id"), F.lit(True)).alias("kept"))

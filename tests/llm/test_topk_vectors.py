@@ -61,6 +61,7 @@ def test_topk_large_components_are_exact():
 def test_near_duplicates(spark, n):
     rows = odd_rows(n)
     got = {r["vec_id"]: r for r in vectors.near_duplicates(frame(spark, rows)).collect() if r["vec_id"] is not None}
+    assert len(got) == len(rows) - 1
     ok = [(i, np.array(v, float)) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
     links = [(a, b) for a in range(len(ok)) for b in range(a + 1, len(ok)) if len(ok[a][1]) == len(ok[b][1]) and ok[a][1] @ ok[b][1] / np.linalg.norm(ok[a][1]) / np.linalg.norm(ok[b][1]) >= 0.95]
     root = groups(len(ok), links)
@@ -78,14 +79,53 @@ def test_near_duplicates_empty(spark):
     assert (alone["n_links"], alone["component_id"], alone["kept"]) == (0, 5, True)
 
 
+def check_links(spark, x, ids=None):
+    """The result against all pairs, row by row."""
+    ids = list(range(len(x))) if ids is None else ids
+    out = vectors.near_duplicates(frame(spark, [(i, v.tolist(), 0) for i, v in zip(ids, x)])).collect()
+    x = np.array([np.array(v, np.float32) for v in x], float)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = (u @ u.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    root = np.array(groups(len(x), list(zip(*np.nonzero(hit)))))
+    low = {r: min(ids[k] for k in np.flatnonzero(root == r)) for r in set(root.tolist())}
+    want = sorted((i, int(n), low[r], i == low[r]) for i, n, r in zip(ids, hit.sum(1), root.tolist()))
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in out) == want
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    e = np.eye(6)
+    x = np.array([e[0], e[1], e[0] + 0.05 * e[2], e[1] + 0.05 * e[2], e[3], e[3], e[4]])
+    check_links(spark, x, [1, 1, 2, 3, 5, 5, 1])
+
+
+@pytest.mark.parametrize("inner", [4096, 40])
+def test_near_duplicates_of_clusters(spark, monkeypatch, inner):
+    """Cells that are cut by pivots of their own, and bundles that hold few blocks."""
+    monkeypatch.setattr(vectors, "MOST_IN_BLOCK", inner)
+    monkeypatch.setattr(vectors, "IN_BUNDLE", 100)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 12))
+    x = centres[rng.zipf(1.5, 700) % 20] + rng.normal(size=(700, 12)) * rng.choice([0.02, 0.15, 0.4], 700)[:, None]
+    check_links(spark, np.concatenate([x, x[:30], rng.normal(size=(100, 12))]).astype(np.float32))
+
+
+def test_spanning():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        n = int(rng.integers(1, 40))
+        links = rng.integers(0, n, (int(rng.integers(0, 40)), 2))
+        got = dict(zip(*(x.tolist() for x in vectors.spanning(links[:, 0], links[:, 1]))))
+        assert [got.get(k, k) for k in range(n)] == groups(n, links.tolist())
+
+
 def test_whole_linked_nodes_and_blocks():
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(80, 8)) * 1e-3, rng.normal(size=(40, 8))])
-    df = pd.DataFrame({"id": np.arange(120), "v": list(x), "n": 1, "w": 8, "k": np.arange(120), "centre": list(vectors.levels(vectors._unit(pd.Series(list(x)))))})
+    df = pd.DataFrame({"node": np.arange(120), "block": "b", "v": list(x), "n": 1, "w": 8, "k": np.arange(120), "centre": list(vectors.levels(vectors._unit(pd.Series(list(x)))))})
     out = vectors.link_blocks(df, None, 0.95)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     hit = (u @ u.T >= 0.95) & ~np.eye(120, dtype=bool)
-    counts = out[out["other"].isna()].set_index("id")["n"].to_dict()
+    counts = out[out["other"].isna()].set_index("node")["n"].to_dict()
     assert [counts.get(i, 0) for i in range(120)] == hit.sum(1).tolist()
     pairs = out[out["other"].notna()]
-    assert groups(120, list(zip(pairs["id"], pairs["other"]))) == groups(120, list(zip(*np.nonzero(hit))))
+    assert groups(120, list(zip(pairs["node"], pairs["other"]))) == groups(120, list(zip(*np.nonzero(hit))))
