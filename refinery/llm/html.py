@@ -8,15 +8,19 @@ wrappers (a class name that may mean anything) stays only where it is long and u
 article go as a whole where half of the host's pages have them in their articles, as only a template
 does; a page that would lose most of its article so is a copy of another page, and keeps it.
 
-A host of more than TOKENS_IN_CELL tokens is dealt to cells, whose suffix arrays count their own
-pages; the counts of equal strings are added up over the cells, so that a host of any size gives the
-same result as in one piece.
+A host of more than HTML_IN_CELL bytes is dealt to cells, whose suffix arrays count their own pages;
+the counts of equal strings are added up over the cells, so that a host of any size gives the same
+result as in one piece. Strings that hold three tokens seen only there repeat nowhere in a cell and stay
+out of its suffix array.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from array import array
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -30,7 +34,7 @@ from refinery.operators.partitioning import spread
 
 #: A string repeats on so many pages of a host; a template's inside articles on so many at least.
 LENGTH, PAGES, TEMPLATE = 6, 3, 8
-TOKENS_IN_CELL = 1 << 20
+HTML_IN_CELL = 8 << 20
 #: Rows of one host are joined to its size under so many keys.
 SALTS = 64
 
@@ -155,61 +159,91 @@ def body_kind(kinds) -> int:
 class Streams:
     """The token streams of some pages, and for each string of LENGTH tokens on how many different pages it is.
 
-    A block of fewer tokens is filled up, so that it is a string of its own. Hosts do not mix.
+    A block of fewer tokens is filled up, so that it is a string of its own. Hosts do not mix. With
+    ``least`` above 2, strings on fewer pages may count as on one; with ``least`` None nothing is counted.
     """
 
-    def __init__(self, hosts: list[str], keys: list[int], kinds: list, texts: list) -> None:
-        ids: dict[str, int] = {}
+    def __init__(self, hosts: list[str], keys: list[int], kinds: list, texts: list, least: int | None = 2) -> None:
+        ids: dict[str, int] = defaultdict(count(2).__next__)
         host_ids: dict[str, int] = {}
         page_ids: dict[tuple, int] = {}
-        host_of_page, page, within, flat = [], [], [], []
+        host_of_page, page, within, flat, sizes = [], [], [], array("i"), []
         for h, k, ks, ts in zip(hosts, keys, kinds, texts):
             if (h, k) not in page_ids:
                 page_ids[h, k] = len(page_ids)
                 host_of_page.append(host_ids.setdefault(h, len(host_ids)))
             body = body_kind(ks)
             for kind, text in zip(ks, ts):
+                words = text.split(" ")
                 page.append(page_ids[h, k])
                 within.append(kind == body and body != OPEN)
-                flat.append(np.array([ids.setdefault(w, len(ids) + 2) for w in text.split(" ")], np.int64))
-        self.size = np.array([len(x) for x in flat], np.int64)
+                flat.extend(map(ids.__getitem__, words))
+                sizes.append(len(words))
+        self.size = np.array(sizes, np.int64)
         self.room = np.maximum(self.size, LENGTH)
         self.begin = np.cumsum(self.room + 1) - self.room - 1
         # Symbol 0 parts the blocks, 1 fills them up.
-        t = np.zeros(int((self.room + 1).sum()), np.int64)
+        t = np.zeros(int((self.room + 1).sum()), np.int32)
         t[ranges(self.begin, self.room)] = 1
-        if flat:
-            t[ranges(self.begin, self.size)] = np.concatenate(flat)
-        block = np.repeat(np.arange(len(flat)), self.room - LENGTH + 1)
+        t[ranges(self.begin, self.size)] = np.frombuffer(flat, np.int32) if len(flat) else 0
+        block = np.repeat(np.arange(len(sizes), dtype=np.int32), self.room - LENGTH + 1)
         self.at = ranges(self.begin, self.room - LENGTH + 1)
         page, within = np.array(page, np.int64), np.array(within, bool)
         host = np.array(host_of_page, np.int64)[page] if len(page) else page
-        many = len(host_ids) or 1
-        apart = t * many + np.repeat(host, self.room + 1)
-        apart[t == 0] = 0
-        values, apart = np.unique(apart, return_inverse=True)
-        self.group = np.zeros(len(self.at), np.int64)
-        if len(t):
-            sa = suffix_array(apart)
-            group = np.cumsum(common_prefixes(apart, sa) < LENGTH)
-            of = np.full(len(t), -1)
-            of[sa] = group
-            self.group = np.unique(of[self.at], return_inverse=True)[1]
-        groups = int(self.group.max()) + 1 if len(self.group) else 0
-        pairs = len(page_ids) or 1
-        each = np.unique(self.group * pairs + page[block]) // pairs
-        inside = np.unique((self.group * pairs + page[block])[within[block]]) // pairs
-        self.pages, self.inside = np.bincount(each, minlength=groups), np.bincount(inside, minlength=groups)
-        first = np.unique(self.group, return_index=True)[1]
         letters = np.array([0, 1, *[xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in ids]], np.uint64)
         host_names = np.array([xxhash.xxh64_intdigest(h.encode("utf-8", "surrogatepass")) for h in host_ids], np.uint64)
-        self.host = host[block[first]] if groups else host
-        h = host_names[self.host] if groups else np.array([], np.uint64)
+        self.group = np.arange(len(self.at))
+        self.pages, self.inside = np.ones(len(self.at), np.int64), within[block].astype(np.int64)
+        first = self.group
+        if least is not None and len(self.at):
+            first = self._count(t, block, page, within, host, max(len(host_ids), 1), max(len(page_ids), 1), least)
+        self.host = host[block[first]]
+        h = host_names[self.host] if len(first) else np.array([], np.uint64)
         for j in range(LENGTH):
             h = (h ^ letters[t[self.at[first] + j]]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         self.hash = h
 
+    def _count(self, t, block, page, within, host, hosts: int, pages: int, least: int) -> np.ndarray:
+        """Groups equal strings by the suffix array of those that may repeat; the place of each group's first string among ``at``."""
+        m = np.uint64(0x9E3779B97F4A7C15)
+        gram = np.repeat(host, self.room + 1).astype(np.uint64)[: len(t) - 2]
+        for j in range(3):
+            gram = (gram ^ t[j : len(t) - 2 + j].astype(np.uint64)) * m
+            gram ^= gram >> np.uint64(31)
+        _, same, times = np.unique(gram, return_inverse=True, return_counts=True)
+        often = np.concatenate([[0], np.cumsum(times[same] >= least)])
+        some = np.flatnonzero(often[self.at + LENGTH - 2] - often[self.at] == LENGTH - 2)
+        if not len(some):
+            return self.group
+        # Runs of such strings, with a symbol between; symbols of different hosts differ.
+        at = self.at[some]
+        head = np.concatenate([[True], at[1:] != at[:-1] + 1])
+        start = np.flatnonzero(head)
+        size = np.diff(np.append(start, len(at))) + LENGTH - 1
+        place = np.cumsum(size + 1) - size - 1
+        symbols = np.zeros(int((size + 1).sum()), np.int64)
+        source = ranges(at[start], size)
+        symbols[ranges(place, size)] = t[source].astype(np.int64) * hosts + np.repeat(host[block[some[start]]], size)
+        symbols = np.unique(symbols, return_inverse=True)[1]
+        sa = suffix_array(symbols)
+        group = np.empty(len(symbols), np.int64)
+        group[sa] = np.cumsum(common_prefixes(symbols, sa) < LENGTH)
+        mine = np.unique(group[ranges(place, size - LENGTH + 1)], return_inverse=True)[1]
+        groups = int(mine.max()) + 1
+        where = page[block[some]]
+        each = np.unique(mine * pages + where) // pages
+        inner = np.unique((mine * pages + where)[within[block[some]]]) // pages
+        # Groups of several strings come first, then each other string by itself.
+        rest = np.ones(len(self.at), bool)
+        rest[some] = False
+        alone = np.flatnonzero(rest)
+        self.group = np.empty(len(self.at), np.int64)
+        self.group[some], self.group[alone] = mine, groups + np.arange(len(alone))
+        self.pages = np.concatenate([np.bincount(each, minlength=groups), np.ones(len(alone), np.int64)])
+        self.inside = np.concatenate([np.bincount(inner, minlength=groups), within[block[alone]].astype(np.int64)])
+        return np.concatenate([some[np.unique(mine, return_index=True)[1]], alone])
+
     def covered(self, chosen: np.ndarray) -> list[np.ndarray]:
         """For each block which of its tokens strings of the chosen groups cover."""
         edge = np.zeros(int((self.room + 1).sum()) + 1, np.int64)
@@ -254,20 +288,16 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def parse(batches):
         for b in batches:
-            rows = []
-            for page_id, url, where, page in zip(b["page_id"].tolist(), b["url"].tolist(), b["host"].tolist(), b["html"].tolist()):
-                found = blocks(page)
-                kinds, texts = [k for k, _ in found], [t for _, t in found]
-                key = xxhash.xxh64_intdigest("\n".join(f"{k} {t}" for k, t in found).encode("utf-8", "surrogatepass"))
-                rows.append((page_id, url, where, key - (1 << 63), sum(t.count(" ") + 2 for t in texts), kinds, texts))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "key", "tokens", "kinds", "blocks"])
+            found = [blocks(page) for page in b["html"]]
+            b["kinds"], b["blocks"] = [[k for k, _ in f] for f in found], [[t for _, t in f] for f in found]
+            yield b[["page_id", "url", "host", "key", "kinds", "blocks"]]
 
-    def streams(rows: pd.DataFrame) -> Streams:
-        return Streams(rows["host"].tolist(), rows["key"].tolist(), rows["kinds"].tolist(), rows["blocks"].tolist())
+    def streams(rows: pd.DataFrame, least: int | None) -> Streams:
+        return Streams(rows["host"].tolist(), rows["key"].tolist(), rows["kinds"].tolist(), rows["blocks"].tolist(), least)
 
     def tally(rows: pd.DataFrame) -> pd.DataFrame:
         """A cell's strings by shard: their hashes and on how many pages each is; those on one page only without the numbers."""
-        s = streams(rows)
+        s = streams(rows, 2)
         shard = (s.hash % np.uint64(shards)).astype(np.int64)
         code = np.where(s.pages == 1, s.inside, 2)
         out = []
@@ -301,15 +331,19 @@ def extract(pages: DataFrame) -> DataFrame:
         names = ["page_id", "url", "text"]
         if rows.empty:
             return pd.DataFrame({c: [] for c in names})
-        s = streams(rows)
-        n, inside = s.pages.copy(), s.inside.copy()
-        if len(known):
-            h, sums = (np.concatenate([np.frombuffer(x, "<u8") for x in known[c]]) for c in ("h", "n"))
-            order = np.argsort(h)
-            h, sums = h[order], sums[order]
-            place = np.minimum(np.searchsorted(h, s.hash), len(h) - 1)
-            hit = h[place] == s.hash
-            n[hit], inside[hit] = (sums[place] >> np.uint64(32))[hit], (sums[place] & np.uint64(0xFFFFFFFF))[hit]
+        # In a cell of a host's several the counts of all of them are given.
+        parted = rows["cells"].iloc[0] > 1
+        s = streams(rows, None if parted else PAGES)
+        n, inside = s.pages, s.inside
+        if parted:
+            n, inside = np.zeros(len(s.hash), np.int64), np.zeros(len(s.hash), np.int64)
+            if len(known):
+                h, sums = (np.concatenate([np.frombuffer(x, "<u8") for x in known[c]]) for c in ("h", "n"))
+                order = np.argsort(h)
+                h, sums = h[order], sums[order]
+                place = np.minimum(np.searchsorted(h, s.hash), len(h) - 1)
+                hit = h[place] == s.hash
+                n[hit], inside[hit] = (sums[place] >> np.uint64(32))[hit], (sums[place] & np.uint64(0xFFFFFFFF))[hit]
         often = n >= PAGES
         in_host = dict(zip(rows["host"], rows["in_host"]))
         sizes = np.array(list(in_host.values()), np.int64)[s.host] if len(n) else n
@@ -324,14 +358,13 @@ def extract(pages: DataFrame) -> DataFrame:
 
     spark = pages.sparkSession
     # Ids travel as text: in a batch with a null, numbers would pass through doubles.
-    rows = pages.select(F.col("page_id").cast("string"), "url", host(F.col("url")).alias("host"), "html")
-    parsed = stage(spread(rows).mapInPandas(parse, "page_id string, url string, host string, key long, tokens long, kinds array<int>, blocks array<string>"))
+    rows = spread(pages.select(F.col("page_id").cast("string"), "url", host(F.col("url")).alias("host"), "html", F.coalesce(F.xxhash64("html"), F.lit(0)).alias("key")))
+    parsed = rows.mapInPandas(parse, "page_id string, url string, host string, key long, kinds array<int>, blocks array<string>")
     # One row for each different page of a host, then one for each host.
-    sized = parsed.groupBy("host", "key").agg(F.sum("tokens").alias("tokens")).groupBy("host").agg(F.count("*").alias("in_host"), F.sum("tokens").alias("tokens"))
-    sized = stage(sized.withColumn("cells", F.ceil(F.col("tokens") / TOKENS_IN_CELL).cast("int")))
-    tokens = sized.agg(F.sum("tokens")).first()[0] or 0
-    shards = max(partitions(spark), -(-tokens // (4 * TOKENS_IN_CELL)))
-    groups = max(partitions(spark), -(-tokens // TOKENS_IN_CELL))
+    sized = rows.groupBy("host", "key").agg(F.max(F.coalesce(F.octet_length("html"), F.lit(0))).alias("size")).groupBy("host").agg(F.count("*").alias("in_host"), F.sum("size").alias("size"))
+    sized = stage(sized.withColumn("cells", F.ceil(F.col("size") / HTML_IN_CELL).cast("int")))
+    size = sized.agg(F.sum("size")).first()[0] or 0
+    shards = groups = max(partitions(spark), -(-size // HTML_IN_CELL))
     # Small hosts share a cell; the pages of a large one are dealt to its own, equal ones to the same.
     alone = F.concat(F.lit("#"), F.pmod(F.xxhash64("host"), F.lit(groups)))
     cell = F.when(F.col("cells") > 1, F.concat_ws("#", F.pmod(F.col("key"), F.col("cells")), "host")).otherwise(alone)

@@ -121,9 +121,9 @@ def site(n):
     return pages, want
 
 
-@pytest.mark.parametrize("room", [1 << 20, 700])
+@pytest.mark.parametrize("room", [8 << 20, 9_000])
 def test_a_host_gives_the_same_in_any_number_of_cells(spark, monkeypatch, room):
-    monkeypatch.setattr(html, "TOKENS_IN_CELL", room)
+    monkeypatch.setattr(html, "HTML_IN_CELL", room)
     pages, want = site(120)
     df = spark.createDataFrame([(2**60 + k, f"http://one.example/{k}", p) for k, p in enumerate(pages)] + [(None, "http://one.example/", None)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
