@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions import text as X
-from refinery.operators.cdc import last_change
 from refinery.operators.routing import first_per_key
 
 
@@ -25,22 +24,38 @@ def pending(changes: DataFrame, mark, order: str) -> DataFrame:
     return changes.where(X.after_mark(F.col(order), mark))
 
 
+def effective(nodes: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
+    """The changes that do something, in each key's own order of batches: CHANGED needs a node, from before or by a NEW since its last REMOVED.
+
+    Adds _turn, and _reset: the turn of the key's last REMOVED or CHANGED, from which its edges are made anew.
+    """
+    # Within one batch: CHANGED, NEW, REMOVED.
+    in_order = Window.partitionBy(key).orderBy(order, "change_type")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(key)
+    kind = F.col("change_type")
+    there = nodes.select(F.col(key).alias("_key")).distinct()
+    rows = changes.where(F.col(key).isNotNull()).join(there, F.col(key) == F.col("_key"), "left")
+    last_event = F.last(F.when(kind != "CHANGED", kind), ignorenulls=True).over(before)
+    alive = F.when(last_event.isNull(), F.col("_key").isNotNull()).otherwise(last_event == "NEW")
+    rows = rows.withColumn("_alive", alive).where((kind != "CHANGED") | F.col("_alive")).withColumn("_turn", F.row_number().over(in_order))
+    return rows.withColumn("_reset", F.max(F.when(kind != "NEW", F.col("_turn"))).over(every)).drop("_key", "_alive")
+
+
 def apply(nodes: DataFrame, edges: DataFrame, changes: DataFrame, lookup: DataFrame, key: str, order: str, properties: list[str], items: str) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges) after the changes; applying them again changes nothing.
+    """(nodes, edges) after the changes of any number of batches, each key's in their order. Applying a log again changes nothing, if no CHANGED comes before the NEW of its key.
 
-    Each key's last change counts, by batch. NEW puts the node and its edges; REMOVED takes both;
-    CHANGED replaces the properties and edges of nodes that are there. edges are (key, target);
-    lookup is (name, target), and items it does not know give no edge.
+    NEW puts the node and adds its edges; REMOVED takes both; CHANGED replaces the properties and edges
+    of a node that is there. edges are (key, target); lookup is (name, target), and items it does not
+    know give no edge.
     """
-    last = last_change(changes, key, order)
-    gone, new, changed = (last.where(F.col("change_type") == t) for t in ("REMOVED", "NEW", "CHANGED"))
-    there = changed.join(nodes.select(key).unionByName(new.select(key)).distinct(), key, "left_semi")
-    put = new.unionByName(there)
-    kept = nodes.join(gone.select(key).unionByName(put.select(key)), key, "left_anti")
-    all_nodes = kept.select(key, *properties).unionByName(put.select(key, *properties))
-    # NEW adds to the edges that are there, CHANGED replaces them.
-    left = edges.join(gone.select(key).unionByName(there.select(key)), key, "left_anti")
-    pairs = put.select(key, F.explode(items).alias("name")).join(lookup, "name").where(F.col("target").isNotNull()).select(key, "target")
+    done = effective(nodes, changes, key, order)
+    last = done.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_turn")))).where("_n = 1")
+    put = last.where("change_type <> 'REMOVED'")
+    all_nodes = nodes.join(last.select(key), key, "left_anti").select(key, *properties).unionByName(put.select(key, *properties))
+    left = edges.join(last.where("_reset is not null").select(key), key, "left_anti")
+    adding = done.where("change_type <> 'REMOVED' and _turn >= coalesce(_reset, 0)").join(put.select(key), key, "left_semi")
+    pairs = adding.select(key, F.explode(items).alias("name")).join(lookup, "name").where(F.col("target").isNotNull()).select(key, "target")
     return all_nodes, left.select(key, "target").unionByName(pairs).distinct()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +35,44 @@ CHECKPOINT = _schema(("batch_job",), batch_job=S, synced_at=TS, new_count=I32, r
 MART = _schema(inci_name=S, kor_name=S, eng_name=S, cosing_functions=S, status=S, cosmetic_restriction=S, other_restrictions=S, ingredient_name=S, usage_count=I64, batch_job=S, batch_date=TS)
 CATEGORY = _schema(("category_id",), category_id=S, main_category=S, sub_category=S)
 RULES = _schema(raw=S, fix=S, match_type=S, apply_to=S, synced_at=TS)
+KEYWORDS = _schema(match_type=S, keyword=S, synced_at=TS)
+CUSTOM = _schema(raw=S, standard=S, action=S, reason=S, synced_at=TS)
 METRICS = _schema(batch_date=TS, run_id=S, stage=S, metric_name=S, metric_value=T.DoubleType(), target_table=S, created_at=TS)
 
 
+@dataclass(frozen=True)
+class Table:
+    """A table's name, schema, the columns that part its files (K13; a timestamp by day) and the order within them."""
+
+    name: str
+    schema: T.StructType
+    parts: tuple[str, ...] = ()
+    sort: tuple[str, ...] = ()
+
+    def by(self) -> dict[str, Column | None]:
+        kinds = {f.name: f.dataType for f in self.schema.fields}
+        return {f"{c}_day" if kinds[c] == TS else c: F.to_date(c) if kinds[c] == TS else None for c in self.parts}
+
+
+# The tables, and what parts and orders their files.
+TABLES = {
+    t.name: t
+    for t in (
+        Table("silver", SILVER, ("category",), ("product_brand", "product_id")),
+        Table("silver_error", SILVER_ERROR, ("error_type",), ("product_id",)),
+        Table("ingredient_frequency", FREQUENCY, ("batch_date",), ("category_id", "rank")),
+        Table("change_log", CHANGE_LOG, ("batch_date",), ("change_type", "product_id")),
+        Table("product_ingredients", MART, (), ("ingredient_name",)),
+        Table("sync_checkpoint", CHECKPOINT),
+        Table("category_master", CATEGORY, (), ("category_id",)),
+        Table("typo_map", RULES, ("apply_to",)),
+        Table("garbage_keywords", KEYWORDS),
+        Table("custom_dictionary", CUSTOM),
+        Table("dq_metrics", METRICS, ("batch_date",)),
+    )
+}
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """K4: the schema's columns in its order, cast; missing ones null, others dropped."""
     have = set(df.columns)

@@ -2,52 +2,96 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refinery.schemas import conform, enforce_not_null
+from refinery.schemas import Table, conform, enforce_not_null
 
 
 class BatchStore:
-    """A table as Parquet with one folder for each batch. Batches are only added; current is the newest."""
+    """A table as Parquet with one folder for each batch; current is the newest.
+
+    A batch is written as a whole to its own folder, so writing it again, also after a failure, replaces
+    it. A folder counts once its write has ended. ``by`` names columns, or columns to be derived, whose
+    values part a batch's files; ``sort`` orders the rows within files.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, sort: list[Column] = (), by: dict[str, Column | None] | None = None) -> None:
+        self.spark, self.path, self.schema, self.sort, self.by = spark, path, schema, list(sort), by or {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, root: str, table: Table) -> BatchStore:
+        """The store of one of the declared tables below ``root``."""
+        return cls(spark, f"{root}/{table.name}", table.schema, [F.col(c).asc_nulls_last() for c in table.sort], table.by())
+
+    def _at(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        where, files = self._at(path)
+        return files.exists(where)
+
+    def _folder(self, batch: str) -> str:
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch):
+            raise ValueError(f"not a name of a batch: {batch!r}")
+        return f"{self.path}/_batch={batch}"
+
+    def create(self, replace: bool = False) -> bool:
+        """The typed empty table where there is none, or instead of what is there; whether it was made."""
+        if self._exists(self.path):
+            if not replace:
+                return False
+            self.drop()
+        # Readers pass over names that begin with an underscore and hold no value.
+        self.spark.createDataFrame([], self.schema).write.parquet(f"{self.path}/_schema")
+        return True
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, sort: list[Column] = ()) -> None:
-        self.spark, self.path, self.schema, self.sort = spark, path, schema, list(sort)
+    def drop(self) -> None:
+        """The table and all its batches go."""
+        where, files = self._at(self.path)
+        files.delete(where, True)
 
-    def _exists(self) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+    def _put(self, df: DataFrame, batch: str) -> None:
+        rows = enforce_not_null(conform(df, self.schema), self.schema)
+        parts = [name if c is None else f"_{name}" for name, c in self.by.items()]
+        rows = rows.withColumns({f"_{name}": c for name, c in self.by.items() if c is not None})
+        if self.sort or parts:
+            rows = rows.sortWithinPartitions(*parts, *self.sort)
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(*parts) if parts else writer).parquet(self._folder(batch))
 
     def append(self, df: DataFrame, batch: str, skip_empty: bool = True) -> bool:
-        """K1, K2: adds the batch in the table's schema, sorted within files; an empty one is skipped, so that current stays."""
+        """K1, K2: adds the batch in the table's schema; an empty one is skipped, so that current stays. The same batch again is not added twice."""
         if skip_empty and df.isEmpty():
             return False
-        rows = enforce_not_null(conform(df, self.schema), self.schema).withColumn("_batch", F.lit(batch))
-        if self.sort:
-            rows = rows.sortWithinPartitions(*self.sort)
-        rows.write.mode("append").partitionBy("_batch").parquet(self.path)
+        self._put(df, batch)
         return True
 
     def overwrite(self, df: DataFrame, batch: str) -> None:
-        """K3: the batch becomes current even if it is empty; earlier ones stay readable."""
-        if not self.append(df, batch):
-            empty = self.spark.createDataFrame([], self.schema)
-            empty.write.mode("overwrite").parquet(f"{self.path}/_batch={batch}")
+        """K3: the batch becomes what ``df`` is, even if that is empty; earlier ones stay readable. ``df`` must not read this batch."""
+        self._put(df, batch)
 
     def history(self) -> DataFrame:
-        if not self._exists():
-            return self.spark.createDataFrame([], T.StructType([*self.schema.fields, T.StructField("_batch", T.StringType())]))
-        relaxed = T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields] + [T.StructField("_batch", T.StringType())])
-        return self.spark.read.schema(relaxed).parquet(self.path)
+        fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields] + [T.StructField("_batch", T.StringType())]
+        folders = [self._folder(b) for b in self.batches()]
+        if not folders:
+            return self.spark.createDataFrame([], T.StructType(fields))
+        # Columns that part the files come last in what is read, and derived ones are not the table's.
+        read = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path).parquet(*folders)
+        return read.select(*[f.name for f in fields])
 
     def batches(self) -> list[str]:
-        """Newest first; a listing of partitions, not of rows."""
-        if not self._exists():
+        """Newest first; a listing of folders, not of rows."""
+        if not self._exists(self.path):
             return []
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        names = [s.getPath().getName() for s in where.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(where)]
-        return sorted((n.removeprefix("_batch=") for n in names if n.startswith("_batch=")), reverse=True)
+        where, files = self._at(self.path)
+        names = [s.getPath().getName() for s in files.listStatus(where)]
+        found = [n.removeprefix("_batch=") for n in names if n.startswith("_batch=")]
+        return sorted((b for b in found if self._exists(f"{self._folder(b)}/_SUCCESS")), reverse=True)
 
     def read(self, batch: str) -> DataFrame:
         return self.history().where(F.col("_batch") == batch).drop("_batch")
@@ -57,13 +101,19 @@ class BatchStore:
         return self.read(found[0]) if found else self.history().drop("_batch")
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Arrays joined with |, maps as JSON."""
+def export_csv(df: DataFrame, path: str, taken_at: str | None = None) -> str:
+    """Arrays joined with |, maps and structs as JSON; with ``taken_at`` (as 20240131_235959) in a folder of that name below path. Returns where."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        out.append((F.concat_ws("|", c) if isinstance(f.dataType, T.ArrayType) else F.to_json(c) if isinstance(f.dataType, (T.MapType, T.StructType)) else c).alias(f.name))
-    df.select(*out).write.option("header", True).mode("overwrite").csv(path)
+        if isinstance(f.dataType, T.ArrayType):
+            c = F.concat_ws("|", F.transform(c, lambda x: x.cast("string")) if not isinstance(f.dataType.elementType, (T.ArrayType, T.MapType, T.StructType)) else F.transform(c, F.to_json))
+        elif isinstance(f.dataType, (T.MapType, T.StructType)):
+            c = F.to_json(c)
+        out.append(c.alias(f.name))
+    to = f"{path}/{taken_at}" if taken_at else path
+    df.select(*out).write.option("header", True).mode("overwrite").csv(to)
+    return to
 
 
 def export_graph_csv(df: DataFrame, header: list[str], path: str) -> None:

@@ -112,7 +112,7 @@ def test_graph(spark):
     for _ in range(2):
         nodes, edges = graph.apply(nodes, edges, changes, lookup, "id", "b", ["name"], "items")
         assert {tuple(r) for r in nodes.collect()} == {("a", "A2"), ("c", "C2"), ("d", "D")}
-        assert {tuple(r) for r in edges.collect()} == {("a", "y"), ("c", "y"), ("c", "x"), ("d", "x")}
+        assert {tuple(r) for r in edges.collect()} == {("a", "y"), ("c", "x"), ("d", "x")}
     row = graph.checkpoint_row(changes, "b", F.lit("2024-01-01").cast("timestamp")).first()
     assert (row["batch_job"], row["new_count"], row["removed_count"], row["changed_count"]) == (2, 2, 2, 2)
     assert graph.checkpoint_row(changes.limit(0), "b", F.current_timestamp()).count() == 0
@@ -121,6 +121,38 @@ def test_graph(spark):
     assert graph.pending(changes, None, "b").count() == 6 and graph.pending(changes, 1, "b").count() == 1
 
 
+def sequential(nodes, edges, changes, lookup):
+    """The changes one after the other."""
+    nodes, edges = dict(nodes), set(edges)
+    for key, _, kind, name, items in sorted(changes, key=lambda c: (c[1], c[2])):
+        if kind == "REMOVED" or (kind == "CHANGED" and key in nodes):
+            edges = {e for e in edges if e[0] != key}
+        if kind == "REMOVED":
+            nodes.pop(key, None)
+        elif kind == "NEW" or key in nodes:
+            nodes[key] = name
+            edges |= {(key, lookup[i]) for i in items or [] if lookup.get(i)}
+    return nodes, edges
+
+
+def test_graph_over_batches_equals_one_by_one(spark):
+    rng = random.Random(2)
+    lookup = {"X": "x", "Y": "y", "Z": "z", "N": None}
+    keys = [f"k{i}" for i in range(40)]
+    start = {k: "old" for k in keys if rng.random() < 0.5}
+    old = {(k, rng.choice("xyz")) for k in start}
+    changes = [(k, b, rng.choice(["NEW", "REMOVED", "CHANGED"]), f"{k}-{b}", rng.choice([None, [], rng.sample(["X", "Y", "Z", "N", "?"], 2)])) for k in keys for b in range(1, 6) if rng.random() < 0.5]
+    want = sequential(start, old, changes, lookup)
+    nodes = spark.createDataFrame(list(start.items()), "id string, name string")
+    edges = spark.createDataFrame(sorted(old), "id string, target string")
+    change_rows = spark.createDataFrame([*changes, (None, 1, "NEW", "nobody", ["X"])], "id string, b int, change_type string, name string, items array<string>")
+    names = spark.createDataFrame(list(lookup.items()), "name string, target string")
+    for _ in range(2):
+        nodes, edges = graph.apply(nodes, edges, change_rows, names, "id", "b", ["name"], "items")
+        assert {tuple(r) for r in nodes.collect()} == set(want[0].items())
+        assert {tuple(r) for r in edges.collect()} == want[1]
+
+
 def test_quality(spark):
     routed = spark.createDataFrame([("E",), (None,), (None,)], "error_type string")
     wide = quality.stage_metrics(routed)
