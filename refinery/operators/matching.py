@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions import text as X
 from refinery.operators.partitioning import spread
 
+#: Characters of a text that are looked at together (a look at one copies them all), and beginnings of keys that are told by a set.
+PIECE, MOST_STARTS = 256, 4096
+
 
 def build_dictionary(names: DataFrame, standard: str, others: list[str], order: str) -> DataFrame:
     """M1, M2: (key, standard): each name gives a key with masked commas and one without spaces; nulls and blanks go; for equal keys the last by ``order`` stays."""
@@ -38,52 +42,83 @@ def wide(c: Column) -> Column:
     return F.encode(c, "UTF-32")
 
 
-def part(t: Column, at: Column, size: Column) -> Column:
-    """``size`` characters of a wide text from place ``at`` (from 1)."""
-    return F.decode(F.substring(t, (at - 1) * 4 + 1, size * 4), "UTF-32")
+def _starts(keys: DataFrame, shortest: int) -> tuple[int, list[int]]:
+    """How many characters to look at before anything is joined, and the hashes of the keys' beginnings of that length; 0 where even one character gives too many."""
+    sizes = range(1, min(shortest, 8) + 1)
+    counts = keys.agg(*[F.countDistinct(F.xxhash64(F.substring("_key", 1, 4 * b))).alias(str(b)) for b in sizes]).first()
+    size = max((b for b in sizes if counts[str(b)] <= MOST_STARTS), default=0)
+    return size, [r[0] for r in keys.select(F.xxhash64(F.substring("_key", 1, 4 * size))).distinct().collect()] if size else []
 
 
-def hits(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """M4: (id, at, key, standard) of the longest key at each place, before overlaps are resolved. Places are from 1.
+def hits(docs: DataFrame, dictionary: DataFrame, text_col: str) -> DataFrame:
+    """M4: (h, g, at, n, standard) of the longest key at each place of each different text, before overlaps are resolved. Places are from 1; h and g are the text's hashes.
 
-    Candidates are the substrings of the lengths that keys have, so the join is an equi-join and the
-    dictionary may be of any size: Spark broadcasts it or shuffles both sides. A place counts only if
-    the first characters there begin some key.
+    Texts are read in pieces of PIECE characters. Within a piece a place goes on only if the characters
+    there begin some key, by a set of at most MOST_STARTS hashes; what goes on is a row of its own, and
+    its substrings of the lengths that such keys have are joined with the keys. So the dictionary may be
+    of any size, and rows are made for places that look like hits, not for all.
     """
     keys = dictionary.where("key <> '' and instr(key, ' ') = 0").select("key", "standard", F.length("key").alias("_n"), wide(F.col("key")).alias("_key"))
     shortest, longest = keys.agg(F.min("_n"), F.max("_n")).first()
-    # The more characters all keys have, the fewer places pass the first join.
-    begin, longest = min(shortest or 1, 8) * 4, longest or 0
-    starts = keys.groupBy(F.substring("_key", 1, begin).alias("_begin")).agg(F.collect_set("_n").alias("_lengths"))
-    t = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"))).select("id", wide(F.col("_t")).alias("_t")).where(F.octet_length("_t") > 0)
-    # One row for each place, with the piece that the longest key may take; all in bytes until a key is found.
-    places = t.select("id", "_t", F.explode(F.sequence(F.lit(1), (F.octet_length("_t") / 4).cast("int"))).alias("at"))
-    first = (F.col("at") - 1) * 4 + 1
-    places = places.select("id", "at", F.substring(F.col("_t"), first, F.lit(longest * 4)).alias("_piece"), F.substring(F.col("_t"), first, F.lit(begin)).alias("_begin"))
-    some = places.join(starts, "_begin").select("id", "at", "_piece", F.explode("_lengths").alias("_n"))
-    tried = some.where(F.octet_length("_piece") >= F.col("_n") * 4).select("id", "at", "_n", F.substring(F.col("_piece"), F.lit(1), F.col("_n") * 4).alias("_key"))
-    found = tried.join(keys.select("key", "standard", "_key"), "_key")
-    return found.groupBy("id", "at").agg(F.max_by(F.struct("key", "standard"), "_n").alias("_m")).select("id", "at", "_m.key", "_m.standard")
-
-
-def match(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    if longest is None:
+        return docs.select(F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("g"), F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit("").alias("standard")).limit(0)
+    begin, some = _starts(keys, shortest)
+    lengths = keys.groupBy(F.substring("_key", 1, 4 * min(shortest, 8)).alias("_begin")).agg(F.collect_set("_n").alias("_lengths"))
+    t = spread(docs.select(F.col(text_col).alias("_t"))).select(*text_key(F.col("_t")), wide(F.col("_t")).alias("_t")).where(F.octet_length("_t") > 0)
+    turns = F.explode(F.sequence(F.lit(0), ((F.octet_length("_t") / 4 - 1) / PIECE).cast("int")))
+    pieces = t.select("h", "g", "_t", turns.alias("_turn")).select("h", "g", (F.col("_turn") * PIECE).alias("_base"), F.substring(F.col("_t"), F.col("_turn") * (4 * PIECE) + 1, F.lit(4 * (PIECE + longest - 1))).alias("_piece"))
+    look = f"xxhash64(substring(_piece, 4 * i - 3, {4 * begin})) in ({','.join(map(str, some))})" if begin else "true"
+    places = pieces.select("h", "g", "_base", "_piece", F.explode(F.expr(f"filter(sequence(1, least({PIECE}, cast(octet_length(_piece) / 4 as int))), i -> {look})")).alias("_i"))
+    first = F.col("_i") * 4 - 3
+    places = places.select("h", "g", (F.col("_base") + F.col("_i")).alias("at"), F.substring(F.col("_piece"), first, F.lit(longest * 4)).alias("_piece"))
+    likely = places.withColumn("_begin", F.substring("_piece", 1, 4 * min(shortest, 8))).join(lengths, "_begin").select("h", "g", "at", "_piece", F.explode("_lengths").alias("n"))
+    tried = likely.where(F.octet_length("_piece") >= F.col("n") * 4).select("h", "g", "at", "n", F.substring(F.col("_piece"), F.lit(1), F.col("n") * 4).alias("_key"))
+    found = tried.join(keys.select("standard", "_key"), "_key")
+    return found.groupBy("h", "g", "at").agg(F.max("n").alias("n"), F.max_by("standard", "n").alias("standard"))
+
+
+def text_key(c: Column) -> list[Column]:
+    """128 bits that name a text: equal texts have equal hits, whatever their rows' ids."""
+    return [F.xxhash64(c).alias("h"), F.xxhash64(F.lit(1), c).alias("g")]
+
+
+def leftmost(found: DataFrame) -> DataFrame:
+    """M4's choice: (h, g, taken) with the hits that are taken from the left, in order, as (at, until, standard).
+
+    Hits that overlap follow each other; where none reaches over a place, the choice starts anew, so each
+    such group is resolved by itself.
+    """
+    in_order = Window.partitionBy("h", "g").orderBy("at")
+    reach = F.max(F.col("at") + F.col("n")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = found.withColumn("_new", F.coalesce((F.col("at") >= reach).cast("int"), F.lit(1)))
+    rows = rows.withColumn("_group", F.sum("_new").over(in_order))
+    groups = rows.groupBy("h", "g", "_group").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n")).alias("until"), "standard"))).alias("_hits"))
+    none = F.expr("cast(array() as array<struct<at: int, until: int, standard: string>>)")
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.when(F.coalesce(F.get(acc, F.size(acc) - 1)["until"], F.lit(0)) <= x["at"], F.array_append(acc, x)).otherwise(acc)
+
+    chosen = F.when(F.size("_hits") == 1, F.col("_hits")).otherwise(F.aggregate("_hits", none, step))
+    ordered = F.array_sort(F.collect_list(F.struct("_group", chosen.alias("taken"))))
+    return groups.groupBy("h", "g").agg(F.flatten(F.transform(ordered, lambda x: x["taken"])).alias("taken"))
+
+
+def match(docs: DataFrame, dictionary: DataFrame, text_col: str) -> DataFrame:
     """M4 to M6: adds matches (standard names in order) and residual (the text without what matched; all of it if nothing did) to docs."""
-    per = hits(docs, dictionary, id_col, text_col).groupBy(F.col("id").alias("_hit_id")).agg(F.array_sort(F.collect_list(F.struct("at", "key", "standard"))).alias("_hits"))
-    joined = docs.join(per, F.col(id_col) == F.col("_hit_id"), "left")
-    joined = joined.withColumn("_w", wide(F.coalesce(F.col(text_col), F.lit(""))))
-    t, size = F.col("_w"), (F.octet_length("_w") / 4).cast("int")
-    start = F.struct(F.lit(1).alias("at"), F.expr("cast(array() as array<struct<gap: int, until: int, standard: string>>)").alias("taken"))
-
-    def step(acc: Column, h: Column) -> Column:
-        one = F.struct(acc["at"].alias("gap"), h["at"].alias("until"), h["standard"].alias("standard"))
-        taken = F.struct((h["at"] + F.length(h["key"])).alias("at"), F.array_append(acc["taken"], one).alias("taken"))
-        return F.when(h["at"] >= acc["at"], taken).otherwise(acc)
-
-    done = F.aggregate(F.coalesce("_hits", F.expr("cast(array() as array<struct<at: int, key: string, standard: string>>)")), start, step)
-    joined = joined.withColumn("_done", done)
-    gaps = F.transform(F.col("_done.taken"), lambda x: part(t, x["gap"], x["until"] - x["gap"]))
-    residual = F.concat(F.array_join(gaps, ""), part(t, F.col("_done.at"), size))
-    return joined.select(*docs.columns, F.transform(F.col("_done.taken"), lambda x: x["standard"]).alias("matches"), residual.alias("residual"))
+    per = leftmost(hits(docs, dictionary, text_col)).select(F.col("h").alias("_h"), F.col("g").alias("_g"), F.col("taken").alias("_taken"))
+    h, g = text_key(F.col(text_col))
+    joined = docs.withColumns({"_hh": h, "_gg": g}).join(per, (F.col("_hh") == F.col("_h")) & (F.col("_gg") == F.col("_g")), "left")
+    none = F.expr("cast(array() as array<struct<at: int, until: int, standard: string>>)")
+    joined = joined.withColumn("_taken", F.coalesce("_taken", none))
+    at, until = F.col("_taken")["at"], F.col("_taken")["until"]
+    t = F.coalesce(F.col(text_col), F.lit(""))
+    residual = F.when(F.size("_taken") == 0, t).otherwise(F.pandas_udf(without, "string")(t, at, until))
+    return joined.select(*docs.columns, F.col("_taken")["standard"].alias("matches"), residual.alias("residual"))
+
+
+def without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    """M5: each text without the characters from each start to before its end (from 1, in order). Column functions would copy the whole text for every gap."""
+    return pd.Series(["".join(t[a - 1 : b - 1] for a, b in zip([1, *until], [*at, len(t) + 1])) for t, at, until in zip(texts, starts, ends)], dtype=object)
 
 
 def match_small(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:

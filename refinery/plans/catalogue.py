@@ -378,13 +378,13 @@ MATCH_SQL = f"with {WORDS_SQL}, p as (select string_agg(key, '|' order by length
 
 @register(f"{MATCH_SQL} select doc_id, list_transform(regexp_extract_all(coalesce(text, ''), p), lambda x: upper(x)) as matches from documents, p")
 def dict_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = matching.match(table(spark, sf_dir, "documents").select("doc_id", "text"), word_dictionary(spark, sf_dir), "doc_id", "text")
+    found = matching.match(table(spark, sf_dir, "documents").select("doc_id", "text"), word_dictionary(spark, sf_dir), "text")
     return found.select("doc_id", "matches")
 
 
 @register(f"{MATCH_SQL} select doc_id, regexp_replace(coalesce(text, ''), p, '', 'g') as residual from documents, p")
 def dict_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = matching.match(table(spark, sf_dir, "documents").select("doc_id", "text"), word_dictionary(spark, sf_dir), "doc_id", "text")
+    found = matching.match(table(spark, sf_dir, "documents").select("doc_id", "text"), word_dictionary(spark, sf_dir), "text")
     return found.select("doc_id", "residual")
 
 

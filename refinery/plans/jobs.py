@@ -67,8 +67,8 @@ def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_jo
     order = [F.length("clean_text").asc(), F.col("url").asc(), F.col("ingredients").asc()]
     ranked = routing.keep_best(ok, [F.col("brand"), X.despace(F.col("clean_name"))], order)
     duplicates = ranked.where("not is_best").withColumn("error_type", F.lit(routing.DUPLICATE))
-    best = ranked.where("is_best").withColumn("_row", F.xxhash64("product_id", "url", "ingredients")).withColumn("_search", matching.prepared(F.col("clean_text")))
-    matched = matching.match(best, dictionary, "_row", "_search").persist()
+    best = ranked.where("is_best").withColumn("_search", matching.prepared(F.col("clean_text")))
+    matched = matching.match(best, dictionary, "_search").persist()
     hidden = matching.repeats(F.col("matches"), core) if core else F.lit(False)
     bundles = matched.where(hidden).withColumn("error_type", F.lit(routing.HIDDEN))
     with_hits, leftover = routing.after_match(matched.where(~hidden))

@@ -28,16 +28,32 @@ def test_match_equals_naive(spark):
     texts = ["".join(rng.choice("abcd가나다라 😀") for _ in range(rng.randrange(0, 40))) for _ in range(60)] + ["", None, "zzz", "abcab" * 300]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
     dictionary = spark.createDataFrame([(k, k.upper() + "!") for k in keys], "key string, standard string")
-    for r in matching.match(docs, dictionary, "id", "t").collect():
+    for r in matching.match(docs, dictionary, "t").collect():
         found, rest = naive(r["t"], keys)
         assert r["matches"] == [k.upper() + "!" for k in found] and r["residual"] == rest
     for r in matching.match_small(docs, [k for k in keys if " " not in k], "t").collect():
         assert (r["matches"], r["residual"]) == naive(r["t"], keys)
 
 
+def test_match_of_repeated_ids_and_pieces(spark, monkeypatch):
+    monkeypatch.setattr(matching, "PIECE", 7)
+    monkeypatch.setattr(matching, "MOST_STARTS", 3)
+    keys = ["abcdefghij", "bc", "cdefghijk", "가나다"]
+    texts = ["xxabcdefghijkbc" * 5, "가나다abc가나", "bcbcbc", "zz"]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (None, texts[1]), (None, texts[3]), (2, texts[0]), (2, texts[0])]
+    got = matching.match(spark.createDataFrame([(*r, "clash") for r in rows], "id long, t string, at string"), spark.createDataFrame([(k, k) for k in keys], "key string, standard string"), "t").collect()
+    assert sorted((str(r["id"]), r["t"], r["matches"], r["residual"]) for r in got) == sorted((str(i), t, *naive(t, keys)) for i, t in rows)
+
+
+def test_match_of_a_long_text(spark):
+    text = "some words ab" * 80_000
+    r = matching.match(spark.createDataFrame([(1, text)], "id long, t string"), spark.createDataFrame([("words", "W"), ("ab", "AB")], "key string, standard string"), "t").first()
+    assert len(r["matches"]) == 160_000 and r["residual"] == "some  " * 80_000
+
+
 def test_match_without_keys(spark):
     docs = spark.createDataFrame([(1, "abc")], "id long, t string")
-    r = matching.match(docs, spark.createDataFrame([], "key string, standard string"), "id", "t").first()
+    r = matching.match(docs, spark.createDataFrame([], "key string, standard string"), "t").first()
     assert r["matches"] == [] and r["residual"] == "abc"
 
 
