@@ -17,6 +17,7 @@ out of its suffix array.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 from array import array
 from collections import defaultdict
@@ -25,6 +26,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,6 @@ from refinery.operators.partitioning import spread
 #: A string repeats on so many pages of a host; a template's inside articles on so many at least.
 LENGTH, PAGES, TEMPLATE = 6, 3, 8
 HTML_IN_CELL = 8 << 20
-#: Rows of one host are joined to its size under so many keys.
-SALTS = 64
 
 # Elements that break blocks, that never hold text, and words that mark what is not the article.
 BLOCK = frozenset(
@@ -159,16 +159,18 @@ def body_kind(kinds) -> int:
 class Streams:
     """The token streams of some pages, and for each string of LENGTH tokens on how many different pages it is.
 
-    A block of fewer tokens is filled up, so that it is a string of its own. Hosts do not mix. With
-    ``least`` above 2, strings on fewer pages may count as on one; with ``least`` None nothing is counted.
+    A block of fewer tokens is filled up, so that it is a string of its own. Hosts do not mix; pages
+    of one key count once, those that are not ``counted`` never. With ``least`` above 2, strings on
+    fewer pages may count as on one; with ``least`` None nothing is counted.
     """
 
-    def __init__(self, hosts: list[str], keys: list[int], kinds: list, texts: list, least: int | None = 2) -> None:
+    def __init__(self, hosts: list[str], keys: list[int], kinds: list, texts: list, least: int | None = 2, counted: list[bool] | None = None) -> None:
         ids: dict[str, int] = defaultdict(count(2).__next__)
         host_ids: dict[str, int] = {}
         page_ids: dict[tuple, int] = {}
         host_of_page, page, within, flat, sizes = [], [], [], array("i"), []
-        for h, k, ks, ts in zip(hosts, keys, kinds, texts):
+        for h, k, ks, ts, own in zip(hosts, keys, kinds, texts, counted or [True] * len(hosts)):
+            k = (k, own)
             if (h, k) not in page_ids:
                 page_ids[h, k] = len(page_ids)
                 host_of_page.append(host_ids.setdefault(h, len(host_ids)))
@@ -190,13 +192,15 @@ class Streams:
         self.at = ranges(self.begin, self.room - LENGTH + 1)
         page, within = np.array(page, np.int64), np.array(within, bool)
         host = np.array(host_of_page, np.int64)[page] if len(page) else page
+        real = np.array([own for _, (_, own) in page_ids], bool)
         letters = np.array([0, 1, *[xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in ids]], np.uint64)
         host_names = np.array([xxhash.xxh64_intdigest(h.encode("utf-8", "surrogatepass")) for h in host_ids], np.uint64)
         self.group = np.arange(len(self.at))
-        self.pages, self.inside = np.ones(len(self.at), np.int64), within[block].astype(np.int64)
+        self.pages = real[page[block]].astype(np.int64)
+        self.inside = within[block] * self.pages
         first = self.group
         if least is not None and len(self.at):
-            first = self._count(t, block, page, within, host, max(len(host_ids), 1), max(len(page_ids), 1), least)
+            first = self._count(t, block, page, within, host, max(len(host_ids), 1), real, least)
         self.host = host[block[first]]
         h = host_names[self.host] if len(first) else np.array([], np.uint64)
         for j in range(LENGTH):
@@ -204,7 +208,7 @@ class Streams:
             h ^= h >> np.uint64(29)
         self.hash = h
 
-    def _count(self, t, block, page, within, host, hosts: int, pages: int, least: int) -> np.ndarray:
+    def _count(self, t, block, page, within, host, hosts: int, real: np.ndarray, least: int) -> np.ndarray:
         """Groups equal strings by the suffix array of those that may repeat; the place of each group's first string among ``at``."""
         m = np.uint64(0x9E3779B97F4A7C15)
         gram = np.repeat(host, self.room + 1).astype(np.uint64)[: len(t) - 2]
@@ -231,17 +235,18 @@ class Streams:
         group[sa] = np.cumsum(common_prefixes(symbols, sa) < LENGTH)
         mine = np.unique(group[ranges(place, size - LENGTH + 1)], return_inverse=True)[1]
         groups = int(mine.max()) + 1
-        where = page[block[some]]
-        each = np.unique(mine * pages + where) // pages
-        inner = np.unique((mine * pages + where)[within[block[some]]]) // pages
+        where, pages = page[block[some]], len(real)
+        own, inner = real[where], real[where] & within[block[some]]
+        each = np.unique((mine * pages + where)[own]) // pages
+        inner = np.unique((mine * pages + where)[inner]) // pages
         # Groups of several strings come first, then each other string by itself.
         rest = np.ones(len(self.at), bool)
         rest[some] = False
         alone = np.flatnonzero(rest)
         self.group = np.empty(len(self.at), np.int64)
         self.group[some], self.group[alone] = mine, groups + np.arange(len(alone))
-        self.pages = np.concatenate([np.bincount(each, minlength=groups), np.ones(len(alone), np.int64)])
-        self.inside = np.concatenate([np.bincount(inner, minlength=groups), within[block[alone]].astype(np.int64)])
+        self.pages = np.concatenate([np.bincount(each, minlength=groups), self.pages[alone]])
+        self.inside = np.concatenate([np.bincount(inner, minlength=groups), self.inside[alone]])
         return np.concatenate([some[np.unique(mine, return_index=True)[1]], alone])
 
     def covered(self, chosen: np.ndarray) -> list[np.ndarray]:
@@ -277,51 +282,79 @@ def _pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u8")).tobytes()
 
 
+def _pack48(h: np.ndarray) -> bytes:
+    """Numbers of 48 bits in order: byte by byte, so that the first bytes, which change slowly, take little room."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
+
+
+def _unpack48(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(6, -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :6] = raw.T
+    return out.view("<u8").ravel()
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of pages (page_id, url, html).
 
     text: the main blocks in page order, joined by newlines, empty if there are none; n_chars: its
     code points. Null html is empty; a null or odd url is host ''. Repeated rows repeat; equal pages
     of a host count once. Strings of a host count over all of its pages, however many cells they are
-    dealt to; cells are told apart by a hash of the page, so that no host meets in one task.
+    dealt to; cells are told apart by a hash of the page, so that no host meets in one task, and the
+    copies of a very frequent page by hashes of their rows.
     """
+    low48 = np.uint64((1 << 48) - 1)
 
     def parse(batches):
+        """The pages of each cell, read and packed together."""
+        squeeze = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            found = [blocks(page) for page in b["html"]]
-            b["kinds"], b["blocks"] = [[k for k, _ in f] for f in found], [[t for _, t in f] for f in found]
-            yield b[["page_id", "url", "host", "key", "kinds", "blocks"]]
-
-    def streams(rows: pd.DataFrame, least: int | None) -> Streams:
-        return Streams(rows["host"].tolist(), rows["key"].tolist(), rows["kinds"].tolist(), rows["blocks"].tolist(), least)
+            found = [[page_id, url, where, key, counted, *zip(*blocks(page))] for page_id, url, where, key, counted, page in zip(*(b[c].tolist() for c in ("page_id", "url", "host", "key", "counted", "html")))]
+            cells = b.groupby("cell", sort=False).indices
+            info = b.drop_duplicates("cell").set_index("cell")
+            yield pd.DataFrame(
+                [(cell, int(info.at[cell, "cells"]), int(info.at[cell, "in_host"]), squeeze.compress(json.dumps([found[i] for i in at], ensure_ascii=False).encode())) for cell, at in cells.items()],
+                columns=["cell", "cells", "in_host", "body"],
+            )
+
+    def unpacked(rows: pd.DataFrame) -> list[tuple]:
+        """(page_id, url, host, key, counted, kinds, texts) of each page of a cell."""
+        unzip = zstandard.ZstdDecompressor()
+        return [(*p[:5], *(p[5:] or [[], []])) for x in rows["body"] for p in json.loads(unzip.decompress(x))]
+
+    def streams(found: list[tuple], least: int | None) -> Streams:
+        _, _, hosts, keys, counted, kinds, texts = (list(x) for x in zip(*found))
+        return Streams(hosts, keys, kinds, texts, least, counted)
 
     def tally(rows: pd.DataFrame) -> pd.DataFrame:
-        """A cell's strings by shard: their hashes and on how many pages each is; those on one page only without the numbers."""
-        s = streams(rows, 2)
-        shard = (s.hash % np.uint64(shards)).astype(np.int64)
-        code = np.where(s.pages == 1, s.inside, 2)
+        """A cell's strings by shard: their hashes and on how many pages each is; those on one page only without the numbers. Nothing where the cell has whole hosts."""
         out = []
-        order = np.lexsort((code, shard))
-        both = (shard * 3 + code)[order]
-        for part in np.split(order, np.flatnonzero(both[1:] != both[:-1]) + 1) if len(order) else ():
-            c = int(code[part[0]])
-            counts = _pack(s.pages[part].astype(np.uint64) << np.uint64(32) | s.inside[part].astype(np.uint64)) if c == 2 else None
-            out.append((int(shard[part[0]]), rows["cell"].iloc[0], c, _pack(s.hash[part]), counts))
+        if rows["cells"].iloc[0] > 1:
+            s = streams(unpacked(rows), 2)
+            shard = ((s.hash >> np.uint64(48)) * np.uint64(shards) >> np.uint64(16)).astype(np.int64)
+            h = s.hash & low48
+            code = np.where(s.pages == 1, s.inside, 2)
+            order = np.lexsort((h, code, shard))
+            both = (shard * 3 + code)[order]
+            for part in np.split(order, np.flatnonzero(both[1:] != both[:-1]) + 1):
+                c = int(code[part[0]])
+                counts = _pack(s.pages[part].astype(np.uint64) << np.uint64(32) | s.inside[part].astype(np.uint64)) if c == 2 else None
+                out.append((int(shard[part[0]]), rows["cell"].iloc[0], c, _pack48(h[part]), counts))
         return pd.DataFrame(out, columns=["shard", "cell", "code", "h", "n"])
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         """To each cell: its strings that are on PAGES pages or more of all cells, with the numbers."""
-        h = [np.frombuffer(x, "<u8") for x in rows["h"]]
+        h = [_unpack48(x) for x in rows["h"]]
         one = np.uint64(1 << 32)
         n = np.concatenate([np.frombuffer(x, "<u8") if c == 2 else np.full(len(k), one + np.uint64(c), np.uint64) for x, c, k in zip(rows["n"], rows["code"], h)])
-        origin = np.repeat(np.arange(len(rows)), [len(x) for x in h])
+        origin = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in h])
         h = np.concatenate(h)
         order = np.argsort(h, kind="stable")
         h, n, origin = h[order], n[order], origin[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         sums = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(h))))
         often = sums >> np.uint64(32) >= PAGES
-        h, sums, origin = h[often], sums[often], origin[often]
+        h, sums, origin = h[often] | np.uint64(rows["shard"].iloc[0]) << np.uint64(48), sums[often], origin[often]
         order = np.argsort(origin, kind="stable")
         cuts = np.searchsorted(origin[order], np.arange(len(rows) + 1))
         out = [(rows["cell"].iloc[k], _pack(h[order[cuts[k] : cuts[k + 1]]]), _pack(sums[order[cuts[k] : cuts[k + 1]]])) for k in np.flatnonzero(np.diff(cuts))]
@@ -333,45 +366,55 @@ def extract(pages: DataFrame) -> DataFrame:
             return pd.DataFrame({c: [] for c in names})
         # In a cell of a host's several the counts of all of them are given.
         parted = rows["cells"].iloc[0] > 1
-        s = streams(rows, None if parted else PAGES)
+        found = unpacked(rows)
+        s = streams(found, None if parted else PAGES)
         n, inside = s.pages, s.inside
         if parted:
+            in_host = {p[2]: int(rows["in_host"].iloc[0]) for p in found}
             n, inside = np.zeros(len(s.hash), np.int64), np.zeros(len(s.hash), np.int64)
             if len(known):
                 h, sums = (np.concatenate([np.frombuffer(x, "<u8") for x in known[c]]) for c in ("h", "n"))
                 order = np.argsort(h)
                 h, sums = h[order], sums[order]
-                place = np.minimum(np.searchsorted(h, s.hash), len(h) - 1)
-                hit = h[place] == s.hash
+                mine = ((s.hash >> np.uint64(48)) * np.uint64(shards) >> np.uint64(16)) << np.uint64(48) | s.hash & low48
+                place = np.minimum(np.searchsorted(h, mine), len(h) - 1)
+                hit = h[place] == mine
                 n[hit], inside[hit] = (sums[place] >> np.uint64(32))[hit], (sums[place] & np.uint64(0xFFFFFFFF))[hit]
-        often = n >= PAGES
-        in_host = dict(zip(rows["host"], rows["in_host"]))
-        sizes = np.array(list(in_host.values()), np.int64)[s.host] if len(n) else n
-        repeated = s.covered(often)
+        else:
+            in_host: dict[str, int] = {}
+            for where, _ in {(p[2], p[3]) for p in found}:
+                in_host[where] = in_host.get(where, 0) + 1
+        # Hosts are numbered as they come.
+        sizes = np.array([in_host[where] for where in dict.fromkeys(p[2] for p in found)], np.int64)[s.host]
+        repeated = s.covered(n >= PAGES)
         template = s.covered((inside >= TEMPLATE) & (2 * inside >= sizes))
         texts, at = [], 0
-        for kinds, blocks_ in zip(rows["kinds"], rows["blocks"]):
-            to = at + len(blocks_)
-            texts.append(_text(list(kinds), list(blocks_), repeated[at:to], template[at:to]))
+        for *_, kinds, parts in found:
+            to = at + len(parts)
+            texts.append(_text(kinds, parts, repeated[at:to], template[at:to]))
             at = to
-        return pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": texts})
+        return pd.DataFrame({"page_id": [p[0] for p in found], "url": [p[1] for p in found], "text": texts})
 
     spark = pages.sparkSession
     # Ids travel as text: in a batch with a null, numbers would pass through doubles.
-    rows = spread(pages.select(F.col("page_id").cast("string"), "url", host(F.col("url")).alias("host"), "html", F.coalesce(F.xxhash64("html"), F.lit(0)).alias("key")))
-    parsed = rows.mapInPandas(parse, "page_id string, url string, host string, key long, kinds array<int>, blocks array<string>")
-    # One row for each different page of a host, then one for each host.
-    sized = rows.groupBy("host", "key").agg(F.max(F.coalesce(F.octet_length("html"), F.lit(0))).alias("size")).groupBy("host").agg(F.count("*").alias("in_host"), F.sum("size").alias("size"))
+    rows = pages.select(F.col("page_id").cast("string"), "url", host(F.col("url")).alias("host"), "html", F.coalesce(F.xxhash64("html"), F.lit(0)).alias("key"))
+    each = rows.groupBy("host", "key").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("size"), F.min(F.struct("page_id", "url")).alias("first"))
+    each = stage(each)
+    sized = each.groupBy("host").agg(F.count("*").alias("in_host"), F.sum("size").alias("size"))
     sized = stage(sized.withColumn("cells", F.ceil(F.col("size") / HTML_IN_CELL).cast("int")))
     size = sized.agg(F.sum("size")).first()[0] or 0
-    shards = groups = max(partitions(spark), -(-size // HTML_IN_CELL))
+    shards = groups = min(max(partitions(spark), -(-size // HTML_IN_CELL)), 1 << 16)
+    # Large hosts; and pages whose copies fill a cell: one copy counts, the others are dealt to all of the host's cells.
+    large = sized.where("cells > 1").select(F.col("host").alias("_host"), "in_host", "cells")
+    copied = each.where(F.col("size") > HTML_IN_CELL // 4).where("n > 1").select(F.col("host").alias("_of"), F.col("key").alias("_key"), F.col("first.page_id").alias("_id"), F.col("first.url").alias("_url"))
+    rows = spread(rows).join(large, F.col("host") == F.col("_host"), "left").join(copied, (F.col("host") == F.col("_of")) & (F.col("key") == F.col("_key")), "left")
+    counted = F.col("_of").isNull() | (F.col("page_id").eqNullSafe(F.col("_id")) & F.col("url").eqNullSafe(F.col("_url")))
+    by = F.when(counted, F.col("key")).otherwise(F.xxhash64("page_id", "url"))
     # Small hosts share a cell; the pages of a large one are dealt to its own, equal ones to the same.
-    alone = F.concat(F.lit("#"), F.pmod(F.xxhash64("host"), F.lit(groups)))
-    cell = F.when(F.col("cells") > 1, F.concat_ws("#", F.pmod(F.col("key"), F.col("cells")), "host")).otherwise(alone)
-    salted = sized.select("host", "in_host", "cells", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    dealt = parsed.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["host", "_salt"])
-    dealt = dealt.select("page_id", "url", "host", "key", "kinds", "blocks", "in_host", "cells", cell.alias("cell"))
-    counts = dealt.where("cells > 1").groupBy("cell").applyInPandas(tally, "shard long, cell string, code int, h binary, n binary")
+    cell = F.when(F.col("cells") > 1, F.concat_ws("#", F.pmod(by, F.col("cells")), "host")).otherwise(F.concat(F.lit("#"), F.pmod(F.xxhash64("host"), F.lit(groups))))
+    dealt = rows.select("page_id", "url", "host", "key", "html", F.coalesce("in_host", F.lit(0)).alias("in_host"), F.coalesce("cells", F.lit(1)).alias("cells"), counted.alias("counted"), cell.alias("cell"))
+    packed = dealt.mapInPandas(parse, "cell string, cells int, in_host long, body binary")
+    counts = packed.groupBy("cell").applyInPandas(tally, "shard long, cell string, code int, h binary, n binary")
     replies = counts.groupBy("shard").applyInPandas(total, "cell string, h binary, n binary")
-    found = dealt.groupBy("cell").cogroup(replies.groupBy("cell")).applyInPandas(clean, "page_id string, url string, text string")
+    found = packed.groupBy("cell").cogroup(replies.groupBy("cell")).applyInPandas(clean, "page_id string, url string, text string")
     return found.select(F.col("page_id").cast(pages.schema["page_id"].dataType), "url", "text", F.length("text").cast("long").alias("n_chars"))
