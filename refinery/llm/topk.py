@@ -1,8 +1,11 @@
 """Exact top-k by inner product: columnar branch and bound over blocks.
 
-Candidates are cut into blocks, held dimension by dimension. Scores grow block of dimensions by
-block; what a candidate can still gain is bounded by the product of the remaining norms, and those
-that can no longer reach the query's k-th best are compacted away before the next dimensions.
+Candidates go to the cell of their nearest pivot, and cells to blocks. Each query first searches a
+block near it, whose k-th best score is its floor; it then meets only those blocks that hold a cell
+whose pivot and radius allow a score as high. Within a block candidates are held dimension by
+dimension. Scores grow block of dimensions by block; what a candidate can still gain is bounded by the
+product of the remaining norms, and those that can no longer reach the floor or the query's k-th best
+are compacted away before the next dimensions.
 """
 
 from __future__ import annotations
@@ -15,8 +18,9 @@ from pyspark.sql import functions as F
 from refinery.llm.common import partitions, stage
 
 MOST_IN_BLOCK = 8192
-LEAST_IN_BLOCK = 128
+LEAST_IN_BLOCK = 512
 QUERIES_IN_BLOCK = 2048
+MOST_PIVOTS = 2048
 DIMENSIONS = 16
 #: Sums below this are exact in double precision.
 EXACT = 2.0**52
@@ -46,78 +50,177 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _exact(q: list[float], rows: list[list[float]]) -> list[int]:
+    """Inner products in whole numbers, stopped at the ends of a long."""
+    limit = 2**63 - 1
+    whole = [int(x) for x in q]
+    return [max(-limit, min(limit, sum(a * int(b) for a, b in zip(whole, r)))) for r in rows]
+
+
 def search_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """(query_id, vec_id, score): for each query the k best of this block, ties to smaller ids."""
-    width = max([0, *map(len, queries["v"]), *map(len, rows["v"])])
+    """(query_id, q, vec_id, score): for each query the k best of this block, ties to smaller ids.
+
+    queries: id, v, q (the query's number) and floor (scores below it are not wanted). Vectors whose
+    products may be too large for double precision are settled in whole numbers by themselves.
+    """
+    width = max([1, *map(len, queries["v"]), *map(len, rows["v"])])
     c, q = _matrix(rows["v"], width), _matrix(queries["v"], width)
-    c_ids, q_ids = rows["id"].to_numpy(np.int64), queries["id"].to_numpy(np.int64)
-    out_q, out_c, out_s = [], [], []
-    exact = width == 0 or np.abs(c).max(initial=0) * np.abs(q).max(initial=0) * width < EXACT
-    if not exact:
-        c, q = c.astype(object), q.astype(object)
-        for j in range(q.shape[1]):
-            s = [sum(int(a) * int(b) for a, b in zip(q[:, j], c[:, i])) for i in range(c.shape[1])]
-            top = sorted((i for i in range(len(s)) if c_ids[i] != q_ids[j]), key=lambda i: (-s[i], c_ids[i]))[:k]
-            limit = 2**63 - 1
-            out_q += [q_ids[j]] * len(top)
-            out_c += [c_ids[i] for i in top]
-            out_s += [max(-limit, min(limit, s[i])) for i in top]
-        return pd.DataFrame({"query_id": np.array(out_q, np.int64), "vec_id": np.array(out_c, np.int64), "score": np.array(out_s, np.int64)})
+    c_ids, q_ids, numbers = (x.to_numpy(np.int64) for x in (rows["id"], queries["id"], queries["q"]))
+    floors = queries["floor"].to_numpy(float)
+    most = (EXACT / width) ** 0.5
+    c_large, q_large = np.abs(c).max(0, initial=0) >= most, np.abs(q).max(0, initial=0) >= most
+    large = np.flatnonzero(c_large)
+    small, small_ids = c[:, ~c_large], c_ids[~c_large]
     # Dimensions of most mass first, so that bounds close early.
-    order = np.argsort(-(c**2).sum(1), kind="stable")
-    c, q = np.ascontiguousarray(c[order]), np.ascontiguousarray(q[order])
-    steps = list(range(0, width, DIMENSIONS)) or [0]
-    rest_c = np.stack([np.sqrt((c[s + DIMENSIONS :] ** 2).sum(0)) for s in steps])
+    order = np.argsort(-(small**2).sum(1), kind="stable")
+    small, q = np.ascontiguousarray(small[order]), np.ascontiguousarray(q[order])
+    steps = list(range(0, width, DIMENSIONS))
+    rest_c = np.stack([np.sqrt((small[s + DIMENSIONS :] ** 2).sum(0)) for s in steps])
     rest_q = np.stack([np.sqrt((q[s + DIMENSIONS :] ** 2).sum(0)) for s in steps])
-    some = min(4 * k, c.shape[1])
+    some = min(4 * k, small.shape[1])
+    out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
     for lo in range(0, q.shape[1], 256):
         part = q[:, lo : lo + 256]
-        first = part[:DIMENSIONS].T @ c[:DIMENSIONS]
+        first = part[:DIMENSIONS].T @ small[:DIMENSIONS]
         for j in range(part.shape[1]):
             x, me = part[:, j], q_ids[lo + j]
-            partial, keep = first[j].copy(), np.arange(c.shape[1])
-            partial[c_ids == me] = -np.inf
-            # The exact scores of the most promising few give a floor for the k-th best.
-            probe = np.argpartition(-partial, some - 1)[:some] if some < len(partial) else keep
-            probe = probe[c_ids[probe] != me]
-            full = x @ c[:, probe]
-            floor = np.partition(full, len(full) - k)[len(full) - k] if len(full) >= k else -np.inf
-            keep = keep[c_ids != me]
-            partial = partial[keep]
-            for n, s in enumerate(steps):
-                if n:
-                    partial = partial + x[s : s + DIMENSIONS] @ c[s : s + DIMENSIONS][:, keep]
-                if n + 1 < len(steps):
-                    alive = partial + rest_q[n, lo + j] * rest_c[n, keep] * (1 + 1e-9) + 1e-6 >= floor
-                    if not alive.all():
-                        keep, partial = keep[alive], partial[alive]
-            top = _best(partial, c_ids[keep], k)
-            out_q.append(np.full(len(top), me))
-            out_c.append(c_ids[keep][top])
-            out_s.append(np.rint(partial[top]).astype(np.int64))
+            by_hand = large[c_ids[large] != me]
+            if q_large[lo + j]:
+                by_hand = np.flatnonzero(c_ids != me)
+            ids, scores = np.array([], np.int64), np.array([], np.int64)
+            if len(by_hand):
+                v = rows["v"].iloc
+                ids, scores = c_ids[by_hand], np.array(_exact(queries["v"].iloc[lo + j], [v[i] for i in by_hand]), np.int64)
+            if not q_large[lo + j] and len(small_ids):
+                partial, keep = first[j].copy(), np.arange(small.shape[1])
+                partial[small_ids == me] = -np.inf
+                # The exact scores of the most promising few give a floor for the k-th best.
+                probe = np.argpartition(-partial, some - 1)[:some] if some < len(partial) else keep
+                probe = probe[small_ids[probe] != me]
+                full = x @ small[:, probe]
+                floor = max(floors[lo + j], np.partition(full, len(full) - k)[len(full) - k] if len(full) >= k else -np.inf)
+                keep = keep[small_ids != me]
+                partial = partial[keep]
+                for n, s in enumerate(steps):
+                    if n:
+                        partial = partial + x[s : s + DIMENSIONS] @ small[s : s + DIMENSIONS][:, keep]
+                    if n + 1 < len(steps):
+                        alive = partial + rest_q[n, lo + j] * rest_c[n, keep] * (1 + 1e-9) + 1e-6 >= floor
+                        if not alive.all():
+                            keep, partial = keep[alive], partial[alive]
+                ids, scores = np.concatenate([ids, small_ids[keep]]), np.concatenate([scores, np.rint(partial).astype(np.int64)])
+            top = np.lexsort((ids, -scores))[:k]
+            top = top[scores[top] >= floors[lo + j]]
+            out.append((me, numbers[lo + j], ids[top], scores[top]))
+    sizes = [len(x[2]) for x in out]
     join = lambda parts: np.concatenate(parts) if parts else np.array([], np.int64)
-    return pd.DataFrame({"query_id": join(out_q), "vec_id": join(out_c), "score": join(out_s)})
+    return pd.DataFrame({"query_id": np.repeat(np.array([x[0] for x in out], np.int64), sizes), "q": np.repeat(np.array([x[1] for x in out], np.int64), sizes), "vec_id": join([x[2] for x in out]), "score": join([x[3] for x in out])})
+
+
+def _to(v: list, width: int) -> np.ndarray:
+    return _matrix(pd.Series(list(v)), width).T
 
 
 def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows of most inner product with each query, its own id left out; ties to smaller ids.
+    """(query_id, rank, vec_id, score): the k rows of most inner product with each query, rows of its own id left out; ties to smaller ids.
 
-    Both sides are (id, v) of ``integers``. Queries and rows are dealt into blocks of bounded size by
-    a hash of the id, every query block meets every row block once, and the blocks' best are merged.
-    Vectors of unequal length count as filled up with zeros. A repeated id is one row (its least
-    vector). Scores beyond a long stop at its ends. An empty side gives an empty result.
+    Both sides are (id, v) of ``integers``. Vectors of unequal length count as filled up with zeros.
+    Rows that share an id are rows like others; queries that do share one answer. Scores beyond a long
+    stop at its ends. An empty side gives an empty result. Pivots are a bounded sample of the rows;
+    every row is placed, and every query meets every row that its bounds do not leave out.
     """
     spark = rows.sparkSession
-    rows = stage(rows.groupBy("id").agg(F.min("v").alias("v")))
-    queries = stage(queries.groupBy("id").agg(F.min("v").alias("v")))
-    n, m = rows.count(), queries.count()
+    rows, queries = stage(rows), stage(queries.withColumn("q", F.monotonically_increasing_id()))
+    n = rows.count()
+    chosen = [np.array(r["v"], float) for r in rows.orderBy(F.xxhash64("id", F.lit(3)), "id", "v").limit(min(max(int(n**0.5), 1), MOST_PIVOTS)).select("v").collect()]
+    width = max([1, *map(len, chosen)])
     blocks = max(min(partitions(spark), -(-n // LEAST_IN_BLOCK)), -(-n // MOST_IN_BLOCK), 1)
-    turns = max(-(-m // QUERIES_IN_BLOCK), 1)
-    own = lambda parts: F.pmod(F.xxhash64("id", F.lit(5)), F.lit(parts)).cast("int")
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    left = queries.select("id", "v", own(turns).alias("t"), every(blocks).alias("b")).groupBy("t", "b")
-    right = rows.select("id", "v", own(blocks).alias("b"), every(turns).alias("t")).groupBy("t", "b")
-    found = left.cogroup(right).applyInPandas(lambda q, c: search_block(q, c, k), "query_id long, vec_id long, score long")
+    pivots = _to(chosen, width) if chosen else np.zeros((1, width))
+    norms = (pivots**2).sum(1)
+
+    def nearest(v: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cell, distance from its pivot and norm; what lies beyond the pivots' width only adds to the distance."""
+        x = _to(v, max([width, *map(len, v)]))
+        square, inner = (x**2).sum(1), x[:, :width]
+        d = (inner**2).sum(1)[:, None] - 2 * inner @ pivots.T + norms[None, :]
+        cell = d.argmin(1)
+        beyond = (x[:, width:] ** 2).sum(1)
+        # From the differences themselves: the squares' difference would lose digits of large vectors.
+        far = np.sqrt(((inner - pivots[cell]) ** 2).sum(1) + beyond)
+        return cell.astype(np.int32), far, np.sqrt(square)
+
+    def place(batches):
+        for b in batches:
+            if len(b):
+                b["cell"], b["far"], b["norm"] = nearest(b["v"].tolist())
+                yield b
+
+    placed = rows.mapInPandas(place, "id long, v array<double>, cell int, far double, norm double")
+    sized = stage(placed.groupBy("cell").agg(F.count("*").alias("in_cell"), F.max("far").alias("far"), F.max("norm").alias("norm")))
+    # A cell's rows go to blocks of its own number, as many as its size needs.
+    parts = F.ceil(F.col("in_cell") / max(-(-n // blocks), 1)).cast("int")
+    shares = sized.select("cell", parts.alias("parts"))
+    part = F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("cell", part), F.lit(blocks)).cast("int")
+    placed = stage(placed.join(shares, "cell").select("id", "v", own.alias("b"), "cell"))
+    # At most MOST_PIVOTS rows: each cell's reach, and the blocks that hold some of it.
+    reach = {r["cell"]: r for r in sized.collect()}
+    held = {r["cell"]: r["at"] for r in placed.groupBy("cell").agg(F.collect_set("b").alias("at")).collect()}
+    known = sorted(reach)
+    radius, longest = np.array([reach[c]["far"] for c in known]), np.array([reach[c]["norm"] for c in known])
+    in_block = np.zeros((len(known), blocks), bool)
+    for i, c in enumerate(known):
+        in_block[i, held[c]] = True
+
+    def bounds(v: list) -> tuple[np.ndarray, np.ndarray]:
+        """[query, cell]: inner product with the pivot, and the most that any row of the cell may have, with room for rounding."""
+        x = _to(v, max([width, *map(len, v)]))
+        size = np.sqrt((x**2).sum(1))[:, None]
+        middle = x[:, :width] @ pivots[known].T
+        most = np.minimum(middle + size * radius[None, :], size * longest[None, :])
+        return middle, most + 1e-6 + 1e-9 * size * longest[None, :]
+
+    def first_look(batches):
+        """Each query to one block that holds rows of the cell most like it."""
+        for b in batches:
+            if len(b) and len(known):
+                middle, _ = bounds(b["v"].tolist())
+                b["b"] = in_block[middle.argmax(1)].argmax(1).astype(np.int32)
+                b["floor"] = -np.inf
+                yield b[["id", "v", "q", "floor", "b"]]
+
+    def second_look(batches):
+        """Each query to the other blocks that may hold a score as high as its floor."""
+        for b in batches:
+            if not len(b) or not known:
+                continue
+            middle, most = bounds(b["v"].tolist())
+            seen = in_block[middle.argmax(1)].argmax(1)
+            wanted = np.zeros((len(b), blocks), bool)
+            for i in range(len(known)):
+                wanted |= (most[:, i] >= b["floor"].to_numpy())[:, None] & in_block[i][None, :]
+            wanted[np.arange(len(b)), seen] = False
+            at, to = np.nonzero(wanted)
+            out = b.iloc[at][["id", "v", "q", "floor"]].copy()
+            out["b"] = to.astype(np.int32)
+            yield out
+
+    shape = "id long, v array<double>, q long, floor double, b int"
+
+    def met(asked: DataFrame, turns: int) -> DataFrame:
+        own = lambda parts: F.pmod(F.xxhash64("q", F.lit(5)), F.lit(parts)).cast("int")
+        left = asked.withColumn("t", own(turns)).groupBy("t", "b")
+        right = placed.select("id", "v", "b", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("t")).groupBy("t", "b")
+        return left.cogroup(right).applyInPandas(lambda q, c: search_block(q, c, k), "query_id long, q long, vec_id long, score long")
+
+    m = queries.count()
+    near = stage(met(queries.mapInPandas(first_look, shape), 1 if m <= QUERIES_IN_BLOCK * blocks else -(-m // (QUERIES_IN_BLOCK * blocks))))
+    best = Window.partitionBy("q").orderBy(F.desc("score"), F.asc("vec_id"))
+    floors = near.withColumn("_n", F.row_number().over(best)).where(F.col("_n") == k).select("q", F.col("score").cast("double").alias("floor"))
+    # A score that double precision holds only nearly must not lie above itself.
+    lower = F.coalesce(F.col("floor") - F.abs("floor") * 1e-12 - 1, F.lit(float("-inf")))
+    asked = queries.join(floors, "q", "left").select("id", "v", "q", lower.alias("floor")).mapInPandas(second_look, shape)
+    found = near.unionByName(met(asked, max(-(-m // QUERIES_IN_BLOCK), 1)))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

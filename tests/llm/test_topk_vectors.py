@@ -23,24 +23,44 @@ def odd_rows(n, seed=0, d=24):
 
 
 def brute_topk(rows, k):
-    good = {}
-    for i, v, _ in rows:
-        if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v):
-            good[i] = [int(np.floor(64 * float(c))) for c in v]
-    out = set()
-    for q, v in good.items():
+    """The ranked (vec_id, score) of each query id; rows of one id all count."""
+    good = [(i, [int(np.floor(64 * float(c))) for c in v]) for i, v, _ in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    scores = {}
+    for q, v in good:
         if q % 20 == 0:
-            s = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good.items() if i != q)[:k]
-            out |= {(q, n, i, -x) for n, (x, i) in enumerate(s, 1)}
-    return out
+            scores.setdefault(q, []).extend((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)
+    return sorted((q, n, i, -x) for q, s in scores.items() for n, (x, i) in enumerate(sorted(s)[:k], 1))
+
+
+def found_topk(spark, rows, k=20):
+    v = topk.integers(frame(spark, rows), "vec_id", "embedding")
+    return sorted(tuple(r) for r in topk.search(v.where("id % 20 = 0"), v, k).collect())
 
 
 @pytest.mark.parametrize("n", [45, 700])
 def test_topk(spark, n):
     rows = odd_rows(n)
-    v = topk.integers(frame(spark, rows), "vec_id", "embedding")
-    got = {tuple(r) for r in topk.search(v.where("id % 20 = 0"), v, 20).collect()}
-    assert got == brute_topk(rows, 20)
+    assert found_topk(spark, rows) == brute_topk(rows, 20)
+
+
+def test_topk_of_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (1, [2.0, 0.0], 0), (2, [0.5, 0.0], 0), (20, [0.0, 1.0], 0), (3, [0.0, 1.0], 0), (3, [0.0, 1.0], 0)]
+    got = found_topk(spark, rows)
+    assert got == brute_topk(rows, 20) and (20, 1, 1, 64 * 128) in got
+
+
+def test_topk_of_clusters_and_outliers(spark, monkeypatch):
+    monkeypatch.setattr(topk, "LEAST_IN_BLOCK", 20)
+    monkeypatch.setattr(topk, "MOST_IN_BLOCK", 60)
+    monkeypatch.setattr(topk, "QUERIES_IN_BLOCK", 9)
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 40)) * 3
+    x = centres[rng.zipf(1.4, 900) % 12] + rng.normal(size=(900, 40)) * 0.1
+    x[5] *= 2.0**30
+    x[40] *= 2.0**33
+    x[41, :3] = 2.0**20
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(x)]
+    assert found_topk(spark, rows, 7) == brute_topk(rows, 7)
 
 
 def test_topk_few_and_none(spark):
@@ -52,7 +72,7 @@ def test_topk_few_and_none(spark):
 
 
 def test_topk_large_components_are_exact():
-    q = pd.DataFrame({"id": [0], "v": [[2.0**40, 3.0]]})
+    q = pd.DataFrame({"id": [0], "v": [[2.0**40, 3.0]], "q": [0], "floor": [-np.inf]})
     c = pd.DataFrame({"id": [1, 2], "v": [[2.0**20, 1.0], [2.0**20, 2.0]]})
     assert topk.search_block(q, c, 5)["score"].tolist() == [2**60 + 6, 2**60 + 3]
 
