@@ -159,18 +159,19 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, into: str = "s
     """Adds the column ``into`` to docs: array<struct<kind, start, end>> by start, then rule order.
 
     Matches are leftmost and do not overlap within a rule. Null text is empty, and so is its array.
-    A row's doc_id may be null or repeated: postings of equal ids are united, which can only add
-    candidates. Columns of docs are kept.
+    Postings name a row by a hash of its doc_id and text, so that null and repeated ids do not gather;
+    rows of one hash are equal, or at worst add candidates. Columns of docs are kept.
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = [r for r in rules if frozenset() not in queries[r.kind]]
     trigrams = sorted({t for r in indexed for a in queries[r.kind] for t in a})
     text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.xxhash64("doc_id", "text")
     hits = docs.sparkSession.range(0).select(F.col("id").alias("_id"), F.array(F.lit("")).alias("_kinds"))
     if indexed:
-        index = build_index(docs.select("doc_id", text.alias("text")), trigrams)
+        index = build_index(docs.select(key.alias("doc_id"), text.alias("text")), trigrams)
         hits = candidates(index, indexed).select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
-    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = docs.join(hits, key == F.col("_id"), "left")
     none = F.expr("cast(array() as array<struct<start: int, turn: int, end: int>>)")
     found = [F.when(F.array_contains("_kinds", r.kind), _spans(text, r, n)).otherwise(none) if r in indexed else _spans(text, r, n) for n, r in enumerate(rules)]
     kinds = F.array(*[F.lit(r.kind) for r in rules])
