@@ -73,7 +73,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
     """What a mix of ``docs`` (doc_id, text, source) takes of each row.
 
     Sources get blocks of ``block`` words by highest quotients, and each source's blocks go to its
-    shards (rows dealt by a seeded hash of doc_id) in the same way. A shard's rows, in seeded order,
+    shards (rows dealt by a seeded hash of doc_id and text) in the same way. A shard's rows, in seeded order,
     are cut into blocks; its quota is that many blocks, taken from the front of that order, going
     round again where it has more blocks than the shard: a whole pass takes every row once.
 
@@ -81,7 +81,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
     counted, at most ``cap`` times size). Null text has size 0, null source is a source of its own,
     repeated rows are rows like others, an empty table gives an empty one. Other columns are ignored, but for those named in ``also``.
     """
-    key = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    key = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed))
     sizes = stage(docs.select("doc_id", "source", *also, word_count(F.col("text")).alias("size"), key.alias("_key")))
     n = sizes.count()
     shards = min(max(-(-n // DOCS_IN_SHARD), 1), MOST_SHARDS)
