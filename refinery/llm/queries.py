@@ -30,8 +30,8 @@ turns as (
 rendered as (
   select t.conv_id, s.speaker as perspective, t.n, t.turn, t.role as author,
     case when t.role = s.speaker then 'assistant' else 'user' end as as_role, t.role = s.speaker as trained,
-    case when t.role = s.speaker then '<|assistant|>' || chr(10) else '<|user name="' || t.role || '"|>' || chr(10) end as head,
-    t.text || '<|end|>' || chr(10) as body
+    case when t.role = s.speaker then '<|assistant|>' || chr(10) else '<|user name="' || replace(replace(replace(replace(t.role, '&', '&amp;'), '<|', '<&#124;'), '|>', '&#124;>'), '"', '&#34;') || '"|>' || chr(10) end as head,
+    replace(replace(replace(t.text, '&', '&amp;'), '<|', '<&#124;'), '|>', '&#124;>') || '<|end|>' || chr(10) as body
   from turns t join speakers s on s.conv_id is not distinct from t.conv_id),
 placed as (
   select *, coalesce(sum(length(head) + length(body)) over (partition by conv_id, perspective order by n rows between unbounded preceding and 1 preceding), 0) as place
