@@ -23,6 +23,8 @@ BITS = 64
 #: An index value with more fingerprints than this is searched block by block, without candidate rows.
 HOT = 256
 BLOCK = 4096
+#: Keys under which the members of one class are joined.
+SALTS = 16
 #: Cost of making one probe, counted in candidates.
 PROBE = 30.0
 #: Texts sampled for frequent shingles, in how many of them one is frequent, and how many are listed.
@@ -282,9 +284,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame
     of = stage(fingerprints(docs, words))
     nodes = Staged(of.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     joined = components(links(nodes.df.select("fp"), most))
-    classed = nodes.df.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("class"))
-    lowest = classed.groupBy("class").agg(F.min("rep").alias("component_id"))
-    named = classed.join(lowest, "class").select("fp", "component_id")
+    classed = nodes.df.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.col("component").alias("class"), F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int").alias("_salt"))
+    # Only linked fingerprints need their class's least doc_id; the members of a large class are joined under several keys.
+    lowest = classed.where("class is not null").groupBy("class").agg(F.min("rep").alias("component_id")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = classed.where("class is not null").join(lowest, ["class", "_salt"]).select("fp", "component_id")
+    named = named.unionByName(classed.where("class is null").select("fp", F.col("rep").alias("component_id")))
     return of.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
