@@ -24,6 +24,8 @@ TOKEN = re.compile(r"[^\W_]+")
 #: Bounds of the labelled sample, of the lexicon and of the memo of looked-up words.
 MOST_TOXIC, MOST_CLEAN, MOST_TERMS, MOST_WORDS = 4000, 12000, 2000, 500_000
 WINDOW = 8
+#: How many times as often as by chance the words of a beginning are toxic, the most toxic of them left out.
+STEM_LIFT = 15
 # Words around a quotation, and words that speak to somebody.
 REPORTS = frozenset("said says wrote writes quoted quote called term word dit écrit cité mot sagte schrieb zitiert wort dijo escribió citó palabra".split())
 SECOND = frozenset("you your you're u tu te toi vous ton ta du dich dir ihr euch dein tú usted ustedes vosotros".split())
@@ -143,12 +145,13 @@ class Lexicon:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic): at most MOST_TOXIC toxic and MOST_CLEAN other labelled rows outside the held-out part, those of least hash."""
+    """(doc_id, text, toxic): at most MOST_TOXIC toxic and MOST_CLEAN other labelled rows outside the held-out part, those of least hash; of rows that share an id the first text."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out()).withColumn("_h", F.xxhash64("doc_id", F.lit(11)))
     some = known.where("toxic = 1").orderBy("_h").limit(MOST_TOXIC).unionByName(known.where("toxic <> 1").orderBy("_h").limit(MOST_CLEAN))
     # The sample's ids are bounded by the limits above.
-    return docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id", "toxic")), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id", "toxic")), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def held_out():
@@ -181,15 +184,20 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float, bool]]:
     def telling(df: DataFrame) -> DataFrame:
         expected = (F.col("bad") + F.col("good")) * share
         more = F.col("bad") / F.greatest(expected, F.lit(1e-9))
-        return df.withColumn("g", 2 * F.col("bad") * F.log(more)).where((F.col("bad") * (1 - share) > 4 * share * F.col("good")) & (F.col("g") >= 20))
+        return df.withColumn("g", 2 * F.col("bad") * F.log(more)).where(F.col("bad") * (1 - share) > 4 * share * F.col("good"))
 
-    words = telling(counted).orderBy(F.desc("g"), "word").limit(MOST_TERMS).collect()
-    stems = {}
+    words = telling(counted).where("g >= 20").orderBy(F.desc("g"), "word").limit(MOST_TERMS).collect()
+    stems: dict[str, float] = {}
     for size in (4, 5, 6, 7):
-        part = counted.where(F.length("word") > size).groupBy(F.substring("word", 1, size).alias("word")).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("forms"))
-        pure = telling(part).where("forms >= 5 and g >= 60 and bad > 50 * good")
+        part = counted.where(F.length("word") > size).groupBy(F.substring("word", 1, size).alias("word"))
+        part = part.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("forms"), F.max("bad").alias("top"))
+        # A beginning has to tell by many words, not by one of them.
+        pure = telling(part).where((F.col("g") >= 25) & (F.col("forms") >= 5) & ((F.col("bad") - F.col("top")) * (1 - share) > STEM_LIFT * share * F.col("good")))
         stems |= {r["word"]: r["g"] for r in pure.orderBy(F.desc("g"), "word").limit(MOST_TERMS // 8).collect()}
-    stems = {s: g for s, g in stems.items() if not any(s[:k] in stems for k in range(4, len(s)))}
+    # Of beginnings that continue each other the most telling one, the shorter of equal ones.
+    for s in sorted(stems, key=lambda s: (stems[s], -len(s))):
+        if any(t != s and (t.startswith(s) or s.startswith(t)) for t in stems):
+            del stems[s]
     scale = math.log1p(max([r["g"] for r in words] + [*stems.values(), 1.0]))
     return [(r["word"], math.log1p(r["g"]) / scale, False) for r in words] + [(s, math.log1p(g) / scale, True) for s, g in sorted(stems.items())]
 

@@ -2,12 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from helpers import documents
 
 from refinery.llm import toxicity
 from refinery.llm.common import table
 
-SF = "/root/testdata/sf0.1"
 
 
 def distance(a, b):
@@ -54,8 +54,10 @@ def test_context():
     assert lexicon.features("1diot")[toxicity.NAMES.index("fuzzy")] > 0
 
 
-def test_held_out_accuracy(spark):
-    docs, labels = table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "labels")
+@pytest.mark.parametrize("size, wrong", [("sf0.01", 0.02), ("sf0.1", 0.01)])
+def test_held_out_accuracy(spark, size, wrong):
+    sf = f"/root/testdata/{size}"
+    docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
     scored = toxicity.assess(docs, labels)
     rows = scored.drop("text").join(labels, "doc_id").collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in rows)
@@ -63,7 +65,27 @@ def test_held_out_accuracy(spark):
     bad = np.array([r["score"] for r in held if r["toxic"] == 1])
     good = np.array([r["score"] for r in held if r["toxic"] == 0])
     assert (bad[:, None] > good[None, :]).mean() + 0.5 * (bad[:, None] == good[None, :]).mean() > 0.95
-    assert (good >= 0.3).mean() < 0.01 and (bad >= 0.3).mean() > 0.85
+    assert (good >= 0.3).mean() < wrong and (bad >= 0.3).mean() >= 0.9
+
+
+def test_beginnings_are_learned_by_many_words(spark):
+    """Toxic words of one beginning, each rare, count together; a beginning that one word makes toxic does not."""
+    rng = random.Random(3)
+    calm = [f"calm{k}" for k in range(300)]
+    rows = []
+    for n in range(240):
+        words = [rng.choice(calm) for _ in range(30)]
+        if n % 6 == 0:
+            for k in range(0, 30, 6):
+                words[k] = f"vexor{rng.choice('abcdefghijklmnop')}{rng.choice('abcdefghijklmnop')}"
+                words[k + 1] = "slurrer"
+        elif n % 6 == 1:
+            words[3] = f"slurr{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}"
+        rows.append((n, " ".join(words), int(n % 6 == 0)))
+    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    stems = [w for w, _, stem in terms if stem]
+    assert len(stems) == 1 and "vexor".startswith(stems[0])
+    assert "slurrer" in [w for w, _, stem in terms if not stem]
 
 
 def test_odd_tables(spark):
