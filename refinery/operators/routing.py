@@ -47,3 +47,9 @@ def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 def after_match(df: DataFrame, matches: str = "matches", residual: str = "residual") -> tuple[DataFrame, DataFrame]:
     """(rows with matches, rows whose residual means something). A row may be in both or in neither."""
     return df.where(F.size(matches) > 0), df.where(X.significant(X.unmask(F.col(residual)))).withColumn("error_type", F.lit(RESIDUAL))
+
+
+def both_and_neither(df: DataFrame, matches: str = "matches", residual: str = "residual") -> DataFrame:
+    """rows_both and rows_dropped, the rows that ``after_match`` gives twice and those it gives not at all."""
+    hit, rest = F.size(matches) > 0, X.significant(X.unmask(F.col(residual)))
+    return df.agg(F.count_if(hit & rest).alias("rows_both"), F.count_if(~hit & ~rest).alias("rows_dropped"))

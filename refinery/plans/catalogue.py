@@ -37,11 +37,18 @@ def register(sql: str | None = None):
     return add
 
 
+def _complete() -> None:
+    # Registers its own queries when it is read.
+    from refinery.plans import products  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _complete()
     return {name: q.run for name, q in _all.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _complete()
     return {name: q.sql for name, q in _all.items() if q.sql}
 
 
@@ -224,18 +231,6 @@ def clean_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", X.collapse(X.unify_separators(F.regexp_replace("text", X.NAME_BRACKET, " "))).alias("clean"))
 
 
-@register()
-def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 to T6 with look-around, which the SQL engine's regexes lack."""
-    return table(spark, sf_dir, "part").select("p_partkey", X.clean_name(F.concat_ws(" ", "p_name", F.lit("[set] 150ml"))).alias("clean"))
-
-
-@register()
-def drop_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T10, T12, T13 with look-around."""
-    return table(spark, sf_dir, "documents").select("doc_id", X.drop_concentrations(X.strip_header(X.drop_notices(F.col("text")))).alias("clean"))
-
-
 @register("select doc_id, regexp_replace(regexp_replace(text, '([A-Za-z0-9]),([A-Za-z0-9])', '\\1_C_\\2', 'g'), '([A-Za-z0-9]),([A-Za-z0-9])', '\\1_C_\\2', 'g') as masked from documents")
 def mask_commas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.mask_commas(F.col("text")).alias("masked"))
@@ -344,11 +339,11 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(spark, sf_dir).select("doc_id", F.array_join(X.missing_fields(fields), ",").alias("missing"))
 
 
-DEDUP_SQL = "select doc_id, lang, row_number() over (partition by lang, replace(split_part(text, chr(10), 1), ' ', '') order by n_chars, doc_id) as turn from documents"
+DEDUP_SQL = "select doc_id, lang, row_number() over (partition by lang, replace(text, ' ', '') order by n_chars, doc_id) as turn from documents"
 
 
 def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", X.despace(F.substring_index("text", "\n", 1)).alias("norm"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", X.despace(F.col("text")).alias("norm"))
     return routing.keep_best(docs, [F.col("lang"), F.col("norm")], [F.col("n_chars").asc(), F.col("doc_id").asc()])
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery import schemas
 from refinery.functions import text as X
-from refinery.operators import cdc, graph, marts, matching, quality, routing, rules
+from refinery.operators import batch, cdc, graph, marts, matching, quality, routing, rules
 from refinery.sources.sinks import BatchStore
 
 REQUIRED = ("name", "brand", "url", "ingredients", "main_category", "sub_category", "crawled_at")
@@ -17,11 +17,22 @@ REQUIRED = ("name", "brand", "url", "ingredients", "main_category", "sub_categor
 
 @dataclass
 class CleaningRules:
-    """names: (pattern, fix) of product names; boundary, plain: typo rules of ingredients."""
+    """names: (pattern, fix) of product names; boundary, plain: typo rules of ingredients; exact, contains: names of crawl leftovers."""
 
     names: list[tuple[str, str]] = ()
     boundary: list[dict] = ()
     plain: list[dict] = ()
+    exact: list[str] = field(default_factory=lambda: list(routing.GARBAGE_EXACT))
+    contains: list[str] = field(default_factory=lambda: list(routing.GARBAGE_CONTAINS))
+
+    @classmethod
+    def of(cls, typos: DataFrame, keywords: DataFrame) -> CleaningRules:
+        """The rules of the synced tables, which are lists kept by hand and so small."""
+        rows = [r.asDict() for r in typos.select("raw", "fix", "match_type", "apply_to").collect()]
+        words = keywords.select("match_type", "keyword").collect()
+        of = lambda kind: [r for r in rows if r["apply_to"] == "ingredient" and r["match_type"] == kind]
+        names = X.name_rules([r for r in rows if r["apply_to"] == "product_name"])
+        return cls(names, of("regex_boundary"), of("simple"), *([r["keyword"] for r in words if r["match_type"] == kind] for kind in ("exact", "contains")))
 
 
 @dataclass
@@ -29,6 +40,12 @@ class Refined:
     silver: DataFrame
     errors: DataFrame
     metrics: DataFrame
+    kept: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Lets go of what was kept for the outputs, once they are written."""
+        for df in self.kept:
+            df.unpersist()
 
 
 def clean(bronze: DataFrame, by: CleaningRules) -> DataFrame:
@@ -44,7 +61,7 @@ def clean(bronze: DataFrame, by: CleaningRules) -> DataFrame:
     checks = [
         (routing.INCOMPLETE, F.size("missing") > 0),
         (routing.OPTIONS, F.col("name").rlike(X.OPTION_BUNDLE)),
-        (routing.METADATA, X.exact_keyword(F.col("name"), routing.GARBAGE_EXACT) | X.holds_keyword(F.col("name"), routing.GARBAGE_CONTAINS)),
+        (routing.METADATA, X.exact_keyword(F.col("name"), by.exact) | X.holds_keyword(F.col("name"), by.contains)),
         (routing.BUNDLE, (X.main_item_count(F.col("_text")) >= 2) | (F.col("_headers") >= 2)),
     ]
     df = df.withColumn("error_type", routing.first_failure(checks))
@@ -60,9 +77,8 @@ def _error(df: DataFrame, reason: Column) -> DataFrame:
 
 
 def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_job: str, batch_date: Column, core: str | None = None) -> Refined:
-    """Bronze to silver and dead letters. The routed frame is kept, so the text rules run once; unpersist it through ``silver`` when written."""
-    stamp = {"batch_job": F.lit(batch_job), "batch_date": batch_date}
-    cleaned = clean(bronze, by).withColumns(stamp).persist()
+    """Bronze to silver and dead letters. The routed frame is kept, so the text rules run once; ``release`` lets it go."""
+    cleaned = batch.stamp(clean(bronze, by), batch_job, batch_date).persist()
     ok, bad = routing.split(cleaned)
     order = [F.length("clean_text").asc(), F.col("url").asc(), F.col("ingredients").asc()]
     ranked = routing.keep_best(ok, [F.col("brand"), X.despace(F.col("clean_name"))], order)
@@ -80,10 +96,11 @@ def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_jo
     errors = errors.unionByName(_error(duplicates, F.col("clean_text"))).unionByName(_error(bundles, F.array_join("matches", ", "))).unionByName(_error(leftover, X.unmask(F.col("residual"))))
     loaded = cleaned.agg(F.count("*").alias("loaded"))
     n_ok, n_bad = silver.agg(F.count("*").alias("ok")), errors.agg(F.count("*").alias("error"))
-    # Three single-row frames side by side.
-    wide = loaded.join(n_ok, F.lit(True)).join(n_bad, F.lit(True)).withColumn("error_rate", X.rate(F.col("error"), F.col("ok") + F.col("error")))
+    # Single-row frames side by side.
+    ends = routing.both_and_neither(matched.where(~hidden))
+    wide = loaded.join(n_ok, F.lit(True)).join(n_bad, F.lit(True)).join(ends, F.lit(True)).withColumn("error_rate", X.rate(F.col("error"), F.col("ok") + F.col("error")))
     metrics = quality.long_form(wide, "bronze_to_silver", batch_job, batch_date, "silver_current", F.current_timestamp())
-    return Refined(silver, errors, metrics)
+    return Refined(silver, errors, metrics, (cleaned, matched))
 
 
 def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date: Column, **options) -> dict[str, DataFrame]:
@@ -95,17 +112,16 @@ def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date:
     top = marts.top_per_category(marts.usage(now, "category", "product_ingredients"))
     items = now.select("product_id", F.explode("product_ingredients").alias("ingredient_name")).where(F.col("ingredient_name").isNotNull())
     counts = marts.distinct_usage(items, "ingredient_name", "product_id")
-    stamp = {"batch_job": F.lit(batch_job), "batch_date": batch_date}
     return {
         "change_log": cdc.log_rows(changes, batch_job, batch_date),
-        "frequency": schemas.conform(top.withColumns(stamp), schemas.FREQUENCY),
-        "mart": schemas.conform(marts.enrich(counts, metadata, "kor_name").withColumns(stamp), schemas.MART),
+        "frequency": schemas.conform(batch.stamp(top, batch_job, batch_date), schemas.FREQUENCY),
+        "mart": schemas.conform(batch.stamp(marts.enrich(counts, metadata, "kor_name"), batch_job, batch_date), schemas.MART),
     }
 
 
 def sync_graph(nodes: DataFrame, edges: DataFrame, changes: DataFrame, metadata: DataFrame, mark, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(nodes, edges, checkpoint row) after the change-log batches beyond the mark."""
+    """(nodes, edges, checkpoint row) after the change-log batches beyond the mark. Of several INCI names of one name the last in the metadata's order stays."""
     waiting = graph.pending(changes, mark, "batch_date")
-    lookup = matching.last_wins(metadata.select(F.col("kor_name").alias("name"), F.col("inci_name").alias("target"), F.lit(0).alias("_o")), "name", "target", "_o")
+    lookup = matching.last_wins(metadata.select(F.col("kor_name").alias("name"), F.col("inci_name").alias("target"), F.monotonically_increasing_id().alias("_o")), "name", "target", "_o")
     after = graph.apply(nodes, edges, waiting, lookup, "product_id", "batch_date", ["product_name", "product_brand", "category_id", "goods_no"], "product_ingredients")
     return after[0], after[1], graph.checkpoint_row(waiting, "batch_job", now)

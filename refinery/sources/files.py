@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions import text as X
+from refinery.schemas import CUSTOM, KEYWORDS, conform
 
 RUN = r"/([^/]+)/([^/]+)/run_id=([^/]+)/[^/]+$"
 MONTH = r"batch=(\d{4}-\d{2})"
@@ -77,6 +78,19 @@ def sync_rules(boundary: DataFrame, plain: DataFrame, names: DataFrame, synced_a
     return parts[0].unionByName(parts[1]).unionByName(named).withColumn("synced_at", synced_at)
 
 
+def sync_keywords(keywords: DataFrame, synced_at: Column) -> DataFrame:
+    """Names of crawl leftovers (match_type, keyword) as their table; of the kinds exact and contains, each once."""
+    rows = keywords.where(F.col("match_type").isin("exact", "contains") & ~X.blank(F.col("keyword"))).select("match_type", "keyword").distinct()
+    return conform(rows.withColumn("synced_at", synced_at), KEYWORDS)
+
+
+def sync_custom(entries: DataFrame, synced_at: Column) -> DataFrame:
+    """Dictionary entries made by hand (raw, standard, action, reason) as their table; actions but add and override are an error."""
+    action = F.coalesce(F.col("action"), F.lit("add"))
+    known = F.when(action.isin("add", "override"), action).otherwise(F.raise_error(F.concat(F.lit("unknown action "), action)).cast("string"))
+    return conform(entries.where(~X.blank(F.col("raw"))).withColumns({"action": known, "synced_at": synced_at}), CUSTOM)
+
+
 def category_id(main: Column, sub: Column) -> Column:
     return F.replace(F.replace(F.concat_ws("_", main, sub), F.lit(" "), F.lit("")), F.lit("/"), F.lit("-"))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refinery import schemas
-from refinery.operators import marts, routing
+from refinery.operators import graph, marts, routing
 from refinery.plans import jobs
 from refinery.sources import files
 from refinery.sources.sinks import BatchStore, export_csv, export_graph_csv
@@ -62,14 +62,17 @@ def test_end_to_end(spark, tmp_path):
     )
     silver = {r["product_name"]: r["product_ingredients"] for r in out.silver.collect()}
     assert silver == {"수분 크림": ["정제수", "글리세린"], "남는 크림": ["정제수"]}
-    assert {r["metric_name"]: r["metric_value"] for r in out.metrics.collect()} == {"loaded": 10.0, "ok": 2.0, "error": 8.0, "error_rate": 0.8}
+    assert {r["metric_name"]: r["metric_value"] for r in out.metrics.collect()} == {"loaded": 10.0, "ok": 2.0, "error": 8.0, "error_rate": 0.8, "rows_both": 1.0, "rows_dropped": 1.0}
 
-    store = BatchStore(spark, str(tmp_path / "silver"), schemas.SILVER, [F.col("product_id").asc_nulls_last()])
+    store = BatchStore.of(spark, str(tmp_path / "store"), schemas.TABLES["silver"])
     assert store.batches() == [] and store.current().count() == 0
     assert store.append(out.silver, "20240101")
     assert not store.append(out.silver.limit(0), "20240102")
     assert jobs.to_gold(store, metadata, "g1", day)["change_log"].count() == 0
 
+    out.release()
+    assert not any(df.storageLevel.useMemory for df in out.kept)
+
     second = [product("수분 크림", "정제수", rating="3"), product("새 크림", "글리세린")]
     crawl(tmp_path / "two", "shop_20240102_000000", "스킨케어", "크림", second)
     bronze, run = load(spark, tmp_path / "two")
@@ -95,12 +98,83 @@ def test_end_to_end(spark, tmp_path):
 
     log.write.parquet(str(tmp_path / "log"))
     seen = []
+    (tmp_path / "log").mkdir()
     stream = streaming.change_stream(spark, str(tmp_path / "log"), schemas.CHANGE_LOG)
     for _ in range(2):
         streaming.apply_available(stream, lambda df, n: seen.append(df.count()), str(tmp_path / "mark")).awaitTermination()
     assert sum(seen) == 3
 
 
+def test_batches_are_written_once(spark, tmp_path):
+    table = schemas.TABLES["silver_error"]
+    rows = spark.createDataFrame([("a", "X", None), ("b", "Y", ""), ("c", None, "r")], "product_id string, error_type string, residual_text string")
+    store = BatchStore.of(spark, str(tmp_path), table)
+    assert store.create() and not store.create() and store.batches() == [] and store.current().count() == 0
+    for _ in range(2):
+        assert store.append(rows, "b1")
+        assert store.current().count() == 3 and store.history().count() == 3
+    for _ in range(2):
+        store.overwrite(rows.limit(2), "b1")
+        assert store.current().count() == 2
+    assert store.current().columns == table.schema.names
+    assert (tmp_path / "silver_error" / "_batch=b1").is_dir() and any("error_type=X" in str(p) for p in (tmp_path / "silver_error").rglob("*"))
+    assert not store.append(rows.limit(0), "b2") and store.batches() == ["b1"]
+    store.overwrite(rows.limit(0), "b3")
+    assert store.batches() == ["b3", "b1"] and store.current().count() == 0 and store.read("b1").count() == 2
+    # A write that did not end does not count.
+    (tmp_path / "silver_error" / "_batch=b3" / "_SUCCESS").unlink()
+    assert store.batches() == ["b1"] and store.current().count() == 2
+    with pytest.raises(ValueError):
+        store.append(rows, "../b")
+    assert store.create(replace=True) and store.batches() == []
+    log = BatchStore.of(spark, str(tmp_path), schemas.TABLES["change_log"])
+    log.append(spark.createDataFrame([("a", "NEW")], "product_id string, change_type string").withColumn("batch_date", F.lit("2024-01-02 03:04:05").cast("timestamp")), "g1")
+    assert log.current().columns == schemas.CHANGE_LOG.names and any("_batch_date_day=2024-01-02" in str(p) for p in (tmp_path / "change_log").rglob("*"))
+
+
+def test_rules_from_tables(spark):
+    at = F.lit("2024-01-01").cast("timestamp")
+    plain = spark.createDataFrame([("a", "b")], "raw string, fix string")
+    typos = files.sync_rules(plain, plain, spark.createDataFrame([("x.", "y", "simple")], "raw string, fix string, match_type string"), at)
+    words = files.sync_keywords(spark.createDataFrame([("exact", "null"), ("exact", "null"), ("contains", "<div"), ("regex", "x"), ("exact", " ")], "match_type string, keyword string"), at)
+    by = jobs.CleaningRules.of(typos, words)
+    assert (by.exact, by.contains, by.names) == (["null"], ["<div"], [("x\\.", "y")]) and by.boundary[0]["raw"] == by.plain[0]["raw"] == "a"
+    custom = files.sync_custom(spark.createDataFrame([("a", "A", "override", "r"), ("b", "B", None, None), (" ", "C", "add", None)], "raw string, standard string, action string, reason string"), at)
+    assert sorted((r["raw"], r["action"]) for r in custom.collect()) == [("a", "override"), ("b", "add")] and custom.columns == schemas.CUSTOM.names
+    with pytest.raises(Exception, match="unknown action"):
+        files.sync_custom(spark.createDataFrame([("a", "A", "drop", "r")], "raw string, standard string, action string, reason string"), at).collect()
+
+
+def test_streams(spark, tmp_path):
+    """ST1: the graph from a stream of changes, batch by batch; ST2: new crawl files are read once, broken rows skipped."""
+    fields = "product_id string, batch int, change_type string, name string, items array<string>"
+    lookup = spark.createDataFrame([("X", "x"), ("Y", "y")], "name string, target string")
+    state = {"nodes": spark.createDataFrame([], "product_id string, name string"), "edges": spark.createDataFrame([], "product_id string, target string")}
+
+    def put(df, number):
+        nodes, edges = graph.apply(state["nodes"], state["edges"], df, lookup, "product_id", "batch", ["name"], "items")
+        # Written, so that the next batch does not lean on this one's stream.
+        for name, out in (("nodes", nodes), ("edges", edges)):
+            path = str(tmp_path / f"{name}-{number}")
+            out.write.mode("overwrite").parquet(path)
+            state[name] = spark.read.parquet(path)
+
+    (tmp_path / "log").mkdir()
+    stream = streaming.change_stream(spark, str(tmp_path / "log"), spark.createDataFrame([], fields).schema)
+    for rows in ([("a", 1, "NEW", "A", ["X"]), ("b", 1, "NEW", "B", ["X", "Y"])], [("a", 2, "REMOVED", "A", None), ("b", 2, "CHANGED", "B2", ["Y"])], [("a", 3, "NEW", "A3", ["Y"])]):
+        spark.createDataFrame(rows, fields).write.mode("append").parquet(str(tmp_path / "log"))
+        streaming.apply_available(stream, put, str(tmp_path / "mark")).awaitTermination()
+    assert {tuple(r) for r in state["nodes"].collect()} == {("a", "A3"), ("b", "B2")}
+    assert {tuple(r) for r in state["edges"].collect()} == {("a", "y"), ("b", "y")}
+
+    seen = []
+    for n in range(2):
+        crawl(tmp_path / "crawl", f"shop_2024010{n + 1}_000000", "m", "s", [product(f"p{n}", "x")])
+        stream = streaming.crawl_stream(spark, str(tmp_path / "crawl" / "*" / "*" / "*"), schemas.BRONZE)
+        streaming.apply_available(stream, lambda df, _: seen.extend(r["name"] for r in df.collect()), str(tmp_path / "crawl_mark")).awaitTermination()
+    assert seen == ["p0", "p1"]
+
+
 def test_latest_runs_by_main(spark):
     paths = [("x/a/s/run_id=1/p.json",), ("x/b/s/run_id=2/p.json",), ("x/a/s/run_id=0/p.json",), ("x/other.json",)]
     df = spark.createDataFrame(paths, "path string")
@@ -120,6 +194,9 @@ def test_rules_and_exports(spark, tmp_path):
     dim = {r["category_id"] for r in files.category_dimension(spark, files.CATEGORIES).collect()}
     assert len(dim) == 20 and "더모코스메틱_스킨케어" in dim and "스킨케어_에센스-세럼-앰플" in dim
     df = spark.sql("select array('a', 'b') as l, map('k', 1) as m, 'x' as s")
+    nested = spark.sql("select array(1, 2) as l, array(map('a', 1)) as k, named_struct('x', 1) as m, 1.5 as s")
+    to = export_csv(nested, str(tmp_path / "out"), "20240131_120000")
+    assert to.endswith("/20240131_120000") and files.read_csv_text(spark, to).first().asDict() == {"l": "1|2", "k": '{"a":1}', "m": '{"x":1}', "s": "1.5"}
     export_csv(df, str(tmp_path / "csv"))
     assert files.read_csv_text(spark, str(tmp_path / "csv")).first().asDict() == {"l": "a|b", "m": '{"k":1}', "s": "x"}
     export_graph_csv(df.select("s"), ["id:ID"], str(tmp_path / "g"))
