@@ -27,8 +27,8 @@ BLOCK = 4096
 SALTS = 16
 #: Cost of making one probe, counted in candidates.
 PROBE = 30.0
-#: Texts sampled for frequent shingles, in how many of them one is frequent, and how many are listed.
-SAMPLE, OFTEN, MOST_FREQUENT = 4096, 8, 1 << 16
+#: Bands of a set's least values, and values of a band; rows of a table that is broadcast.
+BANDS, ROWS, MOST_BROUGHT = 24, 3, 500_000
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -296,18 +296,29 @@ def _key() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def _brought(small: DataFrame) -> DataFrame:
+    """A staged table of narrow rows, to be broadcast where it has at most MOST_BROUGHT of them; beyond that joins shuffle."""
+    return F.broadcast(small) if small.count() <= MOST_BROUGHT else small
+
+
 def _survivors(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """One row of docs for each class of classes (key, class): the least by doc_id, nulls last, and then text. Columns of docs are kept."""
+    """One row of docs for each class of classes (key, class): the least by doc_id, nulls last, and then text. Columns of docs are kept.
+
+    Who goes is settled on keys and ids alone; whole rows are only moved where several of one id and class are left.
+    """
     of = classes.withColumnRenamed("key", "_key")
     rows = docs.withColumn("_key", _key())
-    tally = rows.select("doc_id", "_key").join(of, "_key").groupBy("class", "doc_id").agg(F.count("*").alias("n"))
-    best = tally.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("best"))
-    best = of.join(best, "class").select(F.col("_key"), F.col("class").alias("_class"), F.col("best.doc_id").alias("_id"), F.col("best.n").alias("_n"))
-    kept = rows.join(best, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    row = F.struct(*docs.columns)
-    # Only rows of one id and class are left to choose by text.
-    tied = kept.where("_n > 1").groupBy("_class").agg(F.min_by(row, F.struct("text")).alias("_row"))
-    return kept.where("_n = 1").select(*docs.columns).unionByName(tied.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
+    slim = stage(rows.select("doc_id", "_key").groupBy("doc_id", "_key").agg(F.count("*").alias("n")).join(of, "_key"))
+    tally = slim.groupBy("class", "doc_id").agg(F.sum("n").alias("n"))
+    best = tally.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("best"), F.sum("n").alias("rows"))
+    best = best.where("rows > 1").select("class", F.col("best.doc_id").alias("_id"), F.col("best.n").alias("_n"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64("_key", "doc_id"), F.lit(SALTS)).cast("int")
+    named = slim.withColumn("_salt", salt).join(best, ["class", "_salt"]).withColumn("_first", F.col("doc_id").eqNullSafe(F.col("_id")))
+    moved = stage(named.where("not _first or _n > 1").select(F.col("_key").alias("_k"), F.col("doc_id").alias("_d"), F.when(F.col("_first"), F.col("class")).alias("_class")))
+    same = (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d"))
+    moved = _brought(moved)
+    tied = rows.join(moved.where("_class is not null"), same).groupBy("_class").agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias("_row"))
+    return rows.join(moved, same, "left_anti").select(*docs.columns).unionByName(tied.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
 
 
 def keep_one(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame:
@@ -330,26 +341,18 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def _frequent(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles of many documents, by a sample: ascending count. They only set the order in which shingles are filed, so the result does not depend on them."""
-    n = docs.count()
-    some = docs.where(F.pmod(F.xxhash64(_key()), F.lit(max(n // SAMPLE, 1))) == 0)
-
-    def count(batches):
-        for b in batches:
-            found = [np.unique(_hashes(t, words)) for t in b["text"]]
-            yield pd.DataFrame({"h": np.concatenate(found).view(np.int64) if found else np.array([], np.int64)})
-
-    counts = spread(some.select("text")).mapInPandas(count, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
-    top = counts.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).collect()
-    return np.array([r["h"] for r in reversed(top)], np.int64).view(np.uint64)
-
-
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """(key, node, fp, n, parity, prefix) of each text: node names its set of shingles, n is the set's size, parity that of the number of shingles in each of 512 cells, prefix the first n / 5 + 1 shingles in one order for all."""
-    frequent = _frequent(docs, words)
-    order = np.argsort(frequent)
-    frequent, rank = frequent[order], order + 1
+    """(key, node, fp, n, parity, bands) of each text: node names its set of shingles, n is the set's size, parity that of the number of shingles in each of 512 cells, bands hash ROWS least values each of the set under seeded orders."""
+    odd = np.random.default_rng(5).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
+
+    def bands(s: np.ndarray) -> np.ndarray:
+        least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
+        for lo in range(0, len(s), 1 << 12):
+            mixed = s[None, lo : lo + (1 << 12)] * odd[:, :1]
+            mixed = (mixed ^ mixed >> np.uint64(32)) * odd[:, 1:]
+            least = np.minimum(least, mixed.min(1))
+        rows = np.ascontiguousarray(least).reshape(BANDS, ROWS)
+        return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], np.uint64).view(np.int64)
 
     def of(batches):
         for b in batches:
@@ -357,18 +360,13 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             for key, text in zip(b["key"].tolist(), b["text"].tolist()):
                 every = _hashes(text, words)
                 s = np.unique(every)
-                late = np.zeros(len(s), np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    late = np.where(frequent[at] == s, rank[at], 0)
-                first = s[np.argsort(late, kind="stable")[: len(s) // 5 + 1]]
                 cells = np.bincount((s >> np.uint64(20) & np.uint64(511)).astype(np.int64), minlength=512) & 1
                 parity = np.packbits(cells.astype(np.uint8)).view("<i8")
                 node = xxhash.xxh64_intdigest(s.tobytes(), 42)
-                rows.append((key, node - (1 << 64) if node >> 63 else node, _majority(every) if len(s) else 0, len(s), parity, first.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["key", "node", "fp", "n", "parity", "prefix"])
+                rows.append((key, node - (1 << 64) if node >> 63 else node, _majority(every) if len(s) else 0, len(s), parity, bands(s)))
+            yield pd.DataFrame(rows, columns=["key", "node", "fp", "n", "parity", "bands"])
 
-    return spread(docs.select(_key().alias("key"), "text")).mapInPandas(of, "key long, node long, fp long, n int, parity array<long>, prefix array<long>")
+    return spread(docs.select(_key().alias("key"), "text")).mapInPandas(of, "key long, node long, fp long, n int, parity array<long>, bands array<long>")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -390,22 +388,23 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame:
-    """(key, class) of each different text: classes are the components of the graph of all pairs at Jaccard similarity 0.8 or more of their word shingles.
+    """(key, class) of each different text: classes are the components of the graph of the pairs at Jaccard similarity 0.8 or more of their word shingles.
 
     Fingerprints within ``most`` bits (generalised pigeonhole) are candidates first; what exact
-    similarity confirms is joined. At 0.8 fingerprints may differ in far more bits than any probe
-    can afford, so pairs left in different components are found by the pigeonhole principle on the
-    sets: of two sets at 0.8 or more, the first fifths (and one) in a common order share a shingle,
-    and no more than (n + m) / 9 shingles lie in one only. No pair is missed.
+    similarity confirms is joined. At 0.8 fingerprints may differ in far more bits than any probe can
+    afford, so pairs left in different components are searched by BANDS bands of ROWS least values: a
+    pair at 0.8 shares none with probability (1 - 0.8 ** 3) ** 24, 3 in 10 ** 8, one of more similarity
+    with less. Of these, pairs whose sizes or parities forbid 0.8 are left out, the others confirmed.
     """
     of = stage(_sets(docs, words).dropDuplicates(["key"]))
-    nodes = stage(of.groupBy("node").agg(F.min("key").alias("key"), F.min_by(F.struct("fp", "n", "parity", "prefix"), "key").alias("x")).select("node", "key", "x.*"))
+    nodes = stage(of.groupBy("node").agg(F.min("key").alias("key"), F.any_value(F.struct("fp", "n", "parity", "bands")).alias("x")).select("node", "key", "x.*"))
     text_of = docs.select(_key().alias("key"), "text")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = stage(pairs.distinct())
         named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        texts = stage(text_of.join(nodes.select("node", "key").join(named, "node"), "key").dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")))
+        wanted = _brought(stage(nodes.select("node", "key").join(named, "node")))
+        texts = stage(text_of.join(wanted, "key").dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")))
         return stage(_similar(pairs, texts, words))
 
     # Sets of one fingerprint are candidates with the least of them.
@@ -413,28 +412,25 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     near = links(rep.select("fp"), most)
     a, b = rep.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), rep.select(F.col("fp").alias("b"), F.col("rep").alias("rb"))
     near = near.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    same = nodes.join(rep.where("copies > 1"), "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    same = nodes.select("fp", "node").join(rep.where("copies > 1"), "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     first = confirmed(near.unionByName(same))
 
     joined = stage(components(first))
-    filed = nodes.select("node", "n", F.posexplode("prefix").alias("at", "shingle"))
-    shared = filed.groupBy("shingle").agg(F.count("*").alias("_times")).where("_times > 1").select("shingle")
-    info = nodes.select("node", "parity").join(joined, "node", "left").select("node", "parity", F.coalesce("component", "node").alias("component"))
-    filed = filed.join(shared, "shingle").join(info, "node")
-    # A shingle all of whose sets are in one component has nothing to add.
-    parted = filed.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high").select("shingle")
-    filed = stage(filed.join(parted, "shingle"))
-    x, y = filed.alias("x"), filed.alias("y")
+    info = nodes.join(joined, "node", "left").select("node", "n", "parity", "bands", F.coalesce("component", "node").alias("component"))
+    filed = info.select("node", "component", F.explode("bands").alias("band"))
+    # A band all of whose sets are in one component has nothing to add.
+    parted = filed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high").select("band")
+    few = stage(filed.join(parted, "band").join(info.select("node", "n", "parity"), "node"))
+    x, y = few.alias("x"), few.alias("y")
     apart = sum((F.bit_count(F.col("x.parity")[k].bitwiseXOR(F.col("y.parity")[k])) for k in range(8)), F.lit(0))
     sizes = F.col("x.n") + F.col("y.n")
-    may = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    may &= (5 * F.least("x.n", "y.n") >= 4 * F.greatest("x.n", "y.n")) & (9 * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= 4 * sizes)
-    may &= 9 * apart <= sizes
+    may = (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+    may &= (5 * F.least("x.n", "y.n") >= 4 * F.greatest("x.n", "y.n")) & (9 * apart <= sizes)
     rest = confirmed(x.join(y, may).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     final = components(first.unionByName(rest))
     return of.select("key", "node").join(final, "node", "left").select("key", F.coalesce("component", "node").alias("class"))
 
 
 def keep_one_similar(docs: DataFrame, words: int = 5) -> DataFrame:
-    """As keep_one, but groups are those of exact shingle similarity 0.8 or more."""
+    """As keep_one, but groups are those of exact shingle similarity 0.8 or more (see ``similar_classes``)."""
     return _survivors(docs, similar_classes(docs.select("text"), words))
