@@ -24,6 +24,10 @@ TOKEN = re.compile(r"[^\W_]+")
 #: Bounds of the labelled sample, of the lexicon and of the memo of looked-up words.
 MOST_TOXIC, MOST_CLEAN, MOST_TERMS, MOST_WORDS = 4000, 12000, 2000, 500_000
 WINDOW = 8
+#: Toxic texts, copies aside, that a term must be in.
+LEAST_DOCS = 3
+#: Clean texts taken for granted.
+PRIOR = 20
 #: How many times as often as by chance the words of a beginning are toxic, the most toxic of them left out.
 STEM_LIFT = 15
 # Words around a quotation, and words that speak to somebody.
@@ -168,14 +172,17 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float, bool]]:
     def uses(batches):
         for b in batches:
             found = set()
-            for text, toxic in zip(b["text"], b["toxic"]):
+            for doc, text, toxic in zip(b["doc_id"], b["text"], b["toxic"]):
                 words = TOKEN.findall((text or "").lower())
-                found.update((w, p, n, int(toxic == 1)) for p, w, n in zip(["", *words], words, [*words[1:], ""]) if 3 <= len(w) <= 40)
-            yield pd.DataFrame(list(found), columns=["word", "before", "after", "toxic"])
-
-    seen = sample.mapInPandas(uses, "word string, before string, after string, toxic int")
-    seen = seen.select("word", F.xxhash64("before", "after").alias("context"), "toxic").distinct()
-    counted = stage(seen.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")))
+                found.update((w, p, n, int(toxic == 1), doc) for p, w, n in zip(["", *words], words, [*words[1:], ""]) if 3 <= len(w) <= 40)
+            yield pd.DataFrame(list(found), columns=["word", "before", "after", "toxic", "doc"])
+
+    sample = sample.select(F.xxhash64("doc_id").alias("doc_id"), "text", "toxic")
+    seen = sample.mapInPandas(uses, "word string, before string, after string, toxic int, doc long")
+    # A context that copies share belongs to one of them.
+    seen = seen.groupBy("word", F.xxhash64("before", "after").alias("context"), "toxic").agg(F.min("doc").alias("doc"))
+    bad_doc = F.when(F.col("toxic") == 1, F.col("doc"))
+    counted = stage(seen.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"), F.collect_set(bad_doc).alias("docs")))
     bad, good = counted.agg(F.sum("bad"), F.sum("good")).first()
     if not bad:
         return []
@@ -186,13 +193,13 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float, bool]]:
         more = F.col("bad") / F.greatest(expected, F.lit(1e-9))
         return df.withColumn("g", 2 * F.col("bad") * F.log(more)).where(F.col("bad") * (1 - share) > 4 * share * F.col("good"))
 
-    words = telling(counted).where("g >= 20").orderBy(F.desc("g"), "word").limit(MOST_TERMS).collect()
+    words = telling(counted).where((F.col("g") >= 20) & (F.size("docs") >= LEAST_DOCS)).orderBy(F.desc("g"), "word").limit(MOST_TERMS).collect()
     stems: dict[str, float] = {}
     for size in (4, 5, 6, 7):
         part = counted.where(F.length("word") > size).groupBy(F.substring("word", 1, size).alias("word"))
-        part = part.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("forms"), F.max("bad").alias("top"))
+        part = part.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("forms"), F.max("bad").alias("top"), F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("docs"))
         # A beginning has to tell by many words, not by one of them.
-        pure = telling(part).where((F.col("g") >= 25) & (F.col("forms") >= 5) & ((F.col("bad") - F.col("top")) * (1 - share) > STEM_LIFT * share * F.col("good")))
+        pure = telling(part).where((F.col("g") >= 25) & (F.col("docs") >= LEAST_DOCS) & (F.col("forms") >= 5) & ((F.col("bad") - F.col("top")) * (1 - share) > STEM_LIFT * share * F.col("good")))
         stems |= {r["word"]: r["g"] for r in pure.orderBy(F.desc("g"), "word").limit(MOST_TERMS // 8).collect()}
     # Of beginnings that continue each other the most telling one, the shorter of equal ones.
     for s in sorted(stems, key=lambda s: (stems[s], -len(s))):
@@ -252,7 +259,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = sample.mapInPandas(rows, "x array<double>, toxic double").toPandas()
     if known.empty:
         return Model([], np.array([0.0] * len(NAMES) + [-3.0]))
-    return Model(terms, fit(np.array(known["x"].tolist(), dtype=float).reshape(-1, len(NAMES)), known["toxic"].to_numpy()))
+    x, y = np.array(known["x"].tolist(), dtype=float).reshape(-1, len(NAMES)), known["toxic"].to_numpy()
+    # Some clean texts without a hit, so that a handful of labels does not make every text toxic.
+    return Model(terms, fit(np.vstack([x, np.zeros((PRIOR, len(NAMES)))]), np.append(y, np.zeros(PRIOR))))
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
