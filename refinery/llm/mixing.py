@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.common import stage
+from refinery.llm.common import partitions, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that are put in one order within one task; documents of a shard.
+MOST_IN_TASK = 100_000
 DOCS_IN_SHARD = 1024
 MOST_SHARDS = 8192
 
@@ -20,29 +22,44 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds each row's place (from 1) in the order of all rows.
+
+    More rows than fit a task are dealt by ranges of the order; a range's places start after those of
+    the ranges before it.
+    """
+    if df.count() <= MOST_IN_TASK:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    dealt = stage(df.repartitionByRange(partitions(df.sparkSession), *order).withColumn("_range", F.spark_partition_id()))
+    # One row for each range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.join(F.broadcast(starts), "_range").withColumn(name, inside + F.col("_before")).drop("_range", "_before")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
     """(source, source_size, target) from (source, size).
 
     Sources by code point, null last, weigh ``weights`` in turn and share the sum of all sizes. A
-    target stops at ``cap`` times its source's size; what is above is shared again by weight. The
-    level that water reaches is found in one ordered pass over the sources' rows.
+    target stops at ``cap`` times its source's size; what is above is shared again by weight, until
+    no source is above. Each round is one sum over the sources' rows.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(by_name) - 1) % len(weights)
-    per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place + 1).cast("int")))
-    per = per.withColumn("most", F.col("source_size") * F.lit(float(cap))).withColumn("full_at", F.col("most") / F.col("weight"))
-    filling = Window.orderBy("full_at", F.col("source").asc_nulls_last())
-    before, rest, everywhere = filling.rowsBetween(Window.unboundedPreceding, -1), filling.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy()
-    per = per.withColumns(
-        {
-            "level": (F.sum("source_size").over(everywhere) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(rest),
-            "turn": F.row_number().over(filling),
-        }
-    )
-    reached = F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("turn", "level"))).over(everywhere)
-    level = F.coalesce(reached["level"], F.lit(float("inf")))
-    return per.select("source", "source_size", F.least(F.col("most"), level * F.col("weight")).alias("target"))
+    per = numbered(per, [F.col("source").asc_nulls_last()], "_place")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("_place") - 1) % len(weights) + 1).cast("int"))
+    per = stage(per.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * F.lit(float(cap))).alias("most")))
+    full_at = F.col("most") / F.col("weight")
+    total, share = per.agg(F.sum("source_size"), F.sum("weight")).first()
+    level, full = (total or 0) / (share or 1.0), -1
+    while share:
+        # Sources below the level are full; the level of the others rises with what these leave.
+        below = full_at < level
+        n, taken, rest = per.agg(F.count_if(below), F.sum(F.when(below, F.col("most"))), F.sum(F.when(~below, F.col("weight")))).first()
+        if n == full:
+            break
+        full, level = n, (total - (taken or 0.0)) / rest if rest else float("inf")
+    return per.select("source", "source_size", F.least(F.col("most"), F.lit(level) * F.col("weight")).alias("target"))
 
 
 def apportion(parties: DataFrame, votes: str, seats: Column, within: list[str], order: list[Column]) -> DataFrame:
@@ -53,17 +70,26 @@ def apportion(parties: DataFrame, votes: str, seats: Column, within: list[str],
     two divisors bracket the result: seats below the lower one are won for certain, and only the few
     seats between the two are ranked.
     """
-    group = Window.partitionBy(*within)
-    df = parties.withColumns({"_seats": seats, "_all": F.sum(votes).over(group), "_slack": F.count("*").over(group) / 2 + 1})
+    df = parties.withColumn("_seats", seats)
+    if within:
+        group = Window.partitionBy(*within)
+        df = df.withColumns({"_all": F.sum(votes).over(group), "_slack": F.count("*").over(group) / 2 + 1})
+    else:
+        # One row beside all others.
+        df = df.join(F.broadcast(parties.agg(F.sum(votes).alias("_all"), (F.count("*") / 2 + 1).alias("_slack"))), F.lit(True))
     share = F.when(F.col("_all") > 0, F.col(votes) / F.col("_all")).otherwise(0.0)
     df = df.withColumn("_low", F.greatest(F.floor(share * (F.col("_seats") - F.col("_slack")) + 0.5), F.lit(0)).cast("long"))
     df = df.withColumn("_high", F.greatest(F.floor(share * (F.col("_seats") + F.col("_slack")) + 0.5), F.col("_low")).cast("long"))
-    df = df.withColumn("_left", F.col("_seats") - F.sum("_low").over(group))
+    if within:
+        df = df.withColumn("_left", F.col("_seats") - F.sum("_low").over(group))
+    else:
+        df = df.join(F.broadcast(df.agg(F.sum("_low").alias("_lows"))), F.lit(True)).withColumn("_left", F.col("_seats") - F.col("_lows")).drop("_lows")
     keep = [c for c in df.columns if c not in ("_seats", "_all", "_slack", "_high")]
     contested = df.select(*keep, F.explode(F.expr("array_append(if(_high > _low, sequence(_low + 1, _high), cast(array() as array<bigint>)), null)")).alias("_seat"))
     quotient = F.when(F.col("_seat").isNotNull() & (F.col(votes) > 0), F.col(votes) / (2 * F.col("_seat") - 1))
-    ranked = Window.partitionBy(*within).orderBy(F.col("_quotient").desc_nulls_last(), *order)
-    contested = contested.withColumn("_quotient", quotient).withColumn("_rank", F.row_number().over(ranked))
+    contested = contested.withColumn("_quotient", quotient)
+    by = [F.col("_quotient").desc_nulls_last(), *order]
+    contested = contested.withColumn("_rank", F.row_number().over(Window.partitionBy(*within).orderBy(*by))) if within else numbered(contested, by, "_rank")
     won = F.sum(F.when(F.col("_quotient").isNotNull() & (F.col("_rank") <= F.col("_left")), 1).otherwise(0))
     names = parties.columns
     return contested.groupBy(*names, "_low").agg(won.alias("_won")).select(*names, (F.col("_low") + F.col("_won")).alias("quota"))
@@ -88,8 +114,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
     sizes = sizes.withColumn("_shard", F.pmod(F.xxhash64("_key"), F.lit(shards)).cast("int"))
     goal = targets(sizes, weights, cap)
     order = F.col("source").asc_nulls_last()
-    everywhere = Window.partitionBy()
-    goal = apportion(goal, "target", F.floor(F.sum("source_size").over(everywhere) / block), [], [order])
+    words = sizes.agg(F.sum("size")).first()[0] or 0
+    goal = stage(apportion(goal, "target", F.lit(words // block).cast("long"), [], [order]))
     goal = goal.withColumnRenamed("quota", "source_blocks")
     cells = sizes.groupBy("source", "_shard").agg(F.sum("size").alias("words"))
     small = goal.select(F.col("source").alias("_source"), *[c for c in goal.columns if c != "source"])

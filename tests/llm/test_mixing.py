@@ -28,6 +28,13 @@ def sainte_lague(votes, seats):
     return won
 
 
+@pytest.fixture(params=[100_000, 0])
+def in_task(request, monkeypatch):
+    """All in one task, or dealt by ranges."""
+    monkeypatch.setattr(mixing, "MOST_IN_TASK", request.param)
+
+
+@pytest.mark.usefixtures("in_task")
 @pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, "c": 100, None: 5}, {"a": 1000, "b": 1, "c": 0, "d": 3}, {None: 9}, {"é": 4, "z": 4, "A": 400, "B": 30, "C": 2}])
 def test_targets(spark, sizes):
     df = spark.createDataFrame(list(sizes.items()), "source string, size long")
@@ -35,6 +42,7 @@ def test_targets(spark, sizes):
     assert got == pytest.approx(brute_targets(sizes))
 
 
+@pytest.mark.usefixtures("in_task")
 @pytest.mark.parametrize("votes", [{"a": 10, "b": 7, "c": 3}, {"a": 5, "b": 5, "c": 5, "d": 5}, {"a": 1000, "b": 1, "c": 1}, {"a": 0, "b": 3}])
 @pytest.mark.parametrize("seats", [0, 1, 7, 50])
 def test_apportionment(spark, votes, seats):
@@ -48,6 +56,7 @@ def corpus(spark, n=4000):
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
 
+@pytest.mark.usefixtures("in_task")
 def test_mix(spark):
     df = corpus(spark)
     rows = mixing.mix(df).collect()
@@ -65,6 +74,17 @@ def test_mix(spark):
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.mix(df.repartition(7)).collect()), key=str)
 
 
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_IN_TASK", 50)
+    sizes = {f"s{i}": 1 + i * i % 101 for i in range(400)} | {None: 3}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+    assert got == pytest.approx(brute_targets(sizes))
+    votes = {f"v{i:03d}": 1 + i * i % 101 for i in range(300)}
+    df = spark.createDataFrame(list(votes.items()), "name string, votes long")
+    assert {r["name"]: r["quota"] for r in mixing.apportion(df, "votes", F.lit(999), [], [F.col("name").asc()]).collect()} == sainte_lague(votes, 999)
+
+
 def test_word_count(spark):
     df = spark.createDataFrame([("a\x0bb\tc d  e\n",), (None,), ("",)], "t string")
     assert [r[0] for r in df.select(mixing.word_count(F.col("t"))).collect()] == [4, 0, 0]
