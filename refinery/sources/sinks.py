@@ -107,7 +107,7 @@ def export_csv(df: DataFrame, path: str, taken_at: str | None = None) -> str:
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.ArrayType):
-            c = F.concat_ws("|", F.transform(c, lambda x: x.cast("string")) if not isinstance(f.dataType.elementType, (T.ArrayType, T.MapType, T.StructType)) else F.transform(c, F.to_json))
+            c = F.concat_ws("|", F.transform(c, lambda x: x.cast("string")) if not isinstance(f.dataType.elementType, (T.ArrayType, T.MapType, T.StructType)) else F.transform(c, lambda x: F.to_json(x)))
         elif isinstance(f.dataType, (T.MapType, T.StructType)):
             c = F.to_json(c)
         out.append(c.alias(f.name))

@@ -98,7 +98,6 @@ def test_end_to_end(spark, tmp_path):
 
     log.write.parquet(str(tmp_path / "log"))
     seen = []
-    (tmp_path / "log").mkdir()
     stream = streaming.change_stream(spark, str(tmp_path / "log"), schemas.CHANGE_LOG)
     for _ in range(2):
         streaming.apply_available(stream, lambda df, n: seen.append(df.count()), str(tmp_path / "mark")).awaitTermination()
