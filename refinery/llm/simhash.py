@@ -29,6 +29,8 @@ SALTS = 16
 PROBE = 30.0
 #: Bands of a set's least values, and values of a band; rows of a table that is broadcast.
 BANDS, ROWS, MOST_BROUGHT = 24, 3, 500_000
+#: Times that the sets of a band meet one of them, before those still apart meet each other.
+STARS = 2
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -387,6 +389,20 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return both.where(alike("_left", "_right")).select("a", "b")
 
 
+def _parted(filed: DataFrame) -> DataFrame:
+    """Those rows of filed (band, component, ...) whose band has several components; the others have nothing to add."""
+    parted = filed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high").select("band")
+    return filed.join(parted, "band")
+
+
+def _may(pairs: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (x, y) of different components whose sizes and parities allow similarity 0.8."""
+    x, y = F.col("x"), F.col("y")
+    apart = sum((F.bit_count(x["parity"][k].bitwiseXOR(y["parity"][k])) for k in range(8)), F.lit(0))
+    may = (x["component"] != y["component"]) & (5 * F.least(x["n"], y["n"]) >= 4 * F.greatest(x["n"], y["n"])) & (9 * apart <= x["n"] + y["n"])
+    return pairs.where(may).select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"))
+
+
 def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame:
     """(key, class) of each different text: classes are the components of the graph of the pairs at Jaccard similarity 0.8 or more of their word shingles.
 
@@ -411,22 +427,26 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     rep = nodes.groupBy("fp").agg(F.min("node").alias("rep"), F.count("*").alias("copies"))
     near = links(rep.select("fp"), most)
     a, b = rep.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), rep.select(F.col("fp").alias("b"), F.col("rep").alias("rb"))
+    # One candidate a fingerprint, its least: all pairs of a large group need not be confirmed, and what they would join is found below.
+    near = near.groupBy(F.greatest("a", "b").alias("b")).agg(F.min(F.least("a", "b")).alias("a"))
     near = near.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     same = nodes.select("fp", "node").join(rep.where("copies > 1"), "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     first = confirmed(near.unionByName(same))
 
     joined = stage(components(first))
-    info = nodes.join(joined, "node", "left").select("node", "n", "parity", "bands", F.coalesce("component", "node").alias("component"))
-    filed = info.select("node", "component", F.explode("bands").alias("band"))
-    # A band all of whose sets are in one component has nothing to add.
-    parted = filed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high").select("band")
-    few = stage(filed.join(parted, "band").join(info.select("node", "n", "parity"), "node"))
-    x, y = few.alias("x"), few.alias("y")
-    apart = sum((F.bit_count(F.col("x.parity")[k].bitwiseXOR(F.col("y.parity")[k])) for k in range(8)), F.lit(0))
-    sizes = F.col("x.n") + F.col("y.n")
-    may = (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    may &= (5 * F.least("x.n", "y.n") >= 4 * F.greatest("x.n", "y.n")) & (9 * apart <= sizes)
-    rest = confirmed(x.join(y, may).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    filed = nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.explode("bands").alias("band"))
+    few = stage(_parted(filed).join(nodes.select("node", "n", "parity"), "node"))
+    # A large group of near copies is drawn together by stars: each set meets one of its band, another one each time.
+    for turn in range(STARS):
+        center = few.groupBy("band").agg(F.min_by(F.struct("node", "component", "n", "parity"), F.xxhash64("node", F.lit(turn))).alias("y"))
+        star = few.join(center, "band").select(F.struct("node", "component", "n", "parity").alias("x"), "y")
+        first = stage(first.unionByName(confirmed(_may(star))))
+        joined = stage(components(first)).withColumnRenamed("component", "_now")
+        few = few.join(joined, "node", "left").select("node", F.coalesce("_now", "node").alias("component"), "band", "n", "parity")
+        few = stage(_parted(few))
+    # What is still apart, pair by pair.
+    x, y = (few.select("band", F.struct("node", "component", "n", "parity").alias(c)) for c in "xy")
+    rest = confirmed(_may(x.join(y, "band").where("x.node < y.node")))
     final = components(first.unionByName(rest))
     return of.select("key", "node").join(final, "node", "left").select("key", F.coalesce("component", "node").alias("class"))
 
