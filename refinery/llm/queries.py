@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import chat, html, mixing, packing, secrets, simhash, substrings, topk, toxicity, vectors
+from refinery.llm import chat, html, lines, mixing, packing, secrets, simhash, substrings, topk, toxicity, vectors
 from refinery.llm.common import table
 
 
@@ -43,6 +43,19 @@ from placed
 """
 
 
+OP12 = r"""
+with lines as (
+  select doc_id, at, lines[at] as line,
+    translate(trim(lines[at], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as at
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents))),
+often as (select key from lines where key <> '' group by key having count(distinct doc_id) >= 10)
+select doc_id, count(*) as n_lines, count(o.key) as n_dropped,
+  sha256(coalesce(string_agg(case when o.key is null then line end, chr(10) order by at), '')) as kept_sha256
+from lines left join often o using (key) group by doc_id
+"""
+
+
 def tokenizer() -> str:
     import public_tokenizers
 
@@ -106,10 +119,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_frequent(table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
-    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction)
+    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction, op12_line_dedup)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1, "op5_chat_formatting": OP5}
+    return {"op1_topk": OP1, "op5_chat_formatting": OP5, "op12_line_dedup": OP12}
