@@ -17,7 +17,7 @@ from refinery.llm.common import partitions, stage
 #: White space that is stripped at the ends of a line.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows (for bitmaps: their runs) of a table that is broadcast; a larger one is joined by shuffling.
+#: Frequent lines that are broadcast; more are joined by shuffling the hashes.
 MOST_BROUGHT = 200_000
 
 
@@ -52,16 +52,11 @@ def frequent(found: DataFrame, least_docs: int) -> DataFrame:
     return counted.where(F.col("n_docs") >= least_docs)
 
 
-def _small(table: DataFrame, weight: Column) -> DataFrame:
-    """A staged table, to be broadcast where its weight is at most MOST_BROUGHT."""
-    return F.broadcast(table) if (table.agg(F.sum(weight)).first()[0] or 0) <= MOST_BROUGHT else table
-
-
 def _dropped(docs: DataFrame, least_docs: int, least_chars: int, keep_first: bool) -> DataFrame:
     """(doc_id, t, starts, ends) of documents that lose lines: places, from 0, where runs of dropped lines start and where they end."""
     found = stage(occurrences(docs, least_chars))
     often = stage(frequent(found, least_docs))
-    hit = found.join(_small(often, F.lit(1)), ["h", "g"])
+    hit = found.join(F.broadcast(often) if often.count() <= MOST_BROUGHT else often, ["h", "g"])
     if keep_first:
         hit = hit.where(~F.struct("doc_id", "t", "pos").eqNullSafe(F.col("first")))
     per = hit.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set("pos")).alias("at"))
@@ -72,8 +67,8 @@ def _dropped(docs: DataFrame, least_docs: int, least_chars: int, keep_first: boo
 
 def _with_bitmap(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     """Adds n_dropped and keep to rows (doc_id, t, n_lines and others)."""
-    small = _small(dropped, F.size("starts") + 1)
-    small = small.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "starts", "ends")
+    # Bitmaps grow with the documents: the join is the same at every size, and moves the rows once.
+    small = dropped.hint("merge").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "starts", "ends")
     joined = rows.join(small, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t")), "left")
     # A kept and a dropped run for each run that is dropped, then what is left.
     kept = F.transform("starts", lambda s, i: s - F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("ends"), i - 1) + 1))
