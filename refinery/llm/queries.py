@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import chat, html, lines, mixing, packing, secrets, simhash, substrings, topk, toxicity, vectors
+from refinery.llm import chat, html, lines, mixing, packing, phrases, secrets, simhash, substrings, topk, toxicity, vectors
 from refinery.llm.common import table
 
 
@@ -56,6 +56,38 @@ from lines left join often o using (key) group by doc_id
 """
 
 
+OP13 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+split as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+grams as (
+  select lang, k, phrase, count(*) as f
+  from (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+    from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from split, (values (1), (2), (3), (4)) as t(k)))
+  group by all),
+totals as (select lang, sum(f) as n from grams where k = 1 group by lang),
+often as (select * from grams where f >= 30),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from often where k >= 2),
+cuts as (
+  select c.lang, c.k, c.phrase, c.a, cut, l.f as l, r.f as r, (2000000::hugeint * c.a::hugeint) // (l.f::hugeint + r.f::hugeint) as score
+  from (select *, unnest(range(1, k)) as cut from candidates) c
+  join often l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:c.cut], ' ')
+  join often r on r.lang = c.lang and r.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inside as (
+  select lang, array_to_string(w[i:i + m - 1], ' ') as phrase, max(a) as longer
+  from (select *, unnest(range(1, k - m + 2)) as i from candidates, (values (2), (3)) as t(m) where m < k)
+  group by all),
+kept as (
+  select s.* from lowest s left join inside i on i.lang = s.lang and i.phrase = s.phrase
+  where i.longer is null or 100::hugeint * i.longer::hugeint < 80::hugeint * s.a::hugeint),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
+
 def tokenizer() -> str:
     import public_tokenizers
 
@@ -124,10 +156,14 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def queries() -> dict:
-    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction, op12_line_dedup)
+    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction, op12_line_dedup, op13_collocations)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1, "op5_chat_formatting": OP5, "op12_line_dedup": OP12}
+    return {"op1_topk": OP1, "op5_chat_formatting": OP5, "op12_line_dedup": OP12, "op13_collocations": OP13}
