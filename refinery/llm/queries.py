@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import chat, html, lines, mixing, packing, phrases, secrets, simhash, substrings, topk, toxicity, vectors
+from refinery.llm import chat, clusters, html, lines, mixing, packing, phrases, secrets, simhash, substrings, topk, toxicity, vectors
 from refinery.llm.common import table
 
 
@@ -43,6 +43,39 @@ from placed
 """
 
 
+def _op11(k: int, rounds: int) -> str:
+    """Lloyd's rounds, one after the other."""
+
+    def assigned(centroids: str) -> str:
+        return f"""(select n, vec_id, v, cluster, d from (
+      select p.*, c.cluster, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d from points p, {centroids} c)
+    qualify row_number() over (partition by n order by d, cluster) = 1)"""
+
+    def means(number: int) -> str:
+        return f"""a{number} as materialized {assigned(f"c{number}")},
+m{number} as (
+  select cluster, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as v
+  from (select cluster, i, sum(v[i]) as s, count(*)::hugeint as n from (select cluster, v, unnest(range(1, 65)) as i from a{number}) group by cluster, i) group by cluster),
+c{number + 1} as materialized (select cluster, coalesce(m{number}.v, c{number}.v) as v from c{number} left join m{number} using (cluster))"""
+
+    turns = ",\n".join(means(n) for n in range(rounds))
+    return f"""
+with points as materialized (
+  select row_number() over () as n, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+c0 as materialized (
+  select row_number() over (order by sha256('2:' || vec_id), v) - 1 as cluster, v from points where vec_id is not null
+  qualify row_number() over (order by sha256('2:' || vec_id), v) <= {k}),
+{turns},
+done as materialized {assigned(f"c{rounds}")}
+select vec_id, cluster::int as cluster, d as distance, sum(d) over (partition by cluster)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia,
+  sha256(array_to_string(c{rounds}.v, ',')) as centroid_sha256
+from done join c{rounds} using (cluster)
+"""
+
+
+OP11 = _op11(40, 5)
+
 OP12 = r"""
 with lines as (
   select doc_id, at, lines[at] as line,
@@ -151,6 +184,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_ns_bounds_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed="2")
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.drop_frequent(table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -161,9 +198,9 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction, op12_line_dedup, op13_collocations)
+    found = (op1_topk, op2_secret_scan, op3_suffix_dedup, op4_mixing, op5_chat_formatting, op6_simhash, op7_best_fit_packing, op8_cover_tree, op9_toxicity, op10_html_extraction, op11_ns_bounds_clustering, op12_line_dedup, op13_collocations)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1, "op5_chat_formatting": OP5, "op12_line_dedup": OP12, "op13_collocations": OP13}
+    return {"op1_topk": OP1, "op5_chat_formatting": OP5, "op11_ns_bounds_clustering": OP11, "op12_line_dedup": OP12, "op13_collocations": OP13}
