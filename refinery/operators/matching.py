@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions import text as X
@@ -85,22 +86,27 @@ def text_key(c: Column) -> list[Column]:
 def leftmost(found: DataFrame) -> DataFrame:
     """M4's choice: (h, g, taken) with the hits that are taken from the left, in order, as (at, until, standard).
 
-    Hits that overlap follow each other; where none reaches over a place, the choice starts anew, so each
-    such group is resolved by itself.
+    A text's hits are in one row, in order; which are taken is told by one look at each. Only their places leave the JVM.
     """
-    in_order = Window.partitionBy("h", "g").orderBy("at")
-    reach = F.max(F.col("at") + F.col("n")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = found.withColumn("_new", F.coalesce((F.col("at") >= reach).cast("int"), F.lit(1)))
-    rows = rows.withColumn("_group", F.sum("_new").over(in_order))
-    groups = rows.groupBy("h", "g", "_group").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n")).alias("until"), "standard"))).alias("_hits"))
-    none = F.expr("cast(array() as array<struct<at: int, until: int, standard: string>>)")
-
-    def step(acc: Column, x: Column) -> Column:
-        return F.when(F.coalesce(F.get(acc, F.size(acc) - 1)["until"], F.lit(0)) <= x["at"], F.array_append(acc, x)).otherwise(acc)
-
-    chosen = F.when(F.size("_hits") == 1, F.col("_hits")).otherwise(F.aggregate("_hits", none, step))
-    ordered = F.array_sort(F.collect_list(F.struct("_group", chosen.alias("taken"))))
-    return groups.groupBy("h", "g").agg(F.flatten(F.transform(ordered, lambda x: x["taken"])).alias("taken"))
+    rows = found.groupBy("h", "g").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n")).alias("until"), "standard"))).alias("_hits"))
+    taken = F.pandas_udf(free_places, "array<int>")(F.col("_hits")["at"], F.col("_hits")["until"])
+    return rows.select("h", "g", F.transform(taken, lambda i: F.get("_hits", i)).alias("taken"))
+
+
+def free_places(starts: pd.Series, ends: pd.Series) -> pd.Series:
+    """Numbers of the intervals that are taken from the left: each that starts where the last one taken has ended, or later. Linear in their number."""
+    out = []
+    for at, until in zip(starts, ends):
+        if (at[1:] >= until[:-1]).all():
+            out.append(np.arange(len(at), dtype=np.int32))
+            continue
+        taken, free = [], 0
+        for n, (a, b) in enumerate(zip(at.tolist(), until.tolist())):
+            if a >= free:
+                taken.append(n)
+                free = b
+        out.append(np.array(taken, np.int32))
+    return pd.Series(out, dtype=object)
 
 
 def match(docs: DataFrame, dictionary: DataFrame, text_col: str) -> DataFrame:

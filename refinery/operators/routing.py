@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions import text as X
@@ -18,6 +18,9 @@ RESIDUAL = "UNMAPPED_RESIDUAL"
 GARBAGE_EXACT = ["Document", "Responsive Image", "Loading...", "null", "undefined", "이미지 확대보기", "준비중", "상품명", "듀이트리 상세", "IOPE XMD PDP"]
 GARBAGE_CONTAINS = ["herbloom", "javascript:", "onclick", "http://", "https://", "<script", "<div", "JS로"]
 
+#: Tasks among which the rows of a key with several are dealt.
+SALTS = 32
+
 
 def first_failure(checks: list[tuple[str, Column]]) -> Column:
     """The code of the first check that holds, else null."""
@@ -32,16 +35,48 @@ def split(df: DataFrame, error: str = "error_type") -> tuple[DataFrame, DataFram
     return df.where(F.col(error).isNull()), df.where(F.col(error).isNotNull())
 
 
+def _place(df: DataFrame, order: list[Column]) -> Column:
+    """Where a row stands in its key: by ``order``, each ascending with nulls first, and then by 128 bits of the row, so that only equal rows tie."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    plain = [F.to_json(F.struct(c)) if "map<" in kinds[c] else F.col(f"`{c}`") for c in df.columns]
+    return F.struct(*[c.alias(f"o{n}") for n, c in enumerate(order)], F.xxhash64(*plain).alias("h"), F.xxhash64(F.lit(1), *plain).alias("g"))
+
+
+def _keyed(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
+    """(row, place, k0, k1, ...): the rows as one column, so that no name of theirs clashes."""
+    return df.select(F.struct(*[f"`{c}`" for c in df.columns]).alias("row"), _place(df, order).alias("place"), *[k.alias(f"k{n}") for n, k in enumerate(keys)])
+
+
+def best_rows(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
+    """The row of each key that stands first. Tasks send on one row for each of their keys, so a key may have any number of rows."""
+    names = [f"k{n}" for n in range(len(keys))]
+    return _keyed(df, keys, order).groupBy(*names).agg(F.min_by("row", "place").alias("row")).select("row.*")
+
+
+def rejected_rows(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
+    """All rows but ``best_rows``. Of keys with several rows the first's place goes to SALTS tasks, among which the key's rows are dealt; of equal first rows all but one are rejected."""
+    names = [f"k{n}" for n in range(len(keys))]
+    rows = _keyed(df, keys, order)
+    several = rows.groupBy(*names).agg(F.min("place").alias("_best"), F.count("*").alias("_rows")).where("_rows > 1")
+    several = several.select(*[F.col(k).alias(f"_{k}") for k in names], "_best", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    same = F.pmod(F.col("place.h"), F.lit(SALTS)) == F.col("_salt")
+    for k in names:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    met = rows.join(several, same)
+    firsts = met.where("place = _best").groupBy("_best", *names).agg(F.count("*").alias("n"), F.first("row").alias("row"))
+    copies = firsts.where("n > 1").select("row", F.explode(F.expr("sequence(2, n)")).alias("_copy"))
+    return met.where("place <> _best").select("row.*").unionByName(copies.select("row.*"))
+
+
 def keep_best(df: DataFrame, keys: list[Column], order: list[Column], flag: str = "is_best") -> DataFrame:
-    """Flags the one row of each key that stays; ties are settled by ``order``, which should be total."""
-    best = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(flag, F.row_number().over(best) == 1)
+    """Flags the one row of each key that stays, the first by ``order`` (ascending, nulls first); rows that tie are told by what they hold, so reruns agree."""
+    best = best_rows(df, keys, order).withColumn(flag, F.lit(True))
+    return best.unionByName(rejected_rows(df, keys, order).withColumn(flag, F.lit(False)))
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Rows with a key, one for each."""
-    first = Window.partitionBy(key).orderBy(*order)
-    return df.where(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    """Rows with a key, one for each: the first by ``order``, as in ``keep_best``."""
+    return best_rows(df.where(F.col(key).isNotNull()), [F.col(key)], order)
 
 
 def after_match(df: DataFrame, matches: str = "matches", residual: str = "residual") -> tuple[DataFrame, DataFrame]:

@@ -117,7 +117,7 @@ def edges_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("select c_custkey as id, c_name as name, c_mktsegment as category from customer where c_custkey is not null qualify row_number() over (partition by c_custkey order by c_name) = 1")
 def nodes_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.nodes(table(spark, sf_dir, "customer"), "c_custkey", {"c_custkey": "id", "c_name": "name", "c_mktsegment": "category"}, [F.col("c_name").asc()])
+    return graph.nodes(table(spark, sf_dir, "customer"), "c_custkey", {"c_custkey": "id", "c_name": "name", "c_mktsegment": "category"}, [F.col("c_name")])
 
 
 @register("select distinct o_orderpriority as category_id from orders")
@@ -344,7 +344,7 @@ DEDUP_SQL = "select doc_id, lang, row_number() over (partition by lang, replace(
 
 def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", X.despace(F.col("text")).alias("norm"))
-    return routing.keep_best(docs, [F.col("lang"), F.col("norm")], [F.col("n_chars").asc(), F.col("doc_id").asc()])
+    return routing.keep_best(docs, [F.col("lang"), F.col("norm")], [F.col("n_chars"), F.col("doc_id")])
 
 
 @register(f"select doc_id, lang from ({DEDUP_SQL}) where turn = 1")

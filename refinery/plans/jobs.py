@@ -80,7 +80,7 @@ def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_jo
     """Bronze to silver and dead letters. The routed frame is kept, so the text rules run once; ``release`` lets it go."""
     cleaned = batch.stamp(clean(bronze, by), batch_job, batch_date).persist()
     ok, bad = routing.split(cleaned)
-    order = [F.length("clean_text").asc(), F.col("url").asc(), F.col("ingredients").asc()]
+    order = [F.length("clean_text"), F.col("url"), F.col("ingredients")]
     ranked = routing.keep_best(ok, [F.col("brand"), X.despace(F.col("clean_name"))], order)
     duplicates = ranked.where("not is_best").withColumn("error_type", F.lit(routing.DUPLICATE))
     best = ranked.where("is_best").withColumn("_search", matching.prepared(F.col("clean_text")))

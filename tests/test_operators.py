@@ -1,5 +1,6 @@
 import datetime
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,21 @@ def test_match_of_a_long_text(spark):
     assert len(r["matches"]) == 160_000 and r["residual"] == "some  " * 80_000
 
 
+def test_match_of_touching_hits_is_linear(spark):
+    """One letter, with keys of two and three: every hit overlaps the next. Four times the text takes about four times as long."""
+    keys = spark.createDataFrame([("aa", "2"), ("aaa", "3")], "key string, standard string")
+    took = []
+    for n in (100_001, 1_000_001, 4_000_001):
+        hits = spark.range(1, n).select(F.lit(1).alias("h"), F.lit(2).alias("g"), F.col("id").cast("int").alias("at"), F.least(F.lit(3), n - F.col("id")).cast("int").alias("n"), F.lit("3").alias("standard")).where("n > 1")
+        began = time.time()
+        r = matching.leftmost(hits).select(F.size("taken").alias("n"), F.element_at("taken", -1)["until"].alias("last")).first()
+        took.append(time.time() - began)
+        assert r["n"] == -(-(n - 1) // 3) - ((n - 1) % 3 == 1) and r["last"] == n - ((n - 1) % 3 == 1)
+    assert took[2] < 10 * took[1] + 5
+    r = matching.match(spark.createDataFrame([(1, "a" * 300_002)], "id long, t string"), keys, "t").first()
+    assert r["matches"] == ["3"] * 100_000 + ["2"] and r["residual"] == ""
+
+
 def test_match_without_keys(spark):
     docs = spark.createDataFrame([(1, "abc")], "id long, t string")
     r = matching.match(docs, spark.createDataFrame([], "key string, standard string"), "t").first()
@@ -87,6 +103,41 @@ def test_routing(spark):
     assert ok.count() == 1 and bad.count() == 2
 
 
+def test_keep_best_by_brute_force(spark):
+    """One key holds half of the rows, nulls and equal rows among them, columns named as the operator's own, and a map."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, "hot", "hot", "hot", rng.choice("abcdef")]), rng.choice([None, "x", "yy", "zzz"]), rng.choice([None, 1, 2]), rng.choice([None, {"p": "1"}, {}])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k0 string, row string, _best int, place map<string, string>").repartition(5)
+    out = routing.keep_best(df, [F.col("k0")], [F.length("row"), F.col("_best")])
+    got = [tuple(r) for r in out.collect()]
+    assert out.columns == [*df.columns, "is_best"] and sorted(map(str, (r[:4] for r in got))) == sorted(map(str, rows))
+    low = lambda x: (x is not None, x or 0)
+    best = {}
+    for k, t, u, _ in rows:
+        here = (low(None if t is None else len(t)), low(u))
+        best[k] = min(best.get(k, here), here)
+    kept = [r for r in got if r[4]]
+    assert sorted((str(k), (low(None if t is None else len(t)), low(u))) for k, t, u, *_ in kept) == sorted((str(k), v) for k, v in best.items())
+    again = routing.keep_best(df.repartition(3), [F.col("k0")], [F.length("row"), F.col("_best")]).where("is_best")
+    assert sorted(map(str, map(tuple, again.collect()))) == sorted(map(str, kept))
+    assert sorted(r["k0"] for r in routing.first_per_key(df, "k0", [F.col("_best")]).collect()) == sorted(k for k in best if k)
+
+
+def test_keep_best_deals_a_hot_key(spark):
+    """Half of the rows have one key: what is kept takes no exchange of rows, and rejected rows of that key are dealt."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    assert "Window" not in routing.keep_best(df, [F.col("k")], [F.col("v")])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rejected = routing.rejected_rows(df, [F.col("k")], [F.col("v")])
+        per = [r["count"] for r in rejected.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(per) == 9_999 and max(per) < 0.5 * 9_999
+
+
 HISTORY = "product_id string, b int, items array<string>, rating double, m map<string, map<string, string>>"
 
 
