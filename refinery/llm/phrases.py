@@ -6,7 +6,9 @@ A shard is a run of texts of about SHARD_BYTES within a partition. Three passes
 2. Each shard is mined completely, level by level, at the support lowered to its share of its
    language's words: a phrase that is frequent overall is so in one shard at least. What a shard does
    not report occurs there less often than its support, so reported counts and these gaps bound every
-   phrase's count from above; phrases whose bound stays below the support are no candidates.
+   phrase's count from above; phrases whose bound stays below the support are no candidates. Shards
+   of a large corpus have a support of one, so pairs of words are mined in a pass of their own, and longer
+   phrases only where all their pairs are candidates. Reports are hashes, not phrases.
 3. Candidates are counted in all texts.
 
 Words and candidates reach the tasks as bitmaps of their hashes, of one size whatever their number; a
@@ -28,12 +30,14 @@ from refinery.llm.common import stage
 from refinery.operators.partitioning import spread
 
 #: Bytes of text of a shard (more only where one text is longer), and of text that is split into words at a time.
-SHARD_BYTES, CHUNK_BYTES = 24 << 20, 1 << 20
+SHARD_BYTES, CHUNK_BYTES = 16 << 20, 1 << 20
 #: Bits of a bitmap of hashes: 8 MB.
 BITS = 1 << 26
 #: Groups in which a language's phrases are ranked before they are ranked together.
 SALTS = 64
 ROWS = 20_000
+#: Languages that are broadcast.
+MOST_BROUGHT = 100_000
 #: A-Z in lower case, ends of pieces as \n, white space within pieces as a space.
 TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 END, EMPTY = 0, 1
@@ -105,6 +109,11 @@ def seen(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _listed_words(bitmap: np.ndarray, of_words: np.ndarray) -> np.ndarray:
+    numbers = np.arange(len(of_words))
+    return seen(bitmap, phrase_hashes(of_words, numbers, numbers, 1))
+
+
 def levels(seq: np.ndarray, n_words: int, usable: np.ndarray, longest: int, stays: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(size, first places, counts) of phrases of two words and more whose parts all stay.
 
@@ -131,15 +140,24 @@ def _texts(words: np.ndarray, seq: np.ndarray, at: np.ndarray, size: int) -> lis
     return [b" ".join(w).decode("utf-8", "surrogatepass") for w in zip(*columns)]
 
 
-FOUND = "lang string, phrase string, size int, hash long, count long, gap long"
+COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("hash", pa.int64()), ("count", pa.int64())])
+REPORTED = pa.schema([("tongue", pa.int64()), ("hash", pa.int64()), ("count", pa.int64()), ("gap", pa.int64())])
+COUNTED_SQL, REPORTED_SQL = "lang string, phrase string, size int, hash long, count long", "tongue long, hash long, count long, gap long"
+
 
+def _counts(lang: str, words: np.ndarray, of_words: np.ndarray, seq: np.ndarray, at: np.ndarray, size: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of the phrases that begin at the places of ``at``, some at a time, since texts take room."""
+    for lo in range(0, len(at), ROWS):
+        part, n = at[lo : lo + ROWS], counts[lo : lo + ROWS]
+        columns = [[lang] * len(part), _texts(words, seq, part, size), np.full(len(part), size, np.int32), phrase_hashes(of_words, seq, part, size).view(np.int64), n.astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTED)], schema=COUNTED)
 
-def _found(lang: str, phrases: list[str], size: int, h: np.ndarray, counts: np.ndarray, gap: int) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, len(phrases), ROWS):
-        part = phrases[lo : lo + ROWS]
-        n = len(part)
-        columns = [[lang] * n, part, np.full(n, size, np.int32), h[lo : lo + n].view(np.int64), counts[lo : lo + n].astype(np.int64), np.full(n, gap, np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["lang", "phrase", "size", "hash", "count", "gap"])
+
+def _reports(tongue: int, h: np.ndarray, counts: np.ndarray, gap: int) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(h), ROWS):
+        part, n = h[lo : lo + ROWS].view(np.int64), counts[lo : lo + ROWS].astype(np.int64)
+        columns = [np.full(len(part), tongue), part, n, np.full(len(part), gap)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=REPORTED)
 
 
 def _over_shards(of: Callable[[Shard], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -161,15 +179,16 @@ def _over_shards(of: Callable[[Shard], Iterator[pa.RecordBatch]]) -> Callable[[I
 
 def _count_words(shard: Shard) -> Iterator[pa.RecordBatch]:
     words = shard.words()
+    numbers = np.arange(len(words))
     for lang, seq, _ in shard.sequences():
         counts = np.bincount(seq, minlength=len(words))
         counts[END] = 0
         ids = np.flatnonzero(counts)
-        yield from _found(lang, [w.decode("utf-8", "surrogatepass") for w in words[ids]], 1, hashes(words[ids], lang), counts[ids], 0)
+        yield from _counts(lang, words, hashes(words, lang), numbers, ids, 1, counts[ids])
 
 
-def _mine(least: int, longest: int, frequent) -> Callable[[Shard], Iterator[pa.RecordBatch]]:
-    """What a shard reports: its phrases of lowered support, and the support less one as the gap of all others (size 0)."""
+def _mine(least: int, shortest: int, longest: int, frequent, pairs=None) -> Callable[[Shard], Iterator[pa.RecordBatch]]:
+    """What a shard reports: hashes of its phrases of lowered support, from ``shortest`` to ``longest`` words, and the support less one as the gap of all others (count 0)."""
 
     def of(shard: Shard) -> Iterator[pa.RecordBatch]:
         words = shard.words()
@@ -178,11 +197,17 @@ def _mine(least: int, longest: int, frequent) -> Callable[[Shard], Iterator[pa.R
             counts[END] = 0
             support = max(-(-least * int(counts.sum()) // total), 1)
             of_words = hashes(words, lang)
-            usable = (counts >= support) & seen(frequent.value, of_words)
-            if support > 1:
-                yield from _found(lang, [""], 0, np.zeros(1, np.uint64), np.zeros(1), support - 1)
-            for size, at, n in levels(seq, len(words), usable, longest, lambda size, at, n: n >= support):
-                yield from _found(lang, _texts(words, seq, at, size), size, phrase_hashes(of_words, seq, at, size), n, support - 1)
+            tongue = int(np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))).astype(np.int64))
+            usable = (counts >= support) & _listed_words(frequent.value, of_words)
+
+            def stays(size: int, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+                enough = n >= support  # noqa: B023
+                return enough if size >= shortest else enough & seen(pairs.value, phrase_hashes(of_words, seq, at, size))  # noqa: B023
+
+            yield from _reports(tongue, np.zeros(1, np.uint64), np.zeros(1), support - 1)
+            for size, at, n in levels(seq, len(words), usable, longest, stays):
+                if size >= shortest:
+                    yield from _reports(tongue, phrase_hashes(of_words, seq, at, size), n, support - 1)
 
     return of
 
@@ -192,53 +217,60 @@ def _count(longest: int, frequent, candidates) -> Callable[[Shard], Iterator[pa.
         words = shard.words()
         for lang, seq, _ in shard.sequences():
             of_words = hashes(words, lang)
-            usable = seen(frequent.value, of_words)
+            usable = _listed_words(frequent.value, of_words)
             usable[[END, EMPTY]] = False
             listed = lambda size, at, n: seen(candidates.value, phrase_hashes(of_words, seq, at, size))  # noqa: B023, E731
             for size, at, n in levels(seq, len(words), usable, longest, listed):
-                yield from _found(lang, _texts(words, seq, at, size), size, phrase_hashes(of_words, seq, at, size), n, 0)
+                yield from _counts(lang, words, of_words, seq, at, size, n)
 
     return of
 
 
-def _bitmap(found: DataFrame):
-    """The bits of all hashes, broadcast: BITS / 8 bytes, whatever the number of rows."""
+def _bits(found: DataFrame) -> np.ndarray:
+    """The bits of all hashes: BITS / 8 bytes, whatever the number of rows."""
     bit = F.col("hash").bitwiseAND(BITS - 1) + 1
     rows = found.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("bit"))
     out = np.zeros(BITS // 8, np.uint8)
     for r in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
         part = np.frombuffer(r["bits"], np.uint8)
         out[(r["bucket"] - 1) * len(part) :][: len(part)] = part
-    return found.sparkSession.sparkContext.broadcast(out)
+    return out
+
+
+def _likely(mined: DataFrame, least: int) -> DataFrame:
+    """(hash) of the phrases that may have ``least`` occurrences: a shard that does not report one holds it its gap times at most."""
+    mined = stage(mined)
+    gaps = mined.where("count = 0").groupBy("tongue").agg(F.sum("gap").alias("gaps")).where("gaps > 0")
+    bound = F.sum("count") - F.sum("gap")
+    summed = mined.where("count > 0").groupBy("tongue", "hash").agg(bound.alias("bound"))
+    # A row for each language.
+    if gaps.count() <= MOST_BROUGHT:
+        gaps = F.broadcast(gaps)
+    return summed.join(gaps, "tongue", "left").where(F.col("bound") + F.coalesce("gaps", F.lit(0)) >= least).select("hash")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, phrase, hash, f) of every word."""
     rows = docs.select("lang", "text", F.lit(0).cast("long").alias("total"))
-    found = rows.mapInArrow(_over_shards(_count_words), FOUND)
+    found = rows.mapInArrow(_over_shards(_count_words), COUNTED_SQL)
     return found.groupBy("lang", "phrase").agg(F.first("hash").alias("hash"), F.sum("count").alias("f"))
 
 
 def counted(docs: DataFrame, words: DataFrame, totals: DataFrame, least: int, longest: int) -> DataFrame:
     """(lang, phrase, size, a): every phrase of 2 to ``longest`` words with ``least`` occurrences or more, counted exactly."""
-    spark = docs.sparkSession
-    frequent = _bitmap(words.where(F.col("f") >= least))
+    context = docs.sparkSession.sparkContext
+    frequent = context.broadcast(_bits(words.where(F.col("f") >= least)))
     size = words.agg(F.sum(F.col("f") * (F.octet_length("phrase") + 1))).first()[0] or 0
     # Larger shards have a higher support; there are as many tasks as cores at least.
-    shards = max(spark.sparkContext.defaultParallelism, -(-int(size) // SHARD_BYTES))
+    shards = max(context.defaultParallelism, -(-int(size) // SHARD_BYTES))
     texts = docs.join(totals.select("lang", F.col("n").alias("total")), "lang").select("lang", "text", "total").coalesce(shards)
-    mined = stage(texts.mapInArrow(_over_shards(_mine(least, longest, frequent)), FOUND))
-    gaps = mined.where("size = 0").groupBy("lang").agg(F.sum("gap").alias("gaps"))
-    bound = F.sum("count") - F.sum("gap")
-    summed = mined.where("size > 0").groupBy("lang", "phrase").agg(F.first("hash").alias("hash"), bound.alias("bound"))
-    # A shard that does not report a phrase holds it its gap times at most.
-    likely = summed.join(gaps, "lang", "left").where(F.col("bound") + F.coalesce("gaps", F.lit(0)) >= least)
-    candidates = _bitmap(likely.select("hash"))
-    found = texts.mapInArrow(_over_shards(_count(longest, frequent, candidates)), FOUND)
-    out = stage(found.groupBy("lang", "phrase", "size").agg(F.sum("count").alias("a")).where(F.col("a") >= least))
-    for b in (frequent, candidates):
-        b.unpersist()
-    return out
+    bits = _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 2, 2, frequent)), REPORTED_SQL), least))
+    if longest > 2:
+        pairs = context.broadcast(bits)
+        bits = bits | _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 3, longest, frequent, pairs)), REPORTED_SQL), least))
+    candidates = context.broadcast(bits)
+    found = texts.mapInArrow(_over_shards(_count(longest, frequent, candidates)), COUNTED_SQL)
+    return stage(found.groupBy("lang", "phrase", "size").agg(F.sum("count").alias("a")).where(F.col("a") >= least))
 
 
 def _whole(c: Column) -> Column:
