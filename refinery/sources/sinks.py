@@ -2,47 +2,35 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.schemas import Table, conform, enforce_not_null
+from refinery.sources.snapshots import Snapshot, SnapshotLog
 
 
 class BatchStore:
-    """A table as Parquet with one folder for each batch; current is the newest.
+    """A table as Parquet with a snapshot for each write of a batch; current is the newest.
 
-    A batch is written as a whole to its own folder, so writing it again, also after a failure, replaces
-    it. A folder counts once its write has ended. ``by`` names columns, or columns to be derived, whose
-    values part a batch's files; ``sort`` orders the rows within files.
+    A snapshot is written to a folder of its own and counts once its commit is in the log, so a write that
+    fails, also over a batch that is there, changes nothing for readers. Of a batch's snapshots the newest is its
+    rows; earlier ones stay readable by id until they expire. Newest is by commit, not by name. ``by`` names
+    columns, or columns to be derived, whose values part a batch's files; ``sort`` orders the rows within files.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, sort: list[Column] = (), by: dict[str, Column | None] | None = None) -> None:
         self.spark, self.path, self.schema, self.sort, self.by = spark, path, schema, list(sort), by or {}
+        self.log = SnapshotLog(spark, path)
 
     @classmethod
     def of(cls, spark: SparkSession, root: str, table: Table) -> BatchStore:
         """The store of one of the declared tables below ``root``."""
         return cls(spark, f"{root}/{table.name}", table.schema, [F.col(c).asc_nulls_last() for c in table.sort], table.by())
 
-    def _at(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        where, files = self._at(path)
-        return files.exists(where)
-
-    def _folder(self, batch: str) -> str:
-        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch):
-            raise ValueError(f"not a name of a batch: {batch!r}")
-        return f"{self.path}/_batch={batch}"
-
     def create(self, replace: bool = False) -> bool:
         """The typed empty table where there is none, or instead of what is there; whether it was made."""
-        if self._exists(self.path):
+        if self.log.exists(self.path):
             if not replace:
                 return False
             self.drop()
@@ -52,53 +40,68 @@ class BatchStore:
 
     def drop(self) -> None:
         """The table and all its batches go."""
-        where, files = self._at(self.path)
-        files.delete(where, True)
+        self.log.delete(self.path)
 
-    def _put(self, df: DataFrame, batch: str) -> None:
+    def _write(self, df: DataFrame, batch: str) -> tuple[str, str, int]:
+        """(id, folder, rows) of what was written and is not yet part of the table. Rows are counted as they are written."""
+        snapshot_id, folder = self.log.new_folder(batch)
         rows = enforce_not_null(conform(df, self.schema), self.schema)
         parts = [name if c is None else f"_{name}" for name, c in self.by.items()]
         rows = rows.withColumns({f"_{name}": c for name, c in self.by.items() if c is not None})
         if self.sort or parts:
             rows = rows.sortWithinPartitions(*parts, *self.sort)
-        writer = rows.write.mode("overwrite")
-        (writer.partitionBy(*parts) if parts else writer).parquet(self._folder(batch))
+        seen = Observation()
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.path}/{folder}")
+        return snapshot_id, folder, seen.get["rows"]
 
     def append(self, df: DataFrame, batch: str, skip_empty: bool = True) -> bool:
         """K1, K2: adds the batch in the table's schema; an empty one is skipped, so that current stays. The same batch again is not added twice."""
-        if skip_empty and df.isEmpty():
+        snapshot_id, folder, rows = self._write(df, batch)
+        if skip_empty and not rows:
+            self.log.delete(f"{self.path}/{folder}")
             return False
-        self._put(df, batch)
+        self.log.add(snapshot_id, batch, rows, folder)
         return True
 
-    def overwrite(self, df: DataFrame, batch: str) -> None:
-        """K3: the batch becomes what ``df`` is, even if that is empty; earlier ones stay readable. ``df`` must not read this batch."""
-        self._put(df, batch)
+    def overwrite(self, df: DataFrame, batch: str) -> Snapshot:
+        """K3: the batch becomes what ``df`` is, even if that is empty; earlier ones stay readable. ``df`` may read this batch."""
+        snapshot_id, folder, rows = self._write(df, batch)
+        return self.log.add(snapshot_id, batch, rows, folder)
 
-    def history(self) -> DataFrame:
+    def _rows(self, snapshots: list[Snapshot]) -> DataFrame:
         fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields] + [T.StructField("_batch", T.StringType())]
-        folders = [self._folder(b) for b in self.batches()]
-        if not folders:
+        if not snapshots:
             return self.spark.createDataFrame([], T.StructType(fields))
         # Columns that part the files come last in what is read, and derived ones are not the table's.
-        read = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path).parquet(*folders)
+        read = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path).parquet(*[f"{self.path}/{s.folder}" for s in snapshots])
         return read.select(*[f.name for f in fields])
 
+    def history(self, version: int | None = None) -> DataFrame:
+        """All batches, each as last written (until commit ``version``), with _batch."""
+        return self._rows(self.log.live(version))
+
     def batches(self) -> list[str]:
-        """Newest first; a listing of folders, not of rows."""
-        if not self._exists(self.path):
-            return []
-        where, files = self._at(self.path)
-        names = [s.getPath().getName() for s in files.listStatus(where)]
-        found = [n.removeprefix("_batch=") for n in names if n.startswith("_batch=")]
-        return sorted((b for b in found if self._exists(f"{self._folder(b)}/_SUCCESS")), reverse=True)
+        """Newest commit first; a reading of the log, not of rows."""
+        return [s.batch for s in reversed(self.log.live())]
+
+    def latest_two(self) -> tuple[Snapshot, Snapshot] | None:
+        """(previous, newest) batch by commit, or None where there are not two."""
+        live = self.log.live()
+        return (live[-2], live[-1]) if len(live) > 1 else None
 
     def read(self, batch: str) -> DataFrame:
-        return self.history().where(F.col("_batch") == batch).drop("_batch")
+        return self._rows([s for s in self.log.live() if s.batch == batch]).drop("_batch")
+
+    def read_snapshot(self, snapshot_id: str) -> DataFrame:
+        """The rows of one snapshot, also of one that a later write of its batch replaced."""
+        found = [s for s in self.log.snapshots() if s.snapshot_id == snapshot_id]
+        if not found:
+            raise ValueError(f"no snapshot {snapshot_id} in {self.path}; it may have expired")
+        return self._rows(found).drop("_batch")
 
     def current(self) -> DataFrame:
-        found = self.batches()
-        return self.read(found[0]) if found else self.history().drop("_batch")
+        return self._rows(self.log.live()[-1:]).drop("_batch")
 
 
 def export_csv(df: DataFrame, path: str, taken_at: str | None = None) -> str:

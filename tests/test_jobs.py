@@ -1,6 +1,8 @@
 """Two invented crawls through all jobs, and reading and writing."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from refinery.operators import graph, marts, routing
 from refinery.plans import jobs
 from refinery.sources import files
 from refinery.sources.sinks import BatchStore, export_csv, export_graph_csv
+from refinery.sources.snapshots import SnapshotLog
 from refinery.streaming import changes as streaming
 
 
@@ -120,9 +123,9 @@ def test_batches_are_written_once(spark, tmp_path):
     assert not store.append(rows.limit(0), "b2") and store.batches() == ["b1"]
     store.overwrite(rows.limit(0), "b3")
     assert store.batches() == ["b3", "b1"] and store.current().count() == 0 and store.read("b1").count() == 2
-    # A write that did not end does not count.
-    (tmp_path / "silver_error" / "_batch=b3" / "_SUCCESS").unlink()
-    assert store.batches() == ["b1"] and store.current().count() == 2
+    # Files without a commit do not count.
+    rows.write.parquet(str(tmp_path / "silver_error" / "_batch=b9" / "_snapshot=x"))
+    assert store.batches() == ["b3", "b1"]
     with pytest.raises(ValueError):
         store.append(rows, "../b")
     assert store.create(replace=True) and store.batches() == []
@@ -131,6 +134,78 @@ def test_batches_are_written_once(spark, tmp_path):
     assert log.current().columns == schemas.CHANGE_LOG.names and any("_batch_date_day=2024-01-02" in str(p) for p in (tmp_path / "change_log").rglob("*"))
 
 
+KV = "k string, v int"
+
+
+def kv_store(spark, path):
+    return BatchStore(spark, str(path), spark.createDataFrame([], KV).schema)
+
+
+def test_a_failed_rewrite_loses_nothing(spark, tmp_path):
+    store = kv_store(spark, tmp_path / "t")
+    store.append(spark.createDataFrame([("a", 1), ("b", 2)], KV), "b1")
+    good = store.latest_two() or store.log.live()[-1]
+    # Dies in the last rows, after other files of the write are there.
+    broken = spark.range(0, 400, numPartitions=4).select(F.lit("z").alias("k"), F.when(F.col("id") < 399, F.col("id").cast("int")).otherwise(F.raise_error(F.lit("killed")).cast("int")).alias("v"))
+    for write in (store.overwrite, store.append):
+        with pytest.raises(Exception, match="killed"):
+            write(broken, "b1")
+        assert sorted(map(tuple, store.read("b1").collect())) == [("a", 1), ("b", 2)]
+    # Dies between the files and the commit.
+    snapshot_id, folder, rows = store._write(spark.createDataFrame([("z", 0)], KV), "b1")
+    assert rows == 1 and [s.snapshot_id for s in store.log.snapshots()] == [good.snapshot_id]
+    assert {tuple(r) for r in store.current().collect()} == {("a", 1), ("b", 2)}
+    # A table may be rewritten from itself.
+    store.overwrite(store.read("b1").withColumn("v", F.col("v") + 1), "b1")
+    assert {tuple(r) for r in store.current().collect()} == {("a", 2), ("b", 3)}
+    assert {tuple(r) for r in store.read_snapshot(good.snapshot_id).collect()} == {("a", 1), ("b", 2)}
+
+
+def test_newest_is_by_commit(spark, tmp_path):
+    store = kv_store(spark, tmp_path / "t")
+    assert store.latest_two() is None
+    for n, batch in enumerate(("2024-01", "2024-02", "2023-12", "2024-02")):
+        store.append(spark.createDataFrame([(batch, n)], KV), batch)
+    assert store.batches() == ["2024-02", "2023-12", "2024-01"]
+    before, now = store.latest_two()
+    assert (before.batch, now.batch, now.rows) == ("2023-12", "2024-02", 1) and before.committed_ms < now.committed_ms
+    assert store.current().first()["v"] == 3 and sorted(r["v"] for r in store.history().collect()) == [0, 2, 3]
+    assert sorted(r["v"] for r in store.history(version=3).collect()) == [0, 1, 2]
+    rows = {(r["batch"], r["superseded"]) for r in store.log.frame().collect()}
+    assert ("2024-02", True) in rows and ("2024-02", False) in rows and len(rows) == 4
+    with pytest.raises(ValueError, match="no snapshot"):
+        store.read_snapshot("nothing")
+
+
+def test_commits_do_not_replace_each_other(spark, tmp_path):
+    """Two writers that saw the same last commit: each gets a number."""
+    a, b = SnapshotLog(spark, str(tmp_path)), SnapshotLog(spark, str(tmp_path))
+    assert a._put({"version": 1, "committed_ms": 5}) and not b._put({"version": 1, "committed_ms": 6})
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: (a if n % 2 else b).add(f"s{n}", f"b{n}", n, f"f{n}"), range(12)))
+    entries = a.entries()
+    assert [e["version"] for e in entries] == list(range(1, 14)) and sorted(e["rows"] for e in entries[1:]) == list(range(12))
+    assert all(x["committed_ms"] < y["committed_ms"] for x, y in zip(entries, entries[1:]))
+
+
+def test_expiry(spark, tmp_path):
+    store = kv_store(spark, tmp_path / "t")
+    for n, batch in enumerate(("b1", "b2", "b2", "b3", "b4")):
+        store.append(spark.createDataFrame([(batch, n)], KV), batch)
+    failed = store._write(spark.createDataFrame([("z", 0)], KV), "b5")[1]
+    long_ago, later = datetime(2000, 1, 1), datetime.now(timezone.utc) + timedelta(days=1)
+    assert store.log.expire(long_ago).count() == 0
+    report = store.log.expire(later)
+    assert sorted((r["batch"], r["kind"], r["superseded"]) for r in report.collect()) == [("b1", "expired", False), ("b2", "expired", False), ("b2", "expired", True), ("b5", "orphan", True)]
+    # Nothing went.
+    assert len(store.log.snapshots()) == 5 and (tmp_path / "t" / failed).is_dir()
+    gone = [s for s in store.log.snapshots() if s.batch in ("b1", "b2")]
+    assert store.log.expire(later, dry_run=False).count() == 4
+    assert store.batches() == ["b4", "b3"] and store.history().count() == 2
+    assert not any((tmp_path / "t" / s.folder).exists() for s in gone) and not (tmp_path / "t" / failed).exists()
+    assert store.log.expire(later, dry_run=False).count() == 0 and store.batches() == ["b4", "b3"]
+
+
 def test_rules_from_tables(spark):
     at = F.lit("2024-01-01").cast("timestamp")
     plain = spark.createDataFrame([("a", "b")], "raw string, fix string")
