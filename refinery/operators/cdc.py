@@ -47,21 +47,24 @@ def changed_rows(before: DataFrame, now: DataFrame, key: str, tracked: tuple[str
     return now.join(old, key).where(differ).select(*now.columns)
 
 
+def changes_between(before: DataFrame, now: DataFrame, earlier: DataFrame, key: str, tracked: tuple[str, ...] = TRACKED, reappear_as_new: bool = False) -> DataFrame:
+    """change_type and the row's values, from the previous and the newest batch and all earlier ones, of which only keys are read."""
+    found = new_rows(now, before if reappear_as_new else earlier, key).withColumn("change_type", F.lit("NEW"))
+    found = found.unionByName(removed_rows(before, now, key).withColumn("change_type", F.lit("REMOVED")), allowMissingColumns=True)
+    return found.unionByName(changed_rows(before, now, key, tracked).withColumn("change_type", F.lit("CHANGED")), allowMissingColumns=True)
+
+
 def change_log(history: DataFrame, batch: str, key: str, tracked: tuple[str, ...] = TRACKED, pair: tuple | None = None, initial_as_new: bool = False, reappear_as_new: bool = False) -> DataFrame:
-    """change_type and the row's values, from a history with a batch column.
+    """``changes_between`` the two newest batches of a history with a batch column.
 
-    Only the two newest batches are read whole; of older ones the keys. With fewer than two batches
-    there are no changes, unless ``initial_as_new``.
+    With fewer than two batches there are no changes, unless ``initial_as_new``.
     """
     pair = pair or latest_two(history, batch)
     if pair is None:
         rows = history if initial_as_new else history.limit(0)
         return rows.withColumn("change_type", F.lit("NEW"))
     before, now = history.where(F.col(batch) == F.lit(pair[0])), history.where(F.col(batch) == F.lit(pair[1]))
-    earlier = before if reappear_as_new else history.where(F.col(batch) < F.lit(pair[1]))
-    found = new_rows(now, earlier, key).withColumn("change_type", F.lit("NEW"))
-    found = found.unionByName(removed_rows(before, now, key).withColumn("change_type", F.lit("REMOVED")), allowMissingColumns=True)
-    return found.unionByName(changed_rows(before, now, key, tracked).withColumn("change_type", F.lit("CHANGED")), allowMissingColumns=True)
+    return changes_between(before, now, history.where(F.col(batch) < F.lit(pair[1])), key, tracked, reappear_as_new=reappear_as_new)
 
 
 def log_rows(changes: DataFrame, batch_job: str, batch_date: Column) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from refinery import schemas
 from refinery.functions import text as X
 from refinery.operators import batch, cdc, graph, marts, matching, quality, routing, rules
+from refinery.sources.graph_store import GraphStore
 from refinery.sources.sinks import BatchStore
 
 REQUIRED = ("name", "brand", "url", "ingredients", "main_category", "sub_category", "crawled_at")
@@ -105,10 +107,13 @@ def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_jo
 
 def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date: Column, **options) -> dict[str, DataFrame]:
     """Silver history to change log, frequency mart and enrichment mart of the newest batch."""
-    batches = store.batches()
-    pair = (batches[1], batches[0]) if len(batches) > 1 else None
-    changes = cdc.change_log(store.history(), "_batch", "product_id", pair=pair, **options)
     now = store.current()
+    if pair := store.latest_two():
+        before, newest = pair
+        earlier = store.history().where(F.col("_batch") != newest.batch)
+        changes = cdc.changes_between(store.read_snapshot(before.snapshot_id), now, earlier, "product_id", **{k: v for k, v in options.items() if k != "initial_as_new"})
+    else:
+        changes = cdc.change_log(store.history(), "_batch", "product_id", **options)
     top = marts.top_per_category(marts.usage(now, "category", "product_ingredients"))
     items = now.select("product_id", F.explode("product_ingredients").alias("ingredient_name")).where(F.col("ingredient_name").isNotNull())
     counts = marts.distinct_usage(items, "ingredient_name", "product_id")
@@ -119,9 +124,51 @@ def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date:
     }
 
 
+#: Properties of the graph's nodes besides their key.
+NODE = ["product_name", "product_brand", "category_id", "goods_no"]
+
+
+def _targets(metadata: DataFrame) -> DataFrame:
+    """(name, target): of several INCI names of one name the last in the metadata's order."""
+    return matching.last_wins(metadata.select(F.col("kor_name").alias("name"), F.col("inci_name").alias("target"), F.monotonically_increasing_id().alias("_o")), "name", "target", "_o")
+
+
 def sync_graph(nodes: DataFrame, edges: DataFrame, changes: DataFrame, metadata: DataFrame, mark, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(nodes, edges, checkpoint row) after the change-log batches beyond the mark. Of several INCI names of one name the last in the metadata's order stays."""
+    """(nodes, edges, checkpoint row) after the change-log batches beyond the mark."""
     waiting = graph.pending(changes, mark, "batch_date")
-    lookup = matching.last_wins(metadata.select(F.col("kor_name").alias("name"), F.col("inci_name").alias("target"), F.monotonically_increasing_id().alias("_o")), "name", "target", "_o")
-    after = graph.apply(nodes, edges, waiting, lookup, "product_id", "batch_date", ["product_name", "product_brand", "category_id", "goods_no"], "product_ingredients")
+    after = graph.apply(nodes, edges, waiting, _targets(metadata), "product_id", "batch_date", NODE, "product_ingredients")
     return after[0], after[1], graph.checkpoint_row(waiting, "batch_job", now)
+
+
+def graph_store(spark: SparkSession, path: str) -> GraphStore:
+    """The store of the graph of products and INCI names."""
+    fields = {f.name: f for f in schemas.CHANGE_LOG.fields}
+    nodes = T.StructType([fields[c] for c in ("product_id", *NODE)])
+    return GraphStore(spark, path, nodes, T.StructType([fields["product_id"], T.StructField("target", T.StringType())]))
+
+
+def _put_changes(store: GraphStore, waiting: DataFrame, metadata: DataFrame, notes: dict, batch: str | None = None) -> bool:
+    """Applies ``waiting`` to the newest snapshot and commits the result with the mark and counts; False where nothing waits and ``notes`` need no commit."""
+    of = graph.checkpoint_row(waiting, "batch_job", F.current_timestamp()).first()
+    if of is None and not notes:
+        return False
+    if of:
+        latest = waiting.agg(F.unix_micros(F.max("batch_date"))).first()[0]
+        notes = notes | {"batch_job": of["batch_job"], "mark_us": latest, "new": of["new_count"], "removed": of["removed_count"], "changed": of["changed_count"]}
+    nodes, edges = store.read()
+    after = graph.apply(nodes, edges, waiting, _targets(metadata), "product_id", "batch_date", NODE, "product_ingredients")
+    store.put(*after, batch or of["batch_job"], notes)
+    return True
+
+
+def run_sync(store: GraphStore, changes: DataFrame, metadata: DataFrame) -> bool:
+    """G3 to G8 from the store's last checkpoint: applies the change-log batches beyond it, in their order, and commits nodes, edges and
+    checkpoint together. Again after a failure, or without new batches, it changes nothing. Whether anything was applied."""
+    return _put_changes(store, graph.pending(changes, store.mark(), "batch_date"), metadata, {})
+
+
+def apply_stream_batch(store: GraphStore, changes: DataFrame, number: int, source: str, metadata: DataFrame) -> bool:
+    """ST1, G8: one batch of the change stream ``source``, exactly once: its number is part of the commit, and a number that was committed is passed over."""
+    if number <= store.applied(source):
+        return False
+    return _put_changes(store, changes, metadata, {"source": source, "number": number}, f"{source}-{number}")

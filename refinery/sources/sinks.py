@@ -64,10 +64,10 @@ class BatchStore:
         self.log.add(snapshot_id, batch, rows, folder)
         return True
 
-    def overwrite(self, df: DataFrame, batch: str) -> Snapshot:
-        """K3: the batch becomes what ``df`` is, even if that is empty; earlier ones stay readable. ``df`` may read this batch."""
+    def overwrite(self, df: DataFrame, batch: str, notes: dict | None = None) -> Snapshot:
+        """K3: the batch becomes what ``df`` is, even if that is empty; earlier ones stay readable. ``df`` may read this batch; ``notes`` go into the commit."""
         snapshot_id, folder, rows = self._write(df, batch)
-        return self.log.add(snapshot_id, batch, rows, folder)
+        return self.log.add(snapshot_id, batch, rows, folder, notes)
 
     def _rows(self, snapshots: list[Snapshot]) -> DataFrame:
         fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields] + [T.StructField("_batch", T.StringType())]
