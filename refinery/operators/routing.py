@@ -84,7 +84,12 @@ def after_match(df: DataFrame, matches: str = "matches", residual: str = "residu
     return df.where(F.size(matches) > 0), df.where(X.significant(X.unmask(F.col(residual)))).withColumn("error_type", F.lit(RESIDUAL))
 
 
-def both_and_neither(df: DataFrame, matches: str = "matches", residual: str = "residual") -> DataFrame:
-    """rows_both and rows_dropped, the rows that ``after_match`` gives twice and those it gives not at all."""
+def ends(matches: str = "matches", residual: str = "residual") -> list[Column]:
+    """rows_both and rows_dropped as aggregates: the rows that ``after_match`` gives twice and those it gives not at all."""
     hit, rest = F.size(matches) > 0, X.significant(X.unmask(F.col(residual)))
-    return df.agg(F.count_if(hit & rest).alias("rows_both"), F.count_if(~hit & ~rest).alias("rows_dropped"))
+    return [F.count_if(hit & rest).alias("rows_both"), F.count_if(~hit & ~rest).alias("rows_dropped")]
+
+
+def both_and_neither(df: DataFrame, matches: str = "matches", residual: str = "residual") -> DataFrame:
+    """One row with ``ends``."""
+    return df.agg(*ends(matches, residual))

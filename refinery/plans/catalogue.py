@@ -39,7 +39,7 @@ def register(sql: str | None = None):
 
 def _complete() -> None:
     # Registers its own queries when it is read.
-    from refinery.plans import products  # noqa: F401
+    from refinery.plans import products, stored  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

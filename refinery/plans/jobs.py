@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,11 +39,34 @@ class CleaningRules:
 
 @dataclass
 class Refined:
+    """Silver and dead letters of a crawl. Their metrics are gathered while the two are written, by no job of their own."""
+
     silver: DataFrame
     errors: DataFrame
-    metrics: DataFrame
+    run: tuple[str, Column]
+    seen: tuple[Observation, Observation]
     kept: tuple[DataFrame, ...] = ()
 
+    def metrics(self) -> DataFrame:
+        """To be asked for once silver and errors have been written or otherwise run whole; waits for that."""
+        matched, failed = self.seen[0].get, self.seen[1].get["error"]
+        ok, both, dropped = matched["ok"], matched["rows_both"], matched["rows_dropped"]
+        # Each row is in silver or among the errors, in both or in neither.
+        values = {"loaded": ok + failed - both + dropped, "ok": ok, "error": failed, "rows_both": both, "rows_dropped": dropped}
+        wide = self.silver.sparkSession.createDataFrame([tuple(values.values())], ", ".join(f"{c} long" for c in values))
+        wide = wide.withColumn("error_rate", X.rate(F.col("error"), F.col("ok") + F.col("error")))
+        batch_job, batch_date = self.run
+        return quality.long_form(wide, "bronze_to_silver", batch_job, batch_date, "silver_current", F.current_timestamp())
+
+    def write(self, silver: BatchStore, errors: BatchStore, metrics: BatchStore, batch: str) -> bool:
+        """Appends all three as the batch and lets go of what was kept. Metrics that cannot be written are no failure; whether they were."""
+        try:
+            silver.append(self.silver, batch)
+            errors.append(self.errors, batch)
+            return quality.try_write(lambda: metrics.append(self.metrics(), batch))
+        finally:
+            self.release()
+
     def release(self) -> None:
         """Lets go of what was kept for the outputs, once they are written."""
         for df in self.kept:
@@ -72,14 +95,14 @@ def clean(bronze: DataFrame, by: CleaningRules) -> DataFrame:
     return df.withColumns({"product_id": X.stable_id(F.col("brand"), named), "category": rules.classify(F.col("clean_name"), F.col("main_category"), F.col("sub_category"), F.col("name"))})
 
 
-def _error(df: DataFrame, reason: Column) -> DataFrame:
+def error_row(df: DataFrame, reason: Column) -> DataFrame:
     """The dead-letter columns of a row."""
     named = df.withColumns({"product_brand": F.col("brand"), "product_name_raw": F.col("name"), "product_name": F.col("clean_name"), "product_ingredients_raw": F.col("ingredients"), "product_url": F.col("url"), "residual_text": reason})
     return schemas.conform(named, schemas.SILVER_ERROR)
 
 
 def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_job: str, batch_date: Column, core: str | None = None) -> Refined:
-    """Bronze to silver and dead letters. The routed frame is kept, so the text rules run once; ``release`` lets it go."""
+    """Bronze to silver and dead letters. The routed frame is kept for the two, so the text rules run once; ``release`` lets it go."""
     cleaned = batch.stamp(clean(bronze, by), batch_job, batch_date).persist()
     ok, bad = routing.split(cleaned)
     order = [F.length("clean_text"), F.col("url"), F.col("ingredients")]
@@ -89,20 +112,17 @@ def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_jo
     matched = matching.match(best, dictionary, "_search").persist()
     hidden = matching.repeats(F.col("matches"), core) if core else F.lit(False)
     bundles = matched.where(hidden).withColumn("error_type", F.lit(routing.HIDDEN))
-    with_hits, leftover = routing.after_match(matched.where(~hidden))
+    seen, failed = Observation(), Observation()
+    plain = matched.where(~hidden)
+    with_hits, _ = routing.after_match(plain.observe(seen, F.count_if(F.size("matches") > 0).alias("ok"), *routing.ends()))
+    leftover = routing.after_match(plain)[1]
     silver = with_hits.withColumns(
         {"product_brand": F.col("brand"), "product_name": F.col("clean_name"), "product_name_raw": F.col("name"), "product_ingredients": matching.ordered_distinct(F.col("matches")), "product_ingredients_raw": F.col("ingredients"), "product_url": F.col("url"), "review_stats": schemas.stats(F.col("review_stats"))}
     )
     silver = schemas.conform(silver, schemas.SILVER)
-    errors = _error(bad, F.when(F.col("error_type") == routing.INCOMPLETE, F.array_join("missing", ", ")).otherwise(F.col("name")))
-    errors = errors.unionByName(_error(duplicates, F.col("clean_text"))).unionByName(_error(bundles, F.array_join("matches", ", "))).unionByName(_error(leftover, X.unmask(F.col("residual"))))
-    loaded = cleaned.agg(F.count("*").alias("loaded"))
-    n_ok, n_bad = silver.agg(F.count("*").alias("ok")), errors.agg(F.count("*").alias("error"))
-    # Single-row frames side by side.
-    ends = routing.both_and_neither(matched.where(~hidden))
-    wide = loaded.join(n_ok, F.lit(True)).join(n_bad, F.lit(True)).join(ends, F.lit(True)).withColumn("error_rate", X.rate(F.col("error"), F.col("ok") + F.col("error")))
-    metrics = quality.long_form(wide, "bronze_to_silver", batch_job, batch_date, "silver_current", F.current_timestamp())
-    return Refined(silver, errors, metrics, (cleaned, matched))
+    errors = error_row(bad, F.when(F.col("error_type") == routing.INCOMPLETE, F.array_join("missing", ", ")).otherwise(F.col("name")))
+    errors = errors.unionByName(error_row(duplicates, F.col("clean_text"))).unionByName(error_row(bundles, F.array_join("matches", ", "))).unionByName(error_row(leftover, X.unmask(F.col("residual"))))
+    return Refined(silver, errors.observe(failed, F.count(F.lit(1)).alias("error")), (batch_job, batch_date), (seen, failed), (cleaned, matched))
 
 
 def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date: Column, **options) -> dict[str, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from refinery import schemas
 from refinery.functions import text as X
 from refinery.operators import batch, cdc, graph, marts, matching, quality, routing, rules
+from refinery.plans import jobs
 from refinery.plans.catalogue import DEDUP_SQL, GRAPH_SQL, MATCH_SQL, SNAPSHOT_SQL, TOP_SQL, history, line_items, newest_days, ranked_documents, register, table, user_changes, word_dictionary, yearly
 from refinery.sources import files
 
@@ -215,10 +216,11 @@ def silver_and_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"select doc_id as product_id, null::varchar as brand, lang as category, 'DUPLICATE_PRODUCT_REJECTED' as error_type, n_chars::varchar as residual_text from (select d.doc_id, d.lang, d.n_chars from documents d join ({DEDUP_SQL}) r on d.doc_id = r.doc_id where r.turn > 1)")
 def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Losers of the dedup in the dead letters' columns."""
+    """Losers of the dedup in the dead letters' columns, as the job makes them."""
     losers = ranked_documents(spark, sf_dir).where("not is_best")
-    rows = losers.select(F.col("doc_id").alias("product_id"), F.col("lang").alias("category"), F.lit(routing.DUPLICATE).alias("error_type"), F.col("n_chars").alias("residual_text"))
-    out = schemas.conform(rows, schemas.SILVER_ERROR)
+    absent = {c: F.lit(None).cast("string") for c in ("brand", "name", "clean_name", "ingredients", "url")}
+    rows = losers.withColumns(absent | {"product_id": F.col("doc_id"), "category": F.col("lang"), "error_type": F.lit(routing.DUPLICATE)})
+    out = jobs.error_row(rows, F.col("n_chars"))
     return out.select(F.col("product_id").cast("long").alias("product_id"), F.col("product_brand").alias("brand"), "category", "error_type", "residual_text")
 
 

@@ -65,11 +65,15 @@ def test_end_to_end(spark, tmp_path):
     )
     silver = {r["product_name"]: r["product_ingredients"] for r in out.silver.collect()}
     assert silver == {"수분 크림": ["정제수", "글리세린"], "남는 크림": ["정제수"]}
-    assert {r["metric_name"]: r["metric_value"] for r in out.metrics.collect()} == {"loaded": 10.0, "ok": 2.0, "error": 8.0, "error_rate": 0.8, "rows_both": 1.0, "rows_dropped": 1.0}
+    assert {r["metric_name"]: r["metric_value"] for r in out.metrics().collect()} == {"loaded": 10.0, "ok": 2.0, "error": 8.0, "error_rate": 0.8, "rows_both": 1.0, "rows_dropped": 1.0}
 
     store = BatchStore.of(spark, str(tmp_path / "store"), schemas.TABLES["silver"])
+    dead, measured = (BatchStore.of(spark, str(tmp_path / "store"), schemas.TABLES[n]) for n in ("silver_error", "dq_metrics"))
     assert store.batches() == [] and store.current().count() == 0
-    assert store.append(out.silver, "20240101")
+    again = jobs.refine(bronze, dictionary, jobs.CleaningRules(), run, day, core="글리세린")
+    assert again.write(store, dead, measured, "20240101")
+    assert {r["metric_name"]: r["metric_value"] for r in measured.current().collect()} == {r["metric_name"]: r["metric_value"] for r in out.metrics().collect()}
+    assert (store.current().count(), dead.current().count()) == (2, 8)
     assert not store.append(out.silver.limit(0), "20240102")
     assert jobs.to_gold(store, metadata, "g1", day)["change_log"].count() == 0
 
