@@ -30,12 +30,14 @@ from refinery.llm.common import stage
 from refinery.operators.partitioning import spread
 
 #: Bytes of text of a shard (more only where one text is longer), and of text that is split into words at a time.
-SHARD_BYTES, CHUNK_BYTES = 16 << 20, 1 << 20
+SHARD_BYTES, CHUNK_BYTES = 64 << 20, 1 << 20
 #: Bits of a bitmap of hashes: 8 MB.
 BITS = 1 << 26
 #: Groups in which a language's phrases are ranked before they are ranked together.
 SALTS = 64
 ROWS = 20_000
+#: Places of a shard whose phrases are sorted together.
+PLACES = 1 << 20
 #: Languages that are broadcast.
 MOST_BROUGHT = 100_000
 #: A-Z in lower case, ends of pieces as \n, white space within pieces as a space.
@@ -65,7 +67,9 @@ class Shard:
         self.parts[lang].append(np.array([END], np.int32))
 
     def sequences(self) -> Iterator[tuple[str, np.ndarray, int]]:
-        for lang, parts in self.parts.items():
+        """Each language once; its parts go as they are put together."""
+        while self.parts:
+            lang, parts = self.parts.popitem()
             yield lang, np.concatenate(parts), self.totals[lang]
 
     def words(self) -> np.ndarray:
@@ -115,24 +119,34 @@ def _listed_words(bitmap: np.ndarray, of_words: np.ndarray) -> np.ndarray:
 
 
 def levels(seq: np.ndarray, n_words: int, usable: np.ndarray, longest: int, stays: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(size, first places, counts) of phrases of two words and more whose parts all stay.
+    """(size, first places, counts) of phrases of two words and more whose parts all stay; those of one size come in several portions.
 
     ``usable`` says which words may be part of a phrase, ``stays`` which phrases of a size (given by
     first places and counts) do.
     """
     # Places where a phrase of the last size begins that stays, and its number.
-    at = np.flatnonzero(usable[seq])
-    number = seq[at].astype(np.int64)
+    at = np.flatnonzero(usable[seq]).astype(np.int32)
+    number = seq[at]
     for size in range(2, longest + 1):
-        follows = np.flatnonzero(at[1:] == at[:-1] + 1)
-        at, code = at[follows], number[follows] * n_words + seq[at[follows] + size - 1]
-        if not len(at):
+        follows = np.flatnonzero(at[1:] == at[:-1] + 1).astype(np.int32)
+        if not len(follows):
             return
-        _, first, of, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        good = stays(size, at[first], counts)
-        yield size, at[first[good]], counts[good]
-        here = good[of]
-        at, number = at[here], of[here].astype(np.int64)
+        # Equal phrases have equal first numbers: some of these at a time, so that sorting takes little room.
+        parts = -(-len(follows) // PLACES)
+        part = (number[follows] % parts).astype(np.int16)
+        of, n_stay = np.full(len(follows), -1, np.int32), 0
+        for p in range(parts):
+            here = np.flatnonzero(part == p).astype(np.int32)
+            if not len(here):
+                continue
+            places = at[follows[here]]
+            code = number[follows[here]].astype(np.int64) * n_words + seq[places + (size - 1)]
+            _, first, which, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+            good = stays(size, places[first], counts)
+            yield size, places[first[good]], counts[good]
+            of[here] = np.where(good, n_stay + np.cumsum(good) - 1, -1)[which]
+            n_stay += int(good.sum())
+        at, number = at[follows[of >= 0]], of[of >= 0]
 
 
 def _texts(words: np.ndarray, seq: np.ndarray, at: np.ndarray, size: int) -> list[str]:
@@ -261,8 +275,8 @@ def counted(docs: DataFrame, words: DataFrame, totals: DataFrame, least: int, lo
     context = docs.sparkSession.sparkContext
     frequent = context.broadcast(_bits(words.where(F.col("f") >= least)))
     size = words.agg(F.sum(F.col("f") * (F.octet_length("phrase") + 1))).first()[0] or 0
-    # Larger shards have a higher support; there are as many tasks as cores at least.
-    shards = max(context.defaultParallelism, -(-int(size) // SHARD_BYTES))
+    # Larger shards have a higher support; there are two for each core at least.
+    shards = max(2 * context.defaultParallelism, -(-int(size) // SHARD_BYTES))
     texts = docs.join(totals.select("lang", F.col("n").alias("total")), "lang").select("lang", "text", "total").coalesce(shards)
     bits = _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 2, 2, frequent)), REPORTED_SQL), least))
     if longest > 2:
@@ -315,7 +329,7 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int =
 
     A null lang is und, a null or empty text has no words, repeated rows count as often as they stand there,
     docs without phrases give no rows. Other columns are ignored. ``longest`` is 16 at most. A task holds one
-    shard: some twenty times SHARD_BYTES.
+    shard: some ten times SHARD_BYTES.
     """
     if not 2 <= longest <= 16:
         raise ValueError("phrases have 2 to 16 words")

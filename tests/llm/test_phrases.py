@@ -68,7 +68,9 @@ def test_chunks_keep_words_and_pieces():
         assert tokens == [w for w in data.replace(b"\n", b" \n ").split(b" ") if w]
 
 
-def test_levels_by_brute_force():
+@pytest.mark.parametrize("places", [1 << 20, 700, 50])
+def test_levels_by_brute_force(monkeypatch, places):
+    monkeypatch.setattr(phrases, "PLACES", places)
     rng = np.random.default_rng(5)
     seq = rng.integers(0, 6, 4000).astype(np.int32)
     usable = np.array([False, False, True, True, True, True])
