@@ -38,8 +38,8 @@ SALTS = 64
 ROWS = 20_000
 #: Places of a shard whose phrases are sorted together.
 PLACES = 1 << 20
-#: Languages that are broadcast.
-MOST_BROUGHT = 100_000
+#: Languages that are named in a condition, and that are broadcast; more are joined by shuffling.
+FEW, MOST_BROUGHT = 64, 100_000
 #: A-Z in lower case, ends of pieces as \n, white space within pieces as a space.
 TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 END, EMPTY = 0, 1
@@ -257,7 +257,11 @@ def _likely(mined: DataFrame, least: int) -> DataFrame:
     gaps = mined.where("count = 0").groupBy("tongue").agg(F.sum("gap").alias("gaps")).where("gaps > 0")
     bound = F.sum("count") - F.sum("gap")
     summed = mined.where("count > 0").groupBy("tongue", "hash").agg(bound.alias("bound"))
-    # A row for each language.
+    known = gaps.limit(FEW + 1).collect()
+    if len(known) <= FEW:
+        # The gaps of a few languages are part of the condition.
+        gap = F.coalesce(*[F.when(F.col("tongue") == r["tongue"], F.lit(r["gaps"])) for r in known], F.lit(0))
+        return summed.where(F.col("bound") + gap >= least).select("hash")
     if gaps.count() <= MOST_BROUGHT:
         gaps = F.broadcast(gaps)
     return summed.join(gaps, "tongue", "left").where(F.col("bound") + F.coalesce("gaps", F.lit(0)) >= least).select("hash")
