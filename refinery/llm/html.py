@@ -52,23 +52,22 @@ SOFT_WORDS = frozenset("banner promo promotion rail masthead alert overlay subsc
 HARD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 WRAPPERS = frozenset("wrap wrapper container layout page with has no".split())
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
-    r"|<(?P<raw>" + RAW.replace(" ", "|") + r")(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</(?P=raw)\s*>|<(?:script|style)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*\Z"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attr>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW.replace(" ", "|") + r")(?![\w:-])"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attr>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*(?:>|\Z)",
     re.S | re.I,
 )
+TAG_END = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+")
+CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split()}
 ATTR = re.compile(r"([\w-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Where a block stands, added to its mark.
 ARTICLE, MAIN, OPEN = range(3)
 SOFT, EDGE = 3, 6
 
 
-def _mark(name: str, attr: str, inside: bool) -> int:
-    """EDGE, SOFT or 0 of an element."""
-    if name in HARD or (name == "header" and not inside):
+def _mark(name: str, attr: str, in_article: bool, in_main: bool) -> int:
+    """EDGE, SOFT or 0 of an element. Words that say wrapper excuse a weak mark; a hard one only outside of articles, where the element may hold the article, and then to a weak one."""
+    if name in HARD or (name == "header" and not (in_article or in_main)) or (name == "form" and in_article):
         return EDGE
-    if name == "form":
-        return EDGE if inside else SOFT
     if not attr or name in ("html", "body", "main"):
         return 0
     found = {k.lower(): (a or b or c) for k, a, b, c in ATTR.findall(attr)}
@@ -77,22 +76,57 @@ def _mark(name: str, attr: str, inside: bool) -> int:
     if found.get("role", "").lower() in HARD_ROLES:
         return EDGE
     words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
-    if words & WRAPPERS:
-        return 0
-    return EDGE if words & HARD_WORDS else SOFT if words & SOFT_WORDS else 0
+    wraps = bool(words & WRAPPERS)
+    if words & HARD_WORDS:
+        return SOFT if wraps and not in_article else EDGE
+    return SOFT if words & SOFT_WORDS and not wraps else 0
+
+
+class _RawElements:
+    """Ends of tags and of elements that never hold text. What was looked for in vain is not looked for again, so all looks together are linear in the page."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.stuck = page, page.rfind(">"), -1
+        self.unclosed: set[str] = set()
+
+    def tag_end(self, at: int) -> int:
+        """After the > of the tag whose attributes begin at ``at``, -1 if there is none. A quote without an end means nothing."""
+        if at > self.last:
+            return -1
+        if at > self.stuck:
+            end = TAG_END.match(self.page, at).end()
+            if end < len(self.page) and self.page[end] == ">":
+                return end + 1
+            self.stuck = end
+        return self.page.find(">", at) + 1
+
+    def close(self, name: str, at: int) -> int:
+        """After the element's closing tag, -1 if there is none."""
+        if name not in self.unclosed:
+            if m := CLOSE[name].search(self.page, at):
+                return m.end()
+            self.unclosed.add(name)
+        return -1
 
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
     """(place + mark) and text of each block with text in page order: white space is one space, character references are decoded.
 
-    A weak mark around an article or main says nothing of what is inside. Linear in the page.
+    A weak mark or a form around an article or main says nothing of what is inside. Articles in weakly marked
+    wrappers are teasers where another article is not in one. A form outside of main is dropped, unless it
+    holds more than all other text that is not marked, as one around the whole page does. Linear in the page.
     """
     page = page or ""
     out: list[tuple[int, str]] = []
+    # Number of the article that a block is in (0: none), and whether it is in a form.
+    of_article: list[int] = []
+    in_form: list[bool] = []
+    teasers: set[int] = set()
     buffer: list[str] = []
-    stack: list[tuple[str, int, int]] = []
+    stack: list[tuple[str, int, int, int]] = []
     open_names: dict[str, int] = {}
-    hard = soft = articles = mains = 0
+    hard = soft = forms = articles = mains = seen = 0
+    raw = _RawElements(page)
     at = 0
 
     def flush() -> None:
@@ -102,22 +136,40 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             if text:
                 place = ARTICLE if articles else MAIN if mains else OPEN
                 out.append((EDGE if hard else place + (SOFT if soft else 0), text))
+                of_article.append(seen if articles else 0)
+                in_form.append(forms > 0)
 
     def close() -> str:
-        nonlocal hard, soft, articles, mains
-        name, mark, soft_before = stack.pop()
+        nonlocal hard, soft, forms, articles, mains
+        name, mark, soft, forms = stack.pop()
         open_names[name] -= 1
         hard -= mark == EDGE
-        soft = soft_before
         articles -= name == "article"
         mains -= name == "main"
         return name
 
-    for m in TAG.finditer(page):
+    while m := TAG.search(page, at):
         if m.start() > at:
             buffer.append(page[at : m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
+        at, name, attr = m.end(), (m["name"] or "").lower(), m["attr"] or ""
+        if m["raw"]:
+            name, end = m["raw"].lower(), raw.tag_end(at)
+            if end < 0:
+                # The page ends within a tag.
+                at = len(page)
+                break
+            attr = page[at : end - 1]
+            if name in ("svg", "math") and attr.endswith("/"):
+                at = end
+                continue
+            after = raw.close(name, end)
+            if after >= 0:
+                at = after
+                continue
+            if name in ("script", "style"):
+                at = len(page)
+                break
+            at = end
         if not name:
             continue
         if name in BLOCK:
@@ -130,21 +182,34 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
                     flush()
                 if close() == name:
                     break
-        elif name not in VOID and not m["attr"].endswith("/"):
+        elif name not in VOID and not attr.endswith("/"):
             if name == "p" or name == "li":
                 # An open paragraph or item ends where the next one starts.
                 while stack and (stack[-1][0] not in BLOCK or stack[-1][0] == name):
                     close()
-            mark = _mark(name, m["attr"], bool(articles or mains))
-            stack.append((name, mark, soft))
+            mark = _mark(name, attr, bool(articles), bool(mains))
+            if name == "article" and articles and soft:
+                mark = EDGE
+            stack.append((name, mark, soft, forms))
             open_names[name] = open_names.get(name, 0) + 1
             hard += mark == EDGE
-            soft = 0 if name == "article" or (name == "main" and not articles) else soft + (mark == SOFT)
+            if name == "article" and not articles:
+                seen += 1
+                if soft:
+                    teasers.add(seen)
+            holds = (name == "article" or name == "main") and not articles
+            soft, forms = (0, 0) if holds else (soft + (mark == SOFT), forms + (name == "form"))
             articles += name == "article"
             mains += name == "main"
     buffer.append(page[at:])
     flush()
-    return out
+    if not any(kind == ARTICLE and n not in teasers for (kind, _), n in zip(out, of_article)):
+        teasers = set()
+    size = [sum(len(t) for (kind, t), f in zip(out, in_form) if kind == OPEN and f == inside) for inside in (False, True)]
+    wraps_page = size[1] > size[0]
+    dropped = [n in teasers or (f and kind != OPEN + SOFT and not (kind == OPEN and wraps_page)) or (f and kind == OPEN + SOFT and not wraps_page) for (kind, _), n, f in zip(out, of_article, in_form)]
+    # What a form around the page holds has a weak mark.
+    return [(EDGE if gone else OPEN + SOFT if f else kind, text) for (kind, text), gone, f in zip(out, dropped, in_form)]
 
 
 def host(url: Column) -> Column:
