@@ -45,6 +45,8 @@ ADDED = (
 Query = frozenset[frozenset[str]]
 ALWAYS: Query = frozenset([frozenset()])
 MOST_STRINGS = 64
+#: Items that are gathered in one array before it is put aside.
+CHUNK = 256
 
 
 def _of_strings(strings: frozenset[str]) -> Query:
@@ -135,6 +137,26 @@ def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
     return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _folded(items: Column, start: Column, none: Column, put) -> Column:
+    """Goes over an array and gathers what ``put(at, x)`` returns, which is the next ``at`` and what is gathered (null for nothing), from ``start``.
+
+    Appending to an array copies it, so CHUNK items are gathered at a time and the arrays put together at the end.
+    """
+    chunks = F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")), lambda n: F.slice(items, n * CHUNK + 1, F.lit(CHUNK))))
+
+    def one(acc: Column, x: Column) -> Column:
+        at, found = put(acc["at"], x)
+        return F.struct(at.alias("at"), F.when(found.isNotNull(), F.array_append(acc["out"], found)).otherwise(acc["out"]).alias("out"))
+
+    def chunk(acc: Column, xs: Column) -> Column:
+        inner = F.aggregate(xs, F.struct(acc["at"].alias("at"), none.alias("out")), one)
+        # One array, so that the inner pass is not made twice.
+        return F.aggregate(F.array(inner), acc, lambda before, done: F.struct(done["at"].alias("at"), F.array_append(before["outs"], done["out"]).alias("outs")))
+
+    begin = F.struct(start.alias("at"), F.array_compact(F.array(F.when(F.lit(False), none))).alias("outs"))
+    return F.aggregate(F.coalesce(chunks, F.array_compact(F.array(F.when(F.lit(False), items)))), begin, chunk)
+
+
 def _spans(text: Column, rule: Rule, turn: int) -> Column:
     """array<struct<start, turn, end>> of the rule's matches in code points, end exclusive."""
     pattern = F.lit(rule.pattern)
@@ -144,14 +166,14 @@ def _spans(text: Column, rule: Rule, turn: int) -> Column:
     step = F.arrays_zip(gaps.alias("gap"), lengths.alias("size"), held.alias("held"))
     empty = F.expr("cast(array() as array<struct<start: int, turn: int, end: int>>)")
 
-    def put(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
+    def put(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + x["gap"]
         end = start + x["size"]
-        span = F.struct(start.alias("start"), F.lit(turn).alias("turn"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(x["held"] >= rule.least, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        return end, F.when(x["held"] >= rule.least, F.struct(start.alias("start"), F.lit(turn).alias("turn"), end.alias("end")))
 
-    steps = F.slice(step, F.lit(1), F.size(lengths))
-    all_of = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("out")), put)["out"]
+    # One element more than matches: the gap after the last.
+    matches = F.filter(step, lambda x: x["size"].isNotNull())
+    all_of = F.flatten(_folded(matches, F.lit(0), empty, put)["outs"])
     return F.when(F.regexp_like(text, pattern), all_of).otherwise(empty)
 
 
@@ -160,7 +182,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, into: str = "s
 
     Matches are leftmost and do not overlap within a rule. Null text is empty, and so is its array.
     Postings name a row by a hash of its doc_id and text, so that null and repeated ids do not gather;
-    rows of one hash are equal, or at worst add candidates. Columns of docs are kept.
+    rows of one hash are equal, or at worst add candidates. Columns of docs are kept, whatever their names;
+    one named ``into`` is replaced.
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = [r for r in rules if frozenset() not in queries[r.kind]]
@@ -171,12 +194,16 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, into: str = "s
     if indexed:
         index = build_index(docs.select(key.alias("doc_id"), text.alias("text")), trigrams)
         hits = candidates(index, indexed).select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
-    joined = docs.join(hits, key == F.col("_id"), "left")
+    # The caller's row is one column, so that no name of its clashes.
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), key.alias("_key"), text.alias("_text"))
+    joined = rows.join(hits, F.col("_key") == F.col("_id"), "left")
+    text = F.col("_text")
     none = F.expr("cast(array() as array<struct<start: int, turn: int, end: int>>)")
     found = [F.when(F.array_contains("_kinds", r.kind), _spans(text, r, n)).otherwise(none) if r in indexed else _spans(text, r, n) for n, r in enumerate(rules)]
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     spans = F.transform(F.array_sort(F.concat(*found)), lambda x: F.struct(F.element_at(kinds, x["turn"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return joined.withColumn(into, spans).drop("_id", "_kinds")
+    kept = [spans.alias(c) if c == into else F.col("_row")[c].alias(c) for c in docs.columns]
+    return joined.select(*kept, *([] if into in docs.columns else [spans.alias(into)]))
 
 
 def listed(spans: Column) -> Column:
@@ -185,14 +212,18 @@ def listed(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span (overlaps united) replaced by [SECRET]."""
-    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+    """The text with each span (overlaps united) replaced by [SECRET]. Pieces are found in four bytes for each character, so that none is searched for from the text's start."""
+    wide = F.encode(text, "UTF-32")
+    none = F.expr("cast(array() as array<struct<from: int, size: int>>)")
+
+    def put(at: Column, x: Column) -> tuple[Column, Column]:
+        return F.greatest(at, x["end"]), F.when(x["start"] >= at, F.struct(at.alias("from"), (x["start"] - at).alias("size")))
 
-    def cut(acc: Column, x: Column) -> Column:
-        gap = x["start"] + 1 - acc["at"]
-        new = F.concat(acc["out"], F.substring(text, acc["at"], F.greatest(gap, F.lit(0))), F.when(gap >= 0, F.lit("[SECRET]")).otherwise(""))
-        return F.struct(F.greatest(acc["at"], x["end"] + 1).alias("at"), new.alias("out"))
+    def cut(acc: Column, done: Column) -> Column:
+        pieces = F.transform(F.flatten(done["outs"]), lambda p: F.concat(F.decode(F.substring(acc["wide"], 4 * p["from"] + 1, 4 * p["size"]), "UTF-32"), F.lit("[SECRET]")))
+        rest = F.decode(F.substring(acc["wide"], 4 * done["at"] + 1, F.octet_length(acc["wide"])), "UTF-32")
+        return F.struct(acc["wide"].alias("wide"), F.concat(F.array_join(pieces, ""), rest).alias("out"))
 
-    done = F.aggregate(spans, start, cut)
-    whole = F.concat(done["out"], F.substring(text, done["at"], F.length(text)))
+    # An array of one, so that the wide text is made once.
+    whole = F.aggregate(F.array(_folded(spans, F.lit(0), none, put)), F.struct(wide.alias("wide"), F.lit("").alias("out")), cut)["out"]
     return F.when(F.size(spans) > 0, whole).otherwise(text)
