@@ -135,8 +135,8 @@ class Lexicon:
             while at[lo] < i - WINDOW:
                 lo += 1
             near = words[max(0, i - WINDOW) : i + WINDOW + 1]
-            begin = low.rfind("\n", 0, spans[i][0]) + 1
-            begin = max(begin, spans[max(0, i - 4 * WINDOW)][0])
+            begin = spans[max(0, i - 4 * WINDOW)][0]
+            begin = max(begin, low.rfind("\n", begin, spans[i][0]) + 1)
             quoted = len(QUOTES.findall(low, begin, spans[i][0])) % 2 == 1 or not REPORTS.isdisjoint(near)
             said_to = not SECOND.isdisjoint(near)
             score = weight * (0.6**edits) * (0.3 if quoted else 1.0) * (1.0 + 0.25 * said_to + 0.25 * (k - lo))
