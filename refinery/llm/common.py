@@ -26,6 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name with as many underscores before it as it takes to be no column of df; Spark's names disregard case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Staged:
     """A table written to the shared folder: later reads start there, and a lost executor costs no more than a reread."""
 

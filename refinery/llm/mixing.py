@@ -135,15 +135,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """docs as the mix takes them: each row as often as its taken words hold it, rounded; those never taken go.
 
-    Columns of docs are kept. Rows are told apart by doc_id, text and, among equal ones, by number.
+    Columns of docs are kept, whatever their names. Rows of equal doc_id, text and source share what is taken of
+    them evenly; which of them get one more is told by their other columns, so reruns agree.
     """
-    own = Window.partitionBy("doc_id", "_text").orderBy("source")
-    marked = docs.withColumn("_text", F.xxhash64("text"))
-    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    taken = mix(marked, also=("_text",), **options).withColumn("_times", times)
-    taken = taken.withColumn("_n", F.row_number().over(own)).where("_times > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.col("_n").alias("_k"), "_times")
-    rows = marked.withColumn("_n", F.row_number().over(own))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")) & (F.col("_n") == F.col("_k"))
-    joined = rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return joined.select(*docs.columns)
+    names = {c: F.xxhash64(F.lit(n), "doc_id", "text", "source") for n, c in enumerate(("_k0", "_k1"))}
+    # The caller's row is one column, so that no name of its clashes.
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), *[h.alias(c) for c, h in names.items()])
+    slim = docs.select("doc_id", "text", "source", *[h.alias(c) for c, h in names.items()])
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("long")
+    taken = mix(slim, also=tuple(names), **options).groupBy(*names).agg(F.sum(times).alias("_times"), F.count("*").alias("_rows")).where("_times > 0")
+    joined = rows.join(taken, list(names))
+    # The join has dealt rows by these keys already.
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(F.when(F.col("_rows") > 1, F.to_json("_row"))))
+    share = F.floor(F.col("_times") / F.col("_rows")) + (place <= F.col("_times") % F.col("_rows")).cast("int")
+    copies = joined.withColumn("_share", share.cast("int")).where("_share > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_share"))))
+    return copies.select("_row.*")

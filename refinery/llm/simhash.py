@@ -295,7 +295,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame
 
 
 def _key() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    """128 bits that name a text."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
 
 
 def _brought(small: DataFrame) -> DataFrame:
@@ -304,12 +305,13 @@ def _brought(small: DataFrame) -> DataFrame:
 
 
 def _survivors(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """One row of docs for each class of classes (key, class): the least by doc_id, nulls last, and then text. Columns of docs are kept.
+    """One row of docs for each class of classes (key, class): the least by doc_id, nulls last, then text, then the other columns. Columns of docs are kept.
 
     Who goes is settled on keys and ids alone; whole rows are only moved where several of one id and class are left.
     """
     of = classes.withColumnRenamed("key", "_key")
-    rows = docs.withColumn("_key", _key())
+    # The caller's row is one column, so that no name of its clashes.
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), "doc_id", _key().alias("_key"))
     slim = stage(rows.select("doc_id", "_key").groupBy("doc_id", "_key").agg(F.count("*").alias("n")).join(of, "_key"))
     tally = slim.groupBy("class", "doc_id").agg(F.sum("n").alias("n"))
     best = tally.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("best"), F.sum("n").alias("rows"))
@@ -319,8 +321,8 @@ def _survivors(docs: DataFrame, classes: DataFrame) -> DataFrame:
     moved = stage(named.where("not _first or _n > 1").select(F.col("_key").alias("_k"), F.col("doc_id").alias("_d"), F.when(F.col("_first"), F.col("class")).alias("_class")))
     same = (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d"))
     moved = _brought(moved)
-    tied = rows.join(moved.where("_class is not null"), same).groupBy("_class").agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias("_row"))
-    return rows.join(moved, same, "left_anti").select(*docs.columns).unionByName(tied.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
+    tied = rows.join(moved.where("_class is not null"), same).groupBy("_class").agg(F.min_by("_row", F.struct("_row.text", F.to_json("_row"))).alias("_row"))
+    return rows.join(moved, same, "left_anti").select("_row").unionByName(tied.select("_row")).select("_row.*")
 
 
 def keep_one(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame:
@@ -364,11 +366,10 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 s = np.unique(every)
                 cells = np.bincount((s >> np.uint64(20) & np.uint64(511)).astype(np.int64), minlength=512) & 1
                 parity = np.packbits(cells.astype(np.uint8)).view("<i8")
-                node = xxhash.xxh64_intdigest(s.tobytes(), 42)
-                rows.append((key, node - (1 << 64) if node >> 63 else node, _majority(every) if len(s) else 0, len(s), parity, bands(s)))
+                rows.append((key, xxhash.xxh3_128_digest(s.tobytes()), _majority(every) if len(s) else 0, len(s), parity, bands(s)))
             yield pd.DataFrame(rows, columns=["key", "node", "fp", "n", "parity", "bands"])
 
-    return spread(docs.select(_key().alias("key"), "text")).mapInPandas(of, "key long, node long, fp long, n int, parity array<long>, bands array<long>")
+    return spread(docs.select(_key().alias("key"), "text")).mapInPandas(of, "key binary, node binary, fp long, n int, parity array<long>, bands array<long>")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
