@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.llm import mixing, packing, secrets, simhash, toxicity
-from refinery.llm.common import stage, table
+from refinery.llm.common import stage, table, unused
 from refinery.llm.queries import tokenizer
 
 #: Documents that score as much are rejected.
@@ -19,8 +19,8 @@ REJECT = 0.3
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below REJECT; the score is learned from the labels of the given documents."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return model.score(docs, "_toxicity").where(F.col("_toxicity") < REJECT).select(*docs.columns)
+    model, score = toxicity.train(docs, table(spark, sf_dir, "labels")), unused(docs, "toxicity")
+    return model.score(docs, score).where(F.col(score) < REJECT).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +30,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by [SECRET] and n_chars counted anew."""
-    found = secrets.scan(docs, into="_secrets")
-    changed = F.size("_secrets") > 0
-    text = secrets.redact(F.col("text"), F.col("_secrets"))
-    found = found.withColumn("_text", F.when(changed, text).otherwise(F.col("text")))
-    n_chars = F.when(changed, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
-    new = {"text": F.col("_text"), "n_chars": n_chars}
+    spans, clean = unused(docs, "secrets"), unused(docs, "clean_text")
+    found = secrets.scan(docs, into=spans)
+    changed = F.size(spans) > 0
+    found = found.withColumn(clean, F.when(changed, secrets.redact(F.col("text"), F.col(spans))).otherwise(F.col("text")))
+    n_chars = F.when(changed, F.length(clean).cast("long")).otherwise(F.col("n_chars"))
+    new = {"text": F.col(clean), "n_chars": n_chars}
     return found.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
