@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from refinery.schemas import CHANGE_LOG, conform, resolve_column
 
+#: Keys that are broadcast to the registry; more are joined by shuffling.
+MOST_BROUGHT = 1_000_000
 TRACKED = ("product_ingredients", "rating", "review_count", "review_stats")
 
 
@@ -37,21 +39,59 @@ def removed_rows(before: DataFrame, now: DataFrame, key: str) -> DataFrame:
     return before.where(F.col(key).isNotNull()).join(now.select(key), key, "left_anti")
 
 
-def changed_rows(before: DataFrame, now: DataFrame, key: str, tracked: tuple[str, ...] = TRACKED) -> DataFrame:
-    """Rows of the newest batch where a tracked field differs from before; null equals null, arrays by order, maps whatever the order."""
+def digest(df: DataFrame, tracked: tuple[str, ...] = TRACKED) -> Column:
+    """128 bits of the tracked fields, the same where ``changed_rows`` finds no difference: made once, when a row is written."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def plain(c: str) -> Column:
+        # Both zeros are equal, and are written unlike.
+        return F.when(F.col(c) == 0, F.lit(0).cast(kinds[c])).otherwise(F.col(c)) if isinstance(kinds[c], (T.FloatType, T.DoubleType)) else comparable(F.col(c), kinds[c])
+
+    return F.unhex(F.md5(F.to_json(F.struct(*[plain(c).alias(c) for c in tracked]), {"ignoreNullFields": "false"})))
+
+
+def changed_rows(before: DataFrame, now: DataFrame, key: str, tracked: tuple[str, ...] = TRACKED, digests: str | None = None, exact: bool = False) -> DataFrame:
+    """Rows of the newest batch where a tracked field differs from before; null equals null, arrays by order, maps whatever the order.
+
+    ``digests`` names a column with the ``digest`` of each row: then only digests are read of the batch before,
+    and no map is sorted. With ``exact`` fields are compared too where digests agree.
+    """
+    if digests:
+        old = before.select(F.col(key), F.col(digests).alias("_old"), *([F.struct(*tracked).alias("_fields")] if exact else []))
+        met = now.join(old, key)
+        differ = ~F.col(digests).eqNullSafe(F.col("_old"))
+        if exact:
+            differ = differ | _differ(now, tracked, lambda c: F.col("_fields")[c])
+        return met.where(differ).select(*now.columns)
+    old = before.select(F.col(key), *[F.col(c).alias("_old_" + c) for c in tracked])
+    return now.join(old, key).where(_differ(now, tracked, lambda c: F.col("_old_" + c))).select(*now.columns)
+
+
+def _differ(now: DataFrame, tracked: tuple[str, ...], old) -> Column:
     kinds = {f.name: f.dataType for f in now.schema.fields}
-    old = before.select(F.col(key), *[comparable(F.col(c), kinds[c]).alias("_old_" + c) for c in tracked])
-    differ = F.lit(False)
+    out = F.lit(False)
     for c in tracked:
-        differ = differ | ~comparable(F.col(c), kinds[c]).eqNullSafe(F.col("_old_" + c))
-    return now.join(old, key).where(differ).select(*now.columns)
+        out = out | ~comparable(F.col(c), kinds[c]).eqNullSafe(comparable(old(c), kinds[c]))
+    return out
+
+
+def first_seen(now: DataFrame, before: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """(key) of the rows of the newest batch whose key is neither in the batch before nor among the known keys of the registry.
+
+    What the batch before has is taken off first; only the few keys that are left are looked up, and only the
+    registry's hits travel.
+    """
+    left = now.select(key).where(F.col(key).isNotNull()).join(before.select(key), key, "left_anti").distinct()
+    few = left.count() <= MOST_BROUGHT
+    hits = known.select(key).join(F.broadcast(left) if few else left, key, "left_semi").distinct()
+    return left.join(hits, key, "left_anti")
 
 
-def changes_between(before: DataFrame, now: DataFrame, earlier: DataFrame, key: str, tracked: tuple[str, ...] = TRACKED, reappear_as_new: bool = False) -> DataFrame:
-    """change_type and the row's values, from the previous and the newest batch and all earlier ones, of which only keys are read."""
+def changes_between(before: DataFrame, now: DataFrame, earlier: DataFrame, key: str, tracked: tuple[str, ...] = TRACKED, reappear_as_new: bool = False, digests: str | None = None, exact: bool = False) -> DataFrame:
+    """change_type and the row's values, from the previous and the newest batch and all earlier ones, of which only keys are read. ``digests`` and ``exact``: see ``changed_rows``."""
     found = new_rows(now, before if reappear_as_new else earlier, key).withColumn("change_type", F.lit("NEW"))
     found = found.unionByName(removed_rows(before, now, key).withColumn("change_type", F.lit("REMOVED")), allowMissingColumns=True)
-    return found.unionByName(changed_rows(before, now, key, tracked).withColumn("change_type", F.lit("CHANGED")), allowMissingColumns=True)
+    return found.unionByName(changed_rows(before, now, key, tracked, digests, exact).withColumn("change_type", F.lit("CHANGED")), allowMissingColumns=True)
 
 
 def change_log(history: DataFrame, batch: str, key: str, tracked: tuple[str, ...] = TRACKED, pair: tuple | None = None, initial_as_new: bool = False, reappear_as_new: bool = False) -> DataFrame:

@@ -125,13 +125,55 @@ def refine(bronze: DataFrame, dictionary: DataFrame, by: CleaningRules, batch_jo
     return Refined(silver, errors.observe(failed, F.count(F.lit(1)).alias("error")), (batch_job, batch_date), (seen, failed), (cleaned, matched))
 
 
-def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date: Column, **options) -> dict[str, DataFrame]:
-    """Silver history to change log, frequency mart and enrichment mart of the newest batch."""
+DIGEST = "_digest"
+
+
+def silver_store(spark: SparkSession, root: str, buckets: int | None = None) -> BatchStore:
+    """Silver with digests of the tracked fields, and laid out by product_id in so many buckets."""
+    table = schemas.TABLES["silver"]
+    made = {DIGEST: cdc.digest(spark.createDataFrame([], table.schema))}
+    if buckets:
+        return BatchStore(spark, f"{root}/{table.name}", table.schema, [F.col("product_id")], buckets=("product_id", buckets), derived=made)
+    return BatchStore(spark, f"{root}/{table.name}", table.schema, [F.col(c).asc_nulls_last() for c in table.sort], table.by(), derived=made)
+
+
+def record_keys(registry: BatchStore, silver: BatchStore) -> int:
+    """Adds to the registry, batch by batch in the order of commits, the keys that each batch of silver had first; batches it has are passed over. How many batches were added.
+
+    The registry has one row for each key ever seen. A batch costs its own keys, those of the batch before and
+    the registry's hits, however long the history is.
+    """
+    done, added = set(registry.batches()), 0
+    batches = silver.log.live()
+    for n, s in enumerate(batches):
+        if s.batch not in done:
+            now = silver.read_snapshot(s.snapshot_id).select("product_id")
+            before = silver.read_snapshot(batches[n - 1].snapshot_id).select("product_id") if n else now.limit(0)
+            registry.append(cdc.first_seen(now, before, registry.history(), "product_id"), s.batch, skip_empty=False)
+            added += 1
+    return added
+
+
+def key_registry(spark: SparkSession, root: str) -> BatchStore:
+    return BatchStore(spark, f"{root}/seen_keys", T.StructType([T.StructField("product_id", T.StringType())]), [F.col("product_id")])
+
+
+def to_gold(store: BatchStore, metadata: DataFrame, batch_job: str, batch_date: Column, registry: BatchStore | None = None, **options) -> dict[str, DataFrame]:
+    """Silver history to change log, frequency mart and enrichment mart of the newest batch.
+
+    With a ``registry`` that has the newest batch, NEW comes from it and not from the keys of all history. A
+    store with digests is compared by them.
+    """
     now = store.current()
     if pair := store.latest_two():
         before, newest = pair
+        by = DIGEST if DIGEST in store.derived else None
+        old, new = store.read_snapshot(before.snapshot_id, bool(by)), store.current(bool(by))
         earlier = store.history().where(F.col("_batch") != newest.batch)
-        changes = cdc.changes_between(store.read_snapshot(before.snapshot_id), now, earlier, "product_id", **{k: v for k, v in options.items() if k != "initial_as_new"})
+        if registry:
+            # Keys of the batch that were there before it.
+            earlier = now.select("product_id").join(registry.read(newest.batch), "product_id", "left_anti")
+        changes = cdc.changes_between(old, new, earlier, "product_id", digests=by, **{k: v for k, v in options.items() if k != "initial_as_new"})
     else:
         changes = cdc.change_log(store.history(), "_batch", "product_id", **options)
     top = marts.top_per_category(marts.usage(now, "category", "product_ingredients"))

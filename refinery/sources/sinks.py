@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,10 @@ from pyspark.sql import types as T
 from refinery.schemas import Table, conform, enforce_not_null
 from refinery.sources.snapshots import Snapshot, SnapshotLog
 
+#: Names of tables by which buckets are written and read begin so.
+TABLE = "refinery_snapshot"
+BATCH = T.StructField("_batch", T.StringType())
+
 
 class BatchStore:
     """A table as Parquet with a snapshot for each write of a batch; current is the newest.
@@ -17,10 +23,17 @@ class BatchStore:
     fails, also over a batch that is there, changes nothing for readers. Of a batch's snapshots the newest is its
     rows; earlier ones stay readable by id until they expire. Newest is by commit, not by name. ``by`` names
     columns, or columns to be derived, whose values part a batch's files; ``sort`` orders the rows within files.
+
+    ``buckets``, a column and a number, lays every snapshot out by key, so that joins and groupings of snapshots
+    by it need no shuffle. ``derived`` are columns that are made once, when a row is written, and read only
+    where they are asked for.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, sort: list[Column] = (), by: dict[str, Column | None] | None = None) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, sort: list[Column] = (), by: dict[str, Column | None] | None = None, buckets: tuple[str, int] | None = None, derived: dict[str, Column] | None = None
+    ) -> None:
         self.spark, self.path, self.schema, self.sort, self.by = spark, path, schema, list(sort), by or {}
+        self.buckets, self.derived = buckets, derived or {}
         self.log = SnapshotLog(spark, path)
 
     @classmethod
@@ -45,14 +58,24 @@ class BatchStore:
     def _write(self, df: DataFrame, batch: str) -> tuple[str, str, int]:
         """(id, folder, rows) of what was written and is not yet part of the table. Rows are counted as they are written."""
         snapshot_id, folder = self.log.new_folder(batch)
-        rows = enforce_not_null(conform(df, self.schema), self.schema)
+        rows = enforce_not_null(conform(df, self.schema), self.schema).withColumns(self.derived)
         parts = [name if c is None else f"_{name}" for name, c in self.by.items()]
         rows = rows.withColumns({f"_{name}": c for name, c in self.by.items() if c is not None})
+        if self.buckets:
+            # A task for each bucket, and so a file for each bucket (and part).
+            rows = rows.repartition(self.buckets[1], self.buckets[0])
         if self.sort or parts:
             rows = rows.sortWithinPartitions(*parts, *self.sort)
         seen = Observation()
         writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.path}/{folder}")
+        writer = writer.partitionBy(*parts) if parts else writer
+        if self.buckets:
+            # Spark writes buckets by way of a table; its name goes again, the files stay.
+            name = f"{TABLE}_{snapshot_id}"
+            writer.format("parquet").option("path", f"{self.path}/{folder}").bucketBy(self.buckets[1], self.buckets[0]).sortBy(self.buckets[0]).saveAsTable(name)
+            self.spark.sql(f"drop table {name}")
+        else:
+            writer.parquet(f"{self.path}/{folder}")
         return snapshot_id, folder, seen.get["rows"]
 
     def append(self, df: DataFrame, batch: str, skip_empty: bool = True) -> bool:
@@ -69,17 +92,37 @@ class BatchStore:
         snapshot_id, folder, rows = self._write(df, batch)
         return self.log.add(snapshot_id, batch, rows, folder, notes)
 
-    def _rows(self, snapshots: list[Snapshot]) -> DataFrame:
-        fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields] + [T.StructField("_batch", T.StringType())]
+    def _fields(self, derived: bool) -> list[T.StructField]:
+        made = self.spark.createDataFrame([], self.schema).withColumns(self.derived).schema.fields[len(self.schema.fields) :] if derived else []
+        return [T.StructField(f.name, f.dataType) for f in [*self.schema.fields, *made]]
+
+    def _bucketed(self, s: Snapshot, fields: list[T.StructField]) -> DataFrame:
+        """A snapshot by way of a table that knows of its buckets."""
+        name = f"{TABLE}_{s.snapshot_id}"
+        every = self._fields(True)
+        parts = [T.StructField(f"_{n}", self.spark.createDataFrame([], self.schema).select(c).schema[0].dataType) if c is not None else None for n, c in self.by.items()]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*every, *[p for p in parts if p]])
+        parted = f"partitioned by ({', '.join(f'`{n if c is None else "_" + n}`' for n, c in self.by.items())})" if self.by else ""
+        key, number = self.buckets
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(f"create table {name} ({columns}) using parquet {parted} clustered by (`{key}`) sorted by (`{key}`) into {number} buckets location '{self.path}/{s.folder}'")
+            if self.by:
+                self.spark.sql(f"msck repair table {name}")
+        return self.spark.table(name).select(*[f.name for f in fields], F.lit(s.batch).alias("_batch"))
+
+    def _rows(self, snapshots: list[Snapshot], derived: bool = False) -> DataFrame:
+        fields = self._fields(derived)
         if not snapshots:
-            return self.spark.createDataFrame([], T.StructType(fields))
+            return self.spark.createDataFrame([], T.StructType([*fields, BATCH]))
+        if self.buckets:
+            return reduce(DataFrame.unionByName, [self._bucketed(s, fields) for s in snapshots])
         # Columns that part the files come last in what is read, and derived ones are not the table's.
-        read = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path).parquet(*[f"{self.path}/{s.folder}" for s in snapshots])
-        return read.select(*[f.name for f in fields])
+        read = self.spark.read.schema(T.StructType([*fields, BATCH])).option("basePath", self.path).parquet(*[f"{self.path}/{s.folder}" for s in snapshots])
+        return read.select(*[f.name for f in fields], "_batch")
 
-    def history(self, version: int | None = None) -> DataFrame:
+    def history(self, version: int | None = None, derived: bool = False) -> DataFrame:
         """All batches, each as last written (until commit ``version``), with _batch."""
-        return self._rows(self.log.live(version))
+        return self._rows(self.log.live(version), derived)
 
     def batches(self) -> list[str]:
         """Newest commit first; a reading of the log, not of rows."""
@@ -93,15 +136,15 @@ class BatchStore:
     def read(self, batch: str) -> DataFrame:
         return self._rows([s for s in self.log.live() if s.batch == batch]).drop("_batch")
 
-    def read_snapshot(self, snapshot_id: str) -> DataFrame:
+    def read_snapshot(self, snapshot_id: str, derived: bool = False) -> DataFrame:
         """The rows of one snapshot, also of one that a later write of its batch replaced."""
         found = [s for s in self.log.snapshots() if s.snapshot_id == snapshot_id]
         if not found:
             raise ValueError(f"no snapshot {snapshot_id} in {self.path}; it may have expired")
-        return self._rows(found).drop("_batch")
+        return self._rows(found, derived).drop("_batch")
 
-    def current(self) -> DataFrame:
-        return self._rows(self.log.live()[-1:]).drop("_batch")
+    def current(self, derived: bool = False) -> DataFrame:
+        return self._rows(self.log.live()[-1:], derived).drop("_batch")
 
 
 def export_csv(df: DataFrame, path: str, taken_at: str | None = None) -> str:

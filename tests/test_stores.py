@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refinery import schemas
-from refinery.operators import graph
+from refinery.operators import cdc, graph
 from refinery.plans import jobs
 from refinery.sources import files
 from refinery.sources.sinks import BatchStore
@@ -130,3 +130,52 @@ def test_late_rerun_of_an_old_batch_is_the_newest(spark, tmp_path, metadata):
         store.append(rows(ids), batch)
     log = jobs.to_gold(store, metadata, "g", F.lit(DAY))["change_log"]
     assert sorted((r["product_id"], r["change_type"]) for r in log.collect()) == [("b", "REMOVED"), ("d", "NEW")]
+
+
+def silver_rows(spark, batch, n, seed):
+    """Products with maps, nulls and both zeros; a third changes from batch to batch, some come and go."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        if rng.random() < 0.8:
+            stats = {f"s{k}": {"a": str(rng.choice([1, 1, 2])), "b": None} for k in rng.sample(range(3), 3)}
+            rows.append((f"p{i}", rng.choice([None, ["x", None], [None, "x"], ["x"]]), rng.choice([None, 0.0, -0.0, float("nan"), 4.5]), rng.choice([None, 3]), rng.choice([None, stats, stats]), batch))
+    return schemas.conform(spark.createDataFrame(rows, "product_id string, product_ingredients array<string>, rating double, review_count int, review_stats map<string, map<string, string>>, batch_job string"), schemas.SILVER)
+
+
+def test_digests_registry_and_buckets_give_the_same_changes(spark, tmp_path, metadata):
+    plain = BatchStore.of(spark, str(tmp_path / "plain"), schemas.TABLES["silver"])
+    stores = [jobs.silver_store(spark, str(tmp_path / "digests")), jobs.silver_store(spark, str(tmp_path / "buckets"), buckets=3)]
+    registry = jobs.key_registry(spark, str(tmp_path))
+    for n in range(4):
+        rows = silver_rows(spark, f"b{n}", 60 + 10 * n, n).persist()
+        for store in (plain, *stores):
+            store.append(rows, f"b{n}")
+    assert jobs.record_keys(registry, stores[0]) == 4 and jobs.record_keys(registry, stores[0]) == 0
+    every = {r["product_id"] for r in plain.history().select("product_id").distinct().collect()}
+    assert sorted(r["product_id"] for r in registry.history().collect()) == sorted(every)
+
+    def log(store, **options):
+        return sorted((r["product_id"], r["change_type"], str(r["review_stats"]), str(r["rating"])) for r in jobs.to_gold(store, metadata, "g", F.lit(DAY), **options)["change_log"].collect())
+
+    want = log(plain)
+    assert {kind for _, kind, _, _ in want} == {"NEW", "REMOVED", "CHANGED"}
+    for store in stores:
+        assert log(store) == log(store, registry=registry) == log(store, exact=True) == want
+        assert "_digest" not in store.current().columns
+    assert stores[1].history().count() == plain.history().count()
+
+
+def test_bucketed_snapshots_are_joined_without_a_shuffle(spark, tmp_path):
+    store = jobs.silver_store(spark, str(tmp_path), buckets=4)
+    for n in range(2):
+        store.append(silver_rows(spark, f"b{n}", 50, n), f"b{n}")
+    before, now = (store.read_snapshot(s.snapshot_id, derived=True) for s in store.latest_two())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = cdc.changes_between(before, now, before, "product_id", digests=jobs.DIGEST)
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+        assert changes.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
