@@ -65,7 +65,7 @@ SOFT, EDGE = 3, 6
 
 
 def _mark(name: str, attr: str, in_article: bool, in_main: bool) -> int:
-    """EDGE, SOFT or 0 of an element. Words that say wrapper excuse a weak mark; a hard one only outside of articles, where the element may hold the article, and then to a weak one."""
+    """EDGE, SOFT or 0 of an element. Words that say wrapper excuse a weak mark, and a hard one outside of articles, where the element may hold the article."""
     if name in HARD or (name == "header" and not (in_article or in_main)) or (name == "form" and in_article):
         return EDGE
     if not attr or name in ("html", "body", "main"):
@@ -78,7 +78,7 @@ def _mark(name: str, attr: str, in_article: bool, in_main: bool) -> int:
     words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
     wraps = bool(words & WRAPPERS)
     if words & HARD_WORDS:
-        return SOFT if wraps and not in_article else EDGE
+        return 0 if wraps and not in_article else EDGE
     return SOFT if words & SOFT_WORDS and not wraps else 0
 
 

@@ -46,6 +46,40 @@ def test_wrappers_of_an_article_do_not_matter(before, after):
         assert [t for k, t in found if k < html.SOFT] == ["body text"]
 
 
+@pytest.mark.parametrize("name", ["comments with-replies", "cookie-notice page", "page-comments", "ad-container", "advert layout", "sidebar wrapper", "newsletter container", "footer-wrap", "comments", "notice"])
+def test_wrapper_words_excuse_no_junk_in_an_article(name):
+    words = "reader wrote eight words that stand nowhere else"
+    found = html.blocks(f"<div class='{name}'><article><p>a</p><div class='{name}'><p>{words}</p></div></article></div>")
+    # A wrapper around the article is harmless unless it is plainly no wrapper.
+    assert [t for k, t in found if k != html.EDGE] == (["a"] if name not in ("comments", "notice") else [])
+    assert (html.EDGE, words) in found
+
+
+@pytest.mark.parametrize("page", ["<article>main</article><div class='related'><article>teaser other</article></div>", "<div class='related'><article>teaser other</article></div><article>main</article>", "<article>main<div class='related'><article>teaser other</article></div></article>"])
+def test_teasers_are_no_article(page):
+    assert [t for k, t in html.blocks(page) if k != html.EDGE] == ["main"]
+
+
+def test_forms_outside_of_articles():
+    form = "<form><label>Please leave your address here and we will write to you</label></form>"
+    assert [t for k, t in html.blocks(f"<p>{'body text ' * 20}</p>{form}") if k != html.EDGE] == [("body text " * 20).strip()]
+    assert [t for k, t in html.blocks(f"<main><p>body</p>{form}</main>") if k != html.EDGE] == ["body"]
+    # A form around a page that marks no article.
+    assert [t for k, t in html.blocks(f"<form><p>{'body text ' * 20}</p></form><p>x</p>") if k != html.EDGE] == [("body text " * 20).strip(), "x"]
+
+
+@pytest.mark.parametrize("junk", ["<svg ", "<svg x ", "<video>", "<select>", "<!--", '"', "<!", "<svg '>' ", '<a "', "<svg \"x' ", "</select", '<textarea ">'])
+def test_malformed_pages_in_linear_time(junk):
+    for around in ("{}", "<article>x{}\">\"</article>"):
+        took = []
+        for size in (1_000_000, 4_000_000):
+            page = around.format(junk * (size // len(junk)))
+            began = time.time()
+            html.blocks(page)
+            took.append(time.time() - began)
+        assert took[1] < 8 * took[0] + 2
+
+
 def test_comments_are_no_article():
     found = html.blocks("<article><p>a</p></article><ol class='commentlist'><li><article><p>me too</p></article></li></ol>")
     assert found == [(html.ARTICLE, "a"), (html.EDGE, "me too")]

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -96,3 +97,13 @@ def test_odd_tables(spark):
     assert len({r["score"] for r in rows if not (r["text"] or "").strip()}) == 1
     assert toxicity.assess(df.select("doc_id", "text"), labels.limit(0)).count() == df.count()
     assert toxicity.assess(df.select("doc_id", "text").limit(0), labels).count() == 0
+
+
+def test_one_long_line_in_linear_time():
+    lexicon = toxicity.Lexicon([("idiot", 1.0, False)])
+    took = []
+    for n in (10_000, 40_000):
+        began = time.time()
+        assert lexicon.features("what an idiot he is, they said of him once more " * n)[0] > 0
+        took.append(time.time() - began)
+    assert took[1] < 8 * took[0] + 1
