@@ -41,6 +41,16 @@ def distinct_usage(rows: DataFrame, item: str, owner: str) -> DataFrame:
     return rows.groupBy(F.col(item).alias("ingredient_name")).agg(F.countDistinct(owner).alias("usage_count"))
 
 
+def usage_sketches(rows: DataFrame, item: str, owner: str, size: int = 14) -> DataFrame:
+    """A4, opt-in: (ingredient_name, owners), a HyperLogLog sketch of each item's different owners, of at most 2 ** size registers. Sketches of batches are kept and merged, so that a count over all of them rereads none."""
+    return rows.where(F.col(owner).isNotNull()).groupBy(F.col(item).alias("ingredient_name")).agg(F.hll_sketch_agg(owner, size).alias("owners"))
+
+
+def merged_usage(sketches: DataFrame) -> DataFrame:
+    """(ingredient_name, usage_count) from the sketches of any number of batches: different owners over all of them. The standard error is 1.04 / sqrt(2 ** size), 0.8 % for 14; up to some hundreds counts are exact as a rule."""
+    return sketches.groupBy("ingredient_name").agg(F.hll_sketch_estimate(F.hll_union_agg("owners")).alias("usage_count"))
+
+
 def enrich(counts: DataFrame, metadata: DataFrame, name: str) -> DataFrame:
     """Metadata of each item; several rows of metadata give several rows, none gives nulls."""
     return counts.join(metadata, counts["ingredient_name"] == metadata[name], "left")

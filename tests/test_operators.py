@@ -91,6 +91,21 @@ def test_usage_keeps_total_apart(spark):
     assert len(top) == 3
 
 
+def test_merged_sketches_against_exact_counts(spark, tmp_path):
+    """The given tables in five batches that share owners: each item's count within four standard errors, most within one."""
+    sf = "/root/testdata/sf0.01"
+    line = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey").join(spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey as l_partkey", "p_type"), "l_partkey")
+    for n in range(5):
+        # Each order is in two batches.
+        some = line.where((F.col("l_orderkey") % 5 == n) | (F.col("l_orderkey") % 5 == (n + 1) % 5))
+        marts.usage_sketches(some, "p_type", "l_orderkey").write.parquet(str(tmp_path / f"batch={n}"))
+    merged = {r[0]: r[1] for r in marts.merged_usage(spark.read.parquet(*[str(tmp_path / f"batch={n}") for n in range(5)])).collect()}
+    exact = {r[0]: r[1] for r in marts.distinct_usage(line, "p_type", "l_orderkey").collect()}
+    assert merged.keys() == exact.keys() and max(exact.values()) > 1000
+    error = [abs(merged[k] - v) / v for k, v in exact.items()]
+    assert max(error) < 4 * 1.04 / 2**7 and sorted(error)[len(error) // 2] < 1.04 / 2**7
+
+
 def test_routing(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, t string")
     got = df.select("id", routing.first_failure([("NULL", F.col("t").isNull()), ("ONE", F.col("id") == 1)]).alias("error_type"))
