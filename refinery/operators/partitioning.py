@@ -6,6 +6,19 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """For heavy work on each row: a table of fewer files than there are cores is dealt to all of them; any other stays as it is. Nothing runs to find out."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    """For heavy work on each row: a table that would be read by fewer tasks than there are cores is dealt to all of them; any other stays as it is.
+
+    Files are cut into parts of spark.sql.files.maxPartitionBytes, so a few large ones are no reason. Nothing runs to find out.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= cores:
+        return df
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    part = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        tasks += max(path.getFileSystem(conf).getFileStatus(path).getLen() // part, 1)
+    return df if tasks >= cores else df.repartition(cores)

@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from refinery.operators import batch, cdc, graph, marts, matching, quality, routing
+from refinery.operators import batch, cdc, graph, marts, matching, partitioning, quality, routing
 
 
 def naive(text, keys):
@@ -260,3 +260,16 @@ def test_batch(spark):
 def test_latest_two(spark, initial):
     rows = spark.createDataFrame([(1,)] if initial else [(1,), (3,), (2,), (3,)], "b int")
     assert cdc.latest_two(rows, "b") == (None if initial else (2, 3))
+
+
+def test_large_files_are_not_dealt_again(spark, tmp_path):
+    path = str(tmp_path / "a b%20c")
+    spark.range(200_000).withColumn("t", F.sha2(F.col("id").cast("string"), 256)).coalesce(1).write.parquet(path)
+    shuffled = lambda df: "Exchange RoundRobin" in partitioning.spread(df)._jdf.queryExecution().executedPlan().toString()
+    assert shuffled(spark.read.parquet(path)) and shuffled(spark.range(3))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert not shuffled(spark.read.parquet(path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
