@@ -21,6 +21,8 @@ MOST_IN_BLOCK = 8192
 LEAST_IN_BLOCK = 512
 QUERIES_IN_BLOCK = 2048
 MOST_PIVOTS = 2048
+#: Queries whose blocks are looked up together.
+TOGETHER = 256
 DIMENSIONS = 16
 #: Sums below this are exact in double precision.
 EXACT = 2.0**52
@@ -168,9 +170,10 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     held = {r["cell"]: r["at"] for r in placed.groupBy("cell").agg(F.collect_set("b").alias("at")).collect()}
     known = sorted(reach)
     radius, longest = np.array([reach[c]["far"] for c in known]), np.array([reach[c]["norm"] for c in known])
-    in_block = np.zeros((len(known), blocks), bool)
-    for i, c in enumerate(known):
-        in_block[i, held[c]] = True
+    # A cell's blocks one after the other, all cells' together: about as many as there are cells and blocks.
+    holders = np.array([b for c in known for b in sorted(held[c])], np.int32)
+    many = np.array([len(held[c]) for c in known], np.int64)
+    begin = np.cumsum(many) - many
 
     def bounds(v: list) -> tuple[np.ndarray, np.ndarray]:
         """[query, cell]: inner product with the pivot, and the most that any row of the cell may have, with room for rounding."""
@@ -185,33 +188,36 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
         for b in batches:
             if len(b) and len(known):
                 middle, _ = bounds(b["v"].tolist())
-                b["b"] = in_block[middle.argmax(1)].argmax(1).astype(np.int32)
+                b["b"] = holders[begin[middle.argmax(1)]]
                 b["floor"] = -np.inf
                 yield b[["id", "v", "q", "floor", "b"]]
 
     def second_look(batches):
         """Each query to the other blocks that may hold a score as high as its floor."""
-        for b in batches:
-            if not len(b) or not known:
-                continue
-            middle, most = bounds(b["v"].tolist())
-            seen = in_block[middle.argmax(1)].argmax(1)
-            wanted = np.zeros((len(b), blocks), bool)
-            for i in range(len(known)):
-                wanted |= (most[:, i] >= b["floor"].to_numpy())[:, None] & in_block[i][None, :]
-            wanted[np.arange(len(b)), seen] = False
-            at, to = np.nonzero(wanted)
-            out = b.iloc[at][["id", "v", "q", "floor"]].copy()
-            out["b"] = to.astype(np.int32)
-            yield out
+        for whole in batches:
+            # Some at a time: each may want all blocks.
+            for lo in range(0, len(whole) if known else 0, TOGETHER):
+                b = whole.iloc[lo : lo + TOGETHER]
+                middle, most = bounds(b["v"].tolist())
+                seen = holders[begin[middle.argmax(1)]]
+                at, cell = np.nonzero(most >= b["floor"].to_numpy()[:, None])
+                size = many[cell]
+                to = holders[np.repeat(begin[cell] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+                at, to = np.divmod(np.unique(np.repeat(at, size) * blocks + to), blocks)
+                other = to != seen[at]
+                out = b.iloc[at[other]][["id", "v", "q", "floor"]].copy()
+                out["b"] = to[other].astype(np.int32)
+                yield out
 
     shape = "id long, v array<double>, q long, floor double, b int"
 
     def met(asked: DataFrame, turns: int) -> DataFrame:
         own = lambda parts: F.pmod(F.xxhash64("q", F.lit(5)), F.lit(parts)).cast("int")
-        left = asked.withColumn("t", own(turns)).groupBy("t", "b")
-        right = placed.select("id", "v", "b", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("t")).groupBy("t", "b")
-        return left.cogroup(right).applyInPandas(lambda q, c: search_block(q, c, k), "query_id long, q long, vec_id long, score long")
+        left = stage(asked.withColumn("t", own(turns)))
+        # A block goes to those turns only in which a query wants it.
+        pairs = left.select(F.col("t").alias("_t"), F.col("b").alias("_b")).distinct()
+        right = placed.join(pairs, F.col("b") == F.col("_b")).select("id", "v", F.col("_t").alias("t"), F.col("_b").alias("b")).groupBy("t", "b")
+        return left.groupBy("t", "b").cogroup(right).applyInPandas(lambda q, c: search_block(q, c, k), "query_id long, q long, vec_id long, score long")
 
     m = queries.count()
     near = stage(met(queries.mapInPandas(first_look, shape), 1 if m <= QUERIES_IN_BLOCK * blocks else -(-m // (QUERIES_IN_BLOCK * blocks))))
