@@ -48,6 +48,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", "p_brand", name.alias("name"))
 
 
+# The patterns of names.
 CLEAN_NAME_SQL = rf"""
 named as (select p_partkey, p_brand, {NAME_SQL} as name from part),
 t1 as (select *, regexp_replace(name, '\[.*?\]|\(.*?\)', ' ', 'g') as a from named),
@@ -144,7 +145,9 @@ def ingredient_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("product_id", F.element_at(F.array(*forms), (F.col("product_id") % 8 + 1).cast("int")).alias("text"))
 
 
+# The patterns of section headers.
 HEADER = r"<[^>]+>|■\s*[^:■]+:\s*|[가-힣a-zA-Z0-9]+\s*-\s*\[전성분|\[(?:[^Ii\]][^\]]*|[Ii](?:[^Ll\]][^\]]*)?|[Ii][Ll](?:[^Nn\]][^\]]*)?)\]|(?:^|\s)[0-9]{1,2}\)\s*[가-힣a-zA-Z]+|[가-힣a-zA-Z0-9\s]+(?:볼|앰플|세럼|크림|토너|로션)\s*[):]\s*[가-힣]"
+# The patterns of notices.
 NOTICES_SQL = rf"""
 {LIST_SQL},
 n1 as (select product_id, regexp_replace(text, '^전성분(?:명)?\s*:?\s*', '') as a from written),
@@ -167,6 +170,7 @@ def section_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingredient_lists(spark, sf_dir).select("product_id", X.main_item_count(text).cast("long").alias("mains"), X.header_count(text).cast("long").alias("headers"))
 
 
+# The pattern of concentrations.
 #: SQL writes the last alternative of CONCENTRATION_BRACKET out: it needs the end of the text before a bracket, so never holds.
 CONCENTRATION = r"\([^)]*(?:ppm|PPM|ppb|PPB|%|mg|mG|G|g|ml|mL|IU|NON\s*GMO|CI\s*[0-9]+|BHA|AHA|산\s*|전성분|전성분명|성분|유래|추출물|아쿠아).*?\)"
 STRIPPED_SQL = f"""{NOTICES_SQL},
