@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery import schemas
-from refinery.operators import matching, quality
+from refinery.operators import cdc, matching, quality
 from refinery.plans import jobs
-from refinery.plans.catalogue import DICT_SQL, GRAPH_SQL, event_files, register, table, yearly
+from refinery.plans.catalogue import DICT_SQL, GRAPH_SQL, SNAPSHOT_SQL, event_files, history, newest_days, register, table, yearly
 from refinery.plans.products import all_changes
 from refinery.sources import files
 from refinery.sources.scratch import new_folder
@@ -162,3 +162,21 @@ def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     for mark in ("mark", "mark of a lost checkpoint"):
         streaming.sync_available(stream, store, metadata, f"{to}/{mark}").awaitTermination()
     return store.read()[1]
+
+
+@register(f"with {SNAPSHOT_SQL} select product_id, change_type from log")
+def stored_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 to C3, J4 to J6, K13 by way of the stores: snapshots in buckets of their key, compared by digests made when they were written; new keys from the registry."""
+    rows, tracked = history(spark, sf_dir), ("rating", "review_count", "review_stats")
+    before, now = newest_days(spark, sf_dir)
+    fields = rows.drop("day")
+    to = new_folder(spark)
+    key = ("product_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store = BatchStore(spark, f"{to}/silver", fields.schema, buckets=key, derived={jobs.DIGEST: cdc.digest(fields, tracked)})
+    registry = jobs.key_registry(spark, to)
+    for name, part in (("earlier", F.col("day") < before), ("before", F.col("day") == before), ("now", F.col("day") == now)):
+        store.overwrite(rows.where(part), name)
+    jobs.record_keys(registry, store)
+    old, new = (store.read_snapshot(s.snapshot_id, derived=True) for s in store.latest_two())
+    known = new.select("product_id").join(registry.read("now"), "product_id", "left_anti")
+    return cdc.changes_between(old, new, known, "product_id", tracked, digests=jobs.DIGEST).select("product_id", "change_type")
