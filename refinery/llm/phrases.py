@@ -30,14 +30,14 @@ from refinery.llm.common import stage
 from refinery.operators.partitioning import spread
 
 #: Bytes of text of a shard (more only where one text is longer), and of text that is split into words at a time.
-SHARD_BYTES, CHUNK_BYTES = 64 << 20, 1 << 20
+SHARD_BYTES, CHUNK_BYTES = 40 << 20, 1 << 20
 #: Bits of a bitmap of hashes: 8 MB.
 BITS = 1 << 26
 #: Groups in which a language's phrases are ranked before they are ranked together.
 SALTS = 64
 ROWS = 20_000
 #: Places of a shard whose phrases are sorted together.
-PLACES = 1 << 20
+PLACES = 1 << 19
 #: Languages that are named in a condition, and that are broadcast; more are joined by shuffling.
 FEW, MOST_BROUGHT = 64, 100_000
 #: A-Z in lower case, ends of pieces as \n, white space within pieces as a space.
