@@ -31,6 +31,8 @@ PROBE = 30.0
 BANDS, ROWS, MOST_BROUGHT = 24, 3, 500_000
 #: Times that the sets of a band meet one of them, before those still apart meet each other.
 STARS = 2
+#: A band in which more sets than DENSE are still apart is searched by prefixes instead of pair by pair; cells whose counts tell common shingles.
+DENSE, CELLS = 32, 1 << 18
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -404,6 +406,50 @@ def _may(pairs: DataFrame) -> DataFrame:
     return pairs.where(may).select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"))
 
 
+def _by_prefix(texts: DataFrame, apart: DataFrame, words: int) -> DataFrame:
+    """(a, b): pairs of different components, among them all at similarity 0.8 or more; texts (node, text) and apart (node, component, n, parity) have a row for each set.
+
+    With its shingles in one order, rarest first, a set of n has one in common with any similar set
+    that is no smaller among its first n / 9, and with any that is no larger among its first n / 5; at
+    the first they share, what follows in either must still suffice. Rarity is told by counts of CELLS
+    cells, which is only a matter of speed: any order finds the same pairs. Shingles of a template
+    come last, so texts that share it alone do not meet.
+    """
+    cell = lambda s: (s >> np.uint64(40) & np.uint64(CELLS - 1)).astype(np.int64)
+
+    def tally(batches):
+        counts = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for text in b["text"]:
+                np.add.at(counts, cell(np.unique(_hashes(text, words))), 1)
+        used = np.flatnonzero(counts)
+        yield pd.DataFrame({"cell": used.astype(np.int32), "sets": counts[used]})
+
+    found = texts.select("text").mapInPandas(tally, "cell int, sets long").groupBy("cell").agg(F.sum("sets").alias("sets")).toArrow()
+    common = np.zeros(CELLS, np.int64)
+    common[found["cell"].to_numpy()] = found["sets"].to_numpy()
+
+    def first(batches):
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                part = b.iloc[lo : lo + 256]
+                sets = [np.unique(_hashes(t, words)) for t in part["text"]]
+                sizes = np.array([len(s) for s in sets], np.int32)
+                lead = [s[np.lexsort((s, common[cell(s)]))][: len(s) // 5 + 1] for s in sets]
+                of = [len(s) for s in lead]
+                places = np.concatenate([np.arange(k, dtype=np.int32) for k in of])
+                yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), of), "n": np.repeat(sizes, of), "place": places, "band": np.concatenate(lead).view(np.int64)})
+
+    filed = stage(texts.select("node", "text").mapInPandas(first, "node binary, n int, place int, band long").join(apart.select("node", "component"), "node"))
+    filed = stage(_parted(filed))
+    x, y = (filed.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")]) for side in "xy")
+    no_larger = "9 * place_x <= n_x and (n_x < n_y or n_x = n_y and node_x < node_y) and 5 * n_x >= 4 * n_y"
+    enough = "9 * least(n_x - place_x, n_y - place_y) >= 4 * (n_x + n_y)"
+    pairs = x.join(y, (x["band"] == y["band"]) & F.expr(f"component_x <> component_y and {no_larger} and {enough}")).select("node_x", "node_y").distinct()
+    a, b = (apart.select(F.col("node").alias(f"node_{side}"), F.struct("node", "component", "n", "parity").alias(side)) for side in "xy")
+    return _may(stage(pairs).join(a, "node_x").join(b, "node_y"))
+
+
 def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame:
     """(key, class) of each different text: classes are the components of the graph of the pairs at Jaccard similarity 0.8 or more of their word shingles.
 
@@ -412,17 +458,21 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     afford, so pairs left in different components are searched by BANDS bands of ROWS least values: a
     pair at 0.8 shares none with probability (1 - 0.8 ** 3) ** 24, 3 in 10 ** 8, one of more similarity
     with less. Of these, pairs whose sizes or parities forbid 0.8 are left out, the others confirmed.
+    Where a band holds more than DENSE sets that are still apart (texts of one template, say), its sets
+    are searched by prefixes, which miss none and do not meet pair by pair.
     """
     of = stage(_sets(docs, words).dropDuplicates(["key"]))
     nodes = stage(of.groupBy("node").agg(F.min("key").alias("key"), F.any_value(F.struct("fp", "n", "parity", "bands")).alias("x")).select("node", "key", "x.*"))
     text_of = docs.select(_key().alias("key"), "text")
 
+    def texts(named: DataFrame) -> DataFrame:
+        wanted = _brought(stage(nodes.select("node", "key").join(named, "node")))
+        return stage(text_of.join(wanted, "key").dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")))
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = stage(pairs.distinct())
         named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = _brought(stage(nodes.select("node", "key").join(named, "node")))
-        texts = stage(text_of.join(wanted, "key").dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")))
-        return stage(_similar(pairs, texts, words))
+        return stage(_similar(pairs, texts(named), words))
 
     # Sets of one fingerprint are candidates with the least of them.
     rep = nodes.groupBy("fp").agg(F.min("node").alias("rep"), F.count("*").alias("copies"))
@@ -445,9 +495,12 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
         joined = stage(components(first)).withColumnRenamed("component", "_now")
         few = few.join(joined, "node", "left").select("node", F.coalesce("_now", "node").alias("component"), "band", "n", "parity")
         few = stage(_parted(few))
-    # What is still apart, pair by pair.
-    x, y = (few.select("band", F.struct("node", "component", "n", "parity").alias(c)) for c in "xy")
-    rest = confirmed(_may(x.join(y, "band").where("x.node < y.node")))
+    # What is still apart: pair by pair where a band has few sets, by prefixes where it has many.
+    few = stage(few.join(few.groupBy("band").agg(F.count("*").alias("sets")), "band"))
+    x, y = (few.where(F.col("sets") <= DENSE).select("band", F.struct("node", "component", "n", "parity").alias(c)) for c in "xy")
+    dense = stage(few.where(F.col("sets") > DENSE).select("node", "component", "n", "parity").dropDuplicates(["node"]))
+    rest = _may(x.join(y, "band").where("x.node < y.node")).unionByName(_by_prefix(texts(dense.select("node")), dense, words))
+    rest = confirmed(rest)
     final = components(first.unionByName(rest))
     return of.select("key", "node").join(final, "node", "left").select("key", F.coalesce("component", "node").alias("class"))
 

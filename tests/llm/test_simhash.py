@@ -157,7 +157,9 @@ def similar_groups(texts):
     return groups(len(texts), links), [(i, j) for i, j in links if sets[i] != sets[j]]
 
 
-def test_similar_documents_are_one(spark):
+@pytest.mark.parametrize("dense", [simhash.DENSE, 0])
+def test_similar_documents_are_one(spark, monkeypatch, dense):
+    monkeypatch.setattr(simhash, "DENSE", dense)
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
     rng = random.Random(3)
     for t in rng.sample([t for t in texts if len(t.split()) > 100], 40):
@@ -180,3 +182,35 @@ def test_each_group_keeps_one_row_whatever_the_ids(spark, keep):
     rows = [(None, text(0)), (None, text(1)), (None, text(1)), (4, text(2)), (None, text(2)), (5, text(3)), (5, text(4)), (3, text(4)), (6, text(5)), (6, text(5))]
     got = keep(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, text(0)), (0, text(1)), (4, text(2)), (5, text(3)), (3, text(4)), (6, text(5))])
+
+
+def test_prefixes_find_all_similar_sets_and_no_pairs_of_a_template(spark):
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(84)]
+    texts = [" ".join(template + [f"own{k}x{i}" for i in range(20)]) for k in range(600)]
+    # Changes at one place and at the ends: on both sides of 0.8, of different sizes.
+    for k in range(0, 200):
+        w = texts[k].split()
+        at = rng.randrange(len(w) - 12)
+        w[at : at + rng.randrange(1, 12)] = [f"new{k}x{i}" for i in range(rng.randrange(0, 12))]
+        texts.append(" ".join(w))
+    texts += ["", "a b", "a b c d e f"]
+    root, links = similar_groups(texts)
+    rows = []
+    for i, t in enumerate(texts):
+        s = np.unique(simhash._hashes(t, 5))
+        cells = np.bincount((s >> np.uint64(20) & np.uint64(511)).astype(int), minlength=512) & 1
+        node = i.to_bytes(16, "big")
+        rows.append((node, t, node, len(s), np.packbits(cells.astype(np.uint8)).view("<i8").tolist()))
+    df = spark.createDataFrame(rows, "node binary, text string, component binary, n int, parity array<long>")
+    found = simhash._by_prefix(df.select("node", "text"), df.drop("text"), 5).collect()
+    pairs = {(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in found}
+    assert 100 < len(links) < 400 and set(links) <= pairs
+    assert len(pairs) < 3 * len(links)
+    kept = simhash.keep_one_similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+
+
+def test_prefixes_of_no_sets(spark):
+    none = spark.createDataFrame([], "node binary, text string, component binary, n int, parity array<long>")
+    assert simhash._by_prefix(none.select("node", "text"), none.drop("text"), 5).count() == 0
