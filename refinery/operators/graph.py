@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions import text as X
+from refinery.operators.partitioning import dealt
 from refinery.operators.routing import first_per_key
 
 
@@ -27,7 +28,8 @@ def pending(changes: DataFrame, mark, order: str) -> DataFrame:
 def effective(nodes: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
     """The changes that do something, in each key's own order of batches: CHANGED needs a node, from before or by a NEW since its last REMOVED.
 
-    Adds _turn, and _reset: the turn of the key's last REMOVED or CHANGED, from which its edges are made anew.
+    Adds _turn; _reset: the turn of the key's last REMOVED or CHANGED, from which its edges are made anew; _last: whether
+    it is the key's last turn; _stays: whether the key is there after it.
     """
     # Within one batch: CHANGED, NEW, REMOVED.
     in_order = Window.partitionBy(key).orderBy(order, "change_type")
@@ -35,11 +37,13 @@ def effective(nodes: DataFrame, changes: DataFrame, key: str, order: str) -> Dat
     every = Window.partitionBy(key)
     kind = F.col("change_type")
     there = nodes.select(F.col(key).alias("_key")).distinct()
-    rows = changes.where(F.col(key).isNotNull()).join(there, F.col(key) == F.col("_key"), "left")
+    rows = dealt(changes.where(F.col(key).isNotNull()), key).join(there, F.col(key) == F.col("_key"), "left")
     last_event = F.last(F.when(kind != "CHANGED", kind), ignorenulls=True).over(before)
     alive = F.when(last_event.isNull(), F.col("_key").isNotNull()).otherwise(last_event == "NEW")
     rows = rows.withColumn("_alive", alive).where((kind != "CHANGED") | F.col("_alive")).withColumn("_turn", F.row_number().over(in_order))
-    return rows.withColumn("_reset", F.max(F.when(kind != "NEW", F.col("_turn"))).over(every)).drop("_key", "_alive")
+    # In the order that the rows are in: no sort and no join of their own.
+    rows = rows.withColumns({"_reset": F.max(F.when(kind != "NEW", F.col("_turn"))).over(every), "_final": F.max(F.struct("_turn", "change_type")).over(every)})
+    return rows.withColumns({"_last": F.col("_turn") == F.col("_final._turn"), "_stays": F.col("_final.change_type") != "REMOVED"}).drop("_key", "_alive", "_final")
 
 
 def apply(nodes: DataFrame, edges: DataFrame, changes: DataFrame, lookup: DataFrame, key: str, order: str, properties: list[str], items: str) -> tuple[DataFrame, DataFrame]:
@@ -50,11 +54,11 @@ def apply(nodes: DataFrame, edges: DataFrame, changes: DataFrame, lookup: DataFr
     know give no edge.
     """
     done = effective(nodes, changes, key, order)
-    last = done.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_turn")))).where("_n = 1")
-    put = last.where("change_type <> 'REMOVED'")
+    last = done.where("_last")
+    put = last.where("_stays")
     all_nodes = nodes.join(last.select(key), key, "left_anti").select(key, *properties).unionByName(put.select(key, *properties))
     left = edges.join(last.where("_reset is not null").select(key), key, "left_anti")
-    adding = done.where("change_type <> 'REMOVED' and _turn >= coalesce(_reset, 0)").join(put.select(key), key, "left_semi")
+    adding = done.where("change_type <> 'REMOVED' and _turn >= coalesce(_reset, 0) and _stays")
     pairs = adding.select(key, F.explode(items).alias("name")).join(lookup, "name").where(F.col("target").isNotNull()).select(key, "target")
     return all_nodes, left.select(key, "target").unionByName(pairs).distinct()
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -22,3 +22,8 @@ def spread(df: DataFrame) -> DataFrame:
         path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
         tasks += max(path.getFileSystem(conf).getFileStatus(path).getLen() // part, 1)
     return df if tasks >= cores else df.repartition(cores)
+
+
+def dealt(df: DataFrame, *by: str | Column) -> DataFrame:
+    """By the given columns to as many tasks as the session shuffles to, and no fewer: for work that holds several orders and tables of its rows at once, of which merged partitions would need that many times more memory."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)

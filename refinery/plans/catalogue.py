@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 
 from refinery.functions import text as X
 from refinery.operators import batch, cdc, graph, marts, matching, quality, routing, rules
+from refinery.operators.partitioning import dealt
 from refinery.schemas import conform, stats
 from refinery.sources import files
+from refinery.sources.scratch import staged
 
 
 @dataclass(frozen=True)
@@ -445,13 +447,13 @@ now as (select distinct product_id, target from sales, years where y = now)
 def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(product_id, batch, items): the brands that each customer bought in each year."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("product_id"), F.year("o_orderdate").alias("batch"))
-    return line_items(spark, sf_dir).join(orders, "l_orderkey").groupBy("product_id", "batch").agg(F.sort_array(F.collect_set("p_brand")).alias("items"))
+    return dealt(line_items(spark, sf_dir).select("l_orderkey", "p_brand"), "l_orderkey").join(orders, "l_orderkey").groupBy("product_id", "batch").agg(F.sort_array(F.collect_set("p_brand")).alias("items"))
 
 
 def graph_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The graph of the year before, after the newest year's changes. Customers that come back after a gap are new."""
-    sales = yearly(spark, sf_dir)
     pair = cdc.latest_two(table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("batch")), "batch")
+    sales = staged(yearly(spark, sf_dir).where(F.col("batch").isin(*pair)))
     changes = cdc.change_log(sales, "batch", "product_id", ("items",), pair=pair, reappear_as_new=True)
     lookup = table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_brand").alias("target")).distinct()
     before = sales.where(F.col("batch") == F.lit(pair[0]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -18,3 +18,10 @@ def new_folder(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return f"{named}/scratch-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The same rows, written once and read from there, so that what uses them several times does not make them anew."""
+    to = new_folder(df.sparkSession)
+    df.write.parquet(to)
+    return df.sparkSession.read.schema(df.schema).parquet(to)

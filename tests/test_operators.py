@@ -273,3 +273,34 @@ def test_large_files_are_not_dealt_again(spark, tmp_path):
         assert not shuffled(spark.read.parquet(path))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_changes_of_all_batches_are_those_of_each_pair(spark):
+    rng = random.Random(11)
+    batches = [3, 5, 6, 9]
+    rows = [(k, b, rng.choice([["a"], ["a", "b"], None])) for k in [None, *map(str, range(40))] for b in [*batches, None] if rng.random() < 0.6]
+    history = spark.createDataFrame(rows, "k string, b int, items array<string>")
+    at_once = cdc.change_history(history, "b", "k", ("items",), batches)
+    apart = cdc.change_log(history.where("b = 3"), "b", "k", ("items",), initial_as_new=True)
+    for pair in zip(batches, batches[1:]):
+        before, now = (history.where(F.col("b") == b) for b in pair)
+        of = cdc.new_rows(now, before, "k").withColumn("change_type", F.lit("NEW"))
+        of = of.unionByName(cdc.removed_rows(before, now, "k").withColumn("change_type", F.lit("REMOVED")))
+        of = of.unionByName(cdc.changed_rows(before, now, "k", ("items",)).withColumn("change_type", F.lit("CHANGED")))
+        one = cdc.changes_between(before, now, before, "k", ("items",), reappear_as_new=True)
+        assert sorted(map(str, one.collect())) == sorted(map(str, of.collect()))
+        apart = apart.unionByName(of.withColumn("b", F.lit(pair[1])))
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, apart.collect()))
+    assert cdc.change_history(history, "b", "k", ("items",), []).count() == 0
+    # One look at each row: no join, however many batches there are.
+    assert "Join" not in at_once._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_graph_takes_few_sorts_and_reads_lines_once(spark):
+    """A task holds a sort's memory for each of its tables: before, twenty and more at once."""
+    from refinery.plans import catalogue
+
+    for name in ("graph_apply", "graph_apply_nodes"):
+        plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan
+        assert plan.count("Join") <= 10, plan.count("Join")
