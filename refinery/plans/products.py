@@ -17,6 +17,7 @@ from refinery.operators import batch, cdc, graph, marts, matching, quality, rout
 from refinery.plans import jobs
 from refinery.plans.catalogue import DEDUP_SQL, GRAPH_SQL, MATCH_SQL, SNAPSHOT_SQL, TOP_SQL, history, line_items, newest_days, ranked_documents, register, table, user_changes, word_dictionary, yearly
 from refinery.sources import files
+from refinery.sources.scratch import staged
 
 # ---- product names: T1 to T6, T8, W4, P7, P9, R1, E6
 
@@ -381,17 +382,14 @@ def last_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_changes(sales: DataFrame) -> DataFrame:
     """The changes from each year to the next, customers that are back as new; the first year's are all new."""
-    years = [r[0] for r in sales.select("batch").distinct().orderBy("batch").collect()]
-    out = cdc.change_log(sales.where(F.col("batch") == years[0]), "batch", "product_id", ("items",), initial_as_new=True)
-    for pair in zip(years, years[1:]):
-        out = out.unionByName(cdc.change_log(sales, "batch", "product_id", ("items",), pair=pair, reappear_as_new=True).withColumn("batch", F.lit(pair[1])))
-    return out
+    years = [r[0] for r in sales.where("batch is not null").select("batch").distinct().orderBy("batch").collect()]
+    return cdc.change_history(sales, "batch", "product_id", ("items",), years)
 
 
 @register(f"with {GRAPH_SQL} select product_id, target from now")
 def graph_of_all_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of all years at once, with customers that go and come back, over an empty graph."""
-    sales = yearly(spark, sf_dir)
+    sales = staged(yearly(spark, sf_dir))
     lookup = table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_brand").alias("target")).distinct()
     nodes, edges = sales.select("product_id").limit(0), sales.select("product_id", F.lit("").alias("target")).limit(0)
     return graph.apply(nodes, edges, all_changes(sales), lookup, "product_id", "batch", [], "items")[1]

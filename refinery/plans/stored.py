@@ -14,7 +14,7 @@ from refinery.plans import jobs
 from refinery.plans.catalogue import DICT_SQL, GRAPH_SQL, SNAPSHOT_SQL, event_files, history, newest_days, register, table, yearly
 from refinery.plans.products import all_changes
 from refinery.sources import files
-from refinery.sources.scratch import new_folder
+from refinery.sources.scratch import new_folder, staged
 from refinery.sources.sinks import BatchStore, export_csv, export_graph_csv
 from refinery.streaming import changes as streaming
 from refinery.streaming import runs
@@ -153,7 +153,7 @@ def stream_newest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"with {GRAPH_SQL} select product_id::varchar as product_id, target from now")
 def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1, G3 to G9: the log of all years in a stream, applied once to the graph's store. The last batch is given twice."""
-    log = all_changes(yearly(spark, sf_dir)).select(F.col("product_id").cast("string").alias("product_id"), "change_type", F.col("items").alias("product_ingredients"), F.make_date("batch", F.lit(1), F.lit(1)).cast("timestamp").alias("batch_date"), F.col("batch").cast("string").alias("batch_job"))
+    log = all_changes(staged(yearly(spark, sf_dir))).select(F.col("product_id").cast("string").alias("product_id"), "change_type", F.col("items").alias("product_ingredients"), F.make_date("batch", F.lit(1), F.lit(1)).cast("timestamp").alias("batch_date"), F.col("batch").cast("string").alias("batch_job"))
     metadata = table(spark, sf_dir, "part").select(F.col("p_brand").alias("kor_name"), F.col("p_brand").alias("inci_name")).distinct()
     to = new_folder(spark)
     schemas.conform(log, schemas.CHANGE_LOG).write.parquet(f"{to}/log")
