@@ -17,10 +17,13 @@ LEGEND = (
 ILN_TAG = r"(?Ud)(?i)[<\[]?ILN\d+[>\]]?"
 MARKED_BRACKET = r"\([^)]*[*※+][^)]*\)"
 MARKER = r"[*※+]"
+#: A run of letters is tried from its first one left (its start, or where the last header ended): what matches from within it matches from there.
 SECTION_HEADER = (
-    r"(?Ud)(?:<[^>]+>|■\s*[^:■]+:\s*|[가-힣a-zA-Z0-9]+\s*-\s*\[전성분|\[(?![Ii][Ll][Nn])[^\]]+\]|(?:^|\s)\d{1,2}\)\s*[가-힣a-zA-Z]+"
-    r"|[가-힣a-zA-Z0-9\s]+(?:볼|앰플|세럼|크림|토너|로션)\s*[):]\s*(?=[가-힣]))"
+    r"(?Ud)(?:<[^>]+>|■\s*[^:■]+:\s*|(?:\G|(?<![가-힣a-zA-Z0-9]))[가-힣a-zA-Z0-9]+\s*-\s*\[전성분|\[(?![Ii][Ll][Nn])[^\]]+\]|(?:^|\s)\d{1,2}\)\s*[가-힣a-zA-Z]+"
+    r"|(?:\G|(?<![가-힣a-zA-Z0-9\s]))[가-힣a-zA-Z0-9\s]+(?:볼|앰플|세럼|크림|토너|로션)\s*[):]\s*(?=[가-힣]))"
 )
+#: Each header has one of these.
+HEADER_SIGN = r"[<■\[):]"
 MAIN_ITEM = r"\[본품\]"
 OPTION_BUNDLE = r"(?Ud)\d+\s*[종가지]\s*(?:(?:택|중|중\s*\d+)\s*(?:1|일|택|선택))?|\b(?:택|선택)\s*\d+\b"
 CONCENTRATION_BRACKET = (
@@ -169,7 +172,8 @@ def drop_notices(c: Column) -> Column:
 
 def header_count(c: Column, pattern: str = SECTION_HEADER) -> Column:
     """T12's count."""
-    return F.regexp_count(c, F.lit(pattern))
+    found = F.regexp_count(c, F.lit(pattern))
+    return F.when(~c.rlike(HEADER_SIGN), 0).otherwise(found) if pattern == SECTION_HEADER else found
 
 
 def main_item_count(c: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from refinery import schemas
 from refinery.functions import text as X
 from refinery.operators import batch, cdc, graph, marts, matching, quality, routing, rules
+from refinery.operators.partitioning import dealt
 from refinery.plans import jobs
 from refinery.plans.catalogue import DEDUP_SQL, GRAPH_SQL, MATCH_SQL, SNAPSHOT_SQL, TOP_SQL, history, line_items, newest_days, ranked_documents, register, table, user_changes, word_dictionary, yearly
 from refinery.sources import files
@@ -130,7 +131,8 @@ def ingredient_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(product_id, text)."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    rows = line.join(part, "l_partkey").groupBy(F.col("l_orderkey").alias("product_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "p_name"))).alias("x"))
+    # The patterns run in the tasks that gather the lists.
+    rows = dealt(line.join(part, "l_partkey").drop("l_partkey"), "l_orderkey").groupBy(F.col("l_orderkey").alias("product_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "p_name"))).alias("x"))
     items, n = F.array_join(F.col("x")["p_name"], ", "), F.size("x")
     count = n.cast("string")
     forms = [

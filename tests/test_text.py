@@ -1,3 +1,5 @@
+import random
+import time
 import uuid
 
 import pytest
@@ -114,3 +116,23 @@ def test_schemas(spark):
     nested = spark.sql("select map('a', map('x', cast(null as string)), 'b', null) as m, cast(null as map<string, map<string, string>>) as n")
     row = nested.select(schemas.stats(F.col("m")).alias("m"), schemas.stats(F.col("n")).alias("n")).first()
     assert row["m"] == {"a": {"x": ""}, "b": {}} and row["n"] is None
+
+
+def test_headers_of_long_runs_and_as_before(spark):
+    # The pattern without its anchors.
+    plain = X.SECTION_HEADER.replace(r"(?:\G|(?<![가-힣a-zA-Z0-9]))", "").replace(r"(?:\G|(?<![가-힣a-zA-Z0-9\s]))", "")
+    assert r"\G" not in plain
+    rng = random.Random(3)
+    parts = ["<", ">", "■", ":", " ", "-", "[전성분", "]", "[", "1", "12)", "크림", "볼", "가", "a", "세럼", ")", ",", "ILN", "\n", " "]
+    texts = [None, "", *("".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(20_000))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    count = F.regexp_count("t", F.lit(plain))
+    strip = F.when(count == 1, F.regexp_replace("t", plain, "")).otherwise(F.col("t"))
+    same = X.header_count(F.col("t")).eqNullSafe(count) & X.strip_header(F.col("t")).eqNullSafe(strip)
+    assert rows.where(~same).take(3) == []
+    assert rows.where(count > 1).count() > 1000
+    # Before, each letter of a run was a start of its own.
+    began = time.time()
+    long = spark.range(1).select(F.concat(F.repeat(F.lit("가나a "), 50_000), F.lit(":")).alias("t"))
+    assert long.select(X.header_count(F.col("t"))).first()[0] == 0
+    assert time.time() - began < 20
