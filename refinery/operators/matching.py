@@ -86,19 +86,23 @@ def text_key(c: Column) -> list[Column]:
 def leftmost(found: DataFrame) -> DataFrame:
     """M4's choice: (h, g, taken) with the hits that are taken from the left, in order, as (at, until, standard).
 
-    A text's hits are in one row, in order; which are taken is told by one look at each. Only their places leave the JVM.
+    A text's hits are in one row, in order; which are taken is told by one look at each. Only places of texts with hits that overlap leave the JVM.
     """
     rows = found.groupBy("h", "g").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n")).alias("until"), "standard"))).alias("_hits"))
-    taken = F.pandas_udf(free_places, "array<int>")(F.col("_hits")["at"], F.col("_hits")["until"])
-    return rows.select("h", "g", F.transform(taken, lambda i: F.get("_hits", i)).alias("taken"))
+    at, until = F.col("_hits")["at"], F.col("_hits")["until"]
+    overlap = F.exists(F.zip_with(F.slice(at, 2, F.size("_hits")), F.slice(until, 1, F.size("_hits") - 1), lambda a, u: a < u), lambda x: x)
+    rows = rows.withColumn("_overlap", overlap)
+    none = F.lit(None).cast("array<int>")
+    taken = F.pandas_udf(free_places, "array<int>")(F.when(F.col("_overlap"), at).otherwise(none), F.when(F.col("_overlap"), until).otherwise(none))
+    return rows.select("h", "g", F.when(F.col("_overlap"), F.transform(taken, lambda i: F.get("_hits", i))).otherwise(F.col("_hits")).alias("taken"))
 
 
 def free_places(starts: pd.Series, ends: pd.Series) -> pd.Series:
-    """Numbers of the intervals that are taken from the left: each that starts where the last one taken has ended, or later. Linear in their number."""
+    """Numbers of the intervals that are taken from the left: each that starts where the last one taken has ended, or later; null for null. Linear in their number."""
     out = []
     for at, until in zip(starts, ends):
-        if (at[1:] >= until[:-1]).all():
-            out.append(np.arange(len(at), dtype=np.int32))
+        if at is None:
+            out.append(None)
             continue
         taken, free = [], 0
         for n, (a, b) in enumerate(zip(at.tolist(), until.tolist())):
@@ -116,15 +120,25 @@ def match(docs: DataFrame, dictionary: DataFrame, text_col: str) -> DataFrame:
     joined = docs.withColumns({"_hh": h, "_gg": g}).join(per, (F.col("_hh") == F.col("_h")) & (F.col("_gg") == F.col("_g")), "left")
     none = F.expr("cast(array() as array<struct<at: int, until: int, standard: string>>)")
     joined = joined.withColumn("_taken", F.coalesce("_taken", none))
-    at, until = F.col("_taken")["at"], F.col("_taken")["until"]
     t = F.coalesce(F.col(text_col), F.lit(""))
-    residual = F.when(F.size("_taken") == 0, t).otherwise(F.pandas_udf(without, "string")(t, at, until))
+    residual = F.when(F.size("_taken") == 0, t).otherwise(without(t, F.col("_taken")["at"], F.col("_taken")["until"]))
     return joined.select(*docs.columns, F.col("_taken")["standard"].alias("matches"), residual.alias("residual"))
 
 
-def without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    """M5: each text without the characters from each start to before its end (from 1, in order). Column functions would copy the whole text for every gap."""
-    return pd.Series(["".join(t[a - 1 : b - 1] for a, b in zip([1, *until], [*at, len(t) + 1])) for t, at, until in zip(texts, starts, ends)], dtype=object)
+#: The mark that UTF-32 begins with; what follows is read as it stands.
+BYTE_ORDER = "0000FEFF"
+
+
+def without(text: Column, starts: Column, ends: Column) -> Column:
+    """M5: the text without the characters from each start to before its end (from 1, in order). Of the text in four bytes for each character every piece is taken without reading the others; no text leaves the JVM."""
+
+    def rest(w: Column) -> Column:
+        begins, stops = F.concat(F.array(F.lit(1)), ends), F.concat(starts, F.array((F.octet_length(w) / 4).cast("int") + 1))
+        piece = lambda a, b: F.decode(F.concat(F.unhex(F.lit(BYTE_ORDER)), F.substring(w, a * 4 - 3, (b - a) * 4)), "UTF-32")
+        return F.array_join(F.zip_with(begins, stops, piece), "")
+
+    # As an element the wide text is made once, not for each piece.
+    return F.get(F.transform(F.array(wide(text)), rest), F.lit(0))
 
 
 def match_small(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:

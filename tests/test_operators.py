@@ -304,3 +304,14 @@ def test_graph_takes_few_sorts_and_reads_lines_once(spark):
         plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "l_partkey" not in plan
         assert plan.count("Join") <= 10, plan.count("Join")
+
+
+def test_residual_keeps_every_character(spark):
+    """Marks of byte order, characters beyond two bytes and null characters stay as they are, at the start of a piece too; texts stay in the JVM."""
+    texts = ["﻿ab﻿x😀ab😀", "ab￾\u0000ab", "ababab", "﻿", "xabcab가" * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    keys = ["ab", "abc", "bca"]
+    found = matching.match(docs, spark.createDataFrame([(k, k) for k in keys], "key string, standard string"), "t")
+    assert {r["id"]: (r["matches"], r["residual"]) for r in found.collect()} == {n: naive(t, keys) for n, t in enumerate(texts)}
+    plan = found.select("residual")._jdf.queryExecution().optimizedPlan().toString()
+    assert "without(" not in plan and plan.count("ArrowEvalPython") == 1
