@@ -216,7 +216,7 @@ def both_and_neither(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"{ENDS_SQL} select doc_id, list_transform(list_distinct(m), lambda x: upper(x)).list_sort() as names, null::varchar as error_type from ends where hit union all select doc_id, null, 'UNMAPPED_RESIDUAL' from ends where rest")
 def silver_and_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with matches, and, of the same rows or others, what is left over."""
-    ok, bad = routing.after_match(matched(spark, sf_dir))
+    ok, bad = routing.after_match(staged(matched(spark, sf_dir)))
     silver = ok.select("doc_id", F.sort_array(matching.ordered_distinct(F.col("matches"))).alias("names"), F.lit(None).cast("string").alias("error_type"))
     return silver.unionByName(bad.select("doc_id", F.lit(None).cast("array<string>").alias("names"), "error_type"))
 

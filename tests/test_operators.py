@@ -315,3 +315,10 @@ def test_residual_keeps_every_character(spark):
     assert {r["id"]: (r["matches"], r["residual"]) for r in found.collect()} == {n: naive(t, keys) for n, t in enumerate(texts)}
     plan = found.select("residual")._jdf.queryExecution().optimizedPlan().toString()
     assert "without(" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_matches_of_silver_and_errors_are_found_once(spark):
+    from refinery.plans import products
+
+    plan = products.silver_and_errors(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "ArrowEvalPython" not in plan
