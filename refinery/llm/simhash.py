@@ -9,6 +9,7 @@ programming over estimated candidate counts, probes the index of exact group val
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -406,8 +407,14 @@ def _may(pairs: DataFrame) -> DataFrame:
     return pairs.where(may).select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"))
 
 
-def _by_prefix(texts: DataFrame, apart: DataFrame, words: int) -> DataFrame:
-    """(a, b): pairs of different components, among them all at similarity 0.8 or more; texts (node, text) and apart (node, component, n, parity) have a row for each set.
+def _may_of(pairs: DataFrame, apart: DataFrame) -> DataFrame:
+    """``_may`` of pairs (node_x, node_y) of sets in apart (node, component, n, parity)."""
+    a, b = (apart.select(F.col("node").alias(f"node_{side}"), F.struct("node", "component", "n", "parity").alias(side)) for side in "xy")
+    return _may(stage(pairs).join(a, "node_x").join(b, "node_y"))
+
+
+def _prefixes(texts: DataFrame, apart: DataFrame, words: int) -> DataFrame:
+    """(band, node, component, n, place): each set's rarest shingles, as far as a similar set may share one first; texts (node, text) and apart (node, component, n, parity) have a row for each set.
 
     With its shingles in one order, rarest first, a set of n has one in common with any similar set
     that is no smaller among its first n / 9, and with any that is no larger among its first n / 5; at
@@ -441,13 +448,40 @@ def _by_prefix(texts: DataFrame, apart: DataFrame, words: int) -> DataFrame:
                 yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), of), "n": np.repeat(sizes, of), "place": places, "band": np.concatenate(lead).view(np.int64)})
 
     filed = stage(texts.select("node", "text").mapInPandas(first, "node binary, n int, place int, band long").join(apart.select("node", "component"), "node"))
-    filed = stage(_parted(filed))
+    return stage(_parted(filed).select("band", "node", "component", "n", "place"))
+
+
+def _to_plainest(filed: DataFrame, apart: DataFrame) -> DataFrame:
+    """(a, b): each set with that set of its band in filed (see ``_prefixes``) in which the band's shingle comes first, where they are in different components and may be similar.
+
+    A shingle comes early where few rarer ones stand before it, so of a template's near copies this is the
+    one with the least of its own, which is similar to more of them than any other: rows, not pairs.
+    """
+    plain = filed.groupBy("band").agg(F.min(F.struct("place", F.xxhash64("node"), "node")).alias("_least")).select("band", F.col("_least.node").alias("node_y"))
+    pairs = filed.select("band", F.col("node").alias("node_x")).join(plain, "band").where("node_x <> node_y").select("node_x", "node_y").distinct()
+    return _may_of(pairs, apart)
+
+
+def _by_prefix(texts: DataFrame, apart: DataFrame, words: int, confirmed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(a, b): pairs of different components, among them all at similarity 0.8 or more; texts (node, text) and apart (node, component, n, parity) have a row for each set.
+
+    ``confirmed`` gives those of some pairs that are similar. With it, each set meets the plainest one of
+    its bands first, and pairs of components that these links join are not looked at: the links stand for them.
+    """
+    filed, drawn = _prefixes(texts, apart, words), None
+    if confirmed is not None:
+        drawn = confirmed(_to_plainest(filed, apart))
+        of = [apart.select(F.col("node").alias(side), F.col("component").alias(f"_{side}")) for side in "ab"]
+        links = drawn.join(of[0], "a").join(of[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        now = stage(components(links)).select(F.col("node").alias("component"), F.col("component").alias("_now"))
+        apart, filed = (t.join(now, "component", "left").withColumn("component", F.coalesce("_now", "component")).drop("_now") for t in (apart, filed))
+        apart, filed = stage(apart), stage(_parted(filed))
     x, y = (filed.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")]) for side in "xy")
     no_larger = "9 * place_x <= n_x and (n_x < n_y or n_x = n_y and node_x < node_y) and 5 * n_x >= 4 * n_y"
     enough = "9 * least(n_x - place_x, n_y - place_y) >= 4 * (n_x + n_y)"
     pairs = x.join(y, (x["band"] == y["band"]) & F.expr(f"component_x <> component_y and {no_larger} and {enough}")).select("node_x", "node_y").distinct()
-    a, b = (apart.select(F.col("node").alias(f"node_{side}"), F.struct("node", "component", "n", "parity").alias(side)) for side in "xy")
-    return _may(stage(pairs).join(a, "node_x").join(b, "node_y"))
+    found = _may_of(pairs, apart)
+    return found if drawn is None else found.unionByName(drawn)
 
 
 def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame:
@@ -459,7 +493,8 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     pair at 0.8 shares none with probability (1 - 0.8 ** 3) ** 24, 3 in 10 ** 8, one of more similarity
     with less. Of these, pairs whose sizes or parities forbid 0.8 are left out, the others confirmed.
     Where a band holds more than DENSE sets that are still apart (texts of one template, say), its sets
-    are searched by prefixes, which miss none and do not meet pair by pair.
+    are searched by prefixes, which miss none. There, too, each first meets one, that with the least of
+    its own, and only those still apart meet pair by pair.
     """
     of = stage(_sets(docs, words).dropDuplicates(["key"]))
     nodes = stage(of.groupBy("node").agg(F.min("key").alias("key"), F.any_value(F.struct("fp", "n", "parity", "bands")).alias("x")).select("node", "key", "x.*"))
@@ -499,7 +534,9 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     few = stage(few.join(few.groupBy("band").agg(F.count("*").alias("sets")), "band"))
     x, y = (few.where(F.col("sets") <= DENSE).select("band", F.struct("node", "component", "n", "parity").alias(c)) for c in "xy")
     dense = stage(few.where(F.col("sets") > DENSE).select("node", "component", "n", "parity").dropDuplicates(["node"]))
-    rest = _may(x.join(y, "band").where("x.node < y.node")).unionByName(_by_prefix(texts(dense.select("node")), dense, words))
+    rest = _may(x.join(y, "band").where("x.node < y.node"))
+    if not dense.isEmpty():
+        rest = rest.unionByName(_by_prefix(texts(dense.select("node")), dense, words, confirmed))
     rest = confirmed(rest)
     final = components(first.unionByName(rest))
     return of.select("key", "node").join(final, "node", "left").select("key", F.coalesce("component", "node").alias("class"))

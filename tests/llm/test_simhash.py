@@ -214,3 +214,32 @@ def test_prefixes_find_all_similar_sets_and_no_pairs_of_a_template(spark):
 def test_prefixes_of_no_sets(spark):
     none = spark.createDataFrame([], "node binary, text string, component binary, n int, parity array<long>")
     assert simhash._by_prefix(none.select("node", "text"), none.drop("text"), 5).count() == 0
+
+
+def test_near_copies_of_a_template_meet_its_plainest_first(spark, tmp_path):
+    # Each has one to five changed words of 150: some are similar to the one without a change, few to each other.
+    rng = random.Random(4)
+    template = [f"t{i}" for i in range(150)]
+    texts = [" ".join(template)]
+    for k in range(400):
+        w = list(template)
+        for j, at in enumerate(rng.sample(range(5, 145), 1 + k % 5)):
+            w[at] = f"own{k}x{j}"
+        texts.append(" ".join(w))
+    root, links = similar_groups(texts)
+    rows = []
+    for i, t in enumerate(texts):
+        s = np.unique(simhash._hashes(t, 5))
+        cells = np.bincount((s >> np.uint64(20) & np.uint64(511)).astype(int), minlength=512) & 1
+        node = i.to_bytes(16, "big")
+        rows.append((node, t, node, len(s), np.packbits(cells.astype(np.uint8)).view("<i8").tolist()))
+    df = spark.createDataFrame(rows, "node binary, text string, component binary, n int, parity array<long>")
+    df.write.parquet(f"{tmp_path}/sets")
+    df = spark.read.parquet(f"{tmp_path}/sets")
+    texts_of, apart = df.select("node", "text"), df.drop("text")
+    similar = lambda pairs: simhash.stage(simhash._similar(simhash.stage(pairs.distinct()), texts_of, 5))
+    every = simhash._by_prefix(texts_of, apart, 5).count()
+    looked_at = simhash._by_prefix(texts_of, apart, 5, similar)
+    found = [(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in similar(looked_at).collect()]
+    assert groups(len(texts), found) == root and len(set(root)) > 80
+    assert every > 10 * len(texts) and looked_at.count() < 2 * len(texts)
