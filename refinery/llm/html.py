@@ -37,6 +37,8 @@ from refinery.operators.partitioning import spread
 #: A string repeats on so many pages of a host; a template's inside articles on so many at least.
 LENGTH, PAGES, TEMPLATE = 6, 3, 8
 HTML_IN_CELL = 8 << 20
+#: Rows of a table that is broadcast to the pages; one of more is joined by shuffling.
+MOST_BROUGHT = 500_000
 
 # Elements that break blocks, that never hold text, and words that mark what is not the article.
 BLOCK = frozenset(
@@ -472,6 +474,8 @@ def extract(pages: DataFrame) -> DataFrame:
     # Large hosts; and pages whose copies fill a cell: one copy counts, the others are dealt to all of the host's cells.
     large = sized.where("cells > 1").select(F.col("host").alias("_host"), "in_host", "cells")
     copied = each.where(F.col("size") > HTML_IN_CELL // 4).where("n > 1").select(F.col("host").alias("_of"), F.col("key").alias("_key"), F.col("first.page_id").alias("_id"), F.col("first.url").alias("_url"))
+    # One row for some megabytes of html each: known to be few, so that pages are not shuffled to meet them.
+    large, copied = (F.broadcast(t) if t.count() <= MOST_BROUGHT else t for t in (stage(large), stage(copied)))
     rows = spread(rows).join(large, F.col("host") == F.col("_host"), "left").join(copied, (F.col("host") == F.col("_of")) & (F.col("key") == F.col("_key")), "left")
     counted = F.col("_of").isNull() | (F.col("page_id").eqNullSafe(F.col("_id")) & F.col("url").eqNullSafe(F.col("_url")))
     by = F.when(counted, F.col("key")).otherwise(F.xxhash64("page_id", "url"))

@@ -3,7 +3,8 @@
 Suffixes are classified (S: smaller than the next, L: larger), the leftmost-smaller ones are sorted
 by their substrings and, where these repeat, recursively; the others follow by two passes over the
 buckets of first symbols. A pass moves many buckets at once, as long as none of them feeds another;
-a run of one symbol, which feeds its own bucket, is moved as a whole.
+a run of one symbol, which feeds its own bucket, is moved as a whole. Where buckets are small, few of them
+can be moved at once, and texts of up to ONE_BY_ONE symbols are passed over suffix by suffix.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ import numpy as np
 
 #: Positions moved at once at most, unless one bucket has more; symbols compared at once.
 MOST_AT_ONCE, CELLS = 1 << 15, 1 << 18
+#: Symbols of a text whose suffixes may be moved one by one, which is faster where a bucket has no more of them than SMALL on average.
+ONE_BY_ONE, SMALL = 1 << 20, 512
 
 
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -112,10 +115,38 @@ def _pass(t: np.ndarray, begin: np.ndarray, run: np.ndarray, first: np.ndarray,
     return filed
 
 
+def _one_by_one(t: np.ndarray, begin: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """As ``_induce``: larger suffixes go to the front of their buckets, then smaller ones to the back, as their successors are met."""
+    n = len(t)
+    symbols, smaller = t.tolist(), _types(t).tobytes()
+    of = np.full(n, -1, np.int64)
+    # The given suffixes stand at the ends of their buckets.
+    last = np.searchsorted(t[lms], t[lms], side="right")
+    of[begin[t[lms].astype(np.int64) + 1] - last + np.arange(len(lms))] = lms
+    found, front, back = of.tolist(), begin[:-1].tolist(), begin[1:].tolist()
+    found[front[symbols[-1]]] = n - 1
+    front[symbols[-1]] += 1
+    for i in range(n):
+        at = found[i] - 1
+        if at >= 0 and not smaller[at]:
+            sym = symbols[at]
+            found[front[sym]] = at
+            front[sym] += 1
+    for i in range(n - 1, -1, -1):
+        at = found[i] - 1
+        if at >= 0 and smaller[at]:
+            sym = symbols[at]
+            back[sym] -= 1
+            found[back[sym]] = at
+    return np.array(found, np.int64)
+
+
 def _induce(t: np.ndarray, k: int, lms: np.ndarray) -> np.ndarray:
     """The suffixes of t in order, from its leftmost-smaller suffixes, given by symbol and in order within a symbol."""
     n = len(t)
     begin = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=k))])
+    if n <= min(ONE_BY_ONE, SMALL * k):
+        return _one_by_one(t, begin, lms)
     run = _run_before(t)
     symbols = np.arange(k + 1)
     large = _pass(t, begin, run, np.array([n - 1]), lms, np.searchsorted(t[lms], symbols))

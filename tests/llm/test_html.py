@@ -184,3 +184,18 @@ def test_extract(spark):
     want += [(7, article, len(article))] * 2 + [(-1, "", 0), (8, "", 0)]
     assert got == sorted(want)
     assert html.extract(df.select("page_id", "url", "html").limit(0)).count() == 0
+
+
+def test_pages_are_not_shuffled_to_meet_few_rows(spark, tmp_path):
+    # Only the packed cells and their counts are shuffled, whatever Spark's own limit for broadcasts says.
+    df = spark.createDataFrame([(i, f"http://h{i % 3}/{i}", f"<article><p>text {i}</p></article>") for i in range(20)], "page_id long, url string, html string")
+    df.repartition(8).write.parquet(f"{tmp_path}/pages")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = html.extract(spark.read.parquet(f"{tmp_path}/pages"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+        assert {r["page_id"]: r["text"] for r in found.collect()} == {i: f"text {i}" for i in range(20)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

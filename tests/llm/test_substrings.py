@@ -173,3 +173,22 @@ def test_long_text_behind_a_short_one():
     behind = substrings.minimizers(buf, np.array([0, 100]), np.array([100, len(buf) - 100]), 50)
     mine = behind[0] == 1
     assert (hash_of(alone, 0) == hash_of(tuple(x[mine] for x in behind), 100)).all()
+
+
+@pytest.mark.parametrize("small", [0, 1 << 30])
+def test_suffixes_moved_one_by_one_or_many_at_once_are_in_order(monkeypatch, small):
+    monkeypatch.setattr(suffix, "SMALL", small)
+    rng = np.random.default_rng(6)
+    for n in (2, 3, 8, 60, 300):
+        for symbols in (1, 2, 3, 40):
+            t = rng.integers(0, symbols, n)
+            t[n // 2 :] = t[: n - n // 2]
+            assert suffix.suffix_array(t).tolist() == sorted(range(n), key=lambda i: t[i:].tolist())
+
+
+def test_small_buckets_take_no_step_of_many_arrays_each(monkeypatch):
+    passes = []
+    monkeypatch.setattr(suffix, "_pass", lambda *a, f=suffix._pass: passes.append(len(a[0])) or f(*a))
+    words = np.random.default_rng(7).integers(0, 5000, 40_000)
+    t = np.concatenate([words, words])
+    assert len(suffix.suffix_array(t)) == len(t) and not passes
