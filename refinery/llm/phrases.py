@@ -21,6 +21,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -38,8 +39,8 @@ SALTS = 64
 ROWS = 20_000
 #: Places of a shard whose phrases are sorted together.
 PLACES = 1 << 19
-#: Languages that are named in a condition, and that are broadcast; more are joined by shuffling.
-FEW, MOST_BROUGHT = 64, 100_000
+#: Languages that are broadcast; more are joined by shuffling.
+MOST_BROUGHT = 100_000
 #: A-Z in lower case, ends of pieces as \n, white space within pieces as a space.
 TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 END, EMPTY = 0, 1
@@ -155,8 +156,8 @@ def _texts(words: np.ndarray, seq: np.ndarray, at: np.ndarray, size: int) -> lis
 
 
 COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("hash", pa.int64()), ("count", pa.int64())])
-REPORTED = pa.schema([("tongue", pa.int64()), ("hash", pa.int64()), ("count", pa.int64()), ("gap", pa.int64())])
-COUNTED_SQL, REPORTED_SQL = "lang string, phrase string, size int, hash long, count long", "tongue long, hash long, count long, gap long"
+REPORTED = pa.schema([("tongue", pa.int64()), ("part", pa.int32()), ("gap", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+COUNTED_SQL, REPORTED_SQL = "lang string, phrase string, size int, hash long, count long", "tongue long, part int, gap long, hashes binary, counts binary"
 
 
 def _counts(lang: str, words: np.ndarray, of_words: np.ndarray, seq: np.ndarray, at: np.ndarray, size: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -167,11 +168,15 @@ def _counts(lang: str, words: np.ndarray, of_words: np.ndarray, seq: np.ndarray,
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTED)], schema=COUNTED)
 
 
-def _reports(tongue: int, h: np.ndarray, counts: np.ndarray, gap: int) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, len(h), ROWS):
-        part, n = h[lo : lo + ROWS].view(np.int64), counts[lo : lo + ROWS].astype(np.int64)
-        columns = [np.full(len(part), tongue), part, n, np.full(len(part), gap)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=REPORTED)
+def _reports(tongue: int, h: np.ndarray, counts: np.ndarray, gap: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """A row for each range of the hashes, with what the shard reports there; that of part -1 names the gap alone."""
+    part = ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    by = np.argsort(part, kind="stable")
+    part, h, n = part[by], h[by].astype("<u8"), np.minimum(counts[by], 1 << 30).astype("<i4")
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.array([], np.int64)
+    ends = np.append(first[1:], len(part))
+    rows = [(tongue, -1, gap, b"", b""), *((tongue, int(part[lo]), gap, h[lo:hi].tobytes(), n[lo:hi].tobytes()) for lo, hi in zip(first.tolist(), ends.tolist()))]
+    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), REPORTED)], schema=REPORTED)
 
 
 def _over_shards(of: Callable[[Shard], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -201,7 +206,7 @@ def _count_words(shard: Shard) -> Iterator[pa.RecordBatch]:
         yield from _counts(lang, words, hashes(words, lang), numbers, ids, 1, counts[ids])
 
 
-def _mine(least: int, shortest: int, longest: int, frequent, pairs=None) -> Callable[[Shard], Iterator[pa.RecordBatch]]:
+def _mine(least: int, shortest: int, longest: int, parts: int, frequent, pairs=None) -> Callable[[Shard], Iterator[pa.RecordBatch]]:
     """What a shard reports: hashes of its phrases of lowered support, from ``shortest`` to ``longest`` words, and the support less one as the gap of all others (count 0)."""
 
     def of(shard: Shard) -> Iterator[pa.RecordBatch]:
@@ -218,10 +223,9 @@ def _mine(least: int, shortest: int, longest: int, frequent, pairs=None) -> Call
                 enough = n >= support  # noqa: B023
                 return enough if size >= shortest else enough & seen(pairs.value, phrase_hashes(of_words, seq, at, size))  # noqa: B023
 
-            yield from _reports(tongue, np.zeros(1, np.uint64), np.zeros(1), support - 1)
-            for size, at, n in levels(seq, len(words), usable, longest, stays):
-                if size >= shortest:
-                    yield from _reports(tongue, phrase_hashes(of_words, seq, at, size), n, support - 1)
+            found = [(phrase_hashes(of_words, seq, at, size), n) for size, at, n in levels(seq, len(words), usable, longest, stays) if size >= shortest]
+            h = np.concatenate([np.array([], np.uint64), *(x for x, _ in found)])
+            yield from _reports(tongue, h, np.concatenate([np.array([], np.int64), *(n for _, n in found)]), support - 1, parts)
 
     return of
 
@@ -252,19 +256,25 @@ def _bits(found: DataFrame) -> np.ndarray:
 
 
 def _likely(mined: DataFrame, least: int) -> DataFrame:
-    """(hash) of the phrases that may have ``least`` occurrences: a shard that does not report one holds it its gap times at most."""
+    """(hash) of the phrases that may have ``least`` occurrences: a shard that does not report one holds it its gap times at most. A task sums up one range of hashes."""
     mined = stage(mined)
-    gaps = mined.where("count = 0").groupBy("tongue").agg(F.sum("gap").alias("gaps")).where("gaps > 0")
-    bound = F.sum("count") - F.sum("gap")
-    summed = mined.where("count > 0").groupBy("tongue", "hash").agg(bound.alias("bound"))
-    known = gaps.limit(FEW + 1).collect()
-    if len(known) <= FEW:
-        # The gaps of a few languages are part of the condition.
-        gap = F.coalesce(*[F.when(F.col("tongue") == r["tongue"], F.lit(r["gaps"])) for r in known], F.lit(0))
-        return summed.where(F.col("bound") + gap >= least).select("hash")
+    gaps = stage(mined.where("part < 0").groupBy("tongue").agg(F.sum("gap").alias("gaps")).where("gaps > 0"))
     if gaps.count() <= MOST_BROUGHT:
         gaps = F.broadcast(gaps)
-    return summed.join(gaps, "tongue", "left").where(F.col("bound") + F.coalesce("gaps", F.lit(0)) >= least).select("hash")
+    known = mined.where("part >= 0").join(gaps, "tongue", "left").withColumn("gaps", F.coalesce("gaps", F.lit(0)))
+
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        h = [np.frombuffer(x, "<u8") for x in rows["hashes"]]
+        size = [len(x) for x in h]
+        over = np.concatenate([np.frombuffer(x, "<i4").astype(np.int64) - gap for x, gap in zip(rows["counts"], rows["gap"])])
+        h, gaps = np.concatenate(h), np.repeat(rows["gaps"].to_numpy(), size)
+        by = np.argsort(h)
+        h, over, gaps = h[by], over[by], gaps[by]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        good = first[np.add.reduceat(over, first) + gaps[first] >= least]
+        return pd.DataFrame({"hash": h[good].view(np.int64)})
+
+    return known.select("part", "gap", "gaps", "hashes", "counts").groupBy("part").applyInPandas(total, "hash long")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -282,10 +292,10 @@ def counted(docs: DataFrame, words: DataFrame, totals: DataFrame, least: int, lo
     # Larger shards have a higher support; there are two for each core at least.
     shards = max(2 * context.defaultParallelism, -(-int(size) // SHARD_BYTES))
     texts = docs.join(totals.select("lang", F.col("n").alias("total")), "lang").select("lang", "text", "total").coalesce(shards)
-    bits = _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 2, 2, frequent)), REPORTED_SQL), least))
+    bits = _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 2, 2, shards, frequent)), REPORTED_SQL), least))
     if longest > 2:
         pairs = context.broadcast(bits)
-        bits = bits | _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 3, longest, frequent, pairs)), REPORTED_SQL), least))
+        bits = bits | _bits(_likely(texts.mapInArrow(_over_shards(_mine(least, 3, longest, shards, frequent, pairs)), REPORTED_SQL), least))
     candidates = context.broadcast(bits)
     found = texts.mapInArrow(_over_shards(_count(longest, frequent, candidates)), COUNTED_SQL)
     return stage(found.groupBy("lang", "phrase", "size").agg(F.sum("count").alias("a")).where(F.col("a") >= least))

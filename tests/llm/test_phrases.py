@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import LONG, documents
 
@@ -108,3 +109,22 @@ def test_query_equals_plain(spark):
     rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     want = plain(rows, 30)
     assert sorted(map(tuple, queries.op13_collocations(spark, sf).collect())) == want and len(want) > 10
+
+
+def test_a_shard_reports_a_row_for_each_range_and_no_count_is_lost(spark):
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
+    batches, bound = [], {}
+    # Two languages; the second is in one of three shards only.
+    for tongue, gap, of in ((5, 1, pool[:300]), (5, 2, pool[:300]), (7, 0, pool[300:]), (5, 0, pool[:300])):
+        h = rng.choice(of, 150, replace=False)
+        n = rng.integers(gap + 1, 12, 150)
+        found = list(phrases._reports(tongue, h, n, gap, 4))
+        assert sum(b.num_rows for b in found) <= 5
+        batches += found
+        for x, k in zip(h.view(np.int64).tolist(), n.tolist()):
+            bound[tongue, x] = bound.get((tongue, x), 0) + k - gap
+    batches += phrases._reports(9, np.array([], np.uint64), np.array([], np.int64), 29, 4)
+    mined = spark.createDataFrame(pa.Table.from_batches(batches))
+    got = sorted(r["hash"] for r in phrases._likely(mined, 12).collect())
+    assert 20 < len(got) < 400 and got == sorted(h for (tongue, h), b in bound.items() if b + {5: 3, 7: 0}[tongue] >= 12)
