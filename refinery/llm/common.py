@@ -34,13 +34,22 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Spark's setting by which a job's shuffle files go when it ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Staged:
-    """A table written to the shared folder: later reads start there, and a lost executor costs no more than a reread."""
+    """A table written to the shared folder: later reads start there, and a lost executor costs no more than a reread. What was shuffled for it is deleted, as nothing reads that again."""
 
     def __init__(self, df: DataFrame) -> None:
         self.spark = df.sparkSession
         self.path = f"{shared_folder(self.spark)}/stage-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        kept = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(self.path)
+        finally:
+            self.spark.conf.set(CLEANUP, kept)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
@@ -57,32 +66,37 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a round's least neighbours that are broadcast to the links; beyond that they are joined by shuffles.
+MOST_LEAST = 100_000
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the undirected graph edges(a, b): component is the smallest node reachable.
+    """(node, component) of the undirected graph edges(a, b), staged: component is the smallest node reachable.
 
     Alternating large-star and small-star steps; each round is written to the shared folder, so
-    lineage stays short. Rounds grow with the logarithm of the longest path. Each step groups with
+    lineage stays short. Rounds grow with the logarithm of the longest path and end as soon as all
+    links are stars around their least nodes, which the least neighbours tell. Each step groups with
     partial sums and joins on the node, so a node with very many links is split by the skew join.
     Loops and nulls are ignored; nodes without links are not returned.
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now, mark = Staged(e), None
+    now = Staged(e)
     while True:
-        e = now.df
-        n, total = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if n == 0 or (n, total) == mark:
-            break
-        mark = (n, total)
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        down = now.df.select("u", "v", F.lit(1).alias("down"))
+        both = down.unionByName(now.df.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(0).alias("down")))
+        of = both.groupBy("u").agg(F.min("v").alias("m"), F.sum("down").alias("below"), F.count("*").alias("links"))
+        least = Staged(of.select("u", F.least("u", "m").alias("m"), (F.col("below") > 0).alias("leaf"), "links"))
+        nodes, tangled = least.df.agg(F.count("*"), F.count_if(F.col("leaf") & (F.col("links") > 1))).first()
+        if not tangled:
+            now.drop()
+            return least.df.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        few = F.broadcast if nodes <= MOST_LEAST else lambda t: t
+        # Each link goes on once, from its upper end, so there is nothing to make distinct.
+        large = both.select("u", "v").join(few(least.df.select("u", "m")), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        both_ends = F.explode(F.array(F.col("u"), F.col("v"))).alias("u")
+        small = large.join(few(low), "u").select(both_ends, "m").where("u <> m").select("u", F.col("m").alias("v")).distinct()
         after = Staged(small)
         now.drop()
+        least.drop()
         now = after
-    stars = now.df
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )

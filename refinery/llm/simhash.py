@@ -462,6 +462,23 @@ def _to_plainest(filed: DataFrame, apart: DataFrame) -> DataFrame:
     return _may_of(pairs, apart)
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(component, _now), to be broadcast where it is small: what labels (node, component, ...), a row for each node, become by links (a, b) of nodes.
+
+    Only components that a link joins are in it, so a round over them is small however large they are.
+    """
+    of = [labels.select(F.col("node").alias(side), F.col("component").alias(f"_{side}")) for side in "ab"]
+    brought = F.broadcast if links.count() <= MOST_BROUGHT else lambda t: t
+    left = brought(links).join(of[0], "a").select("b", "_a")
+    joined = components(brought(left).join(of[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    return _brought(joined.select(F.col("node").alias("component"), F.col("component").alias("_now")))
+
+
+def _renamed(rows: DataFrame, now: DataFrame) -> DataFrame:
+    """rows (component, ...) by the components of ``_merged``."""
+    return rows.join(now, "component", "left").withColumn("component", F.coalesce("_now", "component")).drop("_now")
+
+
 def _by_prefix(texts: DataFrame, apart: DataFrame, words: int, confirmed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(a, b): pairs of different components, among them all at similarity 0.8 or more; texts (node, text) and apart (node, component, n, parity) have a row for each set.
 
@@ -471,11 +488,8 @@ def _by_prefix(texts: DataFrame, apart: DataFrame, words: int, confirmed: Callab
     filed, drawn = _prefixes(texts, apart, words), None
     if confirmed is not None:
         drawn = confirmed(_to_plainest(filed, apart))
-        of = [apart.select(F.col("node").alias(side), F.col("component").alias(f"_{side}")) for side in "ab"]
-        links = drawn.join(of[0], "a").join(of[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-        now = stage(components(links)).select(F.col("node").alias("component"), F.col("component").alias("_now"))
-        apart, filed = (t.join(now, "component", "left").withColumn("component", F.coalesce("_now", "component")).drop("_now") for t in (apart, filed))
-        apart, filed = stage(apart), stage(_parted(filed))
+        now = _merged(apart, drawn)
+        apart, filed = stage(_renamed(apart, now)), stage(_parted(_renamed(filed, now)))
     x, y = (filed.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")]) for side in "xy")
     no_larger = "9 * place_x <= n_x and (n_x < n_y or n_x = n_y and node_x < node_y) and 5 * n_x >= 4 * n_y"
     enough = "9 * least(n_x - place_x, n_y - place_y) >= 4 * (n_x + n_y)"
@@ -500,14 +514,19 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     nodes = stage(of.groupBy("node").agg(F.min("key").alias("key"), F.any_value(F.struct("fp", "n", "parity", "bands")).alias("x")).select("node", "key", "x.*"))
     text_of = docs.select(_key().alias("key"), "text")
 
-    def texts(named: DataFrame) -> DataFrame:
-        wanted = _brought(stage(nodes.select("node", "key").join(named, "node")))
-        return stage(text_of.join(wanted, "key").dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")))
+    def texts(named: DataFrame) -> Staged:
+        wanted = Staged(nodes.select("node", "key").join(named, "node"))
+        found = Staged(text_of.join(_brought(wanted.df), "key").dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")))
+        wanted.drop()
+        return found
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs.distinct())
-        named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        return stage(_similar(pairs, texts(named), words))
+        pairs = Staged(pairs.distinct())
+        named = texts(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        similar = stage(_similar(pairs.df, named.df, words))
+        pairs.drop()
+        named.drop()
+        return similar
 
     # Sets of one fingerprint are candidates with the least of them.
     rep = nodes.groupBy("fp").agg(F.min("node").alias("rep"), F.count("*").alias("copies"))
@@ -519,27 +538,26 @@ def similar_classes(docs: DataFrame, words: int = 5, most: int = 8) -> DataFrame
     same = nodes.select("fp", "node").join(rep.where("copies > 1"), "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     first = confirmed(near.unionByName(same))
 
-    joined = stage(components(first))
-    filed = nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.explode("bands").alias("band"))
-    few = stage(_parted(filed).join(nodes.select("node", "n", "parity"), "node"))
+    labels = stage(nodes.select("node").join(components(first), "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    filed = nodes.join(labels, "node").select("node", "component", F.explode("bands").alias("band"))
+    few = Staged(_parted(filed).join(nodes.select("node", "n", "parity"), "node"))
     # A large group of near copies is drawn together by stars: each set meets one of its band, another one each time.
     for turn in range(STARS):
-        center = few.groupBy("band").agg(F.min_by(F.struct("node", "component", "n", "parity"), F.xxhash64("node", F.lit(turn))).alias("y"))
-        star = few.join(center, "band").select(F.struct("node", "component", "n", "parity").alias("x"), "y")
-        first = stage(first.unionByName(confirmed(_may(star))))
-        joined = stage(components(first)).withColumnRenamed("component", "_now")
-        few = few.join(joined, "node", "left").select("node", F.coalesce("_now", "node").alias("component"), "band", "n", "parity")
-        few = stage(_parted(few))
+        center = few.df.groupBy("band").agg(F.min_by(F.struct("node", "component", "n", "parity"), F.xxhash64("node", F.lit(turn))).alias("y"))
+        star = few.df.join(center, "band").select(F.struct("node", "component", "n", "parity").alias("x"), "y")
+        now = _merged(labels, confirmed(_may(star)))
+        labels, before = stage(_renamed(labels, now)), few
+        few = Staged(_parted(_renamed(few.df, now)))
+        before.drop()
     # What is still apart: pair by pair where a band has few sets, by prefixes where it has many.
-    few = stage(few.join(few.groupBy("band").agg(F.count("*").alias("sets")), "band"))
+    few = stage(few.df.join(few.df.groupBy("band").agg(F.count("*").alias("sets")), "band"))
     x, y = (few.where(F.col("sets") <= DENSE).select("band", F.struct("node", "component", "n", "parity").alias(c)) for c in "xy")
     dense = stage(few.where(F.col("sets") > DENSE).select("node", "component", "n", "parity").dropDuplicates(["node"]))
     rest = _may(x.join(y, "band").where("x.node < y.node"))
     if not dense.isEmpty():
-        rest = rest.unionByName(_by_prefix(texts(dense.select("node")), dense, words, confirmed))
-    rest = confirmed(rest)
-    final = components(first.unionByName(rest))
-    return of.select("key", "node").join(final, "node", "left").select("key", F.coalesce("component", "node").alias("class"))
+        rest = rest.unionByName(_by_prefix(texts(dense.select("node")).df, dense, words, confirmed))
+    final = _renamed(labels, _merged(labels, confirmed(rest)))
+    return of.select("key", "node").join(final, "node").select("key", F.col("component").alias("class"))
 
 
 def keep_one_similar(docs: DataFrame, words: int = 5) -> DataFrame:

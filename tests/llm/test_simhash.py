@@ -142,6 +142,37 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most", [common.MOST_LEAST, 0])
+def test_components_joined_both_ways(spark, monkeypatch, most):
+    """With least neighbours broadcast and shuffled; nodes are bytes, as in near-dedup."""
+    monkeypatch.setattr(common, "MOST_LEAST", most)
+    rng = random.Random(2)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000, i) for i in range(1001, 1400)]
+    of = spark.createDataFrame([(bytes([a >> 8, a & 255]), bytes([b >> 8, b & 255])) for a, b in links], "a binary, b binary")
+    got = {int.from_bytes(r["node"], "big"): int.from_bytes(r["component"], "big") for r in common.components(of).collect()}
+    root = groups(1400, links)
+    assert got == {x: root[x] for a, b in links if a != b for x in (a, b)}
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    """Links that are stars around their least nodes are told as such; a round more would write them again to see that nothing changes."""
+    written, real = [], common.Staged
+    monkeypatch.setattr(common, "Staged", lambda df: written.append(df) or real(df))
+    links = [(1, i) for i in range(2, 50)] + [(i, 100) for i in range(101, 103)] + [(103, 100)]
+    assert common.components(spark.createDataFrame(links, "a long, b long")).count() == 49 + 4
+    assert len(written) == 2
+
+
+def test_staged_leaves_no_shuffle_files(spark):
+    """Deleted when the table is written, not when the driver collects its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {x.split("/")[-1] for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    before = shuffles()
+    common.Staged(spark.range(1000).groupBy("id").count())
+    assert not shuffles() - before
+    assert spark.conf.get(common.CLEANUP) == "false"
+
+
 def similar_groups(texts):
     """Component (smallest index) of each text by exact Jaccard similarity of five-word shingles, and the pairs below 1."""
     sets = []
