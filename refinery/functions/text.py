@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 # The patterns of the cleaning rules. (?U) gives \s and \w their Unicode meaning, (?d) keeps '.' and '$' to line feeds.
 LIST_PREFIX = r"(?Ud)^전성분(?:명)?\s*:?\s*"
-FREE_FROM_TAIL = r"(?Udisu)[*※]?\s*무첨가\s*성분\s*:.*$"
+#: What may stand before a notice is optional, so its first characters are looked at before it is tried, else every place of a text is.
+FREE_FROM_TAIL = r"(?Udisu)(?=[*※무\s])[*※]?\s*무첨가\s*성분\s*:.*$"
 LEGEND = (
-    r"(?Ud)(?:(?:※|\*|\+)\s*(?:표시\s*:|자연\s*유래|식물\s*유래|유기농|ILN\d+)|(?:※|\*|\+)?\s*(?:제공된\s*성분은|ILN\d+\s*성분\s*목록은))"
+    r"(?Ud)(?=[※*+제I\s])(?:(?:※|\*|\+)\s*(?:표시\s*:|자연\s*유래|식물\s*유래|유기농|ILN\d+)|(?:※|\*|\+)?\s*(?:제공된\s*성분은|ILN\d+\s*성분\s*목록은))"
     r".*?(?=\[|<|(?:^|\s)\d{1,2}\)\s*[가-힣a-zA-Z]|$)"
 )
 ILN_TAG = r"(?Ud)(?i)[<\[]?ILN\d+[>\]]?"

@@ -148,6 +148,16 @@ def ingredient_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("product_id", F.element_at(F.array(*forms), (F.col("product_id") % 8 + 1).cast("int")).alias("text"))
 
 
+def without_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(product_id, clean): a column of its own, as what follows names it several times and each mention would run its patterns again."""
+    return ingredient_lists(spark, sf_dir).select("product_id", X.drop_notices(F.col("text")).alias("clean"))
+
+
+def stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(product_id, clean), without header and concentrations."""
+    return without_notices(spark, sf_dir).select("product_id", X.drop_concentrations(X.strip_header(F.col("clean"))).alias("clean"))
+
+
 # The patterns of section headers.
 HEADER = r"<[^>]+>|■\s*[^:■]+:\s*|[가-힣a-zA-Z0-9]+\s*-\s*\[전성분|\[(?:[^Ii\]][^\]]*|[Ii](?:[^Ll\]][^\]]*)?|[Ii][Ll](?:[^Nn\]][^\]]*)?)\]|(?:^|\s)[0-9]{1,2}\)\s*[가-힣a-zA-Z]+|[가-힣a-zA-Z0-9\s]+(?:볼|앰플|세럼|크림|토너|로션)\s*[):]\s*[가-힣]"
 # The patterns of notices.
@@ -163,14 +173,14 @@ n4 as (select product_id, regexp_replace(regexp_replace(regexp_replace(c, '(?i)[
 @register(f"with {NOTICES_SQL} select product_id, clean from n4")
 def drop_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T10."""
-    return ingredient_lists(spark, sf_dir).select("product_id", X.drop_notices(F.col("text")).alias("clean"))
+    return without_notices(spark, sf_dir)
 
 
 @register(f"with {NOTICES_SQL} select product_id, len(regexp_extract_all(clean, '\\[본품\\]')) as mains, len(regexp_extract_all(clean, '{HEADER}')) as headers from n4")
 def section_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts that tell bundles, with the real patterns."""
-    text = X.drop_notices(F.col("text"))
-    return ingredient_lists(spark, sf_dir).select("product_id", X.main_item_count(text).cast("long").alias("mains"), X.header_count(text).cast("long").alias("headers"))
+    text = F.col("clean")
+    return without_notices(spark, sf_dir).select("product_id", X.main_item_count(text).cast("long").alias("mains"), X.header_count(text).cast("long").alias("headers"))
 
 
 # The pattern of concentrations.
@@ -184,17 +194,16 @@ h2 as (select product_id, regexp_replace(a, '{CONCENTRATION}', '', 'g') as b fro
 @register(f"with {STRIPPED_SQL} select product_id, b as clean from h2")
 def clean_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One header goes, and brackets of concentrations."""
-    text = X.drop_concentrations(X.strip_header(X.drop_notices(F.col("text"))))
-    return ingredient_lists(spark, sf_dir).select("product_id", text.alias("clean"))
+    return stripped(spark, sf_dir)
 
 
 @register(f"""with {STRIPPED_SQL}, m as (select product_id, replace(regexp_replace(regexp_replace(b, '([A-Za-z0-9]),([A-Za-z0-9])', '\\1_C_\\2', 'g'), '([A-Za-z0-9]),([A-Za-z0-9])', '\\1_C_\\2', 'g'), ' ', '') as s from h2)
 select product_id, s as searched, trim(replace(s, '_C_', ',')) as shown, length(trim(replace(s, '_C_', ','))) > 2 and regexp_matches(replace(s, '_C_', ','), '[가-힣a-zA-Z0-9]') as means from m""")
 def searched_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is searched for names, how it is shown, and whether it means something."""
-    text = matching.prepared(X.drop_concentrations(X.strip_header(X.drop_notices(F.col("text")))))
-    shown = X.unmask(text)
-    return ingredient_lists(spark, sf_dir).select("product_id", text.alias("searched"), shown.alias("shown"), X.significant(shown).alias("means"))
+    searched = stripped(spark, sf_dir).select("product_id", matching.prepared(F.col("clean")).alias("searched"))
+    shown = searched.select("product_id", "searched", X.unmask(F.col("searched")).alias("shown"))
+    return shown.select("product_id", "searched", "shown", X.significant(F.col("shown")).alias("means"))
 
 
 # ---- matches: E2 to E4, M8, A1
