@@ -15,16 +15,25 @@ from refinery.llm.queries import tokenizer
 
 #: Documents that score as much are rejected.
 REJECT = 0.3
+#: Bytes of a batch of rows on its way to Python. Spark's 10,000 texts a batch are 25 MB here, which executors hold several times, in Arrow's buffers and in Python, and do not give back.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets BATCH for the session: what a stage returns goes to Python only when it is written."""
+    spark.conf.set(*BATCH)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below REJECT; the score is learned from the labels of the given documents."""
+    small_batches(spark)
     model, score = toxicity.train(docs, table(spark, sf_dir, "labels")), unused(docs, "toxicity")
     return model.score(docs, score).where(F.col(score) < REJECT).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles of Jaccard similarity 0.8 or more."""
+    small_batches(spark)
     return simhash.keep_one_similar(docs)
 
 
@@ -46,6 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
+    small_batches(spark)
     return packing.pack(packing.pieces(docs, tokenizer(), with_ids=False))
 
 
