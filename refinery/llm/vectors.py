@@ -4,12 +4,15 @@ The upper levels are sets of pivots: every vector goes to the nearest of about a
 a cell with many vectors gets pivots of its own, and what still is large is cut into blocks. Each
 block is covered by nested nets of halving radii. Two blocks are compared only if their covering radii
 allow a pair within the threshold; blocks are dealt to a few bundles, and a block is sent to those
-bundles only that hold one of its likes. In a meeting of two bundles, pairs of nodes are pruned, or
-linked as a whole, by their covering radii, and only the rest are compared vector by vector.
+bundles only that hold one of its likes, packed to a few rows. In a meeting of two bundles, pairs of nodes are
+pruned, or linked as a whole, by their covering radii, and only the rest are compared vector by vector. Where many
+nodes meet many, their centres' shadows in a few leading directions are compared first: no cosine exceeds theirs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,8 +21,10 @@ from pyspark.sql import functions as F
 from refinery.llm.common import Staged, components, partitions, stage
 
 MOST_IN_BLOCK = 4096
-#: Vectors of a bundle, unless there would be fewer bundles than make a meeting for each partition.
-IN_BUNDLE = 16384
+#: Vectors of a bundle, and bytes of their components as doubles, unless there would be fewer bundles than keep all cores busy with meetings.
+IN_BUNDLE, BUNDLE_BYTES = 65536, 1 << 25
+#: Bytes of components, as doubles, in a row of a packed block.
+PIECE_BYTES = 1 << 19
 #: Pivots above, and in each cell of more than MOST_IN_BLOCK vectors.
 MOST_PIVOTS, MOST_INNER = 2048, 64
 DEPTH = 4
@@ -27,6 +32,12 @@ DEPTH = 4
 SLACK = 1e-7
 #: Pairs whose distance is this close to the threshold are decided by the cosine itself.
 NEAR = 1e-6
+#: Directions of a shadow, and the vectors they are taken from.
+LEADING, SAMPLE = 23, 512
+#: Time of a pair of nodes that is looked up by itself, against one of all pairs of many nodes.
+BY_ONE = 64
+#: Nodes that meet at once, so that their products stay in a core's cache; pairs of nodes, and links, that are held at once.
+TILE, TOGETHER, MOST_LINKS = (512, 1024), 1 << 19, 1 << 22
 
 
 def _usable(id_col: str, vector_col: str) -> Column:
@@ -41,12 +52,19 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.where(_usable(id_col, vector_col)).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
 
 
-def _unit(v) -> np.ndarray:
-    x = np.stack([np.asarray(a, dtype=float) for a in v]) if len(v) else np.zeros((0, 0))
+def _stacked(v) -> np.ndarray:
+    return np.stack([np.asarray(a, dtype=float) for a in v]) if len(v) else np.zeros((0, 0))
+
+
+def _of_length_one(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
     return x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x
 
 
+def _unit(v) -> np.ndarray:
+    return _of_length_one(_stacked(v))
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
 
@@ -91,7 +109,7 @@ def levels(x: np.ndarray, top: float = 1.0, depth: int = DEPTH) -> np.ndarray:
 
 
 class CoverTree:
-    """The nodes of each level of ``levels``: centre, covering radius and parent, in order of parents; and the rows of the last level's nodes."""
+    """The nodes of each level of ``levels``: centre, covering radius and the first node of each parent, in order of parents; and the rows of the last level's nodes."""
 
     def __init__(self, x: np.ndarray, centre: np.ndarray) -> None:
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -106,7 +124,7 @@ class CoverTree:
             np.maximum.at(cover, of, far)
             parent = np.zeros(len(nodes), np.int64)
             parent[of] = above
-            self.levels.append((nodes, cover, parent))
+            self.levels.append((nodes, cover, np.searchsorted(parent, np.arange(parent[-1] + 2))))
             above = of
         self.order = np.argsort(above, kind="stable")
         self.cuts = np.searchsorted(above[self.order], np.arange(len(nodes) + 1))
@@ -115,31 +133,13 @@ class CoverTree:
         return self.order[self.cuts[node] : self.cuts[node + 1]]
 
 
-def _top_pairs(x: np.ndarray, rx: np.ndarray, y: np.ndarray, ry: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes whose distance is at most reach and both radii: single precision with room for its rounding first, by nodes with and without extent."""
-    rows, cols = [np.array([], np.int64)], [np.array([], np.int64)]
-    for i in (np.flatnonzero(rx == 0), np.flatnonzero(rx > 0)):
-        for j in (np.flatnonzero(ry == 0), np.flatnonzero(ry > 0)):
-            if not len(i) or not len(j):
-                continue
-            least = (1.0 - (reach + rx[i] + ry[j].max() + SLACK) ** 2 / 2 - 1e-5).astype(np.float32)
-            right = np.ascontiguousarray(y[j].T, dtype=np.float32)
-            for lo in range(0, len(i), 1024):
-                part = i[lo : lo + 1024]
-                p, q = np.nonzero(x[part].astype(np.float32) @ right >= least[lo : lo + 1024, None])
-                rows.append(part[p])
-                cols.append(j[q])
-    p, q = np.concatenate(rows), np.concatenate(cols)
-    return _still_near(x, rx, y, ry, p, q, reach)
-
-
-def _still_near(x, rx, y, ry, p, q, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    keep = np.zeros(len(p), bool)
-    for lo in range(0, len(p), 1 << 16):
-        s = slice(lo, lo + (1 << 16))
-        d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x[p[s]], y[q[s]]), 0))
-        keep[s] = d <= reach + rx[p[s]] + ry[q[s]] + SLACK
-    return p[keep], q[keep]
+def _cosines(x: np.ndarray, p: np.ndarray, y: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Of rows p of x with rows q of y, one by one."""
+    out = np.empty(len(p))
+    for lo in range(0, len(p), 1 << 12):
+        s = slice(lo, lo + (1 << 12))
+        out[s] = np.einsum("ij,ij->i", x[p[s]], y[q[s]])
+    return out
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -149,84 +149,251 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
-def _node_pairs(a: CoverTree, b: CoverTree, x: np.ndarray, y: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of last-level nodes that the bounds leave, by going down both trees at once."""
-    live = None
-    for (ca, ra, pa), (cb, rb, pb) in zip(a.levels, b.levels):
-        if live is None:
-            live = _top_pairs(x[ca], ra, y[cb], rb, reach)
-            continue
-        first_a, first_b = np.searchsorted(pa, np.arange(pa.max() + 2)), np.searchsorted(pb, np.arange(pb.max() + 2))
-        na, nb = np.diff(first_a)[live[0]], np.diff(first_b)[live[1]]
+def _leading(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Orthonormal directions that hold most of a sample of the vectors."""
+    some = [v[:: -(-len(v) // SAMPLE)] for v in ((x,) if x is y else (x, y))]
+    return np.linalg.svd(np.concatenate(some), full_matrices=False)[2][:LEADING]
+
+
+def _shadow(x: np.ndarray, along: np.ndarray) -> np.ndarray:
+    """Each vector's part along the directions, and the length of what is left: by the inequality of Cauchy and Schwarz no two shadows have a smaller product than their vectors."""
+    out = np.empty((len(x), len(along) + 1), np.float32)
+    for lo in range(0, len(x), 4096):
+        part = x[lo : lo + 4096] @ along.T
+        out[lo : lo + 4096, :-1] = part
+        out[lo : lo + 4096, -1] = np.sqrt(np.maximum(1.0 - np.einsum("ij,ij->i", part, part), 0.0))
+    return out
+
+
+class _Descent:
+    """Pairs of last-level nodes that the bounds leave, by going down both trees at once. Of one tree with itself (b is a) each pair comes once."""
+
+    def __init__(self, a: CoverTree, b: CoverTree, x: np.ndarray, y: np.ndarray, reach: float) -> None:
+        self.a, self.b, self.x, self.y, self.reach, self.same = a, b, x, y, reach, b is a
+        along = _leading(x, y)
+        self.shadow_x = _shadow(x, along)
+        self.shadow_y = self.shadow_x if self.same else _shadow(y, along)
+        # For the rounding of single precision, in the vectors and in sums of their products.
+        self.room = 1e-5
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        level = self._first()
+        yield from self._all(level, *(np.arange(len(t.levels[level][0])) for t in (self.a, self.b)))
+
+    def _first(self) -> int:
+        """The level from which, by a sample of the nodes of each, the least work leads to the last: all pairs of its nodes, and the pairs of children of those that its radii leave from there on."""
+        work, below = [], 0.0
+        for level in reversed(range(len(self.a.levels))):
+            (ca, ra, _), (cb, rb, _) = self.a.levels[level], self.b.levels[level]
+            if level + 1 < len(self.a.levels):
+                i, j = (np.arange(0, len(c), -(-len(c) // SAMPLE)) for c in (ca, cb))
+                live = _distances(self.x[ca[i]], self.y[cb[j]]) <= self.reach + ra[i][:, None] + rb[j] + SLACK
+                na, nb = (np.diff(t.levels[level + 1][2])[k] for t, k in ((self.a, i), (self.b, j)))
+                below += BY_ONE * (na @ live @ nb) * (len(ca) / len(i)) * (len(cb) / len(j))
+            work.append((len(ca) * len(cb) + below, level))
+        return min(work)[1]
+
+    def _all(self, level: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """From all nodes i with all nodes j of a level."""
+        held, n = [], 0
+        for found in self._tiles(level, i, j):
+            held.append(found)
+            n += len(found[0])
+            if n > TOGETHER:
+                yield from self._down(level, *map(np.concatenate, zip(*held)))
+                held, n = [], 0
+        if held:
+            yield from self._down(level, *map(np.concatenate, zip(*held)))
+
+    def _tiles(self, level: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of nodes i and j whose distance is at most reach and both radii, some at a time: by shadows in single precision with room for its rounding first, by nodes with and without extent."""
+        (ca, ra, _), (cb, rb, _) = self.a.levels[level], self.b.levels[level]
+        for p in (i[ra[i] == 0], i[ra[i] > 0]):
+            for q in (j[rb[j] == 0], j[rb[j] > 0]):
+                if not len(p) or not len(q):
+                    continue
+                least = (1.0 - (self.reach + ra[p] + rb[q].max() + SLACK) ** 2 / 2 - self.room).astype(np.float32)
+                left = self.shadow_x[ca[p]]
+                for lo in range(0, len(q), TILE[1]):
+                    cols = q[lo : lo + TILE[1]]
+                    right = np.ascontiguousarray(self.shadow_y[cb[cols]].T)
+                    for first in range(0, len(p), TILE[0]):
+                        part, low = p[first : first + TILE[0]], least[first : first + TILE[0]]
+                        if self.same and part[0] > cols[-1]:
+                            break
+                        product = left[first : first + TILE[0]] @ right
+                        some = np.flatnonzero(product.max(1) >= low)
+                        if not len(some):
+                            continue
+                        r, c = np.nonzero(product[some] >= low[some, None])
+                        rows = part[some]
+                        if len(r) > product.size >> 5:
+                            d = _distances(self.x[ca[rows]], self.y[cb[cols]])
+                            r, c = np.nonzero(d <= self.reach + ra[rows][:, None] + rb[cols] + SLACK)
+                            yield self._once(rows[r], cols[c])
+                        else:
+                            yield self._near(level, *self._once(rows[r], cols[c]))
+
+    def _once(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (i[i <= j], j[i <= j]) if self.same else (i, j)
+
+    def _near(self, level: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        (ca, ra, _), (cb, rb, _) = self.a.levels[level], self.b.levels[level]
+        d = np.sqrt(np.maximum(2 - 2 * _cosines(self.x, ca[i], self.y, cb[j]), 0))
+        near = d <= self.reach + ra[i] + rb[j] + SLACK
+        return i[near], j[near]
+
+    def _down(self, level: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if level + 1 == len(self.a.levels):
+            yield i, j
+            return
+        first_a, first_b = self.a.levels[level + 1][2], self.b.levels[level + 1][2]
+        na, nb = np.diff(first_a)[i], np.diff(first_b)[j]
         each = na * nb
-        at = np.repeat(np.arange(len(each)), each)
-        inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        i = first_a[live[0][at]] + inner // nb[at]
-        j = first_b[live[1][at]] + inner % nb[at]
-        live = _still_near(x[ca], ra, y[cb], rb, i, j, reach)
-    return live
+        many = each > TOGETHER >> 7
+        for p, q in zip(i[many], j[many]):
+            yield from self._all(level + 1, np.arange(first_a[p], first_a[p + 1]), np.arange(first_b[q], first_b[q + 1]))
+        i, j, nb, each = i[~many], j[~many], nb[~many], each[~many]
+        turn = (np.cumsum(each) - each) // TOGETHER
+        for lo, hi in _runs(turn):
+            at = np.repeat(np.arange(lo, hi), each[lo:hi])
+            inner = np.arange(len(at)) - np.repeat(np.cumsum(each[lo:hi]) - each[lo:hi], each[lo:hi])
+            p, q = self._once(first_a[i[at]] + inner // nb[at], first_b[j[at]] + inner % nb[at])
+            yield from self._down(level + 1, *self._near(level + 1, p, q))
+
+
+def _runs(key: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of equal keys."""
+    cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+    return ((lo, hi) for lo, hi in zip(cuts, cuts[1:]) if lo < hi)
+
+
+class _Side:
+    """Numbers, counts and unit vectors of whole blocks' classes, and the tree over all of them."""
+
+    def __init__(self, node: np.ndarray, n: np.ndarray, v: np.ndarray, centre: np.ndarray) -> None:
+        self.node, self.n, self.x = node, n, _of_length_one(v)
+        self.tree = CoverTree(self.x, centre)
+
+
+def _of_rows(rows: pd.DataFrame) -> dict[int, _Side]:
+    """The sides of blocks whose classes are rows, by width."""
+    out = {}
+    for w, part in rows.sort_values(["block", "k"]).groupby("w"):
+        k = part["k"].to_numpy()
+        begin = np.arange(len(part)) - k
+        out[w] = _Side(part["node"].to_numpy(np.int64), part["n"].to_numpy(np.int64), _stacked(part["v"]), np.stack(part["centre"].to_numpy()) + begin[:, None])
+    return out
 
 
-def _side(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, CoverTree]:
-    """Rows of some blocks in order, their unit vectors, and the tree over all of them."""
-    rows = rows.sort_values(["block", "k"], ignore_index=True)
-    start = rows.groupby("block", sort=False)["k"].transform("size").to_numpy()
-    first = np.flatnonzero(rows["k"].to_numpy() == 0)
-    begin = np.repeat(first, start[first])
-    x = _unit(rows["v"])
-    return rows, x, CoverTree(x, np.stack(rows["centre"].to_numpy()) + begin[:, None])
+def pack(part: pd.DataFrame, v: np.ndarray, centre: np.ndarray) -> pd.DataFrame:
+    """A block of one width as a few rows of bytes: components in single precision where that keeps them all."""
+    out, step = [], max(PIECE_BYTES // (8 * v.shape[1]), 1)
+    for k in range(0, len(v), step):
+        s = slice(k, k + step)
+        with np.errstate(over="ignore"):
+            short = v[s].astype(np.float32)
+        kept = short if (short == v[s]).all() else v[s]
+        numbers = (part[c].to_numpy(np.int64)[s].tobytes() for c in ("node", "n"))
+        out.append((k, len(short), *numbers, kept.tobytes(), centre[s].astype(np.int32).tobytes()))
+    return pd.DataFrame(out, columns=["k", "size", "node", "n", "v", "centre"])
+
+
+def _of_pieces(pieces: pd.DataFrame) -> dict[int, _Side]:
+    """The sides of packed blocks, by width."""
+    out = {}
+    for w, part in pieces.sort_values(["block", "k"]).groupby("w"):
+        size = part["size"].to_numpy()
+        node, n = (np.frombuffer(b"".join(part[c]), np.int64) for c in ("node", "n"))
+        v = np.concatenate([np.frombuffer(b, np.float32 if len(b) == 4 * w * m else np.float64).reshape(m, w) for b, m in zip(part["v"], size)])
+        begin = np.repeat(np.cumsum(size) - size - part["k"].to_numpy(), size)
+        out[w] = _Side(node, n, v.astype(float), np.frombuffer(b"".join(part["centre"]), np.int32).reshape(len(v), -1) + begin[:, None])
+    return out
 
 
 def link_blocks(a: pd.DataFrame, b: pd.DataFrame | None, least: float) -> pd.DataFrame:
+    """``_link`` of whole blocks: their pieces, or a row for each class."""
+    sides = _of_pieces if "size" in a else _of_rows
+    return _link(sides(a), None if b is None else sides(b), least)
+
+
+def _link(a: dict[int, _Side], b: dict[int, _Side] | None, least: float) -> pd.DataFrame:
     """Rows (node, other, n): other null: node has n links here, members of classes counted; else a link, enough to join components.
 
-    Without b, the pairs within a. Blocks come whole. Whole linked pairs of nodes give a count and a few links each.
+    Without b, the pairs within a. Whole linked pairs of nodes give a count and a few links each.
     """
-    reach = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
-    same = b is None
-    b = a if same else b
-    out_a, out_b, count = [], [], {}
-    for width in set(a["w"]) & set(b["w"]):
-        pa, x, ta = _side(a[a["w"] == width])
-        pb, y, tb = (pa, x, ta) if same else _side(b[b["w"] == width])
-        ia, ib = pa["node"].to_numpy(np.int64), pb["node"].to_numpy(np.int64)
-        wa, wb = pa["n"].to_numpy(np.int64), pb["n"].to_numpy(np.int64)
-        na, nb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
-        (ca, ra, _), (cb, rb, _) = ta.levels[-1], tb.levels[-1]
-        for i, j in zip(*_node_pairs(ta, tb, x, y, reach)):
-            if same and j < i:
-                continue
+    links, tally = _Links(), []
+    for w in a if b is None else a.keys() & b.keys():
+        p, q = a[w], a[w] if b is None else b[w]
+        na, nb = _meet(p, q, least, links)
+        tally += [(p.node, na + nb)] if p is q else [(p.node, na), (q.node, nb)]
+    rows, cols = links.spanning()
+    node, n = (np.concatenate([np.array([], np.int64), *x]) for x in ((t[0][t[1] > 0] for t in tally), (t[1][t[1] > 0] for t in tally)))
+    out = pd.concat([pd.DataFrame({"node": rows, "other": cols}), pd.DataFrame({"node": node, "n": n})])
+    return out.astype({"node": "int64", "other": "Int64", "n": "Int64"})
+
+
+class _Links:
+    """Links found so far, or as many as join the same components."""
+
+    def __init__(self) -> None:
+        self.a: list[np.ndarray] = [np.array([], np.int64)]
+        self.b: list[np.ndarray] = [np.array([], np.int64)]
+        self.held = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a.append(a)
+        self.b.append(b)
+        self.held += len(a)
+        if self.held > MOST_LINKS:
+            rows, cols = self.spanning()
+            self.a, self.b, self.held = [rows], [cols], 0
+
+    def spanning(self) -> tuple[np.ndarray, np.ndarray]:
+        return spanning(np.concatenate(self.a), np.concatenate(self.b))
+
+
+def _meet(a: _Side, b: _Side, least: float, links: _Links) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each class of a and of b between them; within a, where b is a, each pair once for either end."""
+    reach, same = float(np.sqrt(max(2.0 - 2.0 * least, 0.0))), a is b
+    x, y, ta, tb = a.x, b.x, a.tree, b.tree
+    (ca, ra, _), (cb, rb, _) = ta.levels[-1], tb.levels[-1]
+    na, nb = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+    one_a, one_b = np.diff(ta.cuts) == 1, np.diff(tb.cuts) == 1
+    for left, right in _Descent(ta, tb, x, y, reach).pairs():
+        one = one_a[left] & one_b[right]
+        p, q = ta.order[ta.cuts[left[one]]], tb.order[tb.cuts[right[one]]]
+        hit = _cosines(x, p, y, q) >= least
+        if same:
+            hit &= p != q
+        p, q = p[hit], q[hit]
+        np.add.at(na, p, b.n[q])
+        np.add.at(nb, q, a.n[p])
+        links.add(a.node[p], b.node[q])
+        for i, j in zip(left[~one], right[~one]):
             p, q = ta.members(i), tb.members(j)
             itself = same and i == j
             d = float(np.sqrt(max(2 - 2 * float(x[ca[i]] @ y[cb[j]]), 0)))
             if d + ra[i] + rb[j] <= reach - NEAR:
-                na[p] += wb[q].sum()
+                na[p] += b.n[q].sum()
                 if not itself:
-                    nb[q] += wa[p].sum()
+                    nb[q] += a.n[p].sum()
                 else:
-                    na[p] -= wa[p]
-                out_a += [ia[p], np.full(len(q), ia[p[0]])]
-                out_b += [np.full(len(p), ib[q[0]]), ib[q]]
+                    na[p] -= a.n[p]
+                links.add(a.node[p], np.full(len(p), b.node[q[0]]))
+                links.add(np.full(len(q), a.node[p[0]]), b.node[q])
                 continue
             for lo in range(0, len(p), 1024):
                 part = p[lo : lo + 1024]
                 hit = x[part] @ y[q].T >= least
                 if itself:
                     hit &= part[:, None] != q[None, :]
-                na[part] += hit @ wb[q]
+                na[part] += hit @ b.n[q]
                 if not itself:
-                    nb[q] += wa[part] @ hit
+                    nb[q] += a.n[part] @ hit
                 rows, cols = forest(hit)
-                out_a.append(ia[part[rows]])
-                out_b.append(ib[q[cols]])
-        for ids, n in ((ia, na), (ib, nb)):
-            for k in np.flatnonzero(n):
-                count[ids[k]] = count.get(ids[k], 0) + int(n[k])
-    none = np.array([], np.int64)
-    rows, cols = spanning(np.concatenate(out_a) if out_a else none, np.concatenate(out_b) if out_b else none)
-    links = pd.DataFrame({"node": rows, "other": cols})
-    tally = pd.DataFrame({"node": np.array(list(count), dtype=np.int64), "n": np.array(list(count.values()), dtype=np.int64)})
-    return pd.concat([links, tally]).astype({"node": "int64", "other": "Int64", "n": "Int64"})
+                links.add(a.node[part[rows]], b.node[q[cols]])
+    return na, nb
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -307,7 +474,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = stage(good.select("id", "v", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(7), text).alias("g")))
     # Staged, so that the numbers of the classes stay the same whatever is computed again.
     classes = stage(rows.groupBy("h", "g").agg(F.any_value("v").alias("v"), F.min("id").alias("id"), F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id()))
-    total = classes.count()
+    total, numbers = classes.agg(F.count("*"), F.coalesce(F.sum(F.size("v")), F.lit(0))).first()
     parts = partitions(spark)
     pivots = min(max(int(total**0.5), 1), MOST_PIVOTS)
     chosen = classes.orderBy(F.xxhash64("id", "h"), "node").limit(pivots).select("v").collect()
@@ -347,17 +514,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         # The levels of each block are made once; every meeting of the block uses them.
         out = []
         for w, part in pdf.groupby("w"):
-            part = part.sort_values("node").reset_index(drop=True)
-            x = _unit(part["v"])
+            part = part.sort_values("node")
+            v = _stacked(part["v"])
+            x = _of_length_one(v)
             # The block's own centre, besides its cell's: the vector nearest to the mean.
             middle = x[int((x @ x.mean(0)).argmax())]
-            part["far"], part["around"] = part["far"].max(), _distances(x, middle[None])[:, 0].max()
-            part["middle"] = [middle.tolist()] * len(part)
-            part["block"] = part["block"] + f":{w}"
-            part["k"] = np.arange(len(part), dtype=np.int32)
-            part["centre"] = list(levels(x))
-            out.append(part)
-        return pd.concat(out)[["node", "v", "n", "w", "cell", "block", "far", "k", "centre", "middle", "around"]]
+            packed = pack(part, v, levels(x)).assign(w=w, cell=part["cell"].iloc[0], block=f"{part['block'].iloc[0]}:{w}")
+            packed["far"], packed["around"] = part["far"].max(), _distances(x, middle[None])[:, 0].max()
+            packed["middle"] = [middle.tolist()] * len(packed)
+            out.append(packed)
+        return pd.concat(out)[["block", "w", "cell", "far", "middle", "around", "k", "size", "node", "n", "v", "centre"]]
 
     # Blocks of few rows are covered together.
     deal = F.pmod(F.xxhash64("block"), F.lit(max(parts, -(-total // MOST_IN_BLOCK))))
@@ -366,8 +532,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     def cover_each(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.concat([cover(part) for _, part in pdf.groupby("block")])
 
-    dealt = stage(covered.groupBy("deal").applyInPandas(cover_each, "node long, v array<double>, n long, w int, cell int, block string, far double, k int, centre array<int>, middle array<double>, around double"))
-    bundles = max(min(int((2 * parts) ** 0.5) + 1, total // 512), -(-total // IN_BUNDLE), 1)
+    dealt = stage(covered.groupBy("deal").applyInPandas(cover_each, "block string, w int, cell int, far double, middle array<double>, around double, k int, size int, node binary, n binary, v binary, centre binary"))
+    # Each bundle more is a copy more of all vectors, so there are no more than three meetings or so for each core.
+    busy = min(parts, 3 * spark.sparkContext.defaultParallelism)
+    bundles = max(min(int((2 * busy) ** 0.5) + 1, total // 512), -(-total // IN_BUNDLE), -(-8 * numbers // BUNDLE_BYTES), 1)
     bundle = F.pmod(F.xxhash64("block", F.lit(1)), F.lit(bundles)).cast("int")
     blocks = stage(dealt.where("k = 0").select("block", "w", "cell", "far", "middle", "around", bundle.alias("bundle")))
     reach = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
@@ -398,7 +566,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     met = sides[0].unionByName(sides[1]).distinct()
     within = blocks.select("block", F.lit(0).alias("side"), F.col("bundle").alias("bundle_a"), F.col("bundle").alias("bundle_b"))
     met = stage(met.unionByName(within))
-    sent = dealt.select("node", "v", "n", "w", "block", "k", "centre").join(met, "block")
+    sent = dealt.select("block", "w", "k", "size", "node", "n", "v", "centre").join(met, "block")
+    # Few meetings share a task, of which there would be no more than partitions.
+    sent = sent.repartition(2 * bundles * (bundles + 1), "bundle_a", "bundle_b")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         b = pdf[pdf["side"] == 1]

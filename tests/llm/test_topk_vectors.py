@@ -149,3 +149,87 @@ def test_whole_linked_nodes_and_blocks():
     assert [counts.get(i, 0) for i in range(120)] == hit.sum(1).tolist()
     pairs = out[out["other"].notna()]
     assert groups(120, list(zip(pairs["node"], pairs["other"]))) == groups(120, list(zip(*np.nonzero(hit))))
+
+
+def as_rows(x, first=0):
+    """Vectors as the rows of blocks of 50."""
+    out = []
+    for b in range(0, len(x), 50):
+        part = np.asarray(x[b : b + 50], float)
+        k = np.arange(len(part))
+        out.append(pd.DataFrame({"node": first + b + k, "block": f"{first}-{b:05d}", "v": list(part), "n": 1 + (b + k) % 3, "w": part.shape[1], "k": k, "centre": list(vectors.levels(vectors._unit(list(part))))}))
+    return pd.concat(out, ignore_index=True)
+
+
+def as_pieces(rows):
+    return pd.concat([vectors.pack(p, np.stack(list(p["v"])), np.stack(list(p["centre"]))).assign(block=b, w=p["w"].iloc[0]) for b, p in rows.groupby("block")])
+
+
+def check_meeting(got, x, n, ids, hit):
+    """Counts and components of a meeting's result against the pairs of ``hit``."""
+    tally = got[got["other"].isna()].set_index("node")["n"]
+    want = {i: int(c) for i, c in zip(ids, hit @ n) if c}
+    assert tally.index.is_unique and tally.to_dict() == want
+    at = {i: k for k, i in enumerate(ids)}
+    links = got[got["other"].notna()]
+    assert groups(len(x), [(at[a], at[b]) for a, b in zip(links["node"], links["other"])]) == groups(len(x), list(zip(*np.nonzero(hit))))
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("kind", ["sphere", "clusters", "cone", "flat", "loose"])
+def test_meetings_equal_all_pairs(monkeypatch, kind, small):
+    """Shadows, tiles, levels to begin with, packed blocks and few held links change no count and no component."""
+    if small:
+        for name, value in (("TILE", (16, 24)), ("TOGETHER", 256), ("MOST_LINKS", 50), ("SAMPLE", 16), ("LEADING", 3), ("PIECE_BYTES", 2000)):
+            monkeypatch.setattr(vectors, name, value)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(420, 30))
+    if kind == "clusters":
+        x = rng.normal(size=(9, 30))[rng.integers(0, 9, 420)] + x * rng.choice([0.01, 0.1, 0.22, 0.5], 420)[:, None]
+    elif kind == "cone":
+        x = 4 + x * rng.choice([0.3, 0.9], 420)[:, None]
+    elif kind == "flat":
+        x = x[:, :3] @ rng.normal(size=(3, 30)) + 0.01 * x
+    elif kind == "loose":
+        x = rng.normal(size=(1, 30)) + x * 0.24
+    x[200:230] = x[:30] + rng.normal(size=(30, 30)) * 0.2
+    x[7] *= 1e300
+    a, b = as_rows(x[:260]), as_rows(x[260:], 1000)
+    u = x / np.abs(x).max(1, keepdims=True)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hit = (u @ u.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    n, ids = np.concatenate([a["n"], b["n"]]), [*a["node"], *b["node"]]
+    across = hit.copy()
+    across[:260, :260] = across[260:, 260:] = False
+    for form in (lambda rows: rows, as_pieces):
+        check_meeting(vectors.link_blocks(form(a), form(b), 0.95), x, n, ids, across)
+        check_meeting(vectors.link_blocks(form(a), None, 0.95), x[:260], n[:260], ids[:260], hit[:260, :260])
+
+
+def test_few_pairs_are_looked_up_one_by_one(monkeypatch):
+    """Nearly orthogonal vectors: what bounds leave to be looked up by itself stays far below all pairs."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6000, 64)) + rng.normal(size=(6, 64)).repeat(1000, 0) * 0.6
+    a, b = as_rows(x[::2]), as_rows(x[1::2], 10_000)
+    seen, einsum = [0], np.einsum
+
+    def counted(how, p, q):
+        seen[0] += len(p)
+        return einsum(how, p, q)
+
+    monkeypatch.setattr(vectors.np, "einsum", counted)
+    vectors.link_blocks(a, b, 0.95)
+    assert seen[0] < 0.01 * len(a) * len(b)
+
+
+def test_packed_blocks_keep_every_digit():
+    rng = np.random.default_rng(4)
+    exact = rng.normal(size=(90, 5)).astype(np.float32).astype(float)
+    for v in (exact, rng.normal(size=(90, 5)), np.where(np.arange(90)[:, None] == 40, 1e300, exact)):
+        rows = as_rows(v)
+        pieces = as_pieces(rows)
+        side, want = vectors._of_pieces(pieces)[5], vectors._of_rows(rows)[5]
+        assert len(pieces) == 2 and sum(map(len, pieces["v"])) <= 90 * 5 * 8
+        for name in ("node", "n", "x"):
+            assert (getattr(side, name) == getattr(want, name)).all()
+        assert (side.tree.order == want.tree.order).all()
