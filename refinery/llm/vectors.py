@@ -37,7 +37,7 @@ LEADING, SAMPLE = 23, 512
 #: Time of a pair of nodes that is looked up by itself, against one of all pairs of many nodes.
 BY_ONE = 64
 #: Nodes that meet at once, so that their products stay in a core's cache; pairs of nodes, and links, that are held at once.
-TILE, TOGETHER, MOST_LINKS = (512, 1024), 1 << 19, 1 << 22
+TILE, TOGETHER, MOST_LINKS = (512, 1024), 1 << 18, 1 << 20
 
 
 def _usable(id_col: str, vector_col: str) -> Column:
@@ -57,8 +57,11 @@ def _stacked(v) -> np.ndarray:
 
 
 def _of_length_one(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
-    return x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x
+    if len(x):
+        x = x / np.maximum(x.max(axis=1, keepdims=True), -x.min(axis=1, keepdims=True))
+        for lo in range(0, len(x), 4096):
+            x[lo : lo + 4096] /= np.linalg.norm(x[lo : lo + 4096], axis=1, keepdims=True)
+    return x
 
 
 def _unit(v) -> np.ndarray:
@@ -250,7 +253,7 @@ class _Descent:
         first_a, first_b = self.a.levels[level + 1][2], self.b.levels[level + 1][2]
         na, nb = np.diff(first_a)[i], np.diff(first_b)[j]
         each = na * nb
-        many = each > TOGETHER >> 7
+        many = each > TOGETHER >> 6
         for p, q in zip(i[many], j[many]):
             yield from self._all(level + 1, np.arange(first_a[p], first_a[p + 1]), np.arange(first_b[q], first_b[q + 1]))
         i, j, nb, each = i[~many], j[~many], nb[~many], each[~many]
